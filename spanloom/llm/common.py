@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -127,16 +129,88 @@ def rolling(hashes: np.ndarray, n: int, base: int = 0x9E3779B97F4A7C15) -> np.nd
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Sorted unsigned integers as differences, byte plane by byte plane (the high ones compress to nothing)."""
-    d = np.diff(values, prepend=values.dtype.type(0)).astype(np.uint64)
+    """Sorted unsigned integers: the first, then differences byte plane by byte plane (the high ones compress to nothing)."""
+    if not len(values):
+        return b""
+    d = np.diff(values.astype(np.uint64))
     width = max(1, (int(d.max()).bit_length() + 7) // 8) if len(d) else 1
-    planes = d.view(np.uint8).reshape(-1, 8).T[:width]
-    return bytes([width]) + planes.tobytes()
+    return bytes([width]) + int(values[0]).to_bytes(8, "little") + d.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
 def unpack(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.empty(0, np.uint64)
     width = blob[0]
-    n = (len(blob) - 1) // width
-    d = np.zeros((n, 8), np.uint8)
-    d[:, :width] = np.frombuffer(blob, np.uint8, offset=1).reshape(width, n).T
+    n = (len(blob) - 9) // width
+    d = np.zeros((n + 1, 8), np.uint8)
+    d[1:, :width] = np.frombuffer(blob, np.uint8, offset=9).reshape(width, n).T
+    d[0] = np.frombuffer(blob, np.uint8, 8, 1)
     return np.cumsum(d.reshape(-1).view(np.uint64), dtype=np.uint64)
+
+
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Ascending signed ids."""
+    return pack(ids.view(np.uint64) ^ np.uint64(1 << 63))
+
+
+def unpack_ids(blob: bytes) -> np.ndarray:
+    return (unpack(blob) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+#: Bytes of a text that are split into words at once.
+PIECE = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """The text, cut at white space about every PIECE bytes, so that no long list of words is held."""
+    at = 0
+    while len(text) - at > 2 * PIECE:
+        m = _SPACE.search(text, at + PIECE)
+        if m is None:
+            break
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:] if at else text
+
+
+def word_hashes(text: bytes | None, table: WordHashes, lower: bool = False) -> np.ndarray:
+    """Hashes of the words [^\\x20\\x09-\\x0D]+ of a text (bytes.split() cuts at just these six characters)."""
+    if not text:
+        return np.empty(0, np.uint64)
+    parts = [table.array((p.translate(LOWER) if lower else p).split()) for p in pieces(text)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def join_unique(rows: DataFrame, groups: DataFrame, key: list[str], size: str, hot_rows: int = 1_000, hot_keys: int = 1_024) -> DataFrame:
+    """``rows`` with the columns of ``groups``, which has one row for each key and the key's rows in ``size``.
+
+    The few keys with very many rows meet their group by broadcast (at most
+    ``hot_keys`` rows are sent), all others by a join on the key.
+    """
+    hot = F.broadcast(groups.filter(F.col(size) >= hot_rows).orderBy(F.desc(size), *key).limit(hot_keys))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(groups, key))
+
+
+def connected(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(id, comp): the least id that each id of ``links`` (a, b) reaches.
+
+    Labels pass along links, then each takes its label's label; both steps
+    aggregate before they shuffle. Each round is a table in the shared folder.
+    """
+    both = scratch.table(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-both")
+    comp = scratch.table(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")), f"{name}-0")
+    k = 0
+    while True:
+        k += 1
+        heard = both.join(comp, both.b == comp.id).groupBy("a").agg(F.min("comp").alias("heard"))
+        lower = comp.join(heard, comp.id == heard.a, "left").select("id", F.col("comp").alias("was"), F.least("comp", F.coalesce("heard", "comp")).alias("comp"))
+        jump = comp.select(F.col("id").alias("at"), F.col("comp").alias("next"))
+        after = lower.join(jump, lower.comp == jump["at"], "left").select("id", "was", F.least("comp", F.coalesce("next", "comp")).alias("comp"))
+        after = scratch.table(after, f"{name}-{k}")
+        changed = after.filter("was <> comp").limit(1).count()
+        comp = after.select("id", "comp")
+        scratch.drop(f"{name}-{k - 1}")
+        if not changed:
+            return comp

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, join_unique
 
 #: The characters [\x20\x09-\x0D], which equality ignores.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 #: Directory bits at most: 65,536 buckets, small enough to send to every task.
 MAX_DEPTH = 16
-#: Keys with at least this many rows are joined by broadcast, the 1,024 largest at most.
-HOT_ROWS, HOT_KEYS = 1_000, 1_024
 #: Rows of a key that one compare task takes before a key's rows are salted.
 COMPARE_ROWS = 512
 
@@ -32,7 +30,7 @@ def sha_key(norm: Column) -> Column:
 
 
 def directory(keys: DataFrame, capacity: int) -> DataFrame:
-    """The extendible-hash directory: (slot, depth, bucket) for every slot in use.
+    """The extendible-hash directory: (slot, bucket) for every slot in use.
 
     A slot is the first MAX_DEPTH bits of a key. It starts with one bucket;
     while a bucket holds more than ``capacity`` keys, the directory doubles and
@@ -40,30 +38,13 @@ def directory(keys: DataFrame, capacity: int) -> DataFrame:
     at most 2**MAX_DEPTH rows.
     """
     slots = keys.groupBy("slot").agg(F.count("*").alias("n"))
-    level = slots.select("slot", "n", F.lit(0).alias("depth"), F.lit(False).alias("done"))
-    held = [F.sum("n").over(_window(d)) for d in range(MAX_DEPTH + 1)]
-    # The first depth at which the bucket of a slot fits; the sums at each depth are one window over few rows.
-    sums = level.coalesce(1).select("slot", *[h.alias(f"n{d}") for d, h in enumerate(held)])
+    held = [F.sum("n").over(Window.partitionBy(F.expr(f"slot div {1 << (MAX_DEPTH - d)}"))) for d in range(MAX_DEPTH)]
+    # What a slot's bucket would hold at each depth; the first depth at which it fits is the one it splits to.
+    sums = slots.coalesce(1).select("slot", *[h.alias(f"n{d}") for d, h in enumerate(held)])
     depth = F.coalesce(*[F.when(F.col(f"n{d}") <= capacity, F.lit(d)) for d in range(MAX_DEPTH)], F.lit(MAX_DEPTH))
-    return sums.select("slot", depth.alias("depth")).select(
-        "slot", "depth", F.expr(f"(slot div cast(pow(2, {MAX_DEPTH} - depth) as int)) * {MAX_DEPTH + 1} + depth").alias("bucket")
-    )
-
-
-def _window(depth: int):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.expr(f"slot div {1 << (MAX_DEPTH - depth)}"))
-
-
-def join_groups(rows: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
-    """``rows`` with the columns of ``groups`` (one row for each key, with ``group_size``).
-
-    The few keys with very many rows meet their group by broadcast (at most
-    HOT_KEYS rows are sent), all others by a join on the key.
-    """
-    hot = F.broadcast(groups.filter(F.col("group_size") >= HOT_ROWS).orderBy(F.desc("group_size"), *key).limit(HOT_KEYS))
-    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(groups, key))
+    # The bucket's first slot, then its depth: in the order of the keys.
+    first = F.expr(f"(slot div cast(pow(2, {MAX_DEPTH} - depth) as int)) * cast(pow(2, {MAX_DEPTH} - depth) as int)")
+    return sums.select("slot", depth.alias("depth")).select("slot", (first * (MAX_DEPTH + 1) + F.col("depth")).alias("bucket"))
 
 
 def exact_dedup(
@@ -133,7 +114,7 @@ def exact_dedup(
     else:
         keyed = scratch.table(chained, "chained")
         groups = keyed.groupBy("key", "chain").agg(F.count("*").alias("group_size"), best).join(bucket, "key")
-    out = join_groups(keyed.drop("slot"), groups, ["key", "chain"])
+    out = join_unique(keyed.drop("slot"), groups, ["key", "chain"], "group_size")
     keep = F.when(F.col("best.id") == 2**63 - 1, None).otherwise(F.col("best.id"))
     return out.select("doc_id", keep.alias("keep_id"), "group_size", (by_id == F.col("best.id")).alias("kept"), "text_sha256", "bucket", "chain")
 

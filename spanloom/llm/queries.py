@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sharding, url_filter
+from . import exact_dedup, mixing, ngram_join, sharding, substring_dedup, url_filter
 
 #: Fixed values of the contract: (host, path, verdict).
 URL_RULES = (
@@ -23,6 +23,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(_read(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), URL_RULES, URL_GLOBS)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -74,9 +82,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_sharding": op3_sharding,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
