@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, sharding, substring_dedup, url_filter
+from . import exact_dedup, language_id, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
 
 #: Fixed values of the contract: (host, path, verdict).
 URL_RULES = (
@@ -23,6 +23,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_digest(_read(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -39,6 +43,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), URL_RULES, URL_GLOBS)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(_read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -82,10 +90,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sharding": op3_sharding,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_lm_score": op7_lm_score,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
