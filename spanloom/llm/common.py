@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 #: A missing id is carried as this value through operators that pack ids, and given back as null.
 NULL_ID = -(2**63)
 
-_made: dict[str, list[str]] = {}
+#: Folders of scratch tables by application and owner.
+_made: dict[tuple[str, str], list[str]] = {}
+_owner = [""]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    key = "local-scratch"
+    key = ("", "local")
     if key not in _made:
         folder = tempfile.TemporaryDirectory(prefix="spanloom-")
         atexit.register(folder.cleanup)
@@ -40,12 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder to cut lineage; they live until ``release``."""
+    """Tables written to the shared folder to cut lineage; ``owned`` tells how long they live."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/spanloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-        _made.setdefault(spark.sparkContext.applicationId, []).append(self.path)
+        _made.setdefault((spark.sparkContext.applicationId, _owner[-1]), []).append(self.path)
 
     def table(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write once, read back: later jobs start from the files, whichever executors are left."""
@@ -66,14 +69,19 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession, docs: DataFrame | None = None) -> None:
-    """Remove this application's scratch tables, unless ``docs`` still reads from one of them."""
-    paths = _made.get(spark.sparkContext.applicationId, [])
-    if docs is not None and any("/spanloom-" in f for f in docs.inputFiles()):
-        return
-    for path in paths:
+@contextmanager
+def owned(spark: SparkSession, owner: str, docs: DataFrame | None = None) -> Iterator[None]:
+    """Scratch tables made inside belong to ``owner``; its earlier ones go first, but for those that ``docs`` reads."""
+    paths = _made.setdefault((spark.sparkContext.applicationId, owner), [])
+    files = docs.inputFiles() if docs is not None and paths else []
+    for path in [p for p in paths if not any(p in f for f in files)]:
         _delete(spark, path)
-    paths.clear()
+        paths.remove(path)
+    _owner.append(owner)
+    try:
+        yield
+    finally:
+        _owner.pop()
 
 
 def crc_mod(doc_id: str | Column, n: int) -> Column:
@@ -183,6 +191,16 @@ def word_hashes(text: bytes | None, table: WordHashes, lower: bool = False) -> n
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+#: Ids that are sent to every task at most (8 MB); more are joined by a shuffle.
+FEW_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in the one column ``name`` of ``ids`` (null ids: NULL_ID)."""
+    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
+    return docs.join(F.broadcast(ids) if few else ids, id_or("doc_id") == F.col(name), "left_anti")
+
+
 def join_unique(rows: DataFrame, groups: DataFrame, key: list[str], size: str, hot_rows: int = 1_000, hot_keys: int = 1_024) -> DataFrame:
     """``rows`` with the columns of ``groups``, which has one row for each key and the key's rows in ``size``.
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Scratch, WordHashes, connected, id_back, id_or, join_unique, mix, pack, pack_ids, rolling, unpack, unpack_ids, word_hashes
+from .common import NULL_ID, Scratch, WordHashes, connected, id_back, id_or, join_unique, mix, pack, pack_ids, rolling, unpack, unpack_ids, without, word_hashes
 
 #: Cells of the sketch that finds frequent shingles, and the slices it is summed by.
 CELLS, SLICES = 1 << 20, 64
@@ -328,3 +328,22 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     cb = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
     both = pairs.join(ca, "a", "left").join(cb, "b", "left")
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def drop_similar(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each class: the one with the least id.
+
+    Rows without an id cannot be told apart and stay. Of rows that repeat an id
+    one stays (any, if their texts differ); the rest of them is found by the
+    count of rows, so that a table without repeats is not shuffled for it.
+    """
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.table(similar_classes(docs, **options), "similar")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    out = without(docs, scratch.table(gone, "gone"), "_gone")
+    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    if again.isEmpty():
+        return out
+    again = scratch.table(again, "again")
+    once = out.join(again, out.doc_id == again["_again"], "left_semi").dropDuplicates(["doc_id"])
+    return without(out, again, "_again").unionByName(once)

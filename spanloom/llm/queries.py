@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
+from . import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
 
 #: Fixed values of the contract: (host, path, verdict).
 URL_RULES = (
@@ -35,6 +36,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(_read(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_read(spark, sf_dir, "documents"))
 
@@ -47,6 +52,10 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(_read(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -93,11 +102,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sharding": op3_sharding,
+    "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_lm_score": op7_lm_score,
+    "op8_license_scan": op8_license_scan,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op6_url_filter": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
