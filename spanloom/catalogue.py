@@ -1,4 +1,639 @@
-"""All queries of the library outside ``llm``, and their SQL."""
+"""All queries of the library outside ``llm``: operators bound to the driver's tables, with the same in SQL.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Pairs are documents with neighbouring ids. They exercise the gates as
+relational operators; they are not translations.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from spanloom.functions import numbers, text
+from spanloom.functions.arrays import multiset_minus, reasons
+from spanloom.operators import gates, joins, lexical, sampling, segments, similarity
+from spanloom.plans import ledger
+from spanloom.session import table
+from spanloom.sources import archives, ingest
+from spanloom.streaming.imports import windowed_events
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# Pieces of SQL that several oracles share.
+WORD = text.WORD.replace("'", "''")
+PAIRS = "pairs AS (SELECT a.doc_id AS segment_id, a.lang, a.text AS source, b.text AS target FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)"
+SENTENCES = rf"""parts AS (
+  SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '([.!?])\s+([A-Z_\["''])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS p FROM documents
+), raw AS (
+  SELECT doc_id, unnest(p) AS raw, unnest(range(len(p))) AS occurrence FROM parts
+), units AS (
+  SELECT doc_id, occurrence, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS source, len(regexp_extract_all(regexp_replace(raw, '^\s+|\s+$', '', 'g'), '{WORD}')) AS words FROM raw
+), sentences AS (SELECT * FROM units WHERE words BETWEEN 4 AND 220)"""
+RUNS = r"""pieces AS (
+  SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS p FROM documents
+), piece AS (
+  SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS k FROM pieces
+), placed AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM piece
+), runs AS (
+  SELECT doc_id, (k // 2)::INT AS pos, piece AS word, start, start + length(piece) AS end FROM placed WHERE regexp_matches(piece, '^[\p{L}\p{N}_]')
+)"""
+LINES = r"""split AS (
+  SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS p FROM documents
+), line AS (
+  SELECT doc_id, unnest(p) AS text, unnest(range(len(p))) AS seq FROM split
+), lines AS (
+  SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_char FROM line
+)"""
+INTS = r"list_filter(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+'), lambda x: regexp_full_match(x, '[0-9]+'))"
+
+
+def count_sql(column: str, mark: str) -> str:
+    return f"(length({column}) - length(replace({column}, {mark}, '')))"
+
+
+def pairs(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents")
+    a = d.select(F.col("doc_id").alias("segment_id"), "lang", F.col("text").alias("source"))
+    return a.join(d.select((F.col("doc_id") - 1).alias("segment_id"), F.col("text").alias("target")), "segment_id")
+
+
+def turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns of a conversation with the next turn's text."""
+    c = table(spark, sf, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return c.withColumn("target", F.lead("text").over(w)).withColumn("key", F.concat_ws(":", "conv_id", "turn"))
+
+
+TURNS = "turns AS (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS target, conv_id || ':' || turn AS key FROM conversations)"
+
+
+# Scans, counts and words.
+
+
+@query("SELECT count(*) AS documents, count(DISTINCT source) AS sources, count_if(lang = 'en')::BIGINT AS english, sum(length(text))::BIGINT AS chars FROM documents")
+def project_summary(spark, sf):
+    return table(spark, sf, "documents").agg(
+        F.count("*").alias("documents"), F.countDistinct("source").alias("sources"), F.count_if(F.col("lang") == "en").alias("english"), F.sum(F.length("text")).alias("chars")
+    )
+
+
+@query(f"SELECT lang, count(*) AS documents, sum(len(regexp_extract_all(text, '{WORD}')))::BIGINT AS words FROM documents GROUP BY lang")
+def doc_word_counts(spark, sf):
+    return table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("documents"), F.sum(text.word_count(F.col("text"))).alias("words"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS byte_size, 'objects/' || substr(sha256(text), 1, 2) || '/' || sha256(text) AS object_path FROM documents")
+def content_identity(spark, sf):
+    files = table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.col("text").cast("binary").alias("content"))
+    return ingest.identified(files).select(F.col("path").alias("doc_id"), "sha256", "byte_size", "object_path")
+
+
+@query(
+    """WITH f AS (SELECT doc_id, sha256(text) AS sha256, strlen(text) AS byte_size FROM documents),
+    known AS (SELECT DISTINCT sha256, byte_size, true AS hit FROM f JOIN labels USING (doc_id))
+    SELECT sha256, byte_size, min(lpad(doc_id::VARCHAR, 12, '0')) AS source_name, count(*) AS copies, coalesce(any_value(hit), false) AS cache_hit
+    FROM f LEFT JOIN known USING (sha256, byte_size) GROUP BY 1, 2"""
+)
+def dedup_import(spark, sf):
+    d = table(spark, sf, "documents")
+    files = ingest.identified(d.select("doc_id", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.col("text").cast("binary").alias("content")))
+    known = files.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    return ingest.new_imports(files, known)
+
+
+@query(
+    """WITH f AS (SELECT source AS root, lpad(doc_id::VARCHAR, 12, '0') AS path, strlen(text) AS byte_size, sha256(text) AS sha256 FROM documents)
+    SELECT root, count(*) AS files, sum(byte_size)::BIGINT AS bytes, sha256(string_agg(path || chr(9) || byte_size || chr(9) || sha256, chr(10) ORDER BY path)) AS tree_sha256 FROM f GROUP BY root"""
+)
+def tree_identity(spark, sf):
+    d = table(spark, sf, "documents")
+    files = d.select(F.col("source").alias("root"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.col("text").cast("binary").alias("content"))
+    return ingest.tree_identity(ingest.identified(files))
+
+
+# Segments.
+
+
+@query(f"WITH {SENTENCES} SELECT doc_id, occurrence::INT AS occurrence, source, words FROM sentences")
+def sentence_units(spark, sf):
+    return segments.sentence_units(table(spark, sf, "documents"))
+
+
+@query(f"WITH {LINES} SELECT doc_id, seq::INT AS seq, start_char, start_char + length(text) AS end_char FROM lines")
+def line_offsets(spark, sf):
+    return segments.concatenated(segments.lines(table(spark, sf, "documents"))).select("doc_id", "seq", "start_char", "end_char")
+
+
+@query(f"WITH {LINES} SELECT doc_id, seq::INT AS seq, start_char, coalesce(lead(start_char) OVER (PARTITION BY doc_id ORDER BY seq), start_char + length(text)) AS \"end\" FROM lines")
+def line_bounds(spark, sf):
+    placed = segments.concatenated(segments.lines(table(spark, sf, "documents")))
+    return segments.closed_by_next(placed, "doc_id", "seq", "start_char", F.col("end_char")).select("doc_id", "seq", "start_char", "end")
+
+
+@query(
+    f"""WITH {RUNS}, g AS (SELECT doc_id, pos // 64 AS chunk, min(start) AS start, max("end") AS last, count(*) AS n_tokens FROM runs GROUP BY 1, 2)
+    SELECT doc_id, chunk, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY chunk), last) AS "end", n_tokens FROM g"""
+)
+def word_chunks_64(spark, sf):
+    return segments.token_chunks(segments.word_runs(table(spark, sf, "documents")), 64)
+
+
+@query(
+    rf"""WITH {LINES}, b AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') = '' AS blank FROM line),
+    s AS (SELECT *, CASE WHEN NOT blank AND coalesce(lag(blank) OVER (PARTITION BY doc_id ORDER BY seq), true) THEN 1 ELSE 0 END AS f FROM b),
+    i AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY seq) AS island FROM s),
+    g AS (SELECT doc_id, island, min(seq) AS first, max(seq) AS last, count(*) AS n_lines, median(length(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS median_len,
+      stddev_pop(length(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS stdev_len FROM i WHERE NOT blank GROUP BY 1, 2),
+    n AS (SELECT doc_id, count(*) AS n FROM line GROUP BY 1)
+    SELECT doc_id, (island - 1)::INT AS block, n_lines::INT AS n_lines, (first - coalesce(lag(last) OVER w + 1, 0))::INT AS blank_before,
+      (coalesce(lead(first) OVER w, n) - last - 1)::INT AS blank_after, median_len, round(stdev_len, 6) AS stdev_len
+    FROM g JOIN n USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY island)"""
+)
+def text_blocks(spark, sf):
+    found = segments.block_features(segments.blocks(table(spark, sf, "documents")))
+    return found.select("doc_id", "block", "n_lines", "blank_before", "blank_after", F.col("f.median_len").alias("median_len"), F.round("f.stdev_len", 6).alias("stdev_len"))
+
+
+@query()
+def prepared_units(spark, sf):
+    scored = segments.block_scores(segments.block_features(segments.blocks(table(spark, sf, "documents"))))
+    return segments.prepared_units(scored).select("doc_id", "block", "kind", F.length("text").alias("chars"), *[F.round(f"{k}_score", 6).alias(f"{k}_score") for k in ("heading", "list", "stanza", "hardwrap")])
+
+
+@query()
+def packed_units(spark, sf):
+    s = segments.sentence_units(table(spark, sf, "documents"), least=1, most=10_000)
+    per = s.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("occurrence", F.col("source").alias("text"), F.col("words").alias("tokens")))).alias("p"))
+    parts = F.transform("p", lambda x: F.struct(x["text"].alias("text"), x["tokens"].alias("tokens"), F.floor(x["occurrence"] / 5).alias("paragraph")))
+    units = per.select("doc_id", F.posexplode(segments.packed_units(parts, 64)).alias("seq", "u"))
+    return units.select("doc_id", "seq", F.col("u.tokens").alias("tokens"), F.length("u.text").alias("chars"), F.col("u.first").alias("first"), F.col("u.last").alias("last"))
+
+
+@query(
+    f"""WITH {RUNS}, k AS (SELECT *, regexp_full_match(word, '[0-9]+') AS number FROM runs WHERE lower(word) NOT IN ('and', 'or', 'to')),
+    f AS (SELECT *, CASE WHEN number AND NOT coalesce(lag(number) OVER (PARTITION BY doc_id ORDER BY pos), false) THEN 1 ELSE 0 END AS s FROM k),
+    i AS (SELECT *, sum(s) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS island FROM f)
+    SELECT doc_id, island, min(start) AS first, max("end") AS last, count(*) AS n FROM i WHERE number GROUP BY 1, 2"""
+)
+def numeric_islands(spark, sf):
+    return segments.numeric_islands(table(spark, sf, "documents"))
+
+
+# Literals, gates and guards.
+
+
+@query(f"SELECT doc_id, literal, count(*) AS n FROM (SELECT doc_id, unnest({INTS.format('text')}) AS literal FROM documents) GROUP BY 1, 2")
+def integer_literals(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.explode(numbers.integers(F.col("text"))).alias("literal")).groupBy("doc_id", "literal").agg(F.count("*").alias("n"))
+
+
+LITERAL_DIFF = f"""WITH {PAIRS}, a AS (SELECT segment_id, unnest({INTS.format("source")}) AS literal FROM pairs), b AS (SELECT segment_id, unnest({INTS.format("target")}) AS literal FROM pairs),
+    d AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b)"""
+
+
+def literal_diff(p: DataFrame) -> DataFrame:
+    """(segment_id, literal) of integers that the source has more often than the target, once for each time."""
+    missing = multiset_minus(numbers.integers(F.col("source")), numbers.integers(F.col("target")))
+    return p.select(*[c for c in p.columns if c not in ("source", "target")], F.explode(missing).alias("literal"))
+
+
+@query(f"{LITERAL_DIFF} SELECT segment_id, literal, count(*) AS n FROM d GROUP BY 1, 2")
+def literal_multiset_diff(spark, sf):
+    return literal_diff(pairs(spark, sf)).groupBy("segment_id", "literal").agg(F.count("*").alias("n"))
+
+
+@query(f"{LITERAL_DIFF} SELECT lang, count(*) AS missing_literals, count(DISTINCT segment_id) AS failing_pairs FROM d JOIN pairs USING (segment_id) GROUP BY lang")
+def numeric_preservation_by_lang(spark, sf):
+    return literal_diff(pairs(spark, sf)).groupBy("lang").agg(F.count("*").alias("missing_literals"), F.countDistinct("segment_id").alias("failing_pairs"))
+
+
+def marks_sql(marks: tuple[str, ...]) -> str:
+    rows = ", ".join(f"('{m}')" for m in marks)
+    return f"""WITH {PAIRS}, m(mark) AS (VALUES {rows}), c AS (SELECT segment_id, mark, {count_sql("source", "mark")}::BIGINT AS n_source, {count_sql("target", "mark")}::BIGINT AS n_target FROM pairs, m)
+    SELECT * FROM c WHERE n_source <> n_target"""
+
+
+def marks_of(failed: DataFrame, column: str) -> DataFrame:
+    rows = failed.select("segment_id", F.explode(column).alias("mark", "v"))
+    return rows.select("segment_id", "mark", F.col("v.source").alias("n_source"), F.col("v.target").alias("n_target"))
+
+
+@query(marks_sql(gates.SYMBOLS))
+def symbol_gate(spark, sf):
+    return marks_of(pairs(spark, sf).withColumn("m", gates.mismatches(gates.SYMBOLS)), "m")
+
+
+@query(marks_sql(("(", ")", "[", "]", "{", "}", "?", "!")))
+def punctuation_gate(spark, sf):
+    return marks_of(gates.punctuation_gate(pairs(spark, sf)), "marks")
+
+
+LENGTH = rf"""WITH {PAIRS}, n AS (SELECT segment_id, target, length(regexp_replace(source, '\P{{L}}', '', 'g')) AS a, length(regexp_replace(target, '\P{{L}}', '', 'g')) AS b FROM pairs),
+    r AS (SELECT *, CASE WHEN a > 0 THEN b / a WHEN b = 0 THEN 1.0 ELSE 'inf'::DOUBLE END AS ratio FROM n),
+    length_fail AS (SELECT segment_id, a AS source_letters, b AS target_letters, ratio FROM r WHERE trim(target) = '' OR ratio < 0.15 OR ratio > 6.0)"""
+
+
+@query(f"{LENGTH} SELECT segment_id, source_letters, target_letters, round(ratio, 9) AS ratio FROM length_fail")
+def length_ratio_gate(spark, sf):
+    return gates.length_gate(pairs(spark, sf)).select("segment_id", "source_letters", "target_letters", F.round("ratio", 9).alias("ratio"))
+
+
+MARK_FAIL = "mark_fail AS (SELECT DISTINCT segment_id FROM pairs, (VALUES ('('), (')'), ('['), (']'), ('{'), ('}'), ('?'), ('!')) m(mark) WHERE " + f"{count_sql('source', 'mark')} <> {count_sql('target', 'mark')})"
+TWO_GATES = {"punctuation": gates.punctuation_gate, "length": gates.length_gate}
+
+
+@query(
+    f"""{LENGTH}, {MARK_FAIL}, n AS (SELECT 'punctuation' AS gate, (SELECT count(*) FROM mark_fail) AS failure_count UNION ALL SELECT 'length', (SELECT count(*) FROM length_fail))
+    SELECT gate, failure_count, failure_count = 0 AS passed FROM n""".replace(", n AS (SELECT segment_id, target", ", nn AS (SELECT segment_id, target").replace("FROM n),\n    length_fail", "FROM nn),\n    length_fail")
+)
+def gate_summary(spark, sf):
+    return gates.summary(pairs(spark, sf), TWO_GATES)
+
+
+@query(f"{LENGTH}, {MARK_FAIL} SELECT segment_id FROM pairs WHERE segment_id NOT IN (SELECT segment_id FROM mark_fail) AND segment_id NOT IN (SELECT segment_id FROM length_fail)")
+def approved_pairs(spark, sf):
+    return gates.approved(pairs(spark, sf), TWO_GATES).select("segment_id")
+
+
+@query()
+def numeric_gate_full(spark, sf):
+    out = gates.numeric_gate(pairs(spark, sf))
+    return out.select("segment_id", "missing", "unlicensed", F.map_keys("symbols").alias("symbols"))
+
+
+@query()
+def explicit_numeric_guard(spark, sf):
+    p = pairs(spark, sf)
+    return p.select("segment_id", gates.strict_numeric_guard(F.col("source"), F.col("target")).alias("g"), gates.numeric_order(F.col("source"), F.col("target")).alias("in_order")).select("segment_id", "g.*", "in_order")
+
+
+def _delimiter_sql() -> str:
+    out = []
+    for left, right in (("[", "]"), ("(", ")")):
+        a, b, c, d = (count_sql(col, f"'{m}'") for col, m in (("source", left), ("source", right), ("target", left), ("target", right)))
+        out.append(f"(CASE WHEN {a} = {b} THEN {a} = {c} AND {b} = {d} ELSE {c} = {d} END)")
+    return " AND ".join(out)
+
+
+@query(f"WITH {PAIRS} SELECT segment_id, {_delimiter_sql()} AS passed FROM pairs")
+def delimiter_guard(spark, sf):
+    return pairs(spark, sf).select("segment_id", gates.delimiters(F.col("source"), F.col("target")).alias("passed"))
+
+
+@query(
+    rf"""WITH d AS (SELECT doc_id, regexp_replace(text, '\[[^\[\]]*\]|_[^_]*_', ' ', 'g') AS t FROM documents),
+    n AS (SELECT doc_id, len(regexp_extract_all(t, '[A-Za-z]')) AS latin, len(regexp_extract_all(t, '\p{{L}}')) AS letters FROM d)
+    SELECT doc_id, round(CASE WHEN letters > 0 THEN latin / letters ELSE 0.0 END, 9) AS share FROM n"""
+)
+def protected_share(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.round(gates.protected_share(F.col("text"), "[A-Za-z]", r"\p{L}"), 9).alias("share"))
+
+
+@query(
+    rf"""WITH {PAIRS}, q AS (SELECT *, len(regexp_extract_all(target, '{WORD}')) / greatest(len(regexp_extract_all(source, '{WORD}')), 1) AS ratio,
+      len(regexp_extract_all(target, '[A-Za-z]')) AS latin, len(regexp_extract_all(target, '\p{{L}}')) AS letters FROM pairs),
+    r AS (SELECT segment_id, list_filter([CASE WHEN trim(target) = '' THEN 'empty' END, CASE WHEN ratio < 0.15 OR ratio > 3 THEN 'length_anomaly' END,
+      CASE WHEN lower(trim(source)) = lower(trim(target)) THEN 'identity' END, CASE WHEN letters > 0 AND latin / letters < 0.9 THEN 'low_script_share' END,
+      CASE WHEN NOT ({_delimiter_sql()}) THEN 'delimiters' END], lambda x: x IS NOT NULL) AS reasons FROM q)
+    SELECT segment_id, array_to_string(reasons, ',') AS reasons FROM r WHERE len(reasons) > 0"""
+)
+def reason_arrays(spark, sf):
+    s, t = F.col("source"), F.col("target")
+    q = gates.quality(s, t, "[A-Za-z]", r"\p{L}")
+    named = pairs(spark, sf).select(
+        "segment_id",
+        reasons(
+            ("empty", q["empty"]), ("length_anomaly", q["length_anomaly"]), ("identity", q["identity"]),
+            ("low_script_share", (text.letter_count(t) > 0) & (q["script_share"] < 0.9)), ("delimiters", ~gates.delimiters(s, t)),
+        ).alias("r"),
+    )
+    return named.filter(F.size("r") > 0).select("segment_id", F.array_join("r", ",").alias("reasons"))
+
+
+@query()
+def intervention_gate(spark, sf):
+    p = pairs(spark, sf)
+    s, t = F.col("source"), F.col("target")
+    scripts = {"script": "[A-Za-z]", "alphabet": r"\p{L}"}
+    return p.select("segment_id", gates.strong_reasons(s, s, t, **scripts).alias("reasons")).filter(F.size("reasons") > 0)
+
+
+@query(
+    rf"""WITH {PAIRS}, q AS (SELECT *, len(regexp_extract_all(target, '{WORD}')) / greatest(len(regexp_extract_all(source, '{WORD}')), 1) AS ratio,
+      len(regexp_extract_all(target, '[A-Za-z]')) AS latin, len(regexp_extract_all(target, '\p{{L}}')) AS letters FROM pairs)
+    SELECT count(*) AS units, count_if(trim(target) = '')::BIGINT AS empty, count_if(ratio < 0.15 OR ratio > 3)::BIGINT AS length_anomalies,
+      count_if(lower(trim(source)) = lower(trim(target)))::BIGINT AS identities, round(avg(CASE WHEN trim(target) <> '' THEN CASE WHEN letters > 0 THEN latin / letters ELSE 0 END END), 9) AS mean_script_share FROM q"""
+)
+def quality_totals(spark, sf):
+    rows = pairs(spark, sf).select(gates.quality(F.col("source"), F.col("target"), "[A-Za-z]", r"\p{L}").alias("quality"))
+    return gates.quality_totals(rows).select("units", "empty", "length_anomalies", "identities", F.round("mean_script_share", 9).alias("mean_script_share"))
+
+
+# Sampling.
+
+CATEGORY = f"CASE WHEN len({INTS.format('source')}) >= 4 THEN 'numeric_dense' WHEN len({INTS.format('source')}) > 0 THEN 'numeric' ELSE 'general' END"
+QUOTAS = {"numeric_dense": 600, "numeric": 2_400, "general": 1_200}
+
+
+def categorised(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.size(numbers.integers(F.col("source")))
+    u = segments.sentence_units(table(spark, sf, "documents"))
+    return u.withColumn("category", F.when(n >= 4, "numeric_dense").when(n > 0, "numeric").otherwise("general")).withColumn("uid", F.concat_ws(":", "doc_id", "occurrence"))
+
+
+@query(f"WITH {SENTENCES} SELECT {CATEGORY} AS category, count(*) AS units, sum(words)::BIGINT AS words FROM sentences GROUP BY 1")
+def category_totals(spark, sf):
+    return categorised(spark, sf).groupBy("category").agg(F.count("*").alias("units"), F.sum("words").alias("words"))
+
+
+@query(
+    f"""WITH {SENTENCES}, u AS (SELECT doc_id || ':' || occurrence AS uid, {CATEGORY} AS category, source, words FROM sentences),
+    k AS (SELECT *, sha256('selection-' || category || chr(0) || uid || chr(0) || source) AS r FROM u),
+    w AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY category ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k),
+    q AS (SELECT uid, category, words FROM w WHERE before < CASE category WHEN 'numeric_dense' THEN 600 WHEN 'numeric' THEN 2400 ELSE 1200 END),
+    f AS (SELECT *, sha256('selection-fill' || chr(0) || uid || chr(0) || source) AS r2 FROM u WHERE uid NOT IN (SELECT uid FROM q)),
+    g AS (SELECT *, coalesce(sum(words) OVER (ORDER BY r2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM f)
+    SELECT uid, category, words, 'quota' AS reason FROM q UNION ALL
+    SELECT uid, category, words, 'fill' FROM g WHERE before < 5000 - (SELECT coalesce(sum(words), 0) FROM q)"""
+)
+def challenge_selection(spark, sf):
+    return sampling.quota_selection(categorised(spark, sf), QUOTAS, 5_000).select("uid", "category", "words", "reason")
+
+
+PLACED = "placed AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents)"
+
+
+def placed(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.positions(table(spark, sf, "documents").select("doc_id", "lang"), "lang", ["doc_id"])
+
+
+@query(
+    f"""WITH {PLACED}, b AS (SELECT *, unnest(range(least(8, n))) AS bucket FROM placed), c AS (SELECT *, bucket * n // least(8, n) AS s, (bucket + 1) * n // least(8, n) AS e FROM b)
+    SELECT doc_id, lang, bucket::INT AS bucket FROM c WHERE e > s AND i = s + (e - s - 1) // 2"""
+)
+def bucket_centres(spark, sf):
+    return sampling.bucket_centres(placed(spark, sf)).select("doc_id", "lang", F.col("bucket").cast("int").alias("bucket"))
+
+
+@query(f"WITH {PLACED}, p AS (SELECT DISTINCT lang, floor((j + 0.5) * n / least(20, n))::BIGINT AS at FROM placed, range(20) t(j) WHERE j < least(20, n)) SELECT doc_id, placed.lang FROM placed JOIN p ON p.lang = placed.lang AND p.at = i")
+def even_spread(spark, sf):
+    return sampling.spread(placed(spark, sf), 20).select("doc_id", "lang")
+
+
+@query(
+    f"""WITH RECURSIVE {PLACED}, h AS (
+      SELECT lang, 0::BIGINT AS a, count(*) AS b, 0 AS depth FROM documents GROUP BY lang
+      UNION ALL
+      SELECT lang, c.a, c.b, depth + 1 FROM (SELECT lang, depth, unnest([{{'a': a, 'b': a + (b - a - 1) // 2}}, {{'a': a + (b - a - 1) // 2 + 1, 'b': b}}]) AS c FROM h) WHERE c.b > c.a
+    ) SELECT doc_id, placed.lang, depth FROM placed JOIN h ON h.lang = placed.lang AND i = a + (b - a - 1) // 2"""
+)
+def midpoint_order(spark, sf):
+    return sampling.midpoint_rank(placed(spark, sf)).select("doc_id", "lang", "depth")
+
+
+@query(f"WITH {PLACED} SELECT doc_id, lang, (i % 8)::INT AS shard FROM placed")
+def position_shards(spark, sf):
+    return sampling.shards(table(spark, sf, "documents").select("doc_id", "lang"), ["doc_id"], 8, "lang").select("doc_id", "lang", F.col("shard").cast("int").alias("shard"))
+
+
+@query(
+    f"""WITH {PLACED}, w AS (SELECT *, unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS f FROM placed WHERE lang = 'en')
+    SELECT doc_id, f::DOUBLE AS "window" FROM w WHERE i >= greatest(0, floor(n * f) - 12) AND i < least(n, floor(n * f) + 13) ORDER BY f, i LIMIT 120"""
+)
+def window_sample(spark, sf):
+    return sampling.window_sample(placed(spark, sf).filter("lang = 'en'")).select("doc_id", "window")
+
+
+@query(f"WITH {SENTENCES} SELECT doc_id, occurrence::INT AS occurrence, words FROM sentences WHERE words >= 24 ORDER BY words DESC, doc_id, occurrence LIMIT 8")
+def top_long_units(spark, sf):
+    u = segments.sentence_units(table(spark, sf, "documents"))
+    return u.filter("words >= 24").orderBy(F.desc("words"), "doc_id", "occurrence").limit(8).select("doc_id", "occurrence", "words")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def anti_selected(spark, sf):
+    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left_anti").select("doc_id", "source")
+
+
+# Joins.
+
+
+@query(f"""WITH {RUNS}, {LINES} SELECT l.doc_id, l.seq::INT AS seg, count(*) AS tokens FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.start_char <= r.start AND l.start_char + length(l.text) >= r."end" GROUP BY 1, 2""")
+def token_in_line(spark, sf):
+    d = table(spark, sf, "documents")
+    outer = segments.concatenated(segments.lines(d)).select("doc_id", F.col("seq").alias("seg"), F.col("start_char").alias("seg_start"), F.col("end_char").alias("seg_end"))
+    held = joins.contained(segments.word_runs(d), outer)
+    return held.groupBy("doc_id", "seg").agg(F.count("*").alias("tokens"))
+
+
+@query(
+    """SELECT CASE WHEN l.doc_id IS NULL THEN 'left_only' WHEN d.doc_id IS NULL THEN 'right_only' WHEN d.v = l.quality THEN 'equal' ELSE 'mismatch' END AS state, count(*) AS n
+    FROM (SELECT doc_id, (n_chars % 2)::INT AS v FROM documents) d FULL JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1"""
+)
+def parity_full_outer(spark, sf):
+    a = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") % 2).cast("int").alias("v"))
+    b = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("v"))
+    return joins.parity(a, b, "doc_id", "v").groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH m AS (SELECT l_partkey AS k, count(*) AS n, min(l_linenumber) AS b, min(l_returnflag) AS h FROM lineitem GROUP BY 1),
+    j AS (SELECT coalesce(k, p_partkey) AS k, CASE WHEN n IS NULL THEN 'missing' WHEN p_partkey IS NULL THEN 'unrecorded' WHEN n > 1 THEN 'duplicate' WHEN b <> p_size THEN 'size_mismatch' WHEN h <> 'N' THEN 'hash_mismatch' END AS problem
+      FROM m FULL JOIN part ON p_partkey = k)
+    SELECT problem, count(*) AS n FROM j WHERE problem IS NOT NULL GROUP BY 1"""
+)
+def manifest_check(spark, sf):
+    want = table(spark, sf, "part").select(F.col("p_partkey").alias("path"), F.col("p_size").alias("bytes"), F.lit("N").alias("sha256"))
+    have = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("path"), F.col("l_linenumber").alias("bytes"), F.col("l_returnflag").alias("sha256"))
+    return joins.manifest_check(want, have).groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH c AS (SELECT doc_id, sha256(lang) AS v FROM documents JOIN labels USING (doc_id)), t AS (SELECT doc_id, sha256(CASE WHEN toxic = 1 THEN 'x' ELSE 'en' END) AS w FROM labels WHERE quality = 1)
+    SELECT CASE WHEN v IS NULL THEN 'unavailable' WHEN w IS NULL THEN 'add' WHEN v = w THEN 'same' ELSE 'replace' END AS action, count(*) AS n FROM documents LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id) GROUP BY 1"""
+)
+def overlay_plan(spark, sf):
+    d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
+    c = d.join(lab.select("doc_id"), "doc_id").select("doc_id", F.sha2("lang", 256).alias("sha256"))
+    t = lab.filter("quality = 1").select("doc_id", F.sha2(F.when(F.col("toxic") == 1, "x").otherwise("en"), 256).alias("sha256"))
+    return joins.overlay_plan(d, c, t, "doc_id").groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
+def latest_per_key(spark, sf):
+    return joins.latest(table(spark, sf, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
+
+
+@query("SELECT o_custkey, min(o_orderstatus) AS o_orderstatus FROM orders GROUP BY 1 HAVING min(o_orderstatus) = max(o_orderstatus)")
+def resolved_values(spark, sf):
+    return joins.resolved(table(spark, sf, "orders"), "o_custkey", "o_orderstatus")
+
+
+@query("WITH g(pattern) AS (VALUES ('https://blog.*'), ('http://*/fr/*'), ('*example.or?/*')) SELECT pattern, count(*) AS n FROM pages JOIN g ON url GLOB pattern GROUP BY 1")
+def glob_match(spark, sf):
+    rules = spark.createDataFrame([("https://blog.*",), ("http://*/fr/*",), ("*example.or?/*",)], "pattern string")
+    return joins.glob_join(table(spark, sf, "pages").select("url"), rules, "url").groupBy("pattern").agg(F.count("*").alias("n"))
+
+
+# Lexical grouping.
+
+WORDS = rf"""{TURNS}, w AS (SELECT conv_id, turn, target, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+') AS ws FROM turns WHERE target IS NOT NULL),
+    o AS (SELECT conv_id, turn, target, unnest(ws) AS surface, unnest(range(len(ws))) AS pos_index FROM w),
+    e AS (SELECT *, lower(surface) AS lemma, lower(regexp_replace(regexp_replace(target, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS target_key FROM o WHERE regexp_matches(surface, '\p{{L}}'))"""
+
+
+def words_of_turns(spark: SparkSession, sf: str) -> DataFrame:
+    t = turns(spark, sf).filter("target is not null")
+    o = t.select("conv_id", "turn", "target", F.posexplode(F.regexp_extract_all("text", F.lit(text.RUN), F.lit(0))).alias("pos_index", "surface"))
+    return o.filter(F.col("surface").rlike(r"\p{L}")).withColumn("lemma", F.lower("surface"))
+
+
+@query(
+    f"""WITH {WORDS} SELECT lemma, target_key, count(*) AS occurrence_count,
+    sha256(lemma || chr(10) || target_key || chr(10) || string_agg(conv_id || ':' || turn || ':' || pos_index, ',' ORDER BY conv_id, turn, pos_index)) AS sense_key FROM e GROUP BY 1, 2"""
+)
+def sense_groups(spark, sf):
+    found = lexical.senses(words_of_turns(spark, sf), ["lemma"], "target", ["conv_id", "turn", "pos_index"])
+    return found.select("lemma", "target_key", "occurrence_count", "sense_key")
+
+
+@query(f"WITH {WORDS}, g AS (SELECT lemma, count(DISTINCT target_key) AS n, count(*) AS o FROM e GROUP BY 1) SELECT count(*) AS entries, sum(n)::BIGINT AS senses, sum(o)::BIGINT AS occurrences, max(n) AS most_senses FROM g")
+def sense_summary(spark, sf):
+    return lexical.sense_summary(lexical.senses(words_of_turns(spark, sf), ["lemma"], "target", ["conv_id", "turn", "pos_index"]), ["lemma"])
+
+
+@query(f"WITH {WORDS} SELECT lemma, arg_min(surface, (conv_id, turn, pos_index)) AS display FROM e GROUP BY 1")
+def lexical_entries(spark, sf):
+    rows = words_of_turns(spark, sf).withColumn("_o", F.struct("conv_id", "turn", "pos_index"))
+    none = spark.createDataFrame([], "id long, lemma string, display string")
+    return joins.get_or_create(rows, none, ["lemma"], "surface", "_o").select("lemma", "display")
+
+
+# Similarity.
+
+
+def turn_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return turns(spark, sf).filter("target is not null").select("key", F.col("text").alias("source"), "target")
+
+
+PLAIN = r"trim(regexp_replace(regexp_replace(replace({0}, '_', ' '), '[\[\](){{}}]', ' ', 'g'), '\s+', ' ', 'g'))"
+BAG = "SELECT key, n_a, n_b, common FROM s"
+
+
+def overlap_sql(a: str, b: str, name: str) -> str:
+    return f"""WITH {TURNS}, p AS (SELECT key, lower({PLAIN.format("text")}) AS a, lower({PLAIN.format("target")}) AS b FROM turns WHERE target IS NOT NULL),
+    x AS (SELECT key, {a} AS va, {b} AS vb FROM p),
+    c AS (SELECT key, v, sum(ca) AS ca, sum(cb) AS cb FROM (SELECT key, unnest(va) AS v, 1 AS ca, 0 AS cb FROM x UNION ALL SELECT key, unnest(vb), 0, 1 FROM x) GROUP BY 1, 2),
+    s AS (SELECT key, sum(ca) AS na, sum(cb) AS nb, sum(least(ca, cb)) AS m FROM c GROUP BY 1)
+    SELECT key, round(CASE WHEN coalesce(na + nb, 0) = 0 THEN 1.0 ELSE 2 * m / (na + nb) END, 9) AS {name} FROM x LEFT JOIN s USING (key)"""
+
+
+TRIGRAMS = "(CASE WHEN length({0}) >= 3 THEN list_transform(range(1, length({0}) - 1), lambda i: substr({0}, i, 3)) WHEN length({0}) > 0 THEN [{0}] ELSE [] END)"
+
+
+@query(overlap_sql(TRIGRAMS.format("a"), TRIGRAMS.format("b"), "char3_dice"))
+def trigram_dice(spark, sf):
+    return similarity.dice(turn_pairs(spark, sf), "key").select("key", F.round("char3_dice", 9).alias("char3_dice"))
+
+
+@query(overlap_sql(r"regexp_extract_all(a, '[\p{L}\p{N}_]+')", r"regexp_extract_all(b, '[\p{L}\p{N}_]+')", "token_f1"))
+def token_f1(spark, sf):
+    return similarity.token_f1(turn_pairs(spark, sf), "key").select("key", F.round("token_f1", 9).alias("token_f1"))
+
+
+@query()
+def similarity_composite(spark, sf):
+    return similarity.composite(turn_pairs(spark, sf), "key")
+
+
+@query()
+def mixed_case_stems(spark, sf):
+    return similarity.mixed_case_stems(table(spark, sf, "documents").filter("lang = 'en'"), "doc_id")
+
+
+@query(
+    f"""WITH {PAIRS}, d AS (SELECT len(regexp_extract_all(target, '{WORD}')) - len(regexp_extract_all(source, '{WORD}')) AS d FROM pairs)
+    SELECT round(avg(d), 9) AS mean, min(d) AS least, max(d) AS largest, count_if(d > 0)::BIGINT AS better, count_if(d < 0)::BIGINT AS worse, count_if(d = 0)::BIGINT AS ties FROM d"""
+)
+def delta_summary(spark, sf):
+    d = pairs(spark, sf).select((text.word_count(F.col("target")) - text.word_count(F.col("source"))).alias("delta"))
+    return similarity.delta_summary(d).withColumn("mean", F.round("mean", 9))
+
+
+# Ledger, events, search.
+
+
+@query(
+    """WITH c AS (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events)
+    SELECT user_id, count(*) AS records, count_if(before > ts)::BIGINT AS breaks FROM c GROUP BY 1"""
+)
+def ledger_chain(spark, sf):
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    c = table(spark, sf, "events").select("user_id", "ts", F.lag("ts").over(w).alias("before"))
+    return c.groupBy("user_id").agg(F.count("*").alias("records"), F.count_if(F.col("before") > F.col("ts")).alias("breaks"))
+
+
+@query(
+    """WITH r AS (SELECT o_custkey AS stage, o_orderpriority AS impl FROM orders), d AS (SELECT DISTINCT o_custkey AS stage, o_orderpriority AS impl FROM orders WHERE o_orderstatus = 'F')
+    SELECT count(*) AS requests, count(d.stage) AS hits FROM r LEFT JOIN d USING (stage, impl)"""
+)
+def cache_probe(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("stage"), F.col("o_orderpriority").alias("impl"), F.lit("").alias("input_sha"), F.lit("").alias("params_sha"), F.when(F.col("o_orderstatus") == "F", "completed").otherwise("failed").alias("status"))
+    return ledger.cache_probe(o.drop("status"), o).agg(F.count("*").alias("requests"), F.count_if("cache_hit").alias("hits"))
+
+
+@query("SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, count_if(value > 50)::BIGINT AS high FROM events GROUP BY 1")
+def metric_means(spark, sf):
+    return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.count_if(F.col("value") > 50).alias("high"))
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def event_windows(spark, sf):
+    out = windowed_events(table(spark, sf, "events"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(
+    """WITH t(term) AS (VALUES ('License'), ('rights')), p AS (SELECT doc_id, term, string_split(text, term) AS p FROM documents, t WHERE contains(text, term)),
+    s AS (SELECT doc_id, term, unnest(p) AS part, unnest(range(len(p))) AS i, len(p) AS n FROM p),
+    o AS (SELECT doc_id, term, i, n, (sum(length(part)) OVER (PARTITION BY doc_id, term ORDER BY i) + i * length(term))::BIGINT AS "offset" FROM s)
+    SELECT doc_id, term, "offset" FROM o WHERE i < n - 1"""
+)
+def keyword_hits(spark, sf):
+    return archives.keyword_hits(table(spark, sf, "documents"), ["License", "rights"], "doc_id", most=1_000_000).select("doc_id", "term", "offset")
+
+
+@query(
+    f"""WITH n AS (SELECT len(regexp_extract_all(text, '{WORD}')) AS w FROM documents), c(size) AS (VALUES (32), (64), (96), (128)),
+    m AS (SELECT size, sum(ceil(w / size))::BIGINT AS chunks FROM n, c GROUP BY 1) SELECT size, chunks, row_number() OVER (ORDER BY abs(chunks - 10000), size)::INT AS place FROM m"""
+)
+def configuration_grid(spark, sf):
+    n = table(spark, sf, "documents").select(text.word_count(F.col("text")).alias("w"))
+    sizes = F.explode(F.array(*[F.lit(s) for s in (32, 64, 96, 128)])).alias("size")
+    m = n.select("w", sizes).groupBy("size").agg(F.sum(F.ceil(F.col("w") / F.col("size"))).cast("long").alias("chunks"))
+    return m.withColumn("place", F.row_number().over(Window.orderBy(F.abs(F.col("chunks") - 10_000), "size")))
+
+
+@query(
+    f"""WITH {SENTENCES}, n AS (SELECT doc_id, len(regexp_extract_all(source, '[.!?…]')) AS stops, words FROM units)
+    SELECT doc_id, count_if(words >= 80 AND stops <= 1)::BIGINT AS suspicious, count(*) AS parts FROM n GROUP BY 1"""
+)
+def suspicious_long(spark, sf):
+    u = segments.sentence_units(table(spark, sf, "documents"), least=0, most=1 << 30)
+    return u.groupBy("doc_id").agg(F.count_if(gates.suspicious_long(F.col("source"))).alias("suspicious"), F.count("*").alias("parts"))

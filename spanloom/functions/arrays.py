@@ -2,30 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(f: Callable[..., Column], *values: Column) -> Column:
+    """f(*values) with each value computed once, however often f uses it.
+
+    Inside a lambda an expression would otherwise run again for every element;
+    here the values are fields of a lambda variable.
+    """
+    bound = F.array(F.struct(*[v.alias(f"_{i}") for i, v in enumerate(values)]))
+    return F.get(F.transform(bound, lambda x: f(*[x[f"_{i}"] for i in range(len(values))])), F.lit(0))
+
+
+def held(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once: a generator, which filters and projections above cannot look into."""
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def times(values: Column, value: Column) -> Column:
     return F.size(F.filter(values, lambda x: x == value))
 
 
 def multiset_minus(a: Column, b: Column) -> Column:
     """Values of ``a`` beyond their count in ``b``, in order of first appearance."""
-    left = F.transform(F.array_distinct(a), lambda v: F.array_repeat(v, F.greatest(F.lit(0), times(a, v) - times(b, v))))
-    return F.flatten(left)
+
+    def left(a: Column, b: Column) -> Column:
+        return F.flatten(F.transform(F.array_distinct(a), lambda v: F.array_repeat(v, F.greatest(F.lit(0), times(a, v) - times(b, v)))))
+
+    return let(left, a, b)
 
 
 def multiset_common(a: Column, b: Column) -> Column:
     """Size of the multiset intersection."""
-    counts = F.transform(F.array_distinct(a), lambda v: F.least(times(a, v), times(b, v)))
-    return F.aggregate(counts, F.lit(0), lambda x, y: x + y)
+
+    def common(a: Column, b: Column) -> Column:
+        return F.aggregate(F.transform(F.array_distinct(a), lambda v: F.least(times(a, v), times(b, v))), F.lit(0), lambda x, y: x + y)
+
+    return let(common, a, b)
 
 
 def in_order(required: Column, observed: Column) -> Column:
     """Whether ``required`` is a subsequence of ``observed``."""
-    met = F.aggregate(observed, F.lit(0), lambda j, v: j + F.when(v == F.get(required, j), 1).otherwise(0))
-    return met == F.size(required)
+
+    def met(required: Column, observed: Column) -> Column:
+        return F.aggregate(observed, F.lit(0), lambda j, v: j + F.when(v == F.get(required, j), 1).otherwise(0)) == F.size(required)
+
+    return let(met, required, observed)
 
 
 def reasons(*named: tuple[str, Column]) -> Column:

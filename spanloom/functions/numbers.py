@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 #: A literal that touches no word character: sign, digits, one separator with digits, a denominator.
 LITERAL = r"(?U)(?<!\w)([+-]?\d+(?:[.,'’]\d+)?(?:/\d+)?)(?!\w)"
 #: Fractions, mixed fractions, grouped thousands and integers, with an English ordinal ending.
@@ -21,8 +23,10 @@ NUMBER_WORDS = {
 }
 
 
-def _words() -> Column:
-    return F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
+def _value(word: Column) -> Column:
+    """A number word's value, null for other words."""
+    at = F.array_position(F.array(*[F.lit(w) for w in NUMBER_WORDS]), word)
+    return F.get(F.array(*[F.lit(v) for v in NUMBER_WORDS.values()]), (at - 1).cast("int"))
 
 
 def _plain(part: Column) -> Column:
@@ -57,16 +61,16 @@ def integers(text: Column) -> Column:
 
 def licensed(text: Column) -> Column:
     """Distinct values that number words license: tens join a following unit ("twenty one" is 21), each unit counts itself."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
 
-    def value(word: Column, i: Column) -> Column:
-        own, after = _words()[word], _words()[F.get(words, i + 1)]
-        return F.when((own >= 20) & (after < 10), own + after).otherwise(own)
+    def values(own: Column) -> Column:
+        total = F.transform(own, lambda v, i: F.when((v >= 20) & (F.get(own, i + 1) < 10), v + F.get(own, i + 1)).otherwise(v))
+        return F.array_distinct(F.transform(F.filter(total, lambda v: v.isNotNull()), lambda v: v.cast("string")))
 
-    return F.array_distinct(F.transform(F.filter(F.transform(words, value), lambda v: v.isNotNull()), lambda v: v.cast("string")))
+    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    return let(lambda names: let(values, F.transform(names, lambda w: _value(w))), words)
 
 
 def spelled(text: Column) -> Column:
     """Every number word's own value, once for each occurrence as a whole word."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    return F.transform(F.filter(words, lambda w: _words()[w].isNotNull()), lambda w: _words()[w].cast("string"))
+    return F.transform(F.filter(words, lambda w: w.isin(*NUMBER_WORDS)), lambda w: _value(w).cast("string"))

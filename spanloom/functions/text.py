@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 #: A word: letters, digits and underscores, with hyphens and apostrophes inside.
 WORD = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_’'-]*[\p{L}\p{N}_])?"
 #: A run of word characters, and a run of anything else.
@@ -88,9 +90,13 @@ def wrap_join(lines: Column) -> Column:
 
 def ngrams(text: Column, n: int) -> Column:
     """Array of the character n-grams of a text; the text itself if it is shorter, none if it is empty."""
-    length = F.length(text)
-    return (
-        F.when(length >= n, F.transform(F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(n))))
-        .when(length > 0, F.array(text))
-        .otherwise(F.array().cast("array<string>"))
-    )
+
+    def cut(x: Column) -> Column:
+        length = F.length(x)
+        return (
+            F.when(length >= n, F.transform(F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(n))))
+            .when(length > 0, F.array(x))
+            .otherwise(F.array().cast("array<string>"))
+        )
+
+    return let(cut, text)

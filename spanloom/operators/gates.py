@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import numbers
-from spanloom.functions.arrays import in_order, multiset_minus, reasons
+from spanloom.functions.arrays import held, in_order, let, multiset_minus, reasons
 from spanloom.functions.text import CYRILLIC, TERMINAL, count_of, letter_count, protected_stripped, script_share, strip, word_count
 
 SYMBOLS = ("%", "°", "±", "=", "<", ">")
@@ -32,11 +32,12 @@ def mismatches(marks: tuple[str, ...], source: str = "source", target: str = "ta
 
 def numeric_gate(pairs: DataFrame) -> DataFrame:
     """Literals missing from the target, additions that no number word licenses, symbols whose counts differ."""
-    with_values = pairs.withColumn("_a", numbers.literals(F.col("source"))).withColumn("_b", numbers.literals(F.col("target"))).withColumn("_ok", numbers.licensed(F.col("source")))
-    judged = (
-        with_values.withColumn("missing", multiset_minus(F.col("_a"), F.col("_b")))
-        .withColumn("unlicensed", F.filter(multiset_minus(F.col("_b"), F.col("_a")), lambda v: ~F.array_contains(F.col("_ok"), v)))
-        .withColumn("symbols", mismatches(SYMBOLS))
+    values = held(pairs, _a=numbers.literals(F.col("source")), _b=numbers.literals(F.col("target")), _ok=numbers.licensed(F.col("source")))
+    judged = held(
+        values,
+        missing=multiset_minus(F.col("_a"), F.col("_b")),
+        unlicensed=F.filter(multiset_minus(F.col("_b"), F.col("_a")), lambda v: ~F.array_contains(F.col("_ok"), v)),
+        symbols=mismatches(SYMBOLS),
     )
     return judged.filter((F.size("missing") > 0) | (F.size("unlicensed") > 0) | (F.size(F.map_keys("symbols")) > 0)).drop("_a", "_b", "_ok")
 
@@ -44,7 +45,7 @@ def numeric_gate(pairs: DataFrame) -> DataFrame:
 def punctuation_gate(pairs: DataFrame) -> DataFrame:
     """Brackets and question or exclamation marks whose counts differ."""
     marks = tuple(m for pair in BRACKETS for m in pair) + TERMINALS
-    return pairs.withColumn("marks", mismatches(marks)).filter(F.size(F.map_keys("marks")) > 0)
+    return held(pairs, marks=mismatches(marks)).filter(F.size(F.map_keys("marks")) > 0)
 
 
 def length_gate(pairs: DataFrame, low: float = 0.15, high: float = 6.0) -> DataFrame:
@@ -53,7 +54,7 @@ def length_gate(pairs: DataFrame, low: float = 0.15, high: float = 6.0) -> DataF
         raise ValueError("length ratios must satisfy 0 < low < high")
     a, b = letter_count(F.col("source")), letter_count(F.col("target"))
     ratio = F.when(F.col("source_letters") > 0, F.col("target_letters") / F.col("source_letters")).when(F.col("target_letters") == 0, 1.0).otherwise(F.lit(float("inf")))
-    rated = pairs.withColumn("source_letters", a).withColumn("target_letters", b).withColumn("ratio", ratio)
+    rated = held(pairs, source_letters=a, target_letters=b).withColumn("ratio", ratio)
     return rated.filter((strip(F.col("target")) == "") | (F.col("ratio") < low) | (F.col("ratio") > high))
 
 
@@ -89,19 +90,29 @@ def latest_gate_states(required: DataFrame, runs: DataFrame) -> DataFrame:
 
 def explicit_numeric_guard(source: Column, target: Column) -> Column:
     """Every explicit value as often as required, and required ones no more often than number words license."""
-    required, observed, spelled = numbers.explicit(source), numbers.explicit(target), numbers.spelled(source)
-    missing = multiset_minus(required, observed)
-    allowed = F.concat(required, spelled)
-    over = multiset_minus(observed, allowed)
-    duplicate = F.filter(over, lambda v: F.array_contains(required, v))
-    added = F.filter(over, lambda v: ~F.array_contains(required, v))
-    return F.struct(missing.alias("missing"), duplicate.alias("duplicate_required"), added.alias("unlicensed"), ((F.size(missing) == 0) & (F.size(duplicate) == 0)).alias("passed"))
+
+    def judge(required: Column, observed: Column, spelled: Column) -> Column:
+        return let(
+            lambda missing, over: F.struct(
+                missing.alias("missing"),
+                F.filter(over, lambda v: F.array_contains(required, v)).alias("duplicate_required"),
+                F.filter(over, lambda v: ~F.array_contains(required, v)).alias("unlicensed"),
+                ((F.size(missing) == 0) & ~F.exists(over, lambda v: F.array_contains(required, v))).alias("passed"),
+            ),
+            multiset_minus(required, observed),
+            multiset_minus(observed, F.concat(required, spelled)),
+        )
+
+    return let(judge, numbers.explicit(source), numbers.explicit(target), numbers.spelled(source))
 
 
 def strict_numeric_guard(source: Column, target: Column) -> Column:
     """As ``explicit_numeric_guard``, but additions fail too."""
-    g = explicit_numeric_guard(source, target)
-    return F.struct(g["missing"].alias("missing"), g["duplicate_required"].alias("duplicate_required"), g["unlicensed"].alias("unlicensed"), (g["passed"] & (F.size(g["unlicensed"]) == 0)).alias("passed"))
+
+    def judge(g: Column) -> Column:
+        return F.struct(*[g[k].alias(k) for k in ("missing", "duplicate_required", "unlicensed")], (g["passed"] & (F.size(g["unlicensed"]) == 0)).alias("passed"))
+
+    return let(judge, explicit_numeric_guard(source, target))
 
 
 def numeric_order(source: Column, target: Column) -> Column:
@@ -162,7 +173,10 @@ def missing_figures(source: Column, target: Column) -> Column:
 
 def quality(source: Column, target: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
     """Struct: empty, word_ratio, length_anomaly (outside 0.15 to 3), identity, script_share, numeric_passed, figures_passed."""
-    ratio = word_count(target) / F.greatest(word_count(source), F.lit(1))
+    return let(lambda ratio: _quality(source, target, ratio, script, alphabet), word_count(target) / F.greatest(word_count(source), F.lit(1)))
+
+
+def _quality(source: Column, target: Column, ratio: Column, script: str, alphabet: str) -> Column:
     return F.struct(
         (strip(target) == "").alias("empty"),
         ratio.alias("word_ratio"),
@@ -189,9 +203,8 @@ def intervention_reasons(baseline: Column, candidate: Column) -> Column:
 
 def strong_reasons(source: Column, baseline_text: Column, candidate_text: Column, **scripts: str) -> Column:
     """Intervention reasons, then order, delimiters, technical marks and new Latin residue."""
-    b, c = quality(source, baseline_text, **scripts), quality(source, candidate_text, **scripts)
     return F.concat(
-        intervention_reasons(b, c),
+        let(intervention_reasons, quality(source, baseline_text, **scripts), quality(source, candidate_text, **scripts)),
         reasons(
             ("explicit_numeric_order", ~numeric_order(source, candidate_text)),
             ("balanced_delimiter_integrity", ~delimiters(source, candidate_text)),
@@ -204,8 +217,9 @@ def strong_reasons(source: Column, baseline_text: Column, candidate_text: Column
 def latin_residue(source: Column, target: Column) -> Column:
     """Latin words of four or more letters outside protected spans that the target took over from the source."""
     words = F.regexp_extract_all(protected_stripped(target), F.lit(r"[A-Za-z]{4,}"), F.lit(0))
-    own = F.transform(F.regexp_extract_all(source, F.lit(r"[A-Za-z]{4,}"), F.lit(0)), F.lower)
-    return F.filter(words, lambda w: F.array_contains(own, F.lower(w)))
+    own = F.array_distinct(F.transform(F.regexp_extract_all(source, F.lit(r"[A-Za-z]{4,}"), F.lit(0)), F.lower))
+    common = let(lambda own, seen: F.array_intersect(own, seen), own, F.array_distinct(F.transform(words, F.lower)))
+    return let(lambda words, common: F.filter(words, lambda w: F.array_contains(common, F.lower(w))), words, common)
 
 
 def protected_share(text: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
@@ -215,18 +229,18 @@ def protected_share(text: Column, script: str = CYRILLIC, alphabet: str = "[A-Za
 
 def absolute_reasons(source: Column, target: Column, least_share: float = 0.60, **scripts: str) -> Column:
     """Why a target fails on its own, without a baseline."""
-    q = quality(source, target, **scripts)
-    return reasons(
-        ("empty", q["empty"]),
-        ("length_anomaly", q["length_anomaly"]),
-        ("identity", q["identity"]),
-        ("numeric_integrity", ~q["numeric_passed"]),
-        ("figure_integrity", ~q["figures_passed"]),
+    names = {"empty": "empty", "length_anomaly": "length_anomaly", "identity": "identity"}
+    first = let(
+        lambda q: reasons(*[(n, q[c]) for n, c in names.items()], ("numeric_integrity", ~q["numeric_passed"]), ("figure_integrity", ~q["figures_passed"])),
+        quality(source, target, **scripts),
+    )
+    rest = reasons(
         ("explicit_numeric_order", ~numeric_order(source, target)),
         ("balanced_delimiter_integrity", ~delimiters(source, target)),
         ("critical_technical_tokens", F.size(critical_tokens(source, target)) > 0),
         ("low_script_share", protected_share(target, **scripts) < least_share),
     )
+    return F.concat(first, rest)
 
 
 def punctuation_proxy(text: Column) -> Column:

@@ -72,7 +72,7 @@ def glob_join(names: DataFrame, catalogue: DataFrame, name: str = "name", patter
     if len(rules) > 10_000:
         raise ValueError("a glob catalogue holds at most 10,000 patterns")
     small = F.broadcast(catalogue.withColumn("_re", glob_regex(F.col(pattern))))
-    return names.join(small, F.col(name).rlike(F.col("_re"))).drop("_re")
+    return names.join(small, F.rlike(F.col(name), F.col("_re"))).drop("_re")
 
 
 def ordered_coverage(actual: DataFrame, expected: DataFrame, position: str, value: str) -> DataFrame:

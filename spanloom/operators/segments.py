@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as T
+from spanloom.functions.arrays import held, let
 
 HARD_LIMIT = 96
 
@@ -131,40 +132,47 @@ def _share(xs: Column, test) -> Column:
 
 
 def _stdev(xs: Column) -> Column:
-    mean = _mean(xs)
-    return F.sqrt(_mean(F.transform(xs, lambda x: (x - mean) * (x - mean))))
+    return let(lambda xs, mean: F.sqrt(_mean(F.transform(xs, lambda x: (x - mean) * (x - mean)))), xs, _mean(xs))
 
 
 def _median(xs: Column) -> Column:
-    s, n = F.array_sort(xs), F.size(xs)
-    return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2.0).otherwise(F.lit(0.0))
+    def middle(s: Column) -> Column:
+        n = F.size(s)
+        return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2.0).otherwise(F.lit(0.0))
+
+    return let(middle, F.array_sort(xs))
 
 
 def block_features(found: DataFrame) -> DataFrame:
     """``blocks`` with the physical layout's features as a struct ``f``."""
-    x = F.transform("lines", T.strip)
-    lengths = F.transform(x, lambda s: F.length(s).cast("double"))
-    indents = F.transform("lines", lambda s: (F.length(s) - F.length(F.regexp_replace(s, r"^[ \t]+", ""))).cast("double"))
-    head, tail = F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0)))
-    joined = F.array_join(x, " ")
-    total = F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v)
-    marks = F.aggregate(x, F.lit(0), lambda a, s: a + F.regexp_count(s, F.lit(r"[^\p{L}\p{N}\s]")))
+    x = F.col("_x")
+    rows = held(found, _x=F.transform("lines", T.strip), _indents=F.transform("lines", lambda s: (F.length(s) - F.length(F.regexp_replace(s, r"^[ \t]+", ""))).cast("double")))
+    rows = held(
+        rows,
+        _lengths=F.transform(x, lambda s: F.length(s).cast("double")),
+        _head=F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0))),
+        _tail=F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))),
+        _marks=F.aggregate(x, F.lit(0), lambda a, s: a + F.regexp_count(s, F.lit(r"[^\p{L}\p{N}\s]"))),
+        _words=F.regexp_extract_all(F.array_join(x, " "), F.lit(T.WORD), F.lit(0)),
+    )
+    lengths = F.col("_lengths")
+    rows = held(rows, _mean=_mean(lengths), _stdev=_stdev(lengths), _total=F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v))
     f = F.struct(
         F.size(x).alias("line_count"),
         _median(lengths).alias("median_len"),
-        _mean(lengths).alias("mean_len"),
-        _stdev(lengths).alias("stdev_len"),
-        F.when(_mean(lengths) > 0, _stdev(lengths) / _mean(lengths)).otherwise(0.0).alias("cv_len"),
-        _share(head, lambda s: s.rlike(T.TERMINAL)).alias("terminal_share"),
-        _share(tail, lambda s: s.rlike(r"^[\"'_(\[]*[a-z]")).alias("lower_share"),
-        (1.0 / (1.0 + _stdev(indents))).alias("indent_stability"),
+        F.col("_mean").alias("mean_len"),
+        F.col("_stdev").alias("stdev_len"),
+        F.when(F.col("_mean") > 0, F.col("_stdev") / F.col("_mean")).otherwise(0.0).alias("cv_len"),
+        _share(F.col("_head"), lambda s: s.rlike(T.TERMINAL)).alias("terminal_share"),
+        _share(F.col("_tail"), lambda s: s.rlike(r"^[\"'_(\[]*[a-z]")).alias("lower_share"),
+        (1.0 / (1.0 + _stdev(F.col("_indents")))).alias("indent_stability"),
         _share(x, lambda s: s.rlike(LIST_MARK)).alias("marker_share"),
-        F.when(total > 0, marks / total).otherwise(0.0).alias("punctuation_density"),
+        F.when(F.col("_total") > 0, F.col("_marks") / F.col("_total")).otherwise(0.0).alias("punctuation_density"),
         _share(x, lambda s: s.rlike(TABLEISH)).alias("tableish_share"),
-        F.size(F.filter(F.regexp_extract_all(joined, F.lit(T.WORD), F.lit(0)), lambda w: w.rlike(r"\p{L}"))).alias("alpha_words"),
-        total.cast("long").alias("chars"),
+        F.size(F.filter("_words", lambda w: w.rlike(r"\p{L}"))).alias("alpha_words"),
+        F.col("_total").cast("long").alias("chars"),
     )
-    return found.withColumn("f", f)
+    return held(rows, f=f).select(*found.columns, "f")
 
 
 def _unit(c: Column) -> Column:
@@ -201,8 +209,12 @@ def block_scores(featured: DataFrame, family: str = "balanced") -> DataFrame:
         _unit(1.0 - F.least(F.lit(1.0), f["punctuation_density"] / 0.18)),
     )
     wrap = sum((w * v for w, v in zip(HARDWRAP[family], signals)), F.lit(0.0))
-    txt = T.strip(F.array_join(F.transform("lines", T.strip), " "))
-    words = F.filter(F.regexp_extract_all(txt, F.lit(T.WORD), F.lit(0)), lambda w: w.rlike(r"\p{L}"))
+    columns = featured.columns
+    joined = T.strip(F.array_join(F.transform("lines", T.strip), " "))
+    # Only single lines can be headings, so no long text is looked at again.
+    featured = held(featured, _txt=F.when(f["line_count"] == 1, joined).otherwise(""))
+    txt, words = F.col("_txt"), F.col("_heads")
+    featured = held(featured, _heads=F.filter(F.regexp_extract_all(txt, F.lit(T.WORD), F.lit(0)), lambda w: w.rlike(r"\p{L}")))
     letters = T.letter_count(txt)
     heading = _unit(
         F.when(txt.rlike(HEADING_WORD), 0.42).otherwise(0.0)
@@ -216,7 +228,7 @@ def block_scores(featured: DataFrame, family: str = "balanced") -> DataFrame:
         - F.when((F.size(words) > 16) | (F.length(txt) > 180), 0.35).otherwise(0.0)
     )
     return featured.select(
-        "*",
+        *columns,
         F.when(several, as_list).otherwise(0.0).alias("list_score"),
         F.when(several & (f["marker_share"] < 0.4) & (f["tableish_share"] < 0.25), stanza).otherwise(0.0).alias("stanza_score"),
         F.when((f["line_count"] == 1) & (txt != ""), heading).otherwise(0.0).alias("heading_score"),

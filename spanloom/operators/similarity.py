@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrays import let
 from spanloom.functions.porter import stems
 from spanloom.functions.text import RUN, collapse, ngrams, protected_stripped
 
@@ -58,12 +59,14 @@ def chrf(pairs: DataFrame, key: str, source: str = "source", target: str = "targ
 
     def grams(c: str, n: int, kind: str) -> Column:
         if kind == "char":
-            x = F.regexp_replace(F.col(c), r"\s+", "")
-            return F.when(F.length(x) >= n, ngrams(x, n)).otherwise(F.array().cast("array<string>"))
-        parts = F.filter(F.split(F.regexp_replace(F.regexp_replace(collapse(F.col(c)), r"(\S)([\p{Punct}])(?=\s|$)", "$1 $2"), r"(^|\s)([\p{Punct}])(\S)", "$1$2 $3"), " "), lambda w: w != "")
-        return F.when(F.size(parts) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(parts, i, n), " "))).otherwise(
-            F.array().cast("array<string>")
-        )
+            return let(lambda x: F.when(F.length(x) >= n, ngrams(x, n)).otherwise(F.array().cast("array<string>")), F.regexp_replace(F.col(c), r"\s+", ""))
+        spaced = F.regexp_replace(F.regexp_replace(collapse(F.col(c)), r"(\S)([\p{Punct}])(?=\s|$)", "$1 $2"), r"(^|\s)([\p{Punct}])(\S)", "$1$2 $3")
+
+        def cut(parts: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.size(parts) - n + 1, F.lit(1)))
+            return F.when(F.size(parts) >= n, F.transform(starts, lambda i: F.array_join(F.slice(parts, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+
+        return let(cut, F.filter(F.split(spaced, " "), lambda w: w != ""))
 
     scores = None
     for kind, most in (("char", chars), ("word", words)):
