@@ -101,7 +101,7 @@ def id_back(col: str = "doc_id") -> Column:
 class WordHashes(dict):
     """64-bit hash of each word (bytes); forgets all words when it holds ``most``."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
