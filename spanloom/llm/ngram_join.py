@@ -8,6 +8,7 @@ shingles is a signature, and sets that share one are compared exactly.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,17 +16,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, Scratch, WordHashes, connected, id_back, id_or, join_unique, mix, pack, pack_ids, rolling, unpack, unpack_ids, without, word_hashes
 
-#: Cells of the sketch that finds frequent shingles, and the slices it is summed by.
-CELLS, SLICES = 1 << 20, 64
+#: log2 of the least and most cells of the sketch that finds frequent shingles (64 MB in a task), words for each cell, and slices it is summed by.
+LEAST_CELLS, MOST_CELLS, CELL_WORDS, SLICES = 16, 24, 8, 64
 #: A cell is frequent from this many times the mean on (and this count at least).
-FREQUENT, FREQUENT_LEAST = 16, 200
+FREQUENT, FREQUENT_LEAST = 8, 64
 #: Documents of a unit (14 bits), signatures of a unit, and bits of a signature that travel.
 UNIT_DOCS, UNIT_SIGNATURES, SIG_BITS = 1 << 14, 1 << 20, 48
+#: 64-bit words of the parity sketch that bounds from below how far two sets are apart.
+PARITY = 16
 #: Bits of the filter of documents whose sets are compared.
 ID_BITS = 1 << 23
 
@@ -69,15 +72,18 @@ def plan(n: int, percent: int) -> tuple[tuple[int, int, int], ...]:
 def signatures(s: np.ndarray, frequent: np.ndarray, percent: int = 80) -> np.ndarray:
     """Signatures of a set, given as sorted hashes.
 
-    Rare and frequent shingles are cut into parts of their own. A set sends the
-    narrowest of these choices that has more than k parts: rare parts of two or
-    more shingles; all rare parts that are not empty; also frequent ones; all
-    parts. Of two similar sets, the one with the narrower choice has a part in
-    it on which both are equal, and the other, with a wider choice, sends it too.
+    Rare and frequent shingles are cut into parts of their own, and as the
+    finest cut each shingle is a part. A set sends the narrowest of these
+    choices that has a cut with more than k parts: rare parts of two or more
+    shingles; all rare parts; also each rare shingle; also frequent parts; also
+    each frequent shingle. Each choice holds the ones before it. Of two similar
+    sets, the one with the narrower choice has a part in it on which both are
+    equal, and the other sends that part too. So a passage that very many
+    documents share makes no signature, but for documents that are little else.
     """
     if not len(s):
         return s
-    hot = frequent[s >> np.uint64(44)]
+    hot = frequent[s >> np.uint64(65 - len(frequent).bit_length())]
     split = [s[~hot], s[hot]] if hot.any() else [s, s[:0]]
     out = []
     for instance, parts, k in plan(len(s), percent):
@@ -93,34 +99,39 @@ def signatures(s: np.ndarray, frequent: np.ndarray, percent: int = 80) -> np.nda
         if (wide := counts >= 2).sum() > k:
             ids, sums = ids[wide], sums[wide]
         elif len(ids) <= k:
-            ids, sums = np.concatenate([ids, hot_ids]), np.concatenate([sums, hot_sums])
-            if len(ids) <= k:
-                none = np.setdiff1d(np.arange(2 * parts, dtype=np.uint64), ids)
-                ids, sums = np.concatenate([ids, none]), np.concatenate([sums, np.zeros(len(none), np.uint64)])
+            one = np.full(len(s), 2 * parts, np.uint64)
+            rare, common = split
+            found = [(ids, sums), (one[: len(rare)], rare)]
+            if len(rare) <= k:
+                found.append((hot_ids, hot_sums))
+                if len(rare) + len(hot_ids) <= k:
+                    found.append((one[: len(common)], common))
+            ids, sums = (np.concatenate(x) for x in zip(*found))
         out.append(mix(mix(sums + ids * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(instance + 1)))
     return np.concatenate(out)
 
 
-def _survey(n: int):
+def _survey(n: int, bits: int):
     """Sizes and set hashes of documents, and each task's counts of shingles by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, cells = WordHashes(), np.zeros(CELLS, np.int64)
+        table, cells = WordHashes(), np.zeros(1 << bits, np.uint32)
         for batch in batches:
             sizes, first, second = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, table, n)
-                np.add.at(cells, (s >> np.uint64(44)).astype(np.int64), 1)
+                np.add.at(cells, (s >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
                 h = xxhash.xxh3_128_intdigest(s.tobytes())
                 sizes.append(len(s))
                 first.append((h >> 64) - (1 << 63))
                 second.append((h & (2**64 - 1)) - (1 << 63))
             m = len(sizes)
             yield _batch(batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()))
-        if cells.any():
-            parts = [x.astype(np.uint32).tobytes() for x in cells.reshape(SLICES, -1)]
-            none = pa.nulls(SLICES, pa.int64())
-            yield _batch(none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary()))
+        for k, x in enumerate(cells.reshape(SLICES, -1)):
+            if x.any():
+                low = zlib.compress(np.minimum(x, 65_535).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+                none = pa.nulls(1, pa.int64())
+                yield _batch(none, none, none, none, pa.array([k], pa.int32()), pa.array([low], pa.binary()))
 
     return run
 
@@ -129,21 +140,32 @@ def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "n_shingles", "h1", "h2", "slice", "counts"])
 
 
-def _add(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(CELLS // SLICES, np.int64)
-    for blob in pdf["counts"]:
-        total += np.frombuffer(blob, np.uint32)
-    return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+def _add(bits: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros((1 << bits) // SLICES, np.int64)
+        for blob in pdf["counts"]:
+            low, high = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(2, -1).astype(np.int64)
+            total += low + (high << 8)
+        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "total": [int(total.sum())], "counts": [total.astype(np.uint32).tobytes()]})
+
+    return run
+
 
+def frequent_cells(survey: DataFrame, bits: int, scratch: Scratch) -> np.ndarray:
+    """One flag for each cell; the sketch has a size that is bounded whatever the input."""
+    rows = survey.filter("slice is not null").select("slice", "counts")
+    summed = scratch.table(rows.groupBy("slice").applyInPandas(_add(bits), "slice int, total long, counts binary"), "cells")
+    mean = (summed.agg(F.sum("total")).first()[0] or 0) >> bits
+    least = max(FREQUENT_LEAST, FREQUENT * mean)
 
-def frequent_cells(survey: DataFrame) -> np.ndarray:
-    """One flag for each cell: the sketch has a fixed size, whatever the input."""
-    rows = survey.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInPandas(_add, "slice int, counts binary").collect()
-    cells = np.zeros((SLICES, CELLS // SLICES), np.int64)
-    for r in rows:
-        cells[r["slice"]] = np.frombuffer(bytes(r["counts"]), np.uint32)
-    cells = cells.reshape(-1)
-    return cells >= max(FREQUENT_LEAST, FREQUENT * int(cells.mean()))
+    def flags(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = [np.packbits(np.frombuffer(c, np.uint32) >= least).tobytes() for c in pdf["counts"]]
+        return pd.DataFrame({"slice": pdf["slice"], "flags": bits})
+
+    out = np.zeros((SLICES, (1 << bits) // SLICES), bool)
+    for r in summed.mapInPandas(lambda it: map(flags, it), "slice int, flags binary").collect():  # a bit for each cell: 2 MB at most
+        out[r["slice"]] = np.unpackbits(np.frombuffer(bytes(r["flags"]), np.uint8)).astype(bool)
+    return out.reshape(-1)
 
 
 def _send(frequent, buckets: int, percent: int, n: int):
@@ -226,6 +248,28 @@ def _meet(buckets: int):
     return run
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """For each of 1,024 cells whether an odd number of the set's hashes falls into it.
+
+    A shingle that only one of two sets has flips one cell, so the sketches
+    differ in no more cells than the sets differ in shingles.
+    """
+    bits = np.bincount((s & np.uint64(PARITY * 64 - 1)).astype(np.int64), minlength=PARITY * 64) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _near(percent: int) -> Column:
+    """Whether the sizes and sketches of a (na, a0, ..) and b (nb, b0, ..) let the two sets be similar."""
+    total = F.col("na") + F.col("nb")
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(PARITY)), F.lit(0))
+    sizes = (F.col("nb") * 100 >= F.col("na") * percent) & (F.col("na") * 100 >= F.col("nb") * percent)
+    return sizes & (apart <= total - 2 * F.ceil(total * percent / (100 + percent)))
+
+
+def _sketch(sets: DataFrame, side: str) -> DataFrame:
+    return sets.select(F.col("id").alias(side), F.col("size").alias(f"n{side}"), *[F.col(f"p{i}").alias(f"{side}{i}") for i in range(PARITY)])
+
+
 def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
     out = []
     for x, y, p in zip(a, b, percent):
@@ -249,9 +293,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, scratch: Scratch) -> DataF
             texts, ids = batch.column(1), batch.column(0)
             for i in range(0, batch.num_rows, 500):
                 sets = [shingles(t, table, n) for t in texts.slice(i, 500).to_pylist()]
-                yield pa.RecordBatch.from_arrays([ids.slice(i, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "size", "members"])
+                sketches = np.array([parity(s) for s in sets], np.int64).reshape(-1, PARITY)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(i, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(c) for c in sketches.T)],
+                    names=["id", "size", "members", *names],
+                )
 
-    return scratch.table(near.select("doc_id", "text").mapInArrow(run, "id long, size long, members binary"), "sets")
+    names = [f"p{i}" for i in range(PARITY)]
+    return scratch.table(near.select("doc_id", "text").mapInArrow(run, "id long, size long, members binary, " + ", ".join(f"{x} long" for x in names)), "sets")
 
 
 def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None) -> DataFrame:
@@ -272,12 +321,14 @@ def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int
     spark = docs.sparkSession
     scratch = Scratch(spark)
     source = docs.select(id_or("doc_id"), F.col("text").cast("binary").alias("text"))
-    survey = scratch.table(source.mapInArrow(_survey(n), "doc_id long, n_shingles long, h1 long, h2 long, slice int, counts binary"), "survey")
+    words = (source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    bits = min(MOST_CELLS, max(LEAST_CELLS, (words // CELL_WORDS).bit_length()))
+    survey = scratch.table(source.mapInArrow(_survey(n, bits), "doc_id long, n_shingles long, h1 long, h2 long, slice int, counts binary"), "survey")
     meta = survey.filter("slice is null").select("doc_id", "n_shingles", "h1", "h2")
     key = ["n_shingles", "h1", "h2"]
     groups = scratch.table(meta.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")), "groups")
     total = meta.agg(F.sum("n_shingles")).first()[0] or 0
-    frequent = spark.sparkContext.broadcast(frequent_cells(survey))
+    frequent = spark.sparkContext.broadcast(frequent_cells(survey, bits, scratch))
     if buckets is None:
         buckets = 1 << max(4, (int(total) >> 21).bit_length())
 
@@ -301,16 +352,14 @@ def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int
             at = members.join(comp, members.doc == comp.id, "left").select("sig", "doc", F.coalesce("comp", "doc").alias("comp"))
             open_ = at.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("sig")
             at = scratch.table(at.join(open_, "sig", "left_semi"), "open")
-            x, y = at.select("sig", F.col("doc").alias("a"), F.col("comp").alias("ca")), at.select("sig", F.col("doc").alias("b"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "sig").filter("ca <> cb and a < b").select("a", "b").distinct()
+            x = at.select("sig", F.col("doc").alias("a"), F.col("comp").alias("ca")).join(_sketch(sets, "a"), "a")
+            y = at.select("sig", F.col("doc").alias("b"), F.col("comp").alias("cb")).join(_sketch(sets, "b"), "b")
+            pairs = x.join(y, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         asked = scratch.table(pairs, f"pairs{k}")
         checked = asked if checked is None else checked.unionByName(asked)
-        left = sets.select(F.col("id").alias("a"), F.col("size").alias("na"), F.col("members").alias("ma"))
-        right = sets.select(F.col("id").alias("b"), F.col("size").alias("nb"), F.col("members").alias("mb"))
-        sizes = (F.col("nb") * 100 >= F.col("na") * percent) & (F.col("na") * 100 >= F.col("nb") * percent)
-        small_left, small_right = left.drop("ma"), right.drop("mb")
-        fit = asked.join(small_left, "a").join(small_right, "b").filter(sizes).select("a", "b")
+        left, right = sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), sets.select(F.col("id").alias("b"), F.col("members").alias("mb"))
+        fit = asked.join(_sketch(sets, "a"), "a").join(_sketch(sets, "b"), "b").filter(_near(percent)).select("a", "b") if k < 2 else asked
         true = fit.join(left, "a").join(right, "b").filter(similar("ma", "mb", F.lit(percent))).select("a", "b")
         true = scratch.table(true.distinct(), f"links{k}")
         links = true if links is None else links.unionByName(true)
