@@ -155,7 +155,7 @@ def chain_breaks(journal: DataFrame, pos: str = "pos") -> DataFrame:
 
 def read_journal(spark: SparkSession, path: str) -> DataFrame:
     """(pos, body, previous, sha) of a JSONL journal; a torn last line is left out, any other broken line raises an error."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     rows = raw.select(F.posexplode(F.split("value", "\n")).alias("pos", "line"), F.size(F.split("value", "\n")).alias("n"))
     record = F.from_json("line", "body string, previous string, sha string")
     parsed = rows.withColumn("r", record).filter((F.col("line") != "") & ~((F.col("pos") == F.col("n") - 1) & F.col("r.sha").isNull()))
