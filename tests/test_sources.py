@@ -203,7 +203,7 @@ def test_streaming_import(spark, tmp_path):
 
 def test_lexical_rules(spark):
     rows = [
-        (1, "rays", "ray", "VERB", "obj", "ORG", True), (2, "Newton", "Newton", "PROPN", "nsubj", "PERSON", False), (3, "42", "42", "NUM", "", None, False), (4, "runs", "run", "VERB", "ROOT", None, False),
+        (1, "rays", "ray", "VERB", "obj", "ORG", True), (2, "Ada", "Ada", "PROPN", "nsubj", "PERSON", False), (3, "42", "42", "NUM", "", None, False), (4, "runs", "run", "VERB", "ROOT", None, False),
     ]
     t = spark.createDataFrame(rows, "i int, text string, lemma string, pos string, dependency string, entity_type string, is_oov boolean")
     out = {r.i: r for r in lexical.repaired(t).collect()}
