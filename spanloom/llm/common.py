@@ -156,6 +156,25 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(d.reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned integers in any order, byte plane by byte plane, as many as the largest needs."""
+    if not len(values):
+        return b""
+    v = values.astype(np.uint64)
+    width = max(1, (int(v.max()).bit_length() + 7) // 8)
+    return bytes([width]) + v.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+
+
+def unplane(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.empty(0, np.int64)
+    width = blob[0]
+    n = (len(blob) - 1) // width
+    v = np.zeros((n, 8), np.uint8)
+    v[:, :width] = np.frombuffer(blob, np.uint8, offset=1).reshape(width, n).T
+    return v.reshape(-1).view(np.int64)
+
+
 def pack_ids(ids: np.ndarray) -> bytes:
     """Ascending signed ids."""
     return pack(ids.view(np.uint64) ^ np.uint64(1 << 63))

@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, id_back, id_or, pack, pack_ids, pieces, rolling, unpack, unpack_ids, word_hashes
+from .common import WordHashes, id_back, id_or, pack, pack_ids, pieces, planes, rolling, unpack, unpack_ids, unplane, word_hashes
 
-#: Bits of a probe's hash that travel, words of a unit, and log2 of the most bits of the hit filter (32 MB).
-PROBE_BITS, UNIT_WORDS, FILTER_BITS = 48, 1 << 20, 28
+#: Words of a unit, and log2 of the most bits of the hit filter (32 MB).
+UNIT_WORDS, FILTER_BITS = 1 << 20, 28
+#: Bits of a probe's hash that travel beyond those that number the words: chance hits only make more windows compared.
+SPARE_BITS = 13
 #: Keys that one bucket is meant to hold.
 BUCKET_KEYS = 1 << 21
 SECOND_BASE = 0xD6E8FEB86659FD93
@@ -43,9 +45,9 @@ def _units(arrays: Iterator[tuple], size: int = UNIT_WORDS) -> Iterator[list[tup
         yield held
 
 
-def _probe(block: int, buckets: int):
+def _probe(block: int, buckets: int, bits: int):
     """Rows (bucket, keys): each rolling hash of a unit once, with whether it is a block and whether it occurs again."""
-    shift = np.uint64(PROBE_BITS + 2 - (buckets.bit_length() - 1))
+    shift = np.uint64(bits + 2 - (buckets.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
@@ -53,7 +55,7 @@ def _probe(block: int, buckets: int):
         def arrays():
             for batch in batches:
                 for text in batch.column(0).to_pylist():
-                    h = rolling(word_hashes(text, table), block) >> np.uint64(64 - PROBE_BITS)
+                    h = rolling(word_hashes(text, table), block) >> np.uint64(64 - bits)
                     h <<= np.uint64(1)
                     h[::block] |= np.uint64(1)
                     yield (h,)
@@ -74,7 +76,7 @@ def _probe(block: int, buckets: int):
     return run
 
 
-def _hits(buckets: int, filter_bits: int):
+def _hits(buckets: int, filter_bits: int, probe_bits: int):
     """A bucket's slice of the hit filter: blocks that occur in two places at least."""
     slice_bits = filter_bits - (buckets.bit_length() - 1)
 
@@ -86,7 +88,7 @@ def _hits(buckets: int, filter_bits: int):
         runs = np.diff(np.append(starts, len(v)))
         hit = key[starts][((flags & np.uint64(2)) != 0) & (((flags & np.uint64(1)) != 0) | (runs > 1))]
         bits = np.zeros(1 << slice_bits, np.uint8)
-        bits[(hit >> np.uint64(PROBE_BITS - filter_bits)).astype(np.int64) & ((1 << slice_bits) - 1)] = 1
+        bits[(hit >> np.uint64(probe_bits - filter_bits)).astype(np.int64) & ((1 << slice_bits) - 1)] = 1
         return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     return run
@@ -105,7 +107,7 @@ def _extend(window: int, block: int, buckets: int, filter_bits: int, bits):
 
     def rows(which, ids, doc, start, h1, h2):
         used, at = np.unique(doc, return_inverse=True)
-        return which, pack_ids(ids[used]), h1, h2, at.astype(np.uint32).tobytes(), start.astype(np.uint32).tobytes()
+        return which, pack_ids(ids[used]), h1, h2, planes(at), planes(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
@@ -153,11 +155,11 @@ def _extend(window: int, block: int, buckets: int, filter_bits: int, bits):
 
 
 def _judge(buckets: int):
-    """(doc_id, starts, checks) of a bucket's windows that start earlier elsewhere."""
+    """(doc_id, at) of a bucket's windows that start earlier elsewhere; ``at`` holds the start and 16 bits of the second hash."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc = np.concatenate([unpack_ids(i)[np.frombuffer(d, np.uint32)] for i, d in zip(pdf["ids"], pdf["docs"])])
-        start = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["starts"]])
+        doc = np.concatenate([unpack_ids(i)[unplane(d)] for i, d in zip(pdf["ids"], pdf["docs"])])
+        start = np.concatenate([unplane(x) for x in pdf["starts"]])
         check = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["checks"]])
         if pdf["bucket"].iloc[0] < buckets:
             h = np.concatenate([unpack(k) for k in pdf["keys"]])
@@ -173,17 +175,10 @@ def _judge(buckets: int):
             head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again)))) if len(h) else order
             lost = again & ((doc != doc[head]) | (start != start[head]))
             doc, start, check = doc[lost], start[lost], check[lost]
-        order = np.argsort(doc, kind="stable")
-        doc, start, check = doc[order], start[order], check[order]
-        cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
-        ends = np.append(cuts[1:], len(doc))
-        return pd.DataFrame(
-            {
-                "doc_id": doc[cuts] if len(doc) else doc,
-                "starts": [start[i:j].tobytes() for i, j in zip(cuts, ends)],
-                "checks": [check[i:j].tobytes() for i, j in zip(cuts, ends)],
-            }
-        )
+        # One row for each lost window, so that rows follow the input and not the number of buckets.
+        at = (start << np.int64(16)) | (check.astype(np.int64) >> np.int64(16))
+        order = np.lexsort((at, doc))
+        return pd.DataFrame({"doc_id": doc[order], "at": at[order]})
 
     return run
 
@@ -198,10 +193,10 @@ def _cut(window: int, keep_text: bool):
             for text, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 gone = None
                 if lost:
-                    start = np.concatenate([np.frombuffer(x["starts"], np.uint32) for x in lost]).astype(np.int64)
-                    check = np.concatenate([np.frombuffer(x["checks"], np.uint32) for x in lost])
+                    at = np.array(lost, np.int64)
+                    start, check = at >> np.int64(16), (at & np.int64(0xFFFF)).astype(np.uint64)
                     words = word_hashes(text, table)
-                    own = rolling(words, window, SECOND_BASE) >> np.uint64(32)
+                    own = rolling(words, window, SECOND_BASE) >> np.uint64(48)
                     # Another text under the same id has other words at some of these places.
                     fits = start < len(own)
                     start, check = start[fits], check[fits]
@@ -250,16 +245,16 @@ def remove_repeats(docs: DataFrame, window: int = 20, keep_text: bool = False) -
     32 MB; where it fills up, more windows are compared, none less.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark)
     block = window // 2
     source = docs.select(id_or("doc_id"), F.col("text").cast("binary").alias("text"))
     words = (source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6 + 1
     buckets = 1 << max(4, (words // BUCKET_KEYS).bit_length())
     filter_bits = min(FILTER_BITS, max(20, (2 * words).bit_length()))
     filter_bits = max(filter_bits, buckets.bit_length() - 1 + 3)
+    probe_bits = min(56, max(filter_bits, words.bit_length() + SPARE_BITS))
 
-    sent = source.select("text").mapInArrow(_probe(block, buckets), "bucket int, keys binary")
-    slices = sent.groupBy("bucket").applyInPandas(_hits(buckets, filter_bits), "bucket int, bits binary").collect()
+    sent = source.select("text").mapInArrow(_probe(block, buckets, probe_bits), "bucket int, keys binary")
+    slices = sent.groupBy("bucket").applyInPandas(_hits(buckets, filter_bits, probe_bits), "bucket int, bits binary").collect()
     size = (1 << filter_bits) // 8 // buckets
     bits = bytearray(size * buckets)
     for r in slices:  # the filter's slices: its fixed size in all, whatever the input
@@ -269,9 +264,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, keep_text: bool = False) -
     near = source.mapInArrow(
         _extend(window, block, buckets, filter_bits, bits), "bucket int, ids binary, keys binary, checks binary, docs binary, starts binary"
     )
-    lost = near.groupBy("bucket").applyInPandas(_judge(buckets), "doc_id long, starts binary, checks binary")
-    lost = lost.groupBy("doc_id").agg(F.collect_list(F.struct("starts", "checks")).alias("lost"))
-    lost = scratch.table(lost, "lost")
+    lost = near.groupBy("bucket").applyInPandas(_judge(buckets), "doc_id long, at long")
+    lost = lost.groupBy("doc_id").agg(F.collect_list("at").alias("lost"))
     joined = source.join(lost, "doc_id", "left").select("doc_id", "text", "lost")
     out = joined.mapInArrow(_cut(window, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return out.select(id_back("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text")
