@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: rare word pairs as seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, id_back, id_or, pieces, rolling, without
+from .common import Scratch, WordHashes, id_back, id_or, mix, pieces, rolling, without
 
 #: Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 16 << 20
@@ -75,17 +75,14 @@ class Seeds:
         self.gate = np.zeros(1 << 20, bool)
         self.gate[self.keys >> np.uint64(44)] = True
 
-    def keep(self, keys: np.ndarray) -> None:
-        held = np.isin(self.hash, keys)
-        self.hash, self.size, self.item, self.at = (x[held] for x in (self.hash, self.size, self.item, self.at))
-        self.keys = keys
-        self._gate()
+    def grams(self, words: np.ndarray, size: int) -> np.ndarray:
+        return rolling(words, size)
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, index in keys) of every seed in a word sequence."""
         where, which = [], []
         for n in self.sizes:
-            h = rolling(words, n)
+            h = self.grams(words, n)
             p = np.flatnonzero(self.gate[h >> np.uint64(44)])
             k = np.searchsorted(self.keys, h[p])
             good = k < len(self.keys)
@@ -95,16 +92,68 @@ class Seeds:
             which.append(k[good])
         return (np.concatenate(where), np.concatenate(which)) if where else (np.empty(0, np.int64),) * 2
 
-    def rare(self, df: np.ndarray) -> np.ndarray:
-        """Of each item's seeds that the documents hold, the rarer half, eight at least."""
-        held: set[int] = set()
+
+def sure_pairs(m: int, n: int, threshold: float) -> int:
+    """Pairs of neighbouring matches, less than ``n`` words apart on both sides, that every alignment from ``threshold`` on has.
+
+    An alignment of c matches and g mismatches and gaps has c - 1 steps from a
+    match to the next. 2c - g is at least 2 * threshold * m, and a step that
+    reaches n words or farther costs n - 1 of g at least.
+    """
+    least = 2 * threshold * m - 1e-9
+    return min((c - 1 - int((2 * c - least) // max(n - 1, 1)) for c in range(max(1, -int(-least // 2)), m + 1)), default=0)
+
+
+def word_pairs(words: np.ndarray, gap: int) -> np.ndarray:
+    """Hash of every word with the one ``gap`` after it; gap 0: of the word alone."""
+    if not gap:
+        return rolling(words, 1)
+    return mix(words[:-gap] * np.uint64(0x9E3779B97F4A7C15) + words[gap:])
+
+
+class PairSeeds(Seeds):
+    """Pairs of words less than ``n`` apart in a block of benchmark items, by the place of their first word.
+
+    Every alignment from ``threshold`` on holds pairs at ``sure_pairs`` places
+    of its item, so one at least is among any ``quota`` = places - sure + 1 of
+    them. Items too short to be sure of a pair are found by their words.
+    """
+
+    def __init__(self, items: list[tuple[int, bytes]], n: int, threshold: float):
+        table = WordHashes()
+        self.items = [(i, w) for i, t in items if len(w := folded_words(t, table))]
+        rows, places, quota = [], [], []
+        for k, (_, words) in enumerate(self.items):
+            m, sure = len(words), sure_pairs(len(words), n, threshold)
+            gaps = range(1, min(n, m)) if sure > 0 else (0,)
+            places.append(m - gaps[0])
+            quota.append(places[-1] + 1 - (sure if sure > 0 else max(1, -int(-(threshold * m - 1e-9) // 1))))
+            rows += [(h := word_pairs(words, g), np.full(len(h), g), np.full(len(h), k), np.arange(len(h))) for g in gaps]
+        hash_, gap, item, at = (np.concatenate(c) for c in zip(*rows)) if rows else (np.empty(0, np.int64),) * 4
+        order = np.argsort(hash_, kind="stable")
+        self.hash, self.item, self.at = hash_[order].astype(np.uint64), item[order], at[order]
+        self.sizes = ([0] if (gap == 0).any() else []) + (list(range(1, n)) if (gap > 0).any() else [])
+        self.places, self.quota = np.array(places, np.int64), np.array(quota, np.int64)
+        self.keys = np.unique(self.hash)
+        self._gate()
+
+    def grams(self, words: np.ndarray, size: int) -> np.ndarray:
+        return word_pairs(words, size)
+
+    def keep_rare(self, df: np.ndarray) -> None:
+        """Keeps each item's ``quota`` places whose pairs the fewest documents hold, less pairs that none holds."""
         count = df[np.searchsorted(self.keys, self.hash)]
-        order = np.lexsort((self.hash, count, self.item))
-        order = order[count[order] > 0]
-        for part in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1) if len(order) else []:
-            own = list(dict.fromkeys(self.hash[part].tolist()))
-            held.update(own[: max(8, -(-len(own) // 2))])
-        return np.array(sorted(held), np.uint64)
+        first = np.cumsum(self.places) - self.places
+        place = first[self.item] + self.at
+        cost = np.bincount(place, count, int(self.places.sum()))
+        item = np.repeat(np.arange(len(self.places)), self.places)
+        order = np.lexsort((cost, item))
+        kept = np.zeros(len(cost), bool)
+        kept[order] = np.arange(len(cost)) - first[item] < self.quota[item]
+        held = kept[place] & (count > 0)
+        self.hash, self.item, self.at = self.hash[held], self.item[held], self.at[held]
+        self.keys = np.unique(self.hash)
+        self._gate()
 
 
 def _frequencies(seeds):
@@ -151,7 +200,8 @@ def _aligned(own: Seeds, words, where, which, first, last, threshold) -> list[tu
     for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
         k = int(item[part[0]])
         item_id, wanted = own.items[k]
-        slack = len(wanted) // 4 + 3
+        # An alignment from the threshold on has no more gaps, so it lies this near to its seeds.
+        slack = int(2 * len(wanted) * max(0.0, 1 - threshold) + 1e-9)
         starts = begin[part]
         best = (0.0, 0, 0)
         # Places that overlap are one region.
@@ -171,13 +221,17 @@ def _aligned(own: Seeds, words, where, which, first, last, threshold) -> list[tu
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, threshold: float = 0.5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word) of every document that holds an item.
 
-    Words are lower-cased (A-Z), ASCII signs part them. An item's seeds are its
-    n-grams (the whole item if it is shorter); of those that occur in the
-    documents the rarer half, by document frequency over all documents, join it
-    to passages. Around them item and passage are aligned by Smith-Waterman
-    over words (match 2, mismatch and gap -1); ``score`` is the best alignment's
-    share of a perfect one, and pairs from ``threshold`` on are returned, each
-    once, at the best (first) place. 1.0 is an exact copy.
+    Words are lower-cased (A-Z), ASCII signs part them. Item and passage are
+    aligned by Smith-Waterman over words (match 2, mismatch and gap -1);
+    ``score`` is the best alignment's share of a perfect one, and all pairs from
+    ``threshold`` on are returned, each once, at the best (first) place. 1.0 is
+    an exact copy.
+
+    Seeds show where to align: an item's pairs of words less than ``n`` apart
+    (its words, if it is too short for pairs). An alignment from ``threshold``
+    on cannot do without a certain number of them, so only the places with the
+    rarest pairs, by document frequency, are looked for, as many as cannot all
+    be missing. No pair is lost by that, whichever copies the documents hold.
 
     Null and empty texts and items hold nothing. Rows that repeat a document or
     an item repeat its results. A null doc_id comes back null; empty tables give
@@ -193,13 +247,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, threshold: flo
     out = None
     for b in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        seeds = Seeds([(r["item_id"], bytes(r["text"])) for r in own.collect()], n)
+        seeds = PairSeeds([(r["item_id"], bytes(r["text"])) for r in own.collect()], n, threshold)
         df = np.zeros(len(seeds.keys), np.int64)
         sent = spark.sparkContext.broadcast(seeds)
         counts = source.mapInArrow(_frequencies(sent), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
         for r in counts.collect():  # one row for each seed of the block
             df[r["k"]] = r["n"]
-        seeds.keep(seeds.rare(df))
+        seeds.keep_rare(df)
         sent = spark.sparkContext.broadcast(seeds)
         found = source.mapInArrow(_align(sent, threshold), "doc_id long, item_id long, score double, start_word long, end_word long")
         found = found if blocks == 1 else scratch.table(found, f"found{b}")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -180,6 +181,36 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(d, b.filter("false")).count() == 0 and decontaminate.find_leaks(d.filter("false"), b).count() == 0
 
 
+def test_leaks_against_alignment_of_all_pairs(spark):
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(0, " ".join(f"a{i}" for i in range(23)))] + [(k, " ".join(r.choices(vocabulary, k=k))) for k in range(1, 25)]
+    edits = {
+        "exact": lambda w: w,
+        "every 5th replaced": lambda w: ["zz" if i % 5 == 2 else x for i, x in enumerate(w)],
+        "every 3rd replaced": lambda w: ["zz" if i % 3 == 2 else x for i, x in enumerate(w)],
+        "a word after each": lambda w: [y for x in w for y in (x, "zz")],
+        "a word after each second": lambda w: [y for i, x in enumerate(w) for y in ((x, "zz") if i % 2 else (x,))],
+        "every 4th dropped": lambda w: [x for i, x in enumerate(w) if i % 4],
+        "second half": lambda w: w[len(w) // 2 :],
+    }
+    texts = [" ".join(["before", *r.choices(vocabulary, k=5), *edit(t.split()), *r.choices(vocabulary, k=5)]) for _, t in items for edit in edits.values()]
+    texts += [" ".join(edits["every 5th replaced"](items[0][1].split()))] * 20 + [" ".join(r.choices(vocabulary, k=80)) for _ in range(20)]
+    table = decontaminate.WordHashes()
+    folded = {t: decontaminate.folded_words(t.encode(), table) for t in [*texts, *(t for _, t in items)]}
+    for threshold in (0.5, 0.7):
+        want = {}
+        for d, text in enumerate(texts):
+            for k, item in items:
+                score = decontaminate.smith_waterman(folded[item], folded[text])[0] / (2 * len(folded[item]))
+                if score >= threshold:
+                    want[d, k] = score
+        found = decontaminate.find_leaks(
+            spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), threshold=threshold
+        ).collect()
+        assert {(f.doc_id, f.item_id): f.score for f in found} == want and len(found) == len(want)
+
+
 def test_smith_waterman_against_plain_recursion():
     r = np.random.default_rng(3)
     for _ in range(60):
