@@ -111,12 +111,41 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def _regions(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Spans of a text that could each be one copy of a template, from where its seeds say it starts."""
+    """Spans of a text that could each hold copies of a template, from where its seeds say they start."""
     slack = length // 4 + 3
     cuts = np.flatnonzero(np.diff(starts) > slack) + 1
     return [(int(g[0]) - slack, int(g[-1]) + length + slack) for g in np.split(starts, cuts)]
 
 
+def _copies(words: np.ndarray, wanted: list[int], starts: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """(matched words, start, end) of each copy of a template, from where its seeds say copies start (ascending).
+
+    Where copies follow each other closely, a region's words repeat and it has
+    no anchors, so each start is aligned by itself too; of what is found, spans
+    that do not overlap are kept, the best first.
+    """
+    slack, out = len(wanted) // 4 + 3, []
+    for a, z in _regions(starts, len(wanted)):
+        inside = np.unique(starts[(starts >= a + slack) & (starts <= z - len(wanted) - slack)])
+        found = []
+        each = [(s, s + len(wanted)) for s in inside]
+        if len(inside) > 1:
+            each += [(s - slack, s + len(wanted) + slack) for s in inside]
+        for x, y in [(a, z), *each]:
+            x = max(int(x), 0)
+            matched = patience(words[x:y].tolist(), wanted)
+            if len(matched) / len(wanted) >= least:
+                found.append((len(matched), x + matched[0][0], x + matched[-1][0] + 1))
+        ends: list[tuple[int, int]] = []
+        for n, x, y in sorted(set(found), key=lambda f: (-f[0], f[2] - f[1], f[1])):
+            # Spans kept so far do not overlap, so only the two beside a new one can.
+            at = bisect_left(ends, (x, y))
+            if (at == 0 or ends[at - 1][1] <= x) and (at == len(ends) or ends[at][0] >= y):
+                ends.insert(at, (x, y))
+                out.append((n, x, y))
+    return out
+
+
 def _scan(seeds, names: list[str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = seeds.value, WordHashes()
@@ -133,16 +162,12 @@ def _scan(seeds, names: list[str], least: float):
                     row = np.repeat(first[which], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     item, begin = own.item[row], np.repeat(where, n) - own.at[row]
                     for k in np.unique(item):
-                        for a, z in _regions(np.sort(begin[item == k]), len(wanted[k])):
-                            a = max(a, 0)
-                            matched = patience(words[a:z].tolist(), wanted[k])
-                            cover = len(matched) / len(wanted[k])
-                            if cover >= least:
-                                copies += 1
-                                name = names[own.items[k][0]]
-                                found = (len(matched), cover, name, a + matched[0][0], a + matched[-1][0] + 1)
-                                if (found[0], found[1], -found[3]) > (best[0], best[1], -best[3]) or not best[0]:
-                                    best = found
+                        for n_matched, a, z in _copies(words, wanted[k], np.sort(begin[item == k]), least):
+                            copies += 1
+                            name = names[own.items[k][0]]
+                            found = (n_matched, n_matched / len(wanted[k]), name, a, z)
+                            if (found[0], found[1], -found[3]) > (best[0], best[1], -best[3]) or not best[0]:
+                                best = found
                 rows.append((best[2], best[1], best[0], best[3], best[4], copies) if copies else (None, 0.0, 0, None, None, 0))
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -394,6 +394,15 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_repeated_license_lines(spark):
+    t = license_scan.TEMPLATES
+    line, mit = t["All-rights-reserved"], t["MIT-notice"]
+    docs = [(n, "some prose\n" + f"{line}\n" * n + "other prose") for n in (1, 2, 3, 4, 50)]
+    docs += [(100 + n, f"some prose {f'{mit} ' * n}other prose") for n in (1, 2, 5)] + [(200, f"x {t['ISC']} {t['ISC']} y")]
+    got = {r.doc_id: (r.license, r.coverage, r.n_found) for r in license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {n: ("All-rights-reserved", 1.0, n) for n in (1, 2, 3, 4, 50)} | {100 + n: ("MIT-notice", 1.0, n) for n in (1, 2, 5)} | {200: ("ISC", 1.0, 2)}
+
+
 def test_patience_is_a_common_subsequence():
     import random
 
