@@ -48,12 +48,87 @@ TEMPLATES = {
         "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
         "PARTICULAR PURPOSE. See the GNU General Public License for more details."
     ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in "
+        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
     "MIT-notice": "Released under the MIT License.",
+    "BSD-notice": "Released under the BSD License.",
+    "BSD-2-Clause-notice": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause-notice": "Released under the BSD 3-Clause License.",
+    "ISC-notice": "Released under the ISC License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0-notice": "Licensed under CC BY-ND 4.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
     "All-rights-reserved": "All rights reserved.",
 }
+#: Phrases that a copy must hold, as they tell the license from its likes: words in a row (``/`` parts those allowed
+#: at a place), between which ``FILLERS`` do not count.
+_GNU = {"GPL": "gnu general public license", "LGPL": "gnu lesser general public license", "AGPL": "gnu affero general public license"}
+DISTINCT = {
+    "GPL-2.0-header": (_GNU["GPL"], "version 2 of"),
+    "GPL-3.0-header": (_GNU["GPL"], "version 3 of"),
+    "LGPL-2.1-header": (_GNU["LGPL"], "version 2 1 of"),
+    "LGPL-3.0-header": (_GNU["LGPL"], "version 3 of"),
+    "AGPL-3.0-header": (_GNU["AGPL"], "version 3 of"),
+    "MPL-2.0-header": ("mozilla public license 2/v2 0",),
+    "MIT-notice": ("mit license/licence",),
+    "BSD-notice": ("bsd license/licence",),
+    "BSD-2-Clause-notice": ("bsd 2 clause",),
+    "BSD-3-Clause-notice": ("bsd 3 clause",),
+    "ISC-notice": ("isc license/licence",),
+    "Apache-2.0-notice": ("apache license/licence 2/v2 0",),
+    "GPL-2.0-notice": (_GNU["GPL"] + " 2/v2",),
+    "GPL-3.0-notice": (_GNU["GPL"] + " 3/v3",),
+    "LGPL-2.1-notice": (_GNU["LGPL"] + " 2/v2 1",),
+    "LGPL-3.0-notice": (_GNU["LGPL"] + " 3/v3",),
+    "AGPL-3.0-notice": (_GNU["AGPL"] + " 3/v3",),
+    "MPL-2.0-notice": ("mozilla public license 2/v2 0",),
+} | {f"CC-{k}-4.0-notice": (f"cc {k.replace('-', ' ').lower()} 4 0",) for k in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")}
+FILLERS = ("version", "v", "the")
+
+
+def _holds(span: list[int], phrases: list[list[frozenset[int]]], fillers: frozenset[int]) -> bool:
+    """Whether each phrase (the words allowed at each place) stands in the span, fillers apart."""
+    for phrase in phrases:
+        own = [w for w in span if w not in fillers or any(w in p for p in phrase)]
+        if not any(all(w in p for w, p in zip(own[i:], phrase)) for i in range(len(own) - len(phrase) + 1)):
+            return False
+    return True
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -146,11 +221,13 @@ def _copies(words: np.ndarray, wanted: list[int], starts: np.ndarray, least: flo
     return out
 
 
-def _scan(seeds, names: list[str], least: float):
+def _scan(seeds, names: list[str], least: float, distinct: Mapping[str, tuple[str, ...]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = seeds.value, WordHashes()
         first, last = np.searchsorted(own.hash, own.keys, "left"), np.searchsorted(own.hash, own.keys, "right")
         wanted = [w.tolist() for _, w in own.items]
+        phrases = [[[frozenset(table.array([x.encode() for x in w.split("/")]).tolist()) for w in p.split()] for p in distinct.get(names[i], ())] for i, _ in own.items]
+        fillers = frozenset(table.array([w.encode() for w in FILLERS]).tolist())
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -163,6 +240,9 @@ def _scan(seeds, names: list[str], least: float):
                     item, begin = own.item[row], np.repeat(where, n) - own.at[row]
                     for k in np.unique(item):
                         for n_matched, a, z in _copies(words, wanted[k], np.sort(begin[item == k]), least):
+                            # A last word that is written another way is not in the span, but beside it.
+                            if not _holds(words[a : z + 2].tolist(), phrases[k], fillers):
+                                continue
                             copies += 1
                             name = names[own.items[k][0]]
                             found = (n_matched, n_matched / len(wanted[k]), name, a, z)
@@ -178,13 +258,14 @@ def _scan(seeds, names: list[str], least: float):
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8, distinct: Mapping[str, tuple[str, ...]] = DISTINCT) -> DataFrame:
     """One row per document: (doc_id, license, coverage, matched_words, start_word, end_word, n_found).
 
     Words are lower-cased (A-Z), ASCII signs part them. Runs of three words of a
     template show where a copy may lie; that part of the text is aligned with
     the template by patience alignment, and ``coverage`` is the matched share of
-    the template's words. Of copies with at least ``least``, the one with the
+    the template's words. A copy must also hold the phrases of ``distinct``:
+    the name and version that tell it from notices of other licenses. Of copies with at least ``least``, the one with the
     most matched words is named (then the higher coverage, then the first);
     ``n_found`` counts all. Without one, license and span are null and the
     coverage is 0: so for null and empty texts. A null id comes back null;
@@ -196,7 +277,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     sent = docs.sparkSession.sparkContext.broadcast(seeds)
     source = docs.select(id_or("doc_id"), F.col("text").cast("binary").alias("text"))
     out = source.mapInArrow(
-        _scan(sent, names, least),
+        _scan(sent, names, least, dict(distinct)),
         "doc_id long, license string, coverage double, matched_words long, start_word long, end_word long, n_found long",
     )
     return out.withColumn("doc_id", id_back("doc_id"))

@@ -403,6 +403,27 @@ def test_repeated_license_lines(spark):
     assert got == {n: ("All-rights-reserved", 1.0, n) for n in (1, 2, 3, 4, 50)} | {100 + n: ("MIT-notice", 1.0, n) for n in (1, 2, 5)} | {200: ("ISC", 1.0, 2)}
 
 
+def test_licenses_that_differ_by_a_word(spark):
+    t = license_scan.TEMPLATES
+    gnu = "This work is licensed under the GNU General Public License"
+    want = {f"before {text} after": name for name, text in t.items()} | {
+        "Licensed under the MIT License.": "MIT-notice",
+        "Released under the XYZ License.": None,
+        "Released under the MIT-0 License.": None,
+        "Licensed under CC BY-XX 4.0.": None,
+        "Licensed under CC BY-NC 3.0.": None,
+        "Licensed under the Apache License, Version 1.1.": None,
+        "Licensed under the Apache License 2.0.": "Apache-2.0-notice",
+        f"{gnu} v3.": "GPL-3.0-notice",
+        f"{gnu} v2.": "GPL-2.0-notice",
+        f"{gnu}, version 1.": None,
+        t["GPL-3.0-header"].replace("version 3", "version 1"): None,
+    }
+    docs = list(enumerate(want))
+    got = {r.doc_id: r.license for r in license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {text: got[i] for i, text in docs} == want
+
+
 def test_patience_is_a_common_subsequence():
     import random
 
