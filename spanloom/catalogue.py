@@ -178,7 +178,7 @@ def prepared_units(spark, sf):
 
 @query()
 def packed_units(spark, sf):
-    s = segments.sentence_units(table(spark, sf, "documents"), least=1, most=10_000)
+    s = segments.sentence_units(table(spark, sf, "documents"), least=1, most=1 << 30)
     per = s.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("occurrence", F.col("source").alias("text"), F.col("words").alias("tokens")))).alias("p"))
     parts = F.transform("p", lambda x: F.struct(x["text"].alias("text"), x["tokens"].alias("tokens"), F.floor(x["occurrence"] / 5).alias("paragraph")))
     units = per.select("doc_id", F.posexplode(segments.packed_units(parts, 64)).alias("seq", "u"))

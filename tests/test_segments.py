@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from spanloom import catalogue
 from spanloom.operators import joins, sampling, segments
 
 
@@ -132,3 +133,10 @@ def test_small_joins(spark):
     rows = spark.createDataFrame([("b", 1, "B"), ("a", 2, "A"), ("a", 3, "aa")], "k string, o int, s string")
     old = spark.createDataFrame([(7, "b", "old")], "id long, k string, display string")
     assert {tuple(r) for r in joins.get_or_create(rows, old, ["k"], "s", "o").collect()} == {(7, "b", "old"), (8, "a", "A")}
+
+
+def test_packed_units_keep_very_long_sentences(spark, tmp_path):
+    docs = [(1, "word " * 12_000), (2, "A short one. Then " + "word " * 10_001 + "end. And the last.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue.packed_units(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("tokens").alias("n")).collect()
+    assert {r.doc_id: r.n for r in got} == {1: 12_000, 2: 10_009}
