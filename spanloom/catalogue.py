@@ -616,7 +616,7 @@ def event_windows(spark, sf):
     SELECT doc_id, term, "offset" FROM o WHERE i < n - 1"""
 )
 def keyword_hits(spark, sf):
-    return archives.keyword_hits(table(spark, sf, "documents"), ["License", "rights"], "doc_id", most=1_000_000).select("doc_id", "term", "offset")
+    return archives.keyword_hits(table(spark, sf, "documents"), ["License", "rights"], "doc_id", most=None).select("doc_id", "term", "offset")
 
 
 @query(

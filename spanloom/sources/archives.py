@@ -81,8 +81,8 @@ def record_rows(found: DataFrame) -> DataFrame:
     return found.filter(F.col("path").rlike(r"(^|/)RECORD$")).select("archive", "path", "content").mapInPandas(run, "archive string, path string, bytes long, sha256 string")
 
 
-def keyword_hits(texts: DataFrame, terms: list[str], key: str = "path", text: str = "text", before: int = 240, after: int = 480, most: int = 200) -> DataFrame:
-    """(key, term, offset, context) of every occurrence of the terms, the first ``most`` of each key.
+def keyword_hits(texts: DataFrame, terms: list[str], key: str = "path", text: str = "text", before: int = 240, after: int = 480, most: int | None = 200) -> DataFrame:
+    """(key, term, offset, context) of every occurrence of the terms, the first ``most`` of each key (None: all).
 
     Occurrences are found by splitting on the term, so each is seen once and
     none overlaps.
@@ -95,4 +95,6 @@ def keyword_hits(texts: DataFrame, terms: list[str], key: str = "path", text: st
     hits = parts.withColumn("offset", end).withColumn("_last", last).filter(~F.col("_last"))
     context = F.substring(F.col(text), F.greatest(F.col("offset") - before, F.lit(0)).cast("int") + 1, (F.least(F.col("offset"), F.lit(before)) + after).cast("int"))
     ranked = hits.select(key, "term", F.col("offset").cast("long").alias("offset"), context.alias("context"))
+    if most is None:
+        return ranked
     return ranked.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("offset", "term"))).filter(F.col("_r") <= most).drop("_r")

@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from spanloom import catalogue
 from spanloom.operators import gates, lexical
 from spanloom.plans import ledger, providers, registry, stages
 from spanloom.sources import archives, export, ingest, subtitles
@@ -257,3 +258,13 @@ def test_enrichment(spark):
 def test_artifacts_are_plain_json():
     assert json.loads(ledger.canonical({"b": [1, 2.5], "a": None})) == {"a": None, "b": [1, 2.5]}
     assert set(gates.GATES) == {"numeric", "punctuation", "length"}
+
+
+def test_keyword_hits_without_a_cap(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "License rights " * 300)], "doc_id long, text string")
+    assert archives.keyword_hits(df, ["License", "rights"], "doc_id").count() == 200
+    assert archives.keyword_hits(df, ["License", "rights"], "doc_id", most=None).count() == 600
+    caps, plain = [], archives.keyword_hits
+    monkeypatch.setattr(catalogue, "table", lambda *_: df)
+    monkeypatch.setattr(archives, "keyword_hits", lambda *a, **k: caps.append(k.get("most", 200)) or plain(*a, **k))
+    assert catalogue.keyword_hits(spark, "").count() == 600 and caps == [None]
