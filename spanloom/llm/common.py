@@ -8,8 +8,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        bounded_batches(spark)
         self.path = f"{shared_dir(spark)}/spanloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
         _made.setdefault((spark.sparkContext.applicationId, _owner[-1]), []).append(self.path)
 
@@ -98,6 +101,13 @@ def id_back(col: str = "doc_id") -> Column:
     return F.when(F.col(col) == F.lit(NULL_ID), None).otherwise(F.col(col)).alias(col)
 
 
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Arrow batches by bytes, so that a task holds few texts at once however long they are; a setting of the user's own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB"):
+        spark.conf.set(key, size)
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes); forgets all words when it holds ``most``."""
 
@@ -210,6 +220,105 @@ def word_hashes(text: bytes | None, table: WordHashes, lower: bool = False) -> n
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+#: Bytes that are hashed at once, and the odd base of the words' hash.
+BLOCK, BASE = 1 << 18, 0xB5026F5AA96619EB
+
+
+@lru_cache(1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """BASE and its inverse modulo 2**64, to the powers 0 to BLOCK - 1."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        x = np.full(BLOCK, base, np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x))
+    return out[0], out[1]
+
+
+class Words:
+    """64-bit hashes of the words of texts, without a Python object for each word.
+
+    ``fold`` says for each byte which one it counts as; a space (32) parts
+    words. A word's hash is a polynomial in BASE over random letters, modulo
+    2**64, taken as the difference of two running sums.
+    """
+
+    def __init__(self, fold: bytes):
+        code = np.frombuffer(fold, np.uint8)
+        self.inside = code != 32
+        self.letter = mix(code.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+    def _block(self, b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first byte, last byte, raw hash) of the words of at most BLOCK bytes; ``cuts`` part texts."""
+        power, inverse = _powers()
+        w = self.inside[b]
+        first, last = w.copy(), w.copy()
+        first[1:] &= ~w[:-1]
+        last[:-1] &= ~w[1:]
+        first[cuts] = w[cuts]
+        last[cuts - 1] = w[cuts - 1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last)
+        terms = self.letter[b]
+        terms *= power[: len(b)]
+        sums = np.cumsum(terms)
+        return start, end, (sums[end] - sums[start] + terms[start]) * inverse[start]
+
+    def of(self, text: bytes | np.ndarray | None) -> np.ndarray:
+        """Hashes of one text of any length, block by block; a word may lie in many."""
+        if text is None or not len(text):
+            return np.empty(0, np.uint64)
+        b = text if isinstance(text, np.ndarray) else np.frombuffer(text, np.uint8)
+        out, held, weight = [], None, 1
+        for at in range(0, len(b), BLOCK):
+            part = b[at : at + BLOCK]
+            start, end, raw = self._block(part, np.empty(0, np.int64))
+            joined = held is not None and len(start) > 0 and start[0] == 0
+            if joined:
+                raw[0] = np.uint64((held + weight * int(raw[0])) % (1 << 64))
+            elif held is not None:
+                out.append(np.array([held], np.uint64))
+            if not (joined and len(start) == 1):
+                weight = 1
+            held = None
+            if len(end) and end[-1] == len(part) - 1 and at + BLOCK < len(b):
+                weight = weight * pow(BASE, int(end[-1] - start[-1]) + 1, 1 << 64) % (1 << 64)
+                held, raw = int(raw[-1]), raw[:-1]
+            out.append(raw)
+        return mix(np.concatenate(out))
+
+    def chunks(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(i, j, hashes, bounds) for runs of rows i to j of a binary column: row i + k has hashes[bounds[k]:bounds[k + 1]]."""
+        column = column.fill_null(b"") if column.null_count else column
+        n = len(column)
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
+        data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+        i = 0
+        while i < n:
+            j = int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1
+            b = data[offsets[i] : offsets[max(j, i + 1)]]
+            if j <= i:
+                h = self.of(b)
+                yield i, i + 1, h, np.array([0, len(h)])
+                i += 1
+                continue
+            cuts = offsets[i:j] - offsets[i]
+            start, _, raw = self._block(b, cuts[(cuts > 0) & (cuts < len(b))])
+            yield i, j, mix(raw), np.searchsorted(start, offsets[i : j + 1] - offsets[i])
+            i = j
+
+
+def parted(fold: bytes = bytes(range(256))) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of texts whose bytes count as ``fold`` says."""
+    return Words(bytes(32 if b == 32 or 9 <= b <= 13 else fold[b] for b in range(256)))
+
+
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers first[k], first[k] + 1, ... (count[k] of them), one run after the other."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
+
+
 #: Ids that are sent to every task at most (8 MB); more are joined by a shuffle.
 FEW_IDS = 1_000_000
 
@@ -217,7 +326,15 @@ FEW_IDS = 1_000_000
 def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """``docs`` without the rows whose doc_id is in the one column ``name`` of ``ids`` (null ids: NULL_ID)."""
     few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
-    return docs.join(F.broadcast(ids) if few else ids, id_or("doc_id") == F.col(name), "left_anti")
+    return docs.join(F.broadcast(ids) if few else ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == ids[name], "left_anti")
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def join_unique(rows: DataFrame, groups: DataFrame, key: list[str], size: str, hot_rows: int = 1_000, hot_keys: int = 1_024) -> DataFrame:

@@ -1,9 +1,11 @@
 """N-gram Jaccard self-join by PartEnum signatures, and the classes its links make.
 
 Sets fall into size bands; two sets that are similar enough differ in at most
-k shingles, k known from the band. Each band cuts the shingle domain into more
-than k parts, so two such sets are equal on some part: the hash of a part's
-shingles is a signature, and sets that share one are compared exactly.
+k shingles, k known from the band. Each band cuts the shingle domain into n1
+partitions and each of these into n2 parts, with n1 * (k2 + 1) > k: on some
+partition the two sets differ in k2 parts at most, so they are equal on some
+n2 - k2 of its parts. Every such subset of parts is a signature, and sets that
+share one are compared exactly.
 """
 
 from __future__ import annotations
@@ -11,37 +13,70 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Scratch, WordHashes, connected, id_back, id_or, join_unique, mix, pack, pack_ids, rolling, unpack, unpack_ids, without, word_hashes
+from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, pack, parted, rolling, spans, spare, unpack
 
-#: log2 of the least and most cells of the sketch that finds frequent shingles (64 MB in a task), words for each cell, and slices it is summed by.
-LEAST_CELLS, MOST_CELLS, CELL_WORDS, SLICES = 16, 24, 8, 64
+WORDS = parted(LOWER)
+#: log2 of the least and most cells of the sketch that finds frequent shingles (16 MB in a task), words for each cell, and slices it is summed by.
+LEAST_CELLS, MOST_CELLS, CELL_WORDS, SLICES = 16, 22, 8, 16
 #: A cell is frequent from this many times the mean on (and this count at least).
 FREQUENT, FREQUENT_LEAST = 8, 64
-#: Documents of a unit (14 bits), signatures of a unit, and bits of a signature that travel.
-UNIT_DOCS, UNIT_SIGNATURES, SIG_BITS = 1 << 14, 1 << 20, 48
+#: log2 of the documents of a unit, signatures of a unit, keys that one bucket is meant to hold, and bits of a signature that travel.
+UNIT_BITS, UNIT_SIGNATURES, BUCKET_KEYS, SIG_BITS = 12, 1 << 18, 1 << 19, 51
 #: 64-bit words of the parity sketch that bounds from below how far two sets are apart.
 PARITY = 16
 #: Bits of the filter of documents whose sets are compared.
 ID_BITS = 1 << 23
+#: Rows of a signature that one task pairs with a row before the signature is salted.
+PAIR_ROWS = 256
 
 
-def shingles(text: bytes | None, table: WordHashes, n: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles, of the whole sequence if it is shorter, none without words."""
-    h = word_hashes(text, table, lower=True)
-    return np.unique(rolling(h, min(n, len(h)))) if len(h) else h
+def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(i, j, hashes, bounds) for runs of rows of a binary column: each row's distinct n-word shingles, sorted.
 
-
-def most_apart(total: int, percent: int) -> int:
-    """The largest symmetric difference of two similar sets whose sizes add up to ``total`` at most."""
-    return max(s + 2 * (-percent * s // (100 + percent)) for s in (total, max(total - 1, 0)))
+    A text of fewer words has its whole sequence as one, a text without words none.
+    """
+    base = np.uint64(0x9E3779B97F4A7C15)
+    for i, j, h, at in WORDS.chunks(column):
+        size = np.diff(at)
+        count = np.where(size >= n, size - n + 1, size > 0)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out = np.empty(ends[-1], np.uint64)
+        whole = size >= n
+        if whole.any():
+            out[spans(ends[:-1][whole], count[whole])] = rolling(h, n)[spans(at[:-1][whole], count[whole])]
+        for m in range(1, n):
+            if len(d := np.flatnonzero(size == m)):
+                x = h[at[d]]
+                for t in range(1, m):
+                    x = x * base + h[at[d] + t]
+                out[ends[d]] = mix(x)
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            out[a:b].sort()
+        fresh = np.ones(len(out), bool)
+        fresh[1:] = out[1:] != out[:-1]
+        fresh[ends[:-1][count > 0]] = True
+        yield i, j, out[fresh], np.concatenate([[0], np.cumsum(fresh)])[ends]
+
+
+def set_hashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each set, as rows."""
+    b = bounds.tolist()
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(hashes[x:y]) for x, y in zip(b, b[1:])), np.int64).reshape(-1, 2)
+
+
+def most_apart(total, percent: int):
+    """The largest symmetric difference of two similar sets whose sizes add up to ``total`` at most (a number or an array)."""
+    one = lambda s: s + 2 * (-percent * s // (100 + percent))
+    return np.maximum(one(total), one(np.maximum(total - 1, 0)))
 
 
 @lru_cache(None)
@@ -54,90 +89,128 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(first), np.array(last)
 
 
-@lru_cache(1 << 16)
-def plan(n: int, percent: int) -> tuple[tuple[int, int, int], ...]:
-    """(instance, parts, k) for a set of n shingles: as the larger or an equal-band set, and as the smaller of a pair."""
-    first, last = bands(percent)
-    j = int(np.searchsorted(last, n))
-    reach = n * 100 // percent
-    out = []
-    for i in (j, j + 1):
-        if i == j or reach >= first[i]:
-            u = int(last[i])
-            parts = 1 if most_apart(2 * u, percent) == 0 else -(-3 * u // 10) + 1
-            out.append((i, parts, most_apart(n + min(u, reach), percent)))
-    return tuple(out)
-
-
-def signatures(s: np.ndarray, frequent: np.ndarray, percent: int = 80) -> np.ndarray:
-    """Signatures of a set, given as sorted hashes.
-
-    Rare and frequent shingles are cut into parts of their own, and as the
-    finest cut each shingle is a part. A set sends the narrowest of these
-    choices that has a cut with more than k parts: rare parts of two or more
-    shingles; all rare parts; also each rare shingle; also frequent parts; also
-    each frequent shingle. Each choice holds the ones before it. Of two similar
-    sets, the one with the narrower choice has a part in it on which both are
-    equal, and the other sends that part too. So a passage that very many
-    documents share makes no signature, but for documents that are little else.
+def shape(k: int) -> tuple[int, int, int]:
+    """(n1, n2, k2) for sets that differ in ``k`` elements at most: a few partitions more than needed, as some of a set's hold too little."""
+    return (1, k + 3, k) if k <= 2 else (-(-58 * k // 100) + 1, 3, 1)
+
+
+@lru_cache(None)
+def shapes(percent: int) -> np.ndarray:
+    """(n1, n2, k2) of each band."""
+    return np.array([shape(int(most_apart(2 * int(u), percent))) for u in bands(percent)[1]])
+
+
+def _subsets(x: np.ndarray, slot: np.ndarray, n1: np.ndarray, n2: int, k2: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the subsets of parts that hold something, their documents, and each document's partitions with more than k2 parts that do.
+
+    ``x`` are shingles in the order of their ``slot`` (a part of a partition of a document).
     """
-    if not len(s):
-        return s
-    hot = frequent[s >> np.uint64(65 - len(frequent).bit_length())]
-    split = [s[~hot], s[hot]] if hot.any() else [s, s[:0]]
-    out = []
-    for instance, parts, k in plan(len(s), percent):
-        found = []
-        for kind, x in enumerate(split):
-            if not len(x):
-                found.append((x, x, np.empty(0, np.int64)))
-                continue
-            p = ((x >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            starts = np.concatenate([[0], np.flatnonzero(p[1:] != p[:-1]) + 1])
-            found.append((p[starts] + np.uint64(kind * parts), np.add.reduceat(x, starts), np.diff(np.append(starts, len(x)))))
-        (ids, sums, counts), (hot_ids, hot_sums, _) = found
-        if (wide := counts >= 2).sum() > k:
-            ids, sums = ids[wide], sums[wide]
-        elif len(ids) <= k:
-            one = np.full(len(s), 2 * parts, np.uint64)
-            rare, common = split
-            found = [(ids, sums), (one[: len(rare)], rare)]
-            if len(rare) <= k:
-                found.append((hot_ids, hot_sums))
-                if len(rare) + len(hot_ids) <= k:
-                    found.append((one[: len(common)], common))
-            ids, sums = (np.concatenate(x) for x in zip(*found))
-        out.append(mix(mix(sums + ids * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(instance + 1)))
-    return np.concatenate(out)
-
-
-def _survey(n: int, bits: int):
+    rows = int(n1.sum())
+    sums, held = np.zeros(rows * n2, np.uint64), np.zeros(rows * n2, bool)
+    if len(x):
+        starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+        sums[slot[starts]] = np.add.reduceat(x, starts)
+        held[slot[starts]] = True
+    sums, held = sums.reshape(-1, n2), held.reshape(-1, n2)
+    doc = np.repeat(np.arange(len(n1)), n1)
+    partition = spans(np.zeros(len(n1), np.int64), n1).astype(np.uint64)
+    sig, of = [], []
+    for c, parts in enumerate(combinations(range(n2), n2 - k2)):
+        some = held[:, parts].any(1)
+        tag = partition[some] * np.uint64(16) + np.uint64(c)
+        sig.append(mix(sums[some][:, parts].sum(1, dtype=np.uint64) + tag * np.uint64(0x9E3779B97F4A7C15)))
+        of.append(doc[some])
+    return np.concatenate(sig), np.concatenate(of), np.bincount(doc, held.sum(1) > k2, len(n1)).astype(np.int64)
+
+
+def signatures(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, percent: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, set) of sets given as sorted hashes; ``frequent`` has a bit for each cell of shingles.
+
+    Rare and frequent shingles are cut into parts of their own. A set sends the
+    subsets of its rare parts. If too few of its partitions hold enough to be
+    sure of an equal subset, it also sends each rare shingle; if these are too
+    few, the subsets of frequent parts; and at last each frequent shingle. Each
+    step holds the ones before it. Of two similar sets, the one that ends first
+    has a signature on which both are equal, and the other sends it too. So a
+    passage that very many documents share makes no signature, but for documents
+    that are little else. Sets that can only be similar if they are equal send
+    none.
+    """
+    size = np.diff(bounds)
+    first, last = bands(percent)
+    shift = np.uint64(64 - (8 * len(frequent)).bit_length() + 1)
+    cell = (hashes >> shift).astype(np.int64)
+    hot = (frequent[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+    band, reach = np.searchsorted(last, size), size * 100 // percent
+    kinds = shapes(percent)
+    out_sig, out_set = [], []
+    for step in (0, 1):
+        instance = np.minimum(band + step, len(last) - 1)
+        largest = last[instance]
+        k = most_apart(size + np.minimum(largest, reach), percent)
+        live = (size > 0) & (kinds[instance][:, 2] > 0) & ((step == 0) | (reach >= first[instance]))
+        for n2, k2 in {(int(b), int(c)) for _, b, c in kinds[instance[live]]}:
+            d = np.flatnonzero(live & (kinds[instance][:, 1] == n2) & (kinds[instance][:, 2] == k2))
+            at = spans(bounds[d], size[d])
+            own = np.repeat(np.arange(len(d)), size[d])
+            x, is_hot, n1, apart = hashes[at], hot[at], kinds[instance[d]][:, 0], k[d]
+            cut = (n1 * n2).astype(np.uint64)
+            slot = (np.cumsum(n1 * n2) - n1 * n2)[own] + (((x >> np.uint64(32)) * cut[own]) >> np.uint64(32)).astype(np.int64)
+            salt = mix(instance[d].astype(np.uint64) + np.uint64(1))
+            found = []
+
+            def add(sig: np.ndarray, of: np.ndarray, kind: int, wanted: np.ndarray | None = None) -> None:
+                if wanted is not None:
+                    sig, of = sig[wanted[of]], of[wanted[of]]
+                found.append((mix(sig ^ (salt[of] + np.uint64(kind))), of))
+
+            sig, of, useful = _subsets(x[~is_hot], slot[~is_hot], n1, n2, k2)
+            add(sig, of, 0)
+            short = useful * (k2 + 1) <= apart
+            if short.any():
+                rare = np.bincount(own[~is_hot], minlength=len(d))
+                add(x[~is_hot], own[~is_hot], 1, short)
+                short &= rare <= apart
+                if short.any():
+                    sig, of, useful = _subsets(x[is_hot], slot[is_hot], n1, n2, k2)
+                    add(sig, of, 2, short)
+                    short &= rare + useful * (k2 + 1) <= apart
+                    add(x[is_hot], own[is_hot], 1, short)
+            out_sig += [s for s, _ in found]
+            out_set += [d[o] for _, o in found]
+    if not out_sig:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(out_sig), np.concatenate(out_set)
+
+
+def _names(h: np.ndarray, clash: np.ndarray, bits: int) -> np.ndarray:
+    """The 64-bit name of each set: its first hash, or the second one where another set has the same first."""
+    first = h[:, 0] >> np.int64(64 - bits)
+    return np.where(np.isin(first, clash), h[:, 1], first) if len(clash) else first
+
+
+def _survey(n: int, cell_bits: int, name_bits: int):
     """Sizes and set hashes of documents, and each task's counts of shingles by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, cells = WordHashes(), np.zeros(1 << bits, np.uint32)
+        cells = np.zeros(1 << cell_bits, np.uint32)
         for batch in batches:
-            sizes, first, second = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text, table, n)
-                np.add.at(cells, (s >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
-                h = xxhash.xxh3_128_intdigest(s.tobytes())
-                sizes.append(len(s))
-                first.append((h >> 64) - (1 << 63))
-                second.append((h & (2**64 - 1)) - (1 << 63))
-            m = len(sizes)
-            yield _batch(batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()))
+            for i, j, x, at in shingle_sets(batch.column(2), n):
+                np.add.at(cells, (x >> np.uint64(64 - cell_bits)).astype(np.int64), np.uint32(1))
+                h, m = set_hashes(x, at), j - i
+                kept = [batch.column(0).slice(i, m), batch.column(1).slice(i, m)]
+                yield _batch(*kept, pa.array(np.diff(at)), pa.array(h[:, 0] >> np.int64(64 - name_bits)), pa.array(h[:, 1]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()))
         for k, x in enumerate(cells.reshape(SLICES, -1)):
             if x.any():
                 low = zlib.compress(np.minimum(x, 65_535).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
                 none = pa.nulls(1, pa.int64())
-                yield _batch(none, none, none, none, pa.array([k], pa.int32()), pa.array([low], pa.binary()))
+                yield _batch(none, none, none, none, none, pa.array([k], pa.int32()), pa.array([low], pa.binary()))
 
     return run
 
 
 def _batch(*columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "n_shingles", "h1", "h2", "slice", "counts"])
+    return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "th", "n_shingles", "h1", "h2", "slice", "counts"])
 
 
 def _add(bits: int):
@@ -152,110 +225,123 @@ def _add(bits: int):
 
 
 def frequent_cells(survey: DataFrame, bits: int, scratch: Scratch) -> np.ndarray:
-    """One flag for each cell; the sketch has a size that is bounded whatever the input."""
+    """One bit for each cell; the sketch has a size that is bounded whatever the input."""
     rows = survey.filter("slice is not null").select("slice", "counts")
     summed = scratch.table(rows.groupBy("slice").applyInPandas(_add(bits), "slice int, total long, counts binary"), "cells")
     mean = (summed.agg(F.sum("total")).first()[0] or 0) >> bits
     least = max(FREQUENT_LEAST, FREQUENT * mean)
 
     def flags(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = [np.packbits(np.frombuffer(c, np.uint32) >= least).tobytes() for c in pdf["counts"]]
+        bits = [np.packbits(np.frombuffer(c, np.uint32) >= least, bitorder="little").tobytes() for c in pdf["counts"]]
         return pd.DataFrame({"slice": pdf["slice"], "flags": bits})
 
-    out = np.zeros((SLICES, (1 << bits) // SLICES), bool)
-    for r in summed.mapInPandas(lambda it: map(flags, it), "slice int, flags binary").collect():  # a bit for each cell: 2 MB at most
-        out[r["slice"]] = np.unpackbits(np.frombuffer(bytes(r["flags"]), np.uint8)).astype(bool)
+    out = np.zeros((SLICES, (1 << bits) // SLICES // 8), np.uint8)
+    for r in summed.mapInPandas(lambda it: map(flags, it), "slice int, flags binary").collect():  # a bit for each cell: 512 KB at most
+        out[r["slice"]] = np.frombuffer(bytes(r["flags"]), np.uint8)
     return out.reshape(-1)
 
 
-def _send(frequent, buckets: int, percent: int, n: int):
-    """Units of documents as rows (bucket, ids, keys): each signature once, from the unit's least document.
+def _send(sent, buckets: int, percent: int, n: int, name_bits: int):
+    """Units of documents as rows (bucket, nodes, keys, heads): each signature once, from the unit's least set.
 
-    A key holds the signature, whether the unit has it again, and the document's
-    place in the unit. Documents that repeat a signature within their unit are
-    known to share it; their keys skip the meeting, in buckets of their own.
+    A key holds the signature, whether the unit has it again, and the set's
+    place in ``nodes``. Sets that repeat a signature within their unit are known
+    to share it with the unit's first one (``heads``); their keys skip the
+    meeting, in buckets of their own.
     """
     low = np.uint64(SIG_BITS - buckets.bit_length() + 1)
-
-    def unit(docs: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        docs.sort(key=lambda x: x[0])
-        ids = np.array([d for d, _ in docs], np.int64)
-        sig = np.concatenate([x for _, x in docs]) >> np.uint64(64 - SIG_BITS)
-        keys = np.unique((sig << np.uint64(15)) | np.repeat(np.arange(len(docs), dtype=np.uint64), [len(x) for _, x in docs]))
-        sig = keys >> np.uint64(15)
-        again = np.zeros(len(keys), bool)
-        again[1:] = sig[1:] == sig[:-1]
-        multi = np.zeros(len(keys), bool)
-        multi[:-1] = again[1:]
-        heads = keys[~again] | (multi[~again].astype(np.uint64) << np.uint64(14))
+    one, width = np.uint64(1), np.uint64(UNIT_BITS + 1)
+
+    def unit(nodes: np.ndarray, sig: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(nodes)
+        rank = np.empty(len(nodes), np.uint64)
+        rank[order] = np.arange(len(nodes), dtype=np.uint64)
+        nodes = nodes[order]
+        keys = np.unique(((sig >> np.uint64(64 - SIG_BITS)) << width) | rank[of])
+        again = np.append(False, (keys[1:] >> width) == (keys[:-1] >> width))
+        head = np.flatnonzero(~again)
+        multi = np.diff(np.append(head, len(keys))) > 1
         out = []
-        which = (heads >> np.uint64(15)) >> low
-        cuts = np.searchsorted(which, np.arange(buckets + 1, dtype=np.uint64))
-        packed = pack_ids(ids)
-        for b in range(buckets):
-            if cuts[b] < cuts[b + 1]:
-                out.append((b, packed, pack(heads[cuts[b] : cuts[b + 1]])))
-        for i in range(0, int(again.sum()), 1 << 16):
-            out.append((buckets + int(ids[0] + i) % buckets, packed, pack(keys[again][i : i + (1 << 16)])))
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names=["bucket", "ids", "keys"])
+        heads = keys[head] | (multi.astype(np.uint64) << np.uint64(UNIT_BITS))
+        cuts = np.searchsorted(heads >> width >> low, np.arange(buckets + 1, dtype=np.uint64))
+        place = np.uint64((1 << UNIT_BITS) - 1)
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            part = heads[cuts[b] : cuts[b + 1]]
+            used, at = np.unique(part & place, return_inverse=True)
+            out.append((b, nodes[used.astype(np.int64)].tobytes(), pack((part & ~place) | at.astype(np.uint64)), None))
+        rest = np.flatnonzero(again)
+        if len(rest):
+            first = (keys & place)[head[np.searchsorted(head, rest, "right") - 1]].astype(np.uint16)
+            for i in range(0, len(rest), 1 << 14):
+                out.append((buckets + int(abs(int(nodes[0])) + i) % buckets, nodes.tobytes(), pack(keys[rest[i : i + (1 << 14)]]), first[i : i + (1 << 14)].tobytes()))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=["bucket", "nodes", "keys", "heads"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, hot = WordHashes(), frequent.value
-        docs: list[tuple[int, np.ndarray]] = []
-        size, seen = 0, {}
+        frequent, clash = sent.value
+        nodes, sigs, docs, seen, size = [], [], [], set(), 0
+
+        def whole():
+            return unit(np.concatenate(nodes), np.concatenate(sigs), np.concatenate(docs))
+
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = shingles(text, table, n)
-                if not len(s):
-                    continue
-                at = seen.setdefault((len(s), xxhash.xxh3_128_digest(s.tobytes())), len(docs))
-                if at < len(docs):  # a copy: the least id speaks for all of the unit
-                    docs[at] = (min(doc_id, docs[at][0]), docs[at][1])
-                    continue
-                docs.append((doc_id, signatures(s, hot, percent)))
-                size += len(docs[-1][1])
-                if len(docs) == UNIT_DOCS or size >= UNIT_SIGNATURES:
-                    yield unit(docs)
-                    docs, size, seen = [], 0, {}
-        if docs:
-            yield unit(docs)
+            for _, _, x, at in shingle_sets(batch.column(0), n):
+                name, count = _names(set_hashes(x, at), clash, name_bits), np.diff(at)
+                known = set() | seen
+                fresh = np.array([k for k, (m, c) in enumerate(zip(name.tolist(), count.tolist())) if c and m not in known and not known.add(m)], np.int64)
+                for i in range(0, len(fresh), 1 << UNIT_BITS):
+                    d = fresh[i : i + (1 << UNIT_BITS)]
+                    if nodes and (len(seen) + len(d) > 1 << UNIT_BITS or size >= UNIT_SIGNATURES):
+                        yield whole()
+                        nodes, sigs, docs, seen, size = [], [], [], set(), 0
+                    sig, of = signatures(x[spans(at[d], count[d])], np.concatenate([[0], np.cumsum(count[d])]), frequent, percent)
+                    docs.append(of + len(seen))
+                    nodes.append(name[d])
+                    sigs.append(sig)
+                    seen.update(name[d].tolist())
+                    size += len(sig)
+        if size:
+            yield whole()
 
     return run
 
 
 def _meet(buckets: int):
-    """Of a bucket's keys, (sig, doc_id) of the signatures that two or more documents share."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sig, doc = [], []
-        passed = pdf["bucket"].iloc[0] >= buckets
-        multi = []
-        for ids, keys in zip(pdf["ids"], pdf["keys"]):
-            x = unpack(keys)
-            sig.append(x >> np.uint64(15))
-            doc.append(unpack_ids(ids)[(x & np.uint64(0x3FFF)).astype(np.int64)])
-            multi.append((x >> np.uint64(14)) & np.uint64(1) == 1)
-        s, d, m = np.concatenate(sig), np.concatenate(doc), np.concatenate(multi)
+    """Of a bucket's keys, (sig, node, centre) of the signatures that two or more sets share; the centre has it too."""
+    width, place = np.uint64(UNIT_BITS + 1), np.uint64((1 << UNIT_BITS) - 1)
+
+    def run(table: pa.Table) -> pa.Table:
+        sig, node, last = [], [], []
+        passed = table.column("bucket")[0].as_py() >= buckets
+        for row_nodes, row_keys, row_heads in zip(*(table.column(c) for c in ("nodes", "keys", "heads"))):
+            nodes, x = np.frombuffer(row_nodes.as_py(), np.int64), unpack(row_keys.as_py())
+            sig.append(x >> width)
+            node.append(nodes[(x & place).astype(np.int64)])
+            last.append(nodes[np.frombuffer(row_heads.as_py(), np.uint16)] if passed else (x >> np.uint64(UNIT_BITS)) & np.uint64(1) == 1)
+        s, d, m = (np.concatenate(c) for c in (sig, node, last))
         if not passed:
-            order = np.argsort(s, kind="stable")
+            order = np.lexsort((d, s))
             s, d, m = s[order], d[order], m[order]
-            same = s[1:] == s[:-1]
-            m[1:] |= same
-            m[:-1] |= same
-            s, d = s[m], d[m]
-        return pd.DataFrame({"sig": s.astype(np.int64), "doc": d})
+            starts = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+            runs = np.diff(np.append(starts, len(s)))
+            wanted = np.logical_or.reduceat(m, starts) | (d[starts] != d[starts + runs - 1])
+            fresh = np.append(True, (s[1:] != s[:-1]) | (d[1:] != d[:-1])) & np.repeat(wanted, runs)
+            s, d, m = s[fresh], d[fresh], np.repeat(d[starts], runs)[fresh]
+        return pa.table({"sig": s.astype(np.int64), "node": d, "centre": m})
 
     return run
 
 
-def parity(s: np.ndarray) -> np.ndarray:
-    """For each of 1,024 cells whether an odd number of the set's hashes falls into it.
+def parity(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each of 1,024 cells whether an odd number of a set's hashes falls into it, as a row of 16 words for each set.
 
     A shingle that only one of two sets has flips one cell, so the sketches
     differ in no more cells than the sets differ in shingles.
     """
-    bits = np.bincount((s & np.uint64(PARITY * 64 - 1)).astype(np.int64), minlength=PARITY * 64) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    cells, m = PARITY * 64, len(bounds) - 1
+    own = np.repeat(np.arange(m), np.diff(bounds))
+    bits = np.bincount(own * cells + (hashes & np.uint64(cells - 1)).astype(np.int64), minlength=m * cells) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(m, PARITY)
 
 
 def _near(percent: int) -> Column:
@@ -274,72 +360,68 @@ def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
     out = []
     for x, y, p in zip(a, b, percent):
         u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(u) + len(v) - len(np.union1d(u, v)) if len(u) and len(v) else 0
+        both = len(np.intersect1d(u, v, assume_unique=True))
         out.append(100 * both >= p * (len(u) + len(v) - both))
     return pd.Series(out, dtype=bool)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """(id, size, members) of the documents in ``wanted`` (doc), found by a filter of fixed size that lets some others in too."""
-    place = F.pmod(F.xxhash64("doc"), F.lit(ID_BITS))
-    bits = wanted.select(place.alias("at")).groupBy(F.expr("cast(at div 32768 as int)").alias("_word")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("_bits"))
-    near = docs.withColumn("_at", F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))).withColumn("_word", F.expr("cast(_at div 32768 as int)"))
-    near = near.join(F.broadcast(bits), "_word")  # 256 rows of 4 KB at most
-    near = near.filter(F.expr("(cast(conv(hex(substr(_bits, cast((_at % 32768) div 8 as int) + 1, 1)), 16, 10) as int) >> cast(_at % 8 as int)) & 1 = 1"))
+def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, scratch: Scratch) -> DataFrame:
+    """(id, size, members, sketch) of the sets of the rows in ``wanted`` (row), found by a filter of fixed size that lets some others in too."""
+    at = F.pmod("row", F.lit(ID_BITS))
+    bits = wanted.select(at.alias("at")).groupBy(F.expr("cast(at div 32768 as int)").alias("word")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
+    near = source.select("text", F.pmod(_row("doc_id", "th"), F.lit(ID_BITS)).alias("at")).withColumn("word", F.expr("cast(at div 32768 as int)"))
+    near = near.join(F.broadcast(bits), "word")  # 256 rows of 4 KB at most
+    near = near.filter(F.expr("(cast(conv(hex(substr(bits, cast((at % 32768) div 8 as int) + 1, 1)), 16, 10) as int) >> cast(at % 8 as int)) & 1 = 1"))
+    names = [f"p{i}" for i in range(PARITY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
+        clash, seen = sent.value[1], set()
         for batch in batches:
-            texts, ids = batch.column(1), batch.column(0)
-            for i in range(0, batch.num_rows, 500):
-                sets = [shingles(t, table, n) for t in texts.slice(i, 500).to_pylist()]
-                sketches = np.array([parity(s) for s in sets], np.int64).reshape(-1, PARITY)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(c) for c in sketches.T)],
-                    names=["id", "size", "members", *names],
-                )
+            for _, _, x, at in shingle_sets(batch.column(0), n):
+                name, count = _names(set_hashes(x, at), clash, name_bits), np.diff(at)
+                fresh = np.array([k for k, (m, c) in enumerate(zip(name.tolist(), count.tolist())) if c and m not in seen and not seen.add(m)], np.int64)
+                for i in range(0, len(fresh), 256):
+                    d = fresh[i : i + 256]
+                    own, ends = x[spans(at[d], count[d])], np.concatenate([[0], np.cumsum(count[d])])
+                    members = pa.array([own[a:b].tobytes() for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(name[d]), pa.array(count[d]), members, *(pa.array(c) for c in parity(own, ends).T)], names=["id", "size", "members", *names])
 
-    names = [f"p{i}" for i in range(PARITY)]
-    return scratch.table(near.select("doc_id", "text").mapInArrow(run, "id long, size long, members binary, " + ", ".join(f"{x} long" for x in names)), "sets")
+    sets = scratch.table(near.select("text").mapInArrow(run, "id long, size long, members binary, " + ", ".join(f"{x} long" for x in names)), "sets")
+    # A task gives a set once; only rows that repeat an id and its text can give it in two tasks.
+    twice = sets.groupBy("id").count().filter("count > 1").limit(1).count()
+    return scratch.table(sets.dropDuplicates(["id"]), "sets1") if twice else sets
 
 
-def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, n_copies).
+def _row(doc_id: str, th: str) -> Column:
+    return F.xxhash64(F.col(doc_id), F.col(th))
 
-    Words are lower-cased (A-Z); a document's set is its distinct n-word
-    shingles, the whole word sequence as one if it is shorter. Two documents
-    link when 100 * intersection >= percent * union; ``component_id`` is the
-    least doc_id that links reach. Null and empty texts have an empty set and
-    stay alone. Repeated rows are copies; a null doc_id sorts first and comes
-    back null. Other columns are not read; an empty table gives no rows.
 
-    Copies of a set are one member. Candidate pairs are checked in three rounds,
-    each leaving out pairs that are in one class already: every document with
-    the least one it shares a signature with; with the least of each signature;
-    then all pairs that share a signature. No candidate is capped.
-    """
+def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bits: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, th, n_shingles, n_copies, best) of every row: ``th`` hashes its text, ``best`` is the first row (no_id, doc_id, th) of its class."""
     spark = docs.sparkSession
-    scratch = Scratch(spark)
-    source = docs.select(id_or("doc_id"), F.col("text").cast("binary").alias("text"))
+    text = F.col("text").cast("binary")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     words = (source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     bits = min(MOST_CELLS, max(LEAST_CELLS, (words // CELL_WORDS).bit_length()))
-    survey = scratch.table(source.mapInArrow(_survey(n, bits), "doc_id long, n_shingles long, h1 long, h2 long, slice int, counts binary"), "survey")
-    meta = survey.filter("slice is null").select("doc_id", "n_shingles", "h1", "h2")
+    survey = source.mapInArrow(_survey(n, bits, name_bits), "doc_id long, th long, n_shingles long, h1 long, h2 long, slice int, counts binary")
+    survey = scratch.table(survey, "survey")
+    meta = survey.filter("slice is null").drop("slice", "counts")
     key = ["n_shingles", "h1", "h2"]
-    groups = scratch.table(meta.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")), "groups")
-    total = meta.agg(F.sum("n_shingles")).first()[0] or 0
-    frequent = spark.sparkContext.broadcast(frequent_cells(survey, bits, scratch))
+    first_row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    groups = meta.filter("n_shingles > 0").groupBy(*key).agg(F.min(first_row).alias("rep"), F.count("*").alias("n_copies"))
+    groups = scratch.table(groups, "groups")
+    clash = [r[0] for r in groups.groupBy("h1").count().filter("count > 1").select("h1").limit(FEW_IDS).collect()]  # about one in 2**64 / rows
+    again = spark.createDataFrame([(x,) for x in clash], "h1 long").withColumn("clash", F.lit(True))
+    groups = groups.join(F.broadcast(again), "h1", "left").withColumn("node", F.when(F.col("clash"), F.col("h2")).otherwise(F.col("h1"))).drop("clash")
+    sent = spark.sparkContext.broadcast((frequent_cells(survey, bits, scratch), np.array(sorted(clash), np.int64)))
     if buckets is None:
-        buckets = 1 << max(4, (int(total) >> 21).bit_length())
+        buckets = 1 << max(4, (words // BUCKET_KEYS).bit_length())
 
-    sent = source.mapInArrow(_send(frequent, buckets, percent, n), "bucket int, ids binary, keys binary")
-    shared = sent.groupBy("bucket").applyInPandas(_meet(buckets), "sig long, doc long")
-    shared = scratch.table(shared, "shared")
-    members = shared.join(groups.select(F.col("rep").alias("doc")), "doc", "left_semi").distinct()
-    members = scratch.table(members, "members")
-    stars = members.groupBy("sig").agg(F.min("doc").alias("centre"), F.count("*").alias("m")).filter("m > 1").drop("m")
-    stars = scratch.table(members.join(stars, "sig").filter("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct(), "stars")
-    sets = _sets(source, stars.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), n, scratch)
+    units = source.select("text").mapInArrow(_send(sent, buckets, percent, n, name_bits), "bucket int, nodes binary, keys binary, heads binary")
+    shared = scratch.table(units.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, node long, centre long"), "shared")
+    stars = scratch.table(shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node").select(_row("rep.doc_id", "rep.th").alias("row"))
+    sets = _sets(source, wanted, n, sent, name_bits, scratch)
 
     similar = F.pandas_udf(_similar, "boolean")
     links, comp, checked = None, None, None
@@ -349,13 +431,7 @@ def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int
         elif k == 1:
             pairs = _apart(stars, comp)
         else:
-            at = members.join(comp, members.doc == comp.id, "left").select("sig", "doc", F.coalesce("comp", "doc").alias("comp"))
-            open_ = at.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("sig")
-            at = scratch.table(at.join(open_, "sig", "left_semi"), "open")
-            x = at.select("sig", F.col("doc").alias("a"), F.col("comp").alias("ca")).join(_sketch(sets, "a"), "a")
-            y = at.select("sig", F.col("doc").alias("b"), F.col("comp").alias("cb")).join(_sketch(sets, "b"), "b")
-            pairs = x.join(y, "sig").filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+            pairs = _open_pairs(shared, comp, sets, percent, scratch).join(checked, ["a", "b"], "left_anti")
         asked = scratch.table(pairs, f"pairs{k}")
         checked = asked if checked is None else checked.unionByName(asked)
         left, right = sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), sets.select(F.col("id").alias("b"), F.col("members").alias("mb"))
@@ -364,11 +440,14 @@ def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int
         true = scratch.table(true.distinct(), f"links{k}")
         links = true if links is None else links.unionByName(true)
         comp = connected(links, scratch, f"comp{k}")
-    classes = groups.join(comp, groups.rep == comp.id, "left").select(*key, "n_copies", F.coalesce("comp", "rep").alias("component_id"))
-    found = join_unique(meta.filter("n_shingles > 0"), scratch.table(classes, "classes"), key, "n_copies")
-    alone = meta.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_copies", F.lit(1).cast("long"))
-    out = found.unionByName(alone)
-    return out.select(id_back("doc_id"), "n_shingles", F.when(F.col("component_id") == NULL_ID, None).otherwise(F.col("component_id")).alias("component_id"), "n_copies")
+    sent.unpersist()
+    linked = groups.join(comp.withColumnRenamed("id", "node"), "node")
+    best = scratch.table(linked.groupBy("comp").agg(F.min("rep").alias("best"), F.count("*").alias("n")), "best")
+    linked = join_unique(linked, best, ["comp"], "n").select("node", "best")
+    classes = scratch.table(groups.join(linked, "node", "left").select(*key, "n_copies", F.coalesce("best", "rep").alias("best")), "classes")
+    found = join_unique(meta.filter("n_shingles > 0"), classes, key, "n_copies")
+    alone = meta.filter("n_shingles = 0").withColumn("best", first_row).withColumn("n_copies", F.lit(1).cast("long"))
+    return found.unionByName(alone).select("doc_id", "th", "n_shingles", "n_copies", "best")
 
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -379,20 +458,67 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def drop_similar(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id.
+def _open_pairs(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """All pairs (a, b) that share a signature, are in different classes, and that sizes and sketches let be similar.
+
+    A signature of many sets is salted: each row meets its partners in parts of
+    PAIR_ROWS, which are dealt to tasks like keys of their own.
+    """
+    at = shared.join(comp.withColumnRenamed("id", "node"), "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+    per = at.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).filter("low <> high")
+    salts = F.ceil(F.col("m") / PAIR_ROWS).cast("int").alias("salts")
+    at = scratch.table(at.join(per.select("sig", salts), "sig").distinct(), "open")
+    x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt")).join(_sketch(sets, "a"), "a")
+    y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), "salts").join(_sketch(sets, "b"), "b")
+    y = y.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return x.join(y, ["sig", "salt"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
+
+
+def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None, name_bits: int = 64) -> DataFrame:
+    """One row per document: (doc_id, n_shingles, component_id, n_copies).
+
+    Words are lower-cased (A-Z); a document's set is its distinct n-word
+    shingles, the whole word sequence as one if it is shorter. Two documents
+    link when 100 * intersection >= percent * union; ``component_id`` is the
+    least doc_id that links reach. Null and empty texts have an empty set and
+    stay alone. Rows are told apart by their sets, not by their ids: rows that
+    repeat an id or have none are documents of their own. A null doc_id counts
+    as the largest, so a class has a null component_id only if none of its rows
+    has an id. Other columns are not read; an empty table gives no rows.
+
+    Copies of a set are one member, named by ``name_bits`` of a hash (the few
+    sets that share a name get another). Candidate pairs are checked in three
+    rounds, each leaving out pairs that are in one class already: every set with
+    the least one it shares a signature with; with one of each signature; then
+    all pairs that share a signature. No candidate is capped.
+    """
+    out = _classes(docs, n, percent, buckets, name_bits, Scratch(docs.sparkSession))
+    return out.select("doc_id", "n_shingles", F.col("best.doc_id").alias("component_id"), "n_copies")
+
+
+def drop_similar(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None) -> DataFrame:
+    """``docs`` with one document of each class: the one with the least id (null ids last), then the least hash of the text.
 
-    Rows without an id cannot be told apart and stay. Of rows that repeat an id
-    one stays (any, if their texts differ); the rest of them is found by the
-    count of rows, so that a table without repeats is not shuffled for it.
+    Documents without words all stay. Of rows that repeat both id and text one
+    stays; they are found by the count of rows, so that a table without repeats
+    is not shuffled for it. The columns of ``docs`` may have any names.
     """
     scratch = Scratch(docs.sparkSession)
-    found = scratch.table(similar_classes(docs, **options), "similar")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    out = without(docs, scratch.table(gone, "gone"), "_gone")
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    found = scratch.table(_classes(docs, n, percent, buckets, 64, scratch), "similar").filter("n_shingles > 0")
+    is_best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
+    gone = scratch.table(found.filter(~is_best).select("doc_id", "th").distinct(), "gone")
+    out = _rows_in(docs, gone, "left_anti")
+    again = found.filter(is_best).groupBy("doc_id", "th").count().filter("count > 1").select("doc_id", "th")
     if again.isEmpty():
         return out
-    again = scratch.table(again, "again")
-    once = out.join(again, out.doc_id == again["_again"], "left_semi").dropDuplicates(["doc_id"])
-    return without(out, again, "_again").unionByName(once)
+    again, rest = scratch.table(again, "again"), Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
+    place = spare(docs, "place")
+    once = _rows_in(out, again, "left_semi").withColumn(place, F.row_number().over(rest)).filter(F.col(place) == 1).drop(place)
+    return _rows_in(out, again, "left_anti").unionByName(once)
+
+
+def _rows_in(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose id and text hash are (or are not) in ``rows`` (doc_id, th)."""
+    few = rows.limit(FEW_IDS + 1).count() <= FEW_IDS
+    on = docs["doc_id"].cast("long").eqNullSafe(rows["doc_id"]) & (F.xxhash64(docs["text"].cast("binary")) == rows["th"])
+    return docs.join(F.broadcast(rows) if few else rows, on, how)

@@ -12,6 +12,8 @@ import pytest
 from spanloom.llm import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
 from spanloom.llm.common import pack, pack_ids, pieces, unpack, unpack_ids
 
+from .conftest import words
+
 LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -441,45 +443,68 @@ def test_patience_is_a_common_subsequence():
 
 
 def brute_classes(docs, percent=80):
-    sets = {}
-    for i, t in docs:
+    """(n_shingles, component_id, class) of each row (id, text); a missing id counts as the largest."""
+    sets = []
+    for _, t in docs:
         w = (t or "").encode().translate(LOW).split()
-        sets[i] = frozenset([tuple(w)]) if 0 < len(w) < 5 else frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))
-    least = {i: i for i in sets}
+        sets.append(frozenset([tuple(w)]) if 0 < len(w) < 5 else frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)))
+    least = list(range(len(docs)))
 
     def find(x):
         while least[x] != x:
             x = least[x]
         return x
 
-    ids = sorted(sets)
-    for x, a in enumerate(ids):
-        for b in ids[x + 1 :]:
-            both = len(sets[a] & sets[b])
-            if both and 100 * both >= percent * len(sets[a] | sets[b]):
-                u, v = find(a), find(b)
-                least[max(u, v)] = min(u, v)
-    return {i: (len(sets[i]), find(i)) for i in ids}
-
-
-def test_classes_odd_rows(odd, nothing, plain_rows):
-    got = ngram_join.similar_classes(odd).collect()
-    assert len(got) == len(plain_rows)
-    want = brute_classes([(i, t) for i, t, _ in plain_rows if i is not None])
-    for r in got:
-        if r.doc_id is not None:
-            assert (r.n_shingles, r.component_id) == want[r.doc_id], r
-    assert ngram_join.similar_classes(nothing).count() == 0
-    kept = [r.doc_id for r in ngram_join.drop_similar(odd).collect()]
-    assert sorted(k for k in kept if k is not None) == sorted({c for _, c in want.values()}) and kept.count(None) == 2
-
-
-def test_classes_near_the_threshold(spark):
+    for x, a in enumerate(sets):
+        for y in range(x + 1, len(sets)):
+            both = len(a & sets[y])
+            if both and 100 * both >= percent * len(a | sets[y]):
+                least[max(find(x), find(y))] = min(find(x), find(y))
+    ids = {}
+    for x, (i, _) in enumerate(docs):
+        ids.setdefault(find(x), []).append(i)
+    known = {k: min((i for i in v if i is not None), default=None) for k, v in ids.items()}
+    return [(len(sets[x]), known[find(x)], find(x)) for x in range(len(docs))]
+
+
+def assert_classes(spark, docs, **options):
+    got = ngram_join.similar_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), **options)
+    want = brute_classes(docs)
+    assert tally(got, "doc_id", "n_shingles", "component_id") == Counter((i, n, c) for (i, _), (n, c, _) in zip(docs, want))
+    return want
+
+
+def test_classes_odd_rows(spark, odd, nothing, plain_rows):
+    docs = [r[:2] for r in plain_rows]
+    want = assert_classes(spark, docs)
+    assert tally(ngram_join.similar_classes(odd), "doc_id", "n_shingles", "component_id") == Counter((i, n, c) for (i, _), (n, c, _) in zip(docs, want))
+    assert ngram_join.similar_classes(nothing).count() == 0 and ngram_join.drop_similar(nothing).count() == 0
+    kept = ngram_join.drop_similar(odd)
+    assert kept.columns == odd.columns
+    # One row of each class, and all rows without words.
+    best = {}
+    for (i, _), (n, _, k) in zip(docs, want):
+        best.setdefault(k if n else (k, "alone"), []).append(i)
+    least = [min(v, key=lambda i: (i is None, i or 0)) for v in best.values()]
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(least)
+
+
+def test_classes_of_shared_and_missing_ids(spark):
+    a, b, c = words(60, 31), words(60, 32), words(60, 33)
+    near = lambda t: t + " tail"
+    docs = [(1, a), (None, near(a)), (2, b), (None, near(b)), (None, c), (None, near(c)), (7, words(50, 34)), (7, words(50, 35)), (7, near(words(50, 34))), (8, near(words(50, 35)))]
+    assert_classes(spark, docs)
+    assert_classes(spark, docs * 3, name_bits=2)  # names of sets that clash
+    kept = ngram_join.drop_similar(spark.createDataFrame(docs * 2, "doc_id long, text string"))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, None, 7, 7])
+
+
+def test_classes_near_the_threshold(spark, monkeypatch):
     import random
 
     r = random.Random(8)
     docs, i = [], 0
-    for size in (1, 4, 5, 6, 9, 14, 30, 60, 200):
+    for size in (1, 4, 5, 6, 7, 9, 11, 14, 18, 30, 60, 200):
         base = [f"w{r.randint(0, 10**6)}" for _ in range(size)]
         for edits in (0, 0, 1, 1, 2, 3, 4, 6):
             t = base.copy()
@@ -488,25 +513,60 @@ def test_classes_near_the_threshold(spark):
                 t[k : k + r.randint(0, 1)] = [f"e{r.randint(0, 10**6)}"]
             docs.append((i, " ".join(t)))
             i += 1
+    # Documents that share a very frequent passage, some little else, and near copies of these.
     common = " ".join(f"c{k}" for k in range(40))
-    docs += [(i + k, common + " " + " ".join(f"o{k}x{j}" for j in range(r.choice([1, 3, 8, 20])))) for k in range(150)]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.similar_classes(df).collect()}
-    assert got == brute_classes(docs)
+    for k in range(150):
+        own = [f"o{k}x{j}" for j in range(r.choice([1, 3, 8, 20]))]
+        docs.append((i + 2 * k, common + " " + " ".join(own)))
+        docs.append((i + 2 * k + 1, common + " " + " ".join(own[:-1] + ["z"] * r.randint(0, 2))))
+    assert_classes(spark, docs)
+    monkeypatch.setattr(ngram_join, "PAIR_ROWS", 5)  # salted signatures
+    assert_classes(spark, docs, buckets=2)
 
 
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(9)
-    none, some = np.zeros(1 << 16, bool), r.random(1 << 16) < 0.6
+    none = np.zeros(1 << 13, np.uint8)
+    some = np.packbits(r.random(1 << 16) < 0.6, bitorder="little")
+    found = 0
     for frequent in (none, some, ~none):
-        for _ in range(400):
-            n = int(r.integers(1, 300))
-            s = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
-            gone, new = int(r.integers(0, len(s) // 8 + 1)), int(r.integers(0, len(s) // 8 + 1))
-            other = np.unique(np.concatenate([r.choice(s, len(s) - gone, replace=False), r.integers(0, 2**64, new, dtype=np.uint64)]))
-            both = len(np.intersect1d(s, other))
-            if 100 * both >= 80 * (len(s) + len(other) - both):
-                assert len(np.intersect1d(ngram_join.signatures(s, frequent), ngram_join.signatures(other, frequent)))
+        for percent in (80, 60):
+            for _ in range(400):
+                n = int(r.integers(1, 300 if r.random() < 0.5 else 25))
+                s = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+                gone, new = int(r.integers(0, len(s) // 6 + 1)), int(r.integers(0, len(s) // 6 + 1))
+                other = np.unique(np.concatenate([r.choice(s, len(s) - gone, replace=False), r.integers(0, 2**64, new, dtype=np.uint64)]))
+                both = len(np.intersect1d(s, other))
+                if 100 * both >= percent * (len(s) + len(other) - both) and len(s) + len(other) > 2 * both:
+                    sig, of = ngram_join.signatures(np.concatenate([s, other]), np.array([0, len(s), len(s) + len(other)]), frequent, percent)
+                    assert len(np.intersect1d(sig[of == 0], sig[of == 1]))
+                    found += 1
+    assert found > 500
+
+
+def test_shapes_leave_an_equal_subset():
+    for k in range(1, 400):
+        n1, n2, k2 = ngram_join.shape(k)
+        assert n1 * (k2 + 1) > k and 0 < k2 < n2
+
+
+def test_shingle_sets_against_plain_words():
+    import pyarrow as pa
+
+    r = random.Random(12)
+    texts = ["".join(r.choices("aAbB \n\t", k=r.choice([0, 2, 9, 200]))) for _ in range(200)] + [None, "x" * 600_000 + " y", words(90_000, 13)]
+    found = {}
+    for i, j, x, at in ngram_join.shingle_sets(pa.array([None if t is None else t.encode() for t in texts], pa.binary()), 5):
+        for k in range(j - i):
+            found[i + k] = x[at[k] : at[k + 1]].tolist()
+    names = {}
+    for i, t in enumerate(texts):
+        w = (t or "").lower().split()
+        want = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+        assert len(found[i]) == len(want) and sorted(found[i]) == found[i]
+        if len(want) == 1:
+            assert names.setdefault(next(iter(want)), found[i][0]) == found[i][0]
+    assert len(set(names.values())) == len(names)
 
 
 # 10 Exact dedup.
