@@ -135,14 +135,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def rolling(hashes: np.ndarray, n: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """Hash of every n consecutive word hashes (none if there are fewer)."""
+    """Hash of every n consecutive word hashes (none if there are fewer): a polynomial in ``base``, by doubling."""
     m = len(hashes) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    b, out = np.uint64(base), hashes[:m].copy()
-    for i in range(1, n):
-        out *= b
-        out += hashes[i : i + m]
+    out, length = hashes, 1
+    for bit in bin(n)[3:]:
+        out = out[: len(out) - length] * np.uint64(pow(base, length, 1 << 64)) + out[length:]
+        length *= 2
+        if bit == "1":
+            out = out[:-1] * np.uint64(base) + hashes[length:]
+            length += 1
     return mix(out)
 
 
@@ -167,21 +170,16 @@ def unpack(blob: bytes) -> np.ndarray:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Unsigned integers in any order, byte plane by byte plane, as many as the largest needs."""
-    if not len(values):
-        return b""
+    """Integers in any order, byte plane by byte plane, as many as the largest needs (as unsigned ones); zeros need none."""
     v = values.astype(np.uint64)
-    width = max(1, (int(v.max()).bit_length() + 7) // 8)
-    return bytes([width]) + v.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+    width = (int(v.max(initial=0)).bit_length() + 7) // 8
+    return bytes([width]) + len(v).to_bytes(4, "little") + v.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
 def unplane(blob: bytes) -> np.ndarray:
-    if not blob:
-        return np.empty(0, np.int64)
-    width = blob[0]
-    n = (len(blob) - 1) // width
+    width, n = blob[0], int.from_bytes(blob[1:5], "little")
     v = np.zeros((n, 8), np.uint8)
-    v[:, :width] = np.frombuffer(blob, np.uint8, offset=1).reshape(width, n).T
+    v[:, :width] = np.frombuffer(blob, np.uint8, offset=5).reshape(width, n).T
     return v.reshape(-1).view(np.int64)
 
 
@@ -329,6 +327,29 @@ def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == ids[name], "left_anti")
 
 
+def small(df: DataFrame, most: int = FEW_IDS) -> DataFrame:
+    """``df``, a written table, to be sent to every task if it has at most ``most`` rows; else a join shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def told_apart(docs: DataFrame, scratch: Scratch, **extra: Column) -> DataFrame:
+    """(doc_id, th, text, and the columns ``extra``) of each row: id and ``th`` tell documents apart.
+
+    ``th`` hashes the text of rows that have no id or share it with others, and
+    is 0 for all others. A missing id is NULL_ID.
+    """
+    text = F.col("text").cast("binary")
+    source = docs.select(id_or("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"), *[c.alias(k) for k, c in extra.items()])
+    again = scratch.table(source.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")), "again")
+    n = again.limit(FEW_IDS + 1).count()
+    if not n:
+        return source.withColumn("th", F.lit(0).cast("long"))
+    if n > FEW_IDS:  # too many to send: all rows are told apart by their texts
+        return source
+    marked = source.join(F.broadcast(again), source["doc_id"] == again["again"], "left")
+    return marked.withColumn("th", F.when(F.col("again").isNotNull(), F.col("th")).otherwise(0)).drop("again")
+
+
 def spare(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as make it no column of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -9,19 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, id_back, id_or, mix, pieces, rolling, without
+from .common import Scratch, Words, id_back, id_or, mix, rolling, without
 
 #: Bytes of benchmark text that one pass over the documents looks for.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 MATCH, MISMATCH, GAP = 2, 1, 1
 #: Lower-case letters; ASCII signs count as white space, all other bytes stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def folded_words(text: bytes | None, table: WordHashes) -> np.ndarray:
-    if not text:
-        return np.empty(0, np.uint64)
-    return np.concatenate([table.array(p.translate(FOLD).split()) for p in pieces(text)])
+FOLDED = Words(FOLD)
 
 
 def smith_waterman(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
@@ -52,35 +49,33 @@ def smith_waterman(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]
 
 
 class Seeds:
-    """The n-grams of a block of benchmark items and where each occurs in them."""
+    """Hashes of short word patterns of a list of items, and where each occurs in them."""
 
-    def __init__(self, items: list[tuple[int, bytes]], n: int):
-        table = WordHashes()
-        self.items = [(i, w) for i, t in items if len(w := folded_words(t, table))]
-        rows = []
-        for k, (_, words) in enumerate(self.items):
-            size = min(n, len(words))
-            for at, h in enumerate(rolling(words, size)):
-                rows.append((int(h), size, k, at))
-        rows.sort()
-        self.sizes = sorted({r[1] for r in rows})
-        self.hash = np.array([r[0] for r in rows], np.uint64)
-        self.size = np.array([r[1] for r in rows], np.int64)
-        self.item = np.array([r[2] for r in rows], np.int64)
-        self.at = np.array([r[3] for r in rows], np.int64)
+    items: list[tuple[int, np.ndarray]]
+    sizes: list[int]
+    hash: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+
+    def _set(self, rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Takes (hash, item, place) in any order; gives the order they are kept in."""
+        hash_, item, at = (np.concatenate(c) for c in zip(*rows)) if rows else (np.empty(0, np.int64),) * 3
+        order = np.argsort(hash_, kind="stable")
+        self.hash, self.item, self.at = hash_[order].astype(np.uint64), item[order], at[order]
         self.keys = np.unique(self.hash)
         self._gate()
+        return order
 
     def _gate(self) -> None:
         self.gate = np.zeros(1 << 20, bool)
         self.gate[self.keys >> np.uint64(44)] = True
 
     def grams(self, words: np.ndarray, size: int) -> np.ndarray:
-        return rolling(words, size)
+        return word_pairs(words, size)
 
-    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, index in keys) of every seed in a word sequence."""
-        where, which = [], []
+    def find(self, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, position in it, index in keys) of every seed in texts laid end to end, in the order of the texts."""
+        where, which, after = [], [], []
         for n in self.sizes:
             h = self.grams(words, n)
             p = np.flatnonzero(self.gate[h >> np.uint64(44)])
@@ -90,7 +85,21 @@ class Seeds:
             good = self.keys[k] == h[p]
             where.append(p[good])
             which.append(k[good])
-        return (np.concatenate(where), np.concatenate(which)) if where else (np.empty(0, np.int64),) * 2
+            after.append(p[good] + n)
+        if not where:
+            return (np.empty(0, np.int64),) * 3
+        where, which, after = (np.concatenate(x) for x in (where, which, after))
+        text = np.searchsorted(bounds, where, "right") - 1
+        inside = after < bounds[text + 1]  # a pattern must not reach into the next text
+        order = np.flatnonzero(inside)[np.argsort(text[inside], kind="stable")]
+        return text[order], where[order] - bounds[text[order]], which[order]
+
+
+def by_text(text: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(text, columns) for each run of rows of one text."""
+    if len(text):
+        for part in np.split(np.arange(len(text)), np.flatnonzero(np.diff(text)) + 1):
+            yield (int(text[part[0]]), *(c[part] for c in columns))
 
 
 def sure_pairs(m: int, n: int, threshold: float) -> int:
@@ -120,25 +129,18 @@ class PairSeeds(Seeds):
     """
 
     def __init__(self, items: list[tuple[int, bytes]], n: int, threshold: float):
-        table = WordHashes()
-        self.items = [(i, w) for i, t in items if len(w := folded_words(t, table))]
-        rows, places, quota = [], [], []
+        self.items = [(i, w) for i, t in items if len(w := FOLDED.of(t))]
+        rows, places, quota, used = [], [], [], set()
         for k, (_, words) in enumerate(self.items):
             m, sure = len(words), sure_pairs(len(words), n, threshold)
             gaps = range(1, min(n, m)) if sure > 0 else (0,)
             places.append(m - gaps[0])
             quota.append(places[-1] + 1 - (sure if sure > 0 else max(1, -int(-(threshold * m - 1e-9) // 1))))
-            rows += [(h := word_pairs(words, g), np.full(len(h), g), np.full(len(h), k), np.arange(len(h))) for g in gaps]
-        hash_, gap, item, at = (np.concatenate(c) for c in zip(*rows)) if rows else (np.empty(0, np.int64),) * 4
-        order = np.argsort(hash_, kind="stable")
-        self.hash, self.item, self.at = hash_[order].astype(np.uint64), item[order], at[order]
-        self.sizes = ([0] if (gap == 0).any() else []) + (list(range(1, n)) if (gap > 0).any() else [])
+            used.update(gaps)
+            rows += [(h := word_pairs(words, g), np.full(len(h), k), np.arange(len(h))) for g in gaps]
+        self.sizes = sorted(used)
         self.places, self.quota = np.array(places, np.int64), np.array(quota, np.int64)
-        self.keys = np.unique(self.hash)
-        self._gate()
-
-    def grams(self, words: np.ndarray, size: int) -> np.ndarray:
-        return word_pairs(words, size)
+        self._set(rows)
 
     def keep_rare(self, df: np.ndarray) -> None:
         """Keeps each item's ``quota`` places whose pairs the fewest documents hold, less pairs that none holds."""
@@ -158,11 +160,12 @@ class PairSeeds(Seeds):
 
 def _frequencies(seeds):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = seeds.value, WordHashes()
+        own = seeds.value
         df = np.zeros(len(own.keys), np.int64)
         for batch in batches:
-            for text in batch.column(1).to_pylist():
-                df[np.unique(own.find(folded_words(text, table))[1])] += 1
+            for _, _, words, at in FOLDED.chunks(batch.column(1)):
+                text, _, which = own.find(words, at)
+                np.add.at(df, np.unique(text * len(df) + which) % max(len(df), 1), 1)
         k = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(df[k], pa.int64())], names=["k", "n"])
 
@@ -171,16 +174,14 @@ def _frequencies(seeds):
 
 def _align(seeds, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = seeds.value, WordHashes()
+        own = seeds.value
         first = np.searchsorted(own.hash, own.keys, "left")
         last = np.searchsorted(own.hash, own.keys, "right")
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = folded_words(text, table)
-                where, which = own.find(words)
-                if len(where):
-                    rows += [(doc_id, *r) for r in _aligned(own, words, where, which, first, last, threshold)]
+            ids, rows = batch.column(0).to_numpy(), []
+            for i, _, words, at in FOLDED.chunks(batch.column(1)):
+                for k, where, which in by_text(*own.find(words, at)):
+                    rows += [(ids[i + k], *r) for r in _aligned(own, words[at[k] : at[k + 1]], where, which, first, last, threshold)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "item_id", "score", "start_word", "end_word"],
@@ -251,8 +252,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, threshold: flo
         df = np.zeros(len(seeds.keys), np.int64)
         sent = spark.sparkContext.broadcast(seeds)
         counts = source.mapInArrow(_frequencies(sent), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-        for r in counts.collect():  # one row for each seed of the block
-            df[r["k"]] = r["n"]
+        counts = counts.toArrow()  # one row for each seed of the block
+        df[counts["k"].to_numpy()] = counts["n"].to_numpy()
         seeds.keep_rare(df)
         sent = spark.sparkContext.broadcast(seeds)
         found = source.mapInArrow(_align(sent, threshold), "doc_id long, item_id long, score double, start_word long, end_word long")
@@ -266,5 +267,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
     Rows that share an id go together, those without an id too.
     """
-    found = find_leaks(docs, benchmark, **options).select(id_or("doc_id").alias("_leak")).distinct()
-    return without(docs, Scratch(docs.sparkSession).table(found, "leaks"), "_leak")
+    found = find_leaks(docs, benchmark, **options).select(id_or("doc_id").alias("leak")).distinct()
+    return without(docs, Scratch(docs.sparkSession).table(found, "leaks"), "leak")

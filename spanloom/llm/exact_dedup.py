@@ -29,17 +29,16 @@ def sha_key(norm: Column) -> Column:
     return F.unhex(F.sha2(norm.cast("binary"), 256))
 
 
-def directory(keys: DataFrame, capacity: int) -> DataFrame:
-    """The extendible-hash directory: (slot, bucket) for every slot in use.
-
-    A slot is the first MAX_DEPTH bits of a key. It starts with one bucket;
-    while a bucket holds more than ``capacity`` keys, the directory doubles and
-    the overfull buckets split by one bit more. Counts by slot are a table of
-    at most 2**MAX_DEPTH rows.
+def directory(slots: DataFrame, capacity: int) -> DataFrame:
+    """The extendible-hash directory: (slot, bucket) for every slot in use, of (slot, n).
+
+    A slot is the first MAX_DEPTH bits of a key. All slots start in one bucket;
+    while a bucket holds more than ``capacity`` entries, the directory doubles
+    and the overfull buckets split by one bit more. So a slot's bucket is that
+    of the first depth at which its prefix fits, which needs no loop: the table
+    has at most 2**MAX_DEPTH rows.
     """
-    slots = keys.groupBy("slot").agg(F.count("*").alias("n"))
     held = [F.sum("n").over(Window.partitionBy(F.expr(f"slot div {1 << (MAX_DEPTH - d)}"))) for d in range(MAX_DEPTH)]
-    # What a slot's bucket would hold at each depth; the first depth at which it fits is the one it splits to.
     sums = slots.coalesce(1).select("slot", *[h.alias(f"n{d}") for d, h in enumerate(held)])
     depth = F.coalesce(*[F.when(F.col(f"n{d}") <= capacity, F.lit(d)) for d in range(MAX_DEPTH)], F.lit(MAX_DEPTH))
     # The bucket's first slot, then its depth: in the order of the keys.
@@ -47,6 +46,10 @@ def directory(keys: DataFrame, capacity: int) -> DataFrame:
     return sums.select("slot", depth.alias("depth")).select("slot", (first * (MAX_DEPTH + 1) + F.col("depth")).alias("bucket"))
 
 
+def slot_of(key: Column) -> Column:
+    return F.conv(F.substring(F.hex(key), 1, MAX_DEPTH // 4), 16, 10).cast("int")
+
+
 def exact_dedup(
     docs: DataFrame,
     capacity: int | None = None,
@@ -60,61 +63,60 @@ def exact_dedup(
     one group all carry the id that stays. An empty table gives no rows; other
     columns are not read.
 
-    1. Each row becomes an entry (key of the squeezed text, id, length), each
-       key one index record, pre-aggregated before the shuffle.
-    2. The directory splits overfull buckets; the index is written to the
-       shared folder, its buckets dealt to owner tasks by key range.
-    3. Keys with two or more rows have their bytes compared with the record's
-       head; rows that differ go to the next record of the key's chain, until
-       none is left. Hot keys are salted, so no task gets a whole group.
+    1. Each row becomes an entry (key of the squeezed text, id, length). Entries
+       of one key that stand in the same file part are one run, so that a hot
+       key sends few rows.
+    2. The directory splits overfull buckets by the runs' counts. Runs go to
+       their bucket through it; a bucket's owner task makes its records (key,
+       count, row that stays) and writes them, sorted, to the shared folder.
+    3. Rows of keys with two or more entries have their bytes compared with the
+       record's head, found through the directory; rows that differ go to the
+       next record of the key's chain, until none is left. Hot keys are salted,
+       so no task gets a whole group.
+    4. Every entry looks its record up by slot, bucket, key and chain.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     norm = squeeze(F.col("text"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    entries = scratch.table(
-        source.select(
-            "doc_id",
-            key_of(norm).alias("key"),
-            F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"),
-            F.sha2(norm.cast("binary"), 256).alias("text_sha256"),
-        ).withColumn("slot", F.conv(F.substring(F.hex("key"), 1, MAX_DEPTH // 4), 16, 10).cast("int")),
-        "entries",
-    )
+    points = F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points")
+    entries = source.select("doc_id", key_of(norm).alias("key"), points, F.sha2(norm.cast("binary"), 256).alias("text_sha256"))
+    entries = scratch.table(entries.withColumn("slot", slot_of(F.col("key"))).withColumn("part", F.spark_partition_id()), "entries")
     by_id = F.coalesce("doc_id", F.lit(2**63 - 1))
     best = F.min(F.struct((-F.col("points")).alias("points"), by_id.alias("id"))).alias("best")
-    records = scratch.table(entries.groupBy("key", "slot").agg(F.count("*").alias("group_size"), best), "records")
-    n = records.count()
+    runs = scratch.table(entries.groupBy("part", "slot", "key").agg(F.count("*").alias("n"), best), "runs")
+    n = runs.count()
     room = capacity or max(1024, n >> (MAX_DEPTH - 2))
-    index = records.join(F.broadcast(directory(records, room)), "slot")
-    index = scratch.table(index.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "index")
+    slots = F.broadcast(scratch.table(directory(runs.groupBy("slot").agg(F.count("*").alias("n")), room), "directory"))
+    owned = runs.join(slots, "slot").repartition("bucket")
+    index = owned.groupBy("bucket", "key").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"))
+    index = scratch.table(index.sortWithinPartitions("bucket", "key"), "index")
 
-    shared = index.filter("group_size > 1").select("key", "group_size", "best")
+    shared = index.filter("group_size > 1").select("bucket", "key", "group_size", "best")
     n_shared = shared.count()
     few = n_shared <= 100_000
     # Ids of equal rows only; their texts are read again, as the index holds no texts.
-    texts = source.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"), key_of(norm).alias("key"), norm.alias("norm"))
-    members = texts.join(F.broadcast(shared) if few else shared, "key").withColumn("salts", F.ceil(F.col("group_size") / COMPARE_ROWS).cast("int"))
+    texts = source.select("doc_id", points, key_of(norm).alias("key"), norm.alias("norm")).withColumn("slot", slot_of(F.col("key"))).join(slots, "slot").drop("slot")
+    members = texts.join(F.broadcast(shared) if few else shared, ["bucket", "key"]).withColumn("salts", F.ceil(F.col("group_size") / COMPARE_ROWS).cast("int"))
     members = members.withColumn("salt", F.pmod(F.xxhash64("doc_id", "points"), F.col("salts")).cast("int"))
     chained = None
     if n_shared:
         is_head = (by_id == F.col("best.id")) & (F.col("points") == -F.col("best.points"))
         members = scratch.table(members, "members")
-        heads = members.filter(is_head).groupBy("key").agg(F.min("norm").alias("head"), F.first("salts").alias("salts"))
+        heads = members.filter(is_head).groupBy("bucket", "key").agg(F.min("norm").alias("head"), F.first("salts").alias("salts"))
         heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-        rest = members.join(heads, ["key", "salt"]).filter("norm <> head").drop("head")
+        rest = members.join(heads, ["bucket", "key", "salt"]).filter("norm <> head").drop("head")
         rest = scratch.table(rest.select("doc_id", "points", "key", "norm"), "rest0")
         if not rest.isEmpty():
-            chained = _chain(entries, members.select("doc_id", "points", "key", "norm"), rest, scratch)
+            chained = _chain(entries.drop("part"), members.select("doc_id", "points", "key", "norm"), rest, scratch)
         scratch.drop("members")
-    bucket = index.select("key", "bucket")
     if chained is None:
-        keyed = entries.withColumn("chain", F.lit(0))
-        groups = index.select("key", "group_size", "best", "bucket", F.lit(0).alias("chain"))
+        keyed = entries.drop("part").withColumn("chain", F.lit(0))
+        groups = index.withColumn("chain", F.lit(0))
     else:
-        keyed = scratch.table(chained, "chained")
-        groups = keyed.groupBy("key", "chain").agg(F.count("*").alias("group_size"), best).join(bucket, "key")
-    out = join_unique(keyed.drop("slot"), groups, ["key", "chain"], "group_size")
+        keyed = scratch.table(chained.withColumn("slot", slot_of(F.col("key"))), "chained")
+        groups = keyed.groupBy("key", "chain").agg(F.count("*").alias("group_size"), best).join(index.select("bucket", "key"), "key")
+    out = join_unique(keyed.join(slots, "slot").drop("slot"), groups, ["bucket", "key", "chain"], "group_size")
     keep = F.when(F.col("best.id") == 2**63 - 1, None).otherwise(F.col("best.id"))
     return out.select("doc_id", keep.alias("keep_id"), "group_size", (by_id == F.col("best.id")).alias("kept"), "text_sha256", "bucket", "chain")
 

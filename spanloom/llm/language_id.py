@@ -13,10 +13,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod
+from .common import FEW_IDS, Scratch, crc_mod, join_unique
 
 #: log2 of the hashed feature space, lengths of the n-grams, and slices by which counts are summed.
 BITS, LENGTHS, SLICES = 15, (1, 2, 3), 16
@@ -50,28 +50,43 @@ def _fold(text: str) -> np.ndarray:
     return out[np.append(True, ~(space[1:] & space[:-1]))] if len(out) else out
 
 
+def _ending_in(t: np.ndarray, before: int) -> np.ndarray:
+    """Counts by bucket of the n-grams of ``t`` that end after its first ``before`` letters."""
+    found, h = [], np.zeros(len(t), np.uint32)
+    for n in range(1, max(LENGTHS) + 1):
+        h = h[: max(len(t) - n + 1, 0)]
+        h = h * np.uint32(0x01000193) + t[n - 1 :]
+        if n in LENGTHS:
+            x = (h[max(before - n + 1, 0) :] ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
+            x ^= x >> np.uint32(13)
+            x *= np.uint32(0xC2B2AE35)
+            found.append(x >> np.uint32(32 - BITS))
+    return np.bincount(np.concatenate(found), minlength=1 << BITS)
+
+
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray] | None:
-    """(buckets, counts) of the hashed character n-grams of a whole text; None without a letter."""
+    """(buckets, counts) of the hashed character n-grams of a whole text, with a space at both ends; None without a letter.
+
+    Long texts are taken piece by piece; the last letters of a piece go before
+    the next one, so that the pieces make no difference.
+    """
     if not text:
         return None
-    whole = text.decode("utf-8", "replace")
-    total, any_letter = None, False
-    for at in range(0, len(whole), PIECE):
-        t = _fold(whole[max(0, at - 2) : at + PIECE])
-        if not len(t) or (t == 32).all():
-            continue
-        any_letter = True
-        t = np.concatenate([[np.uint32(32)], t, [np.uint32(32)]]) if t[0] != 32 or t[-1] != 32 else t
-        found, h = [], np.zeros(len(t), np.uint32)
-        for n in range(1, max(LENGTHS) + 1):
-            h = h[: len(t) - n + 1] * np.uint32(0x01000193) + t[n - 1 :]
-            if n in LENGTHS:
-                x = (h ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
-                x ^= x >> np.uint32(13)
-                x *= np.uint32(0xC2B2AE35)
-                found.append(x >> np.uint32(32 - BITS))
-        counts = np.bincount(np.concatenate(found), minlength=1 << BITS)
-        total = counts if total is None else total + counts
+    whole, space = text.decode("utf-8", "replace"), np.array([32], np.uint32)
+    total, any_letter, tail = None, False, space[:0]
+    for at in range(0, len(whole) + 1, PIECE):
+        t = _fold(whole[at : at + PIECE])
+        any_letter = any_letter or bool((t != 32).any())
+        if at == 0 and not (len(t) and t[0] == 32):
+            t = np.concatenate([space, t])
+        if at + PIECE > len(whole):
+            t = np.concatenate([t, space])
+        t = np.concatenate([tail, t])
+        t = t[np.append(True, (t[1:] != 32) | (t[:-1] != 32))] if len(t) else t
+        if len(t) > len(tail):
+            counts = _ending_in(t, len(tail))
+            total = counts if total is None else total + counts
+        tail = t[-(max(LENGTHS) - 1) :]
     if not any_letter:
         return None
     at = np.flatnonzero(total)
@@ -203,22 +218,25 @@ def _sum(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "df": [total.tobytes()]})
 
 
-def train(docs: DataFrame, label: str = "lang", max_train: int = 4_000, max_classes: int = 1_000) -> Model:
+def train(docs: DataFrame, label: str = "lang", max_train: int = 4_000, max_bytes: int = 64 << 20) -> Model:
     """Document frequencies over all of ``docs``; weights from a sample of about ``max_train`` labelled rows.
 
-    The sample takes about as many of each language, by a hash of the text; the
-    ``max_classes`` most frequent languages are learned (ties by name). Rows
-    without a label or a letter teach nothing.
+    The sample takes about as many of each language, by a hash of the text, at
+    most 2 * ``max_train`` rows and ``max_bytes`` of features; every language is
+    sampled. Rows without a label or a letter teach nothing. The weights take 16
+    bytes for each of 2**BITS features and each language.
     """
     scratch = Scratch(docs.sparkSession)
     source = docs.filter(F.col(label).isNotNull()).select(F.col("text").cast("binary").alias("text"), F.col(label).cast("string").alias("lang"))
-    sizes = source.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_classes).collect()
-    if not sizes:
+    sizes = scratch.table(source.groupBy("lang").agg(F.count("*").alias("n")), "sizes")
+    n_langs = sizes.count()
+    if not n_langs:
         return Model([], np.ones(1 << BITS), np.zeros((1 << BITS, 0)), np.zeros(0))
-    each = max(1, max_train // len(sizes))
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, each / r["count"]))) for r in sizes], F.lit(0.0))
+    each = max(1, max_train // n_langs)
+    # Labels of a million kinds are no languages, but even they are joined by their hot keys.
+    rows = source.join(F.broadcast(sizes), "lang") if n_langs <= FEW_IDS else join_unique(source, sizes, ["lang"], "n")
     draw = F.shiftrightunsigned(F.xxhash64("text", "lang"), 11) / F.lit(float(2**53))
-    rows = source.select("text", "lang", (draw < share).alias("sampled"))
+    rows = rows.select("text", "lang", (draw * F.col("n") < each).alias("sampled"))
     found = scratch.table(rows.mapInArrow(_gather, "slice int, df binary, lang string, buckets binary, counts binary"), "features")
     counted = found.filter("slice is not null").select("slice", "df").groupBy("slice").applyInPandas(_sum, "slice int, df binary").collect()
     by_slice = {r["slice"]: np.frombuffer(bytes(r["df"]), np.int64) for r in counted}
@@ -226,23 +244,26 @@ def train(docs: DataFrame, label: str = "lang", max_train: int = 4_000, max_clas
         return Model([], np.ones(1 << BITS), np.zeros((1 << BITS, 0)), np.zeros(0))
     df, n = np.concatenate([by_slice[i] for i in range(SLICES)]), int(by_slice[SLICES][0])
     idf = np.log((1 + n) / (1 + df)) + 1
-    # Copies of one text share their draw; the least features by content keep the bound whatever their number.
-    sample = found.filter("slice is null").select("lang", "buckets", "counts").distinct().orderBy(F.xxhash64("buckets", "counts"), "lang").limit(2 * max_train).collect()
+    # Copies of one text share their draw; the least features by content keep the bounds whatever their number.
+    order = (F.xxhash64("buckets", "counts"), F.col("lang"))
+    least = found.filter("slice is null").select("lang", "buckets", "counts").distinct().orderBy(*order).limit(2 * max_train)
+    size = F.sum(F.octet_length("buckets") + F.octet_length("counts")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    sample = least.withColumn("held", F.coalesce(size, F.lit(0))).filter(F.col("held") < max_bytes).drop("held").collect()
     langs = sorted({r["lang"] for r in sample})
     place = {c: i for i, c in enumerate(langs)}
     samples = [(np.frombuffer(bytes(r["buckets"]), np.uint16).astype(np.int64), np.frombuffer(bytes(r["counts"]), np.uint32), place[r["lang"]]) for r in sample]
     return train_ftrl(samples, langs, idf)
 
 
-def identify(docs: DataFrame, train_rule: str | None = None, label: str = "lang", id_col: str = "doc_id", **bounds: int) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), predicted from the whole text alone.
+def identify(docs: DataFrame, train_rule: str | None = None, label: str = "lang", id_col: str = "doc_id", name: str = "language", **bounds: int) -> DataFrame:
+    """``docs`` with a struct column ``name``: (lang_pred, score from 0 to 1), predicted from the whole text alone.
 
     Learns from the rows that ``train_rule`` selects (by default those with
     crc32(id) mod 4 other than 2; a null id learns) and that have a label. A
     null text or one without letters gets ``und`` and score 0, as does every
     text where there is nothing to learn from. Repeated rows get the same
-    result; an empty table gives no rows. Input columns called ``lang_pred`` or
-    ``score`` are replaced.
+    result; an empty table gives no rows. An input column called ``name`` is
+    replaced; others may have any names.
     """
     rule = F.expr(train_rule) if train_rule else F.coalesce(crc_mod(id_col, 4) != 2, F.lit(True))
     model = docs.sparkSession.sparkContext.broadcast(train(docs.filter(rule), label, **bounds))
@@ -253,11 +274,10 @@ def identify(docs: DataFrame, train_rule: str | None = None, label: str = "lang"
             yield pd.DataFrame([own.predict(t) for t in batch], columns=["lang_pred", "score"])
 
     udf = F.pandas_udf(predict, "lang_pred string, score double")
-    wide = docs.drop("lang_pred", "score").withColumn("_pred", udf(F.col("text").cast("binary")))
-    return wide.withColumn("lang_pred", F.col("_pred.lang_pred")).withColumn("score", F.col("_pred.score")).drop("_pred")
+    return docs.drop(name).withColumn(name, udf(F.col("text").cast("binary")))
 
 
 def language_digest(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document; held out: crc32(doc_id) mod 4 = 2."""
     out = identify(docs.select("doc_id", "text", "lang"))
-    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "language.lang_pred", "language.score")

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, id_back, id_or
-from .decontaminate import Seeds, folded_words
+from .common import id_back, id_or
+from .decontaminate import FOLD, FOLDED, Seeds, by_text, word_pairs
 
 #: The public texts and notices that are looked for.
 TEMPLATES = {
@@ -120,6 +120,8 @@ DISTINCT = {
     "MPL-2.0-notice": ("mozilla public license 2/v2 0",),
 } | {f"CC-{k}-4.0-notice": (f"cc {k.replace('-', ' ').lower()} 4 0",) for k in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")}
 FILLERS = ("version", "v", "the")
+#: Words of a template up to which it is aligned at every shift.
+SHORT = 32
 
 
 def _holds(span: list[int], phrases: list[list[frozenset[int]]], fillers: frozenset[int]) -> bool:
@@ -187,7 +189,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 def _regions(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Spans of a text that could each hold copies of a template, from where its seeds say they start."""
-    slack = length // 4 + 3
+    slack = _slack(length)
     cuts = np.flatnonzero(np.diff(starts) > slack) + 1
     return [(int(g[0]) - slack, int(g[-1]) + length + slack) for g in np.split(starts, cuts)]
 
@@ -195,60 +197,116 @@ def _regions(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
 def _copies(words: np.ndarray, wanted: list[int], starts: np.ndarray, least: float) -> list[tuple[int, int, int]]:
     """(matched words, start, end) of each copy of a template, from where its seeds say copies start (ascending).
 
-    Where copies follow each other closely, a region's words repeat and it has
-    no anchors, so each start is aligned by itself too; of what is found, spans
-    that do not overlap are kept, the best first.
+    Each region is aligned as a whole and at each start. Short templates, and
+    copies that follow each other closely, repeat their words and have few
+    anchors, so up to SHORT words every shift is aligned too, unless a copy is
+    whole already. Of all that is found, spans that do not overlap are kept, the
+    best first.
     """
-    slack, out = len(wanted) // 4 + 3, []
-    for a, z in _regions(starts, len(wanted)):
-        inside = np.unique(starts[(starts >= a + slack) & (starts <= z - len(wanted) - slack)])
-        found = []
-        each = [(s, s + len(wanted)) for s in inside]
-        if len(inside) > 1:
-            each += [(s - slack, s + len(wanted) + slack) for s in inside]
-        for x, y in [(a, z), *each]:
-            x = max(int(x), 0)
-            matched = patience(words[x:y].tolist(), wanted)
-            if len(matched) / len(wanted) >= least:
-                found.append((len(matched), x + matched[0][0], x + matched[-1][0] + 1))
-        ends: list[tuple[int, int]] = []
-        for n, x, y in sorted(set(found), key=lambda f: (-f[0], f[2] - f[1], f[1])):
-            # Spans kept so far do not overlap, so only the two beside a new one can.
-            at = bisect_left(ends, (x, y))
-            if (at == 0 or ends[at - 1][1] <= x) and (at == len(ends) or ends[at][0] >= y):
-                ends.insert(at, (x, y))
-                out.append((n, x, y))
+    length, slack, found = len(wanted), _slack(len(wanted)), set()
+    need = -int(-(least * length - 1e-9) // 1)
+    known = set(wanted)
+
+    def align(x: int, y: int) -> int:
+        x = max(int(x), 0)
+        matched = patience(words[x:y].tolist(), wanted)
+        if len(matched) >= need:
+            found.add((len(matched), x + matched[0][0], x + matched[-1][0] + 1))
+        return len(matched)
+
+    for a, z in _regions(starts, length):
+        if len(known.intersection(words[max(a, 0) : z].tolist())) < need - (length - len(known)):
+            continue  # too few of its words are there at all
+        inside = np.unique(starts[(starts >= a + slack) & (starts <= z - length - slack)])
+        best = align(a, z)
+        for s in inside.tolist():
+            best = max(best, align(s, s + length), align(s - slack, s + length + slack))
+        if length <= SHORT and (best < length or len(inside) > 1):
+            for s in np.unique(inside[:, None] + np.arange(-slack, slack + 1)).tolist():
+                align(s, s + length)
+                align(s - slack, s + length + slack)
+    out: list[tuple[int, int, int]] = []
+    ends: list[tuple[int, int]] = []
+    for n, x, y in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1])):
+        # Spans kept so far do not overlap, so only the two beside a new one can.
+        at = bisect_left(ends, (x, y))
+        if (at == 0 or ends[at - 1][1] <= x) and (at == len(ends) or ends[at][0] >= y):
+            ends.insert(at, (x, y))
+            out.append((n, x, y))
     return out
 
 
+def _slack(length: int) -> int:
+    """Words that a copy of a template may have more than it."""
+    return length // 4 + 3
+
+
+def _choices(phrase: str) -> list[frozenset[int]]:
+    """The hashes of the words allowed at each place of a phrase."""
+    return [frozenset(FOLDED.of(w.replace("/", " ").encode()).tolist()) for w in phrase.split()]
+
+
+class TemplateSeeds(Seeds):
+    """Words or pairs of neighbouring words of templates, at least one of which every copy holds.
+
+    A copy has ``least`` of a template's words in their order and at most
+    ``_slack`` words more. If it must hold a phrase, a word of that will do: the
+    one that the fewest templates have. Else pairs of neighbours are looked for,
+    so many that missing and added words cannot part them all, or in short
+    templates so many single words that they cannot all be missing: those with
+    the most letters, as long words are rare.
+    """
+
+    def __init__(self, texts: list[str], phrases: list[list[str]], least: float):
+        split = [t.encode().translate(FOLD).split() for t in texts]
+        self.items = [(k, FOLDED.of(t.encode())) for k, t in enumerate(texts)]
+        holders = Counter(h for _, w in self.items for h in set(w.tolist()))
+        rows, used = [], set()
+        for (k, words), own, given in zip(self.items, split, phrases):
+            n, m = len(words), -int(-(least * len(words) - 1e-9) // 1)
+            sure_word = [h for p in given for c in _choices(p) if len(c) == 1 for h in c if h in set(words.tolist())]
+            letters = np.array([len(w) for w in own])
+            if sure_word:
+                gap, at = 0, np.flatnonzero(words == np.uint64(min(sure_word, key=lambda h: (holders[h], h))))
+            elif (sure := m - 1 - (n - m) - _slack(n)) > 0:
+                gap, at = 1, np.argsort(-(letters[1:] + letters[:-1]), kind="stable")[: n - sure]
+            else:
+                gap, at = 0, np.argsort(-letters, kind="stable")[: n - m + 1]
+            used.add(gap)
+            rows.append((word_pairs(words, gap)[at], np.full(len(at), k), at))
+        self.sizes = sorted(used)
+        self._set(rows)
+
+
 def _scan(seeds, names: list[str], least: float, distinct: Mapping[str, tuple[str, ...]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = seeds.value, WordHashes()
+        own = seeds.value
         first, last = np.searchsorted(own.hash, own.keys, "left"), np.searchsorted(own.hash, own.keys, "right")
         wanted = [w.tolist() for _, w in own.items]
-        phrases = [[[frozenset(table.array([x.encode() for x in w.split("/")]).tolist()) for w in p.split()] for p in distinct.get(names[i], ())] for i, _ in own.items]
-        fillers = frozenset(table.array([w.encode() for w in FILLERS]).tolist())
+        phrases = [[_choices(p) for p in distinct.get(name, ())] for name in names]
+        fillers = frozenset(FOLDED.of(" ".join(FILLERS).encode()).tolist())
+
+        def judged(words: np.ndarray, where: np.ndarray, which: np.ndarray) -> tuple | None:
+            n = last[which] - first[which]
+            row = np.repeat(first[which], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            item, begin = own.item[row], np.repeat(where, n) - own.at[row]
+            best, copies = (0, 0.0, "", 0, 0), 0
+            for k in np.unique(item):
+                for n_matched, a, z in _copies(words, wanted[k], np.sort(begin[item == k]), least):
+                    # A last word that is written another way is not in the span, but beside it.
+                    if not _holds(words[a : z + 2].tolist(), phrases[k], fillers):
+                        continue
+                    copies += 1
+                    found = (n_matched, n_matched / len(wanted[k]), names[k], a, z)
+                    if (found[0], found[1], -found[3]) > (best[0], best[1], -best[3]) or not best[0]:
+                        best = found
+            return (best[2], best[1], best[0], best[3], best[4], copies) if copies else None
+
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                words = folded_words(text, table)
-                where, which = own.find(words)
-                best, copies = (0, 0.0, "", 0, 0), 0
-                if len(where):
-                    n = last[which] - first[which]
-                    row = np.repeat(first[which], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    item, begin = own.item[row], np.repeat(where, n) - own.at[row]
-                    for k in np.unique(item):
-                        for n_matched, a, z in _copies(words, wanted[k], np.sort(begin[item == k]), least):
-                            # A last word that is written another way is not in the span, but beside it.
-                            if not _holds(words[a : z + 2].tolist(), phrases[k], fillers):
-                                continue
-                            copies += 1
-                            name = names[own.items[k][0]]
-                            found = (n_matched, n_matched / len(wanted[k]), name, a, z)
-                            if (found[0], found[1], -found[3]) > (best[0], best[1], -best[3]) or not best[0]:
-                                best = found
-                rows.append((best[2], best[1], best[0], best[3], best[4], copies) if copies else (None, 0.0, 0, None, None, 0))
+            rows = [(None, 0.0, 0, None, None, 0)] * batch.num_rows
+            for i, _, words, at in FOLDED.chunks(batch.column(1)):
+                for k, where, which in by_text(*own.find(words, at)):
+                    rows[i + k] = judged(words[at[k] : at[k + 1]], where, which) or rows[i + k]
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds))],
@@ -261,19 +319,20 @@ def _scan(seeds, names: list[str], least: float, distinct: Mapping[str, tuple[st
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8, distinct: Mapping[str, tuple[str, ...]] = DISTINCT) -> DataFrame:
     """One row per document: (doc_id, license, coverage, matched_words, start_word, end_word, n_found).
 
-    Words are lower-cased (A-Z), ASCII signs part them. Runs of three words of a
-    template show where a copy may lie; that part of the text is aligned with
-    the template by patience alignment, and ``coverage`` is the matched share of
-    the template's words. A copy must also hold the phrases of ``distinct``:
-    the name and version that tell it from notices of other licenses. Of copies with at least ``least``, the one with the
-    most matched words is named (then the higher coverage, then the first);
-    ``n_found`` counts all. Without one, license and span are null and the
-    coverage is 0: so for null and empty texts. A null id comes back null;
-    repeated rows get equal results; other columns are not read; an empty table
-    gives no rows. The templates are sent to every task: a fixed list.
+    Words are lower-cased (A-Z), ASCII signs part them. Seeds of a template show
+    where a copy may lie (``TemplateSeeds``: every copy holds one); that part of
+    the text is aligned with the template by patience alignment, and
+    ``coverage`` is the matched share of the template's words. A copy must also
+    hold the phrases of ``distinct``: the name and version that tell it from
+    notices of other licenses. Of copies with at least ``least``, the one with the
+    most matched words is named (then the higher coverage, then the first place,
+    then the least name); ``n_found`` counts all. Without one, license and span
+    are null and the coverage is 0: so for null and empty texts. A null id comes
+    back null; repeated rows get equal results; other columns are not read; an
+    empty table gives no rows. The templates are sent to every task: a fixed list.
     """
-    names = sorted(templates)
-    seeds = Seeds([(i, templates[name].encode()) for i, name in enumerate(names)], 3)
+    names = sorted(n for n in templates if templates[n].encode().translate(FOLD).split())
+    seeds = TemplateSeeds([templates[n] for n in names], [list(distinct.get(n, ())) for n in names], least)
     sent = docs.sparkSession.sparkContext.broadcast(seeds)
     source = docs.select(id_or("doc_id"), F.col("text").cast("binary").alias("text"))
     out = source.mapInArrow(
@@ -281,5 +340,3 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
         "doc_id long, license string, coverage double, matched_words long, start_word long, end_word long, n_found long",
     )
     return out.withColumn("doc_id", id_back("doc_id"))
-
-

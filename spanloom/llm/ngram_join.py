@@ -22,19 +22,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, pack, parted, rolling, spans, spare, unpack
+from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, pack, pack_ids, parted, rolling, small, spans, spare, unpack, unpack_ids
 
 WORDS = parted(LOWER)
 #: log2 of the least and most cells of the sketch that finds frequent shingles (16 MB in a task), words for each cell, and slices it is summed by.
 LEAST_CELLS, MOST_CELLS, CELL_WORDS, SLICES = 16, 22, 8, 16
 #: A cell is frequent from this many times the mean on (and this count at least).
 FREQUENT, FREQUENT_LEAST = 8, 64
-#: log2 of the documents of a unit, signatures of a unit, keys that one bucket is meant to hold, and bits of a signature that travel.
-UNIT_BITS, UNIT_SIGNATURES, BUCKET_KEYS, SIG_BITS = 12, 1 << 18, 1 << 19, 51
+#: log2 of the documents of a unit, signatures of a unit, keys that one bucket is meant to hold, and the most bits of a signature that travel.
+UNIT_BITS, UNIT_SIGNATURES, BUCKET_KEYS, SIG_BITS = 12, 1 << 19, 1 << 20, 51
+#: Bits by which signatures (and pairs of set names) that travel are longer than their number needs: chance hits only make more sets compared.
+SPARE_BITS = 13
 #: 64-bit words of the parity sketch that bounds from below how far two sets are apart.
 PARITY = 16
 #: Bits of the filter of documents whose sets are compared.
 ID_BITS = 1 << 23
+#: Sketches (160 bytes each) that are sent to every task at most.
+FEW_SETS = 100_000
 #: Rows of a signature that one task pairs with a row before the signature is salted.
 PAIR_ROWS = 256
 
@@ -183,9 +187,13 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, per
     return np.concatenate(out_sig), np.concatenate(out_set)
 
 
+def _first(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h[:, 0].view(np.uint64) >> np.uint64(64 - bits)).view(np.int64) if bits < 64 else h[:, 0]
+
+
 def _names(h: np.ndarray, clash: np.ndarray, bits: int) -> np.ndarray:
     """The 64-bit name of each set: its first hash, or the second one where another set has the same first."""
-    first = h[:, 0] >> np.int64(64 - bits)
+    first = _first(h, bits)
     return np.where(np.isin(first, clash), h[:, 1], first) if len(clash) else first
 
 
@@ -199,7 +207,7 @@ def _survey(n: int, cell_bits: int, name_bits: int):
                 np.add.at(cells, (x >> np.uint64(64 - cell_bits)).astype(np.int64), np.uint32(1))
                 h, m = set_hashes(x, at), j - i
                 kept = [batch.column(0).slice(i, m), batch.column(1).slice(i, m)]
-                yield _batch(*kept, pa.array(np.diff(at)), pa.array(h[:, 0] >> np.int64(64 - name_bits)), pa.array(h[:, 1]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()))
+                yield _batch(*kept, pa.array(np.diff(at)), pa.array(_first(h, name_bits)), pa.array(h[:, 1]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()))
         for k, x in enumerate(cells.reshape(SLICES, -1)):
             if x.any():
                 low = zlib.compress(np.minimum(x, 65_535).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
@@ -241,7 +249,7 @@ def frequent_cells(survey: DataFrame, bits: int, scratch: Scratch) -> np.ndarray
     return out.reshape(-1)
 
 
-def _send(sent, buckets: int, percent: int, n: int, name_bits: int):
+def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: int):
     """Units of documents as rows (bucket, nodes, keys, heads): each signature once, from the unit's least set.
 
     A key holds the signature, whether the unit has it again, and the set's
@@ -249,7 +257,7 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int):
     to share it with the unit's first one (``heads``); their keys skip the
     meeting, in buckets of their own.
     """
-    low = np.uint64(SIG_BITS - buckets.bit_length() + 1)
+    low = np.uint64(sig_bits - buckets.bit_length() + 1)
     one, width = np.uint64(1), np.uint64(UNIT_BITS + 1)
 
     def unit(nodes: np.ndarray, sig: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
@@ -257,7 +265,7 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int):
         rank = np.empty(len(nodes), np.uint64)
         rank[order] = np.arange(len(nodes), dtype=np.uint64)
         nodes = nodes[order]
-        keys = np.unique(((sig >> np.uint64(64 - SIG_BITS)) << width) | rank[of])
+        keys = np.unique(((sig >> np.uint64(64 - sig_bits)) << width) | rank[of])
         again = np.append(False, (keys[1:] >> width) == (keys[:-1] >> width))
         head = np.flatnonzero(~again)
         multi = np.diff(np.append(head, len(keys))) > 1
@@ -268,12 +276,12 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int):
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             part = heads[cuts[b] : cuts[b + 1]]
             used, at = np.unique(part & place, return_inverse=True)
-            out.append((b, nodes[used.astype(np.int64)].tobytes(), pack((part & ~place) | at.astype(np.uint64)), None))
+            out.append((b, pack_ids(nodes[used.astype(np.int64)]), pack((part & ~place) | at.astype(np.uint64)), None))
         rest = np.flatnonzero(again)
         if len(rest):
             first = (keys & place)[head[np.searchsorted(head, rest, "right") - 1]].astype(np.uint16)
             for i in range(0, len(rest), 1 << 14):
-                out.append((buckets + int(abs(int(nodes[0])) + i) % buckets, nodes.tobytes(), pack(keys[rest[i : i + (1 << 14)]]), first[i : i + (1 << 14)].tobytes()))
+                out.append((buckets + int(abs(int(nodes[0])) + i) % buckets, pack_ids(nodes), pack(keys[rest[i : i + (1 << 14)]]), first[i : i + (1 << 14)].tobytes()))
         kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=["bucket", "nodes", "keys", "heads"])
 
@@ -314,7 +322,7 @@ def _meet(buckets: int):
         sig, node, last = [], [], []
         passed = table.column("bucket")[0].as_py() >= buckets
         for row_nodes, row_keys, row_heads in zip(*(table.column(c) for c in ("nodes", "keys", "heads"))):
-            nodes, x = np.frombuffer(row_nodes.as_py(), np.int64), unpack(row_keys.as_py())
+            nodes, x = unpack_ids(row_nodes.as_py()), unpack(row_keys.as_py())
             sig.append(x >> width)
             node.append(nodes[(x & place).astype(np.int64)])
             last.append(nodes[np.frombuffer(row_heads.as_py(), np.uint16)] if passed else (x >> np.uint64(UNIT_BITS)) & np.uint64(1) == 1)
@@ -396,12 +404,15 @@ def _row(doc_id: str, th: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.col(th))
 
 
-def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bits: int, scratch: Scratch) -> DataFrame:
+def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bits: int | None, scratch: Scratch) -> DataFrame:
     """(doc_id, th, n_shingles, n_copies, best) of every row: ``th`` hashes its text, ``best`` is the first row (no_id, doc_id, th) of its class."""
     spark = docs.sparkSession
     text = F.col("text").cast("binary")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    words = (source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    words, rows = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    words //= 6
+    name_bits = name_bits or min(64, 2 * rows.bit_length() + SPARE_BITS)
+    sig_bits = min(SIG_BITS, words.bit_length() + SPARE_BITS)
     bits = min(MOST_CELLS, max(LEAST_CELLS, (words // CELL_WORDS).bit_length()))
     survey = source.mapInArrow(_survey(n, bits, name_bits), "doc_id long, th long, n_shingles long, h1 long, h2 long, slice int, counts binary")
     survey = scratch.table(survey, "survey")
@@ -417,7 +428,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     if buckets is None:
         buckets = 1 << max(4, (words // BUCKET_KEYS).bit_length())
 
-    units = source.select("text").mapInArrow(_send(sent, buckets, percent, n, name_bits), "bucket int, nodes binary, keys binary, heads binary")
+    units = source.select("text").mapInArrow(_send(sent, buckets, percent, n, name_bits, sig_bits), "bucket int, nodes binary, keys binary, heads binary")
     shared = scratch.table(units.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, node long, centre long"), "shared")
     stars = scratch.table(shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node").select(_row("rep.doc_id", "rep.th").alias("row"))
@@ -434,8 +445,12 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
             pairs = _open_pairs(shared, comp, sets, percent, scratch).join(checked, ["a", "b"], "left_anti")
         asked = scratch.table(pairs, f"pairs{k}")
         checked = asked if checked is None else checked.unionByName(asked)
-        left, right = sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), sets.select(F.col("id").alias("b"), F.col("members").alias("mb"))
-        fit = asked.join(_sketch(sets, "a"), "a").join(_sketch(sets, "b"), "b").filter(_near(percent)).select("a", "b") if k < 2 else asked
+        fit = asked
+        if k < 2:
+            near = asked.join(small(_sketch(sets, "a"), FEW_SETS), "a").join(small(_sketch(sets, "b"), FEW_SETS), "b").filter(_near(percent))
+            fit = scratch.table(near.select("a", "b"), f"near{k}")
+        # Only sets that are asked for travel.
+        left, right = (sets.join(small(fit.select(F.col(c).alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b"))
         true = fit.join(left, "a").join(right, "b").filter(similar("ma", "mb", F.lit(percent))).select("a", "b")
         true = scratch.table(true.distinct(), f"links{k}")
         links = true if links is None else links.unionByName(true)
@@ -452,8 +467,8 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs whose two ids are not in one class yet."""
-    ca = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-    cb = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    ca = small(comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")))
+    cb = small(comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")))
     both = pairs.join(ca, "a", "left").join(cb, "b", "left")
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
@@ -464,17 +479,18 @@ def _open_pairs(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: in
     A signature of many sets is salted: each row meets its partners in parts of
     PAIR_ROWS, which are dealt to tasks like keys of their own.
     """
-    at = shared.join(comp.withColumnRenamed("id", "node"), "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+    at = shared.join(small(comp.withColumnRenamed("id", "node")), "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
     per = at.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).filter("low <> high")
     salts = F.ceil(F.col("m") / PAIR_ROWS).cast("int").alias("salts")
-    at = scratch.table(at.join(per.select("sig", salts), "sig").distinct(), "open")
-    x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt")).join(_sketch(sets, "a"), "a")
-    y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), "salts").join(_sketch(sets, "b"), "b")
+    per = scratch.table(per.select("sig", salts), "open-signatures")
+    at = scratch.table(at.join(small(per), "sig").distinct(), "open")
+    x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt")).join(small(_sketch(sets, "a"), FEW_SETS), "a")
+    y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), "salts").join(small(_sketch(sets, "b"), FEW_SETS), "b")
     y = y.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     return x.join(y, ["sig", "salt"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
 
 
-def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None, name_bits: int = 64) -> DataFrame:
+def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None, name_bits: int | None = None) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, n_copies).
 
     Words are lower-cased (A-Z); a document's set is its distinct n-word
@@ -486,8 +502,8 @@ def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int
     as the largest, so a class has a null component_id only if none of its rows
     has an id. Other columns are not read; an empty table gives no rows.
 
-    Copies of a set are one member, named by ``name_bits`` of a hash (the few
-    sets that share a name get another). Candidate pairs are checked in three
+    Copies of a set are one member, named by ``name_bits`` of a hash (by default
+    as many as the rows need; sets that share a name get another, longer one). Candidate pairs are checked in three
     rounds, each leaving out pairs that are in one class already: every set with
     the least one it shares a signature with; with one of each signature; then
     all pairs that share a signature. No candidate is capped.
@@ -504,7 +520,7 @@ def drop_similar(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int |
     is not shuffled for it. The columns of ``docs`` may have any names.
     """
     scratch = Scratch(docs.sparkSession)
-    found = scratch.table(_classes(docs, n, percent, buckets, 64, scratch), "similar").filter("n_shingles > 0")
+    found = scratch.table(_classes(docs, n, percent, buckets, None, scratch), "similar").filter("n_shingles > 0")
     is_best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
     gone = scratch.table(found.filter(~is_best).select("doc_id", "th").distinct(), "gone")
     out = _rows_in(docs, gone, "left_anti")

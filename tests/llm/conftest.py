@@ -43,6 +43,11 @@ def rows() -> list[tuple]:
         (-5, words(60, 10), "fr"),
         (3, base, "en"),  # a repeated row
         (7, "word", "fr"),
+        # Different texts without an id or with a shared one, which hold the same passage.
+        (None, words(30, 21) + " " + passage + " " + words(30, 22), "en"),
+        (None, passage + " " + words(45, 23), "en"),
+        (11, words(25, 24) + " " + passage, "en"),
+        (11, "two", "fr"),
     ]
     return [(i, t, lang, f"s{(i or 0) % 3}", None if t is None else len(t), *EXTRA) for i, t, lang in texts]
 
