@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import decontaminate, language_id, mixing, ngram_join, sharding
-from spanloom.llm.common import Scratch, owned
+from spanloom.llm.common import Scratch, owned, spare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,9 +25,10 @@ OWNER = "pipeline"
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with at least LEAST_SCORE; null, empty and letterless texts go."""
+    own = spare(docs, "language")
     with owned(spark, OWNER, docs):
-        out = language_id.identify(docs)
-    return out.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+        out = language_id.identify(docs, name=own)
+    return out.filter((F.col(own)["lang_pred"] != language_id.UNKNOWN) & (F.col(own)["score"] >= LEAST_SCORE)).drop(own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample with the raked weights of source, language and topic."""
     with owned(spark, OWNER, docs):
-        return mixing.mix(docs, name="_mix").filter("_mix.kept").select(*docs.columns)
+        own = spare(docs, "mix")
+        return mixing.mix(docs, name=own).filter(F.col(own)["kept"]).drop(own)
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
