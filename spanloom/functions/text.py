@@ -21,11 +21,11 @@ CYRILLIC, LATIN = "[А-Яа-яЁё]", "[A-Za-z]"
 
 def newlines(text: Column) -> Column:
     """CRLF and CR as LF."""
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def collapse(text: Column) -> Column:
@@ -38,9 +38,15 @@ def fold(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
+    """Words, with hyphens and apostrophes inside."""
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def run_count(text: Column) -> Column:
+    """Bare runs of word characters: "well-known" is two."""
+    return F.regexp_count(text, F.lit(RUN)).cast("long")
+
+
 def count_of(text: Column, literal: str) -> Column:
     """How often a literal occurs (not overlapping)."""
     return ((F.length(text) - F.length(F.replace(text, F.lit(literal), F.lit("")))) / len(literal)).cast("long")

@@ -14,8 +14,8 @@ HARD_LIMIT = 96
 def sentence_units(docs: DataFrame, least: int = 4, most: int = 220, key: str = "doc_id") -> DataFrame:
     """(key, occurrence, source, words): sentences of ``least`` to ``most`` words; occurrence counts all raw parts."""
     parts = docs.select(key, F.posexplode(T.sentences(F.col("text"))).alias("occurrence", "raw"))
-    units = parts.select(key, "occurrence", T.strip(F.col("raw")).alias("source"))
-    return units.withColumn("words", T.word_count(F.col("source"))).filter(F.col("words").between(least, most))
+    units = held(parts, source=T.strip(F.col("raw")))
+    return held(units, words=T.word_count(F.col("source"))).filter(F.col("words").between(least, most)).select(key, "occurrence", "source", "words")
 
 
 def concatenated(segments: DataFrame, key: str = "doc_id", seq: str = "seq", text: str = "text") -> DataFrame:
