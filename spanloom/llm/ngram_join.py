@@ -374,12 +374,19 @@ def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
 
 
 def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, scratch: Scratch) -> DataFrame:
-    """(id, size, members, sketch) of the sets of the rows in ``wanted`` (row), found by a filter of fixed size that lets some others in too."""
-    at = F.pmod("row", F.lit(ID_BITS))
-    bits = wanted.select(at.alias("at")).groupBy(F.expr("cast(at div 32768 as int)").alias("word")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
-    near = source.select("text", F.pmod(_row("doc_id", "th"), F.lit(ID_BITS)).alias("at")).withColumn("word", F.expr("cast(at div 32768 as int)"))
-    near = near.join(F.broadcast(bits), "word")  # 256 rows of 4 KB at most
-    near = near.filter(F.expr("(cast(conv(hex(substr(bits, cast((at % 32768) div 8 as int) + 1, 1)), 16, 10) as int) >> cast(at % 8 as int)) & 1 = 1"))
+    """(id, size, members, sketch) of the sets of the rows in ``wanted`` (row).
+
+    Up to FEW_IDS rows are looked for by their hashes; more by a filter of fixed
+    size, which lets some others in too.
+    """
+    if wanted.limit(FEW_IDS + 1).count() <= FEW_IDS:
+        near = source.select("text", _row("doc_id", "th").alias("row")).join(F.broadcast(wanted), "row", "left_semi")
+    else:
+        at = F.pmod("row", F.lit(ID_BITS))
+        bits = wanted.select(at.alias("at")).groupBy(F.expr("cast(at div 32768 as int)").alias("word")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
+        near = source.select("text", F.pmod(_row("doc_id", "th"), F.lit(ID_BITS)).alias("at")).withColumn("word", F.expr("cast(at div 32768 as int)"))
+        near = near.join(F.broadcast(bits), "word")  # 256 rows of 4 KB at most
+        near = near.filter(F.expr("(cast(conv(hex(substr(bits, cast((at % 32768) div 8 as int) + 1, 1)), 16, 10) as int) >> cast(at % 8 as int)) & 1 = 1"))
     names = [f"p{i}" for i in range(PARITY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,7 +402,7 @@ def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, sc
                     yield pa.RecordBatch.from_arrays([pa.array(name[d]), pa.array(count[d]), members, *(pa.array(c) for c in parity(own, ends).T)], names=["id", "size", "members", *names])
 
     sets = scratch.table(near.select("text").mapInArrow(run, "id long, size long, members binary, " + ", ".join(f"{x} long" for x in names)), "sets")
-    # A task gives a set once; only rows that repeat an id and its text can give it in two tasks.
+    # A task gives a set once; rows that repeat an id and its text, or that a full filter lets in, can give it in two tasks.
     twice = sets.groupBy("id").count().filter("count > 1").limit(1).count()
     return scratch.table(sets.dropDuplicates(["id"]), "sets1") if twice else sets
 
@@ -432,7 +439,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     shared = scratch.table(units.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, node long, centre long"), "shared")
     stars = scratch.table(shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node").select(_row("rep.doc_id", "rep.th").alias("row"))
-    sets = _sets(source, wanted, n, sent, name_bits, scratch)
+    sets = _sets(source, scratch.table(wanted, "wanted"), n, sent, name_bits, scratch)
 
     similar = F.pandas_udf(_similar, "boolean")
     links, comp, checked = None, None, None
@@ -484,10 +491,14 @@ def _open_pairs(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: in
     salts = F.ceil(F.col("m") / PAIR_ROWS).cast("int").alias("salts")
     per = scratch.table(per.select("sig", salts), "open-signatures")
     at = scratch.table(at.join(small(per), "sig").distinct(), "open")
-    x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt")).join(small(_sketch(sets, "a"), FEW_SETS), "a")
-    y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), "salts").join(small(_sketch(sets, "b"), FEW_SETS), "b")
-    y = y.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return x.join(y, ["sig", "salt"]).filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
+    x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
+    y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    differ = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
+    if sets.limit(FEW_SETS + 1).count() <= FEW_SETS:  # pairs meet their sketches where they are made
+        met = x.join(y, ["sig", "salt"]).filter(differ).join(F.broadcast(_sketch(sets, "a")), "a").join(F.broadcast(_sketch(sets, "b")), "b")
+    else:  # rows take their sketches along
+        met = x.join(_sketch(sets, "a"), "a").join(y.join(_sketch(sets, "b"), "b"), ["sig", "salt"]).filter(differ)
+    return met.filter(_near(percent)).select("a", "b").distinct()
 
 
 def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None, name_bits: int | None = None) -> DataFrame:
