@@ -327,7 +327,7 @@ def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == ids[name], "left_anti")
 
 
-def small(df: DataFrame, most: int = FEW_IDS) -> DataFrame:
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     """``df``, a written table, to be sent to every task if it has at most ``most`` rows; else a join shuffles."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 

@@ -37,8 +37,6 @@ SPARE_BITS = 13
 PARITY = 16
 #: Bits of the filter of documents whose sets are compared.
 ID_BITS = 1 << 23
-#: Sketches (160 bytes each) that are sent to every task at most.
-FEW_SETS = 100_000
 #: Rows of a signature that one task pairs with a row before the signature is salted.
 PAIR_ROWS = 256
 
@@ -454,7 +452,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
         checked = asked if checked is None else checked.unionByName(asked)
         fit = asked
         if k < 2:
-            near = asked.join(small(_sketch(sets, "a"), FEW_SETS), "a").join(small(_sketch(sets, "b"), FEW_SETS), "b").filter(_near(percent))
+            near = asked.join(_sketch(sets, "a"), "a").join(_sketch(sets, "b"), "b").filter(_near(percent))
             fit = scratch.table(near.select("a", "b"), f"near{k}")
         # Only sets that are asked for travel.
         left, right = (sets.join(small(fit.select(F.col(c).alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b"))
@@ -493,12 +491,10 @@ def _open_pairs(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: in
     at = scratch.table(at.join(small(per), "sig").distinct(), "open")
     x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
     y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # Rows take their sketches along; those of a set stand side by side after the join, where they compress.
+    x, y = x.join(_sketch(sets, "a").hint("merge"), "a"), y.join(_sketch(sets, "b").hint("merge"), "b")
     differ = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
-    if sets.limit(FEW_SETS + 1).count() <= FEW_SETS:  # pairs meet their sketches where they are made
-        met = x.join(y, ["sig", "salt"]).filter(differ).join(F.broadcast(_sketch(sets, "a")), "a").join(F.broadcast(_sketch(sets, "b")), "b")
-    else:  # rows take their sketches along
-        met = x.join(_sketch(sets, "a"), "a").join(y.join(_sketch(sets, "b"), "b"), ["sig", "salt"]).filter(differ)
-    return met.filter(_near(percent)).select("a", "b").distinct()
+    return x.join(y, ["sig", "salt"]).filter(differ & _near(percent)).select("a", "b").distinct()
 
 
 def similar_classes(docs: DataFrame, n: int = 5, percent: int = 80, buckets: int | None = None, name_bits: int | None = None) -> DataFrame:
