@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import numbers, text
-from spanloom.functions.arrays import multiset_minus, reasons
-from spanloom.operators import gates, joins, lexical, sampling, segments, similarity
+from spanloom.functions.arrays import held, multiset_minus, reasons
+from spanloom.operators import gates, joins, lexical, planning, sampling, segments, similarity
 from spanloom.plans import ledger
 from spanloom.session import table
 from spanloom.sources import archives, ingest
@@ -60,6 +60,7 @@ LINES = r"""split AS (
 ), lines AS (
   SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_char FROM line
 )"""
+LIST_MARK, TERMINAL = (x.replace("'", "''") for x in (segments.LIST_MARK, text.TERMINAL))
 INTS = r"list_filter(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+'), lambda x: regexp_full_match(x, '[0-9]+'))"
 
 
@@ -137,12 +138,12 @@ def sentence_units(spark, sf):
 
 @query(f"WITH {LINES} SELECT doc_id, seq::INT AS seq, start_char, start_char + length(text) AS end_char FROM lines")
 def line_offsets(spark, sf):
-    return segments.concatenated(segments.lines(table(spark, sf, "documents"))).select("doc_id", "seq", "start_char", "end_char")
+    return segments.line_spans(table(spark, sf, "documents")).select("doc_id", "seq", "start_char", "end_char")
 
 
 @query(f"WITH {LINES} SELECT doc_id, seq::INT AS seq, start_char, coalesce(lead(start_char) OVER (PARTITION BY doc_id ORDER BY seq), start_char + length(text)) AS \"end\" FROM lines")
 def line_bounds(spark, sf):
-    placed = segments.concatenated(segments.lines(table(spark, sf, "documents")))
+    placed = segments.line_spans(table(spark, sf, "documents")).drop("text")
     return segments.closed_by_next(placed, "doc_id", "seq", "start_char", F.col("end_char")).select("doc_id", "seq", "start_char", "end")
 
 
@@ -151,23 +152,31 @@ def line_bounds(spark, sf):
     SELECT doc_id, chunk, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY chunk), last) AS "end", n_tokens FROM g"""
 )
 def word_chunks_64(spark, sf):
-    return segments.token_chunks(segments.word_runs(table(spark, sf, "documents")), 64)
+    return segments.word_chunks(table(spark, sf, "documents"), 64)
 
 
 @query(
     rf"""WITH {LINES}, b AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') = '' AS blank FROM line),
     s AS (SELECT *, CASE WHEN NOT blank AND coalesce(lag(blank) OVER (PARTITION BY doc_id ORDER BY seq), true) THEN 1 ELSE 0 END AS f FROM b),
     i AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY seq) AS island FROM s),
-    g AS (SELECT doc_id, island, min(seq) AS first, max(seq) AS last, count(*) AS n_lines, median(length(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS median_len,
-      stddev_pop(length(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS stdev_len FROM i WHERE NOT blank GROUP BY 1, 2),
+    t AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') AS s FROM i WHERE NOT blank),
+    g AS (SELECT doc_id, island, min(seq) AS first, max(seq) AS last, list(s ORDER BY seq) AS ls, median(length(s)) AS median_len, avg(length(s)) AS mean_len, stddev_pop(length(s)) AS stdev_len,
+      sum(length(s)) AS total, stddev_pop(length(regexp_extract(text, '^[ \t]*'))) AS indent, avg(regexp_matches(s, '{LIST_MARK}')::INT) AS marker, avg(regexp_matches(s, '{segments.TABLEISH}')::INT) AS tableish,
+      sum(len(regexp_extract_all(s, '[^\p{{L}}\p{{N}}\s]'))) AS marks FROM t GROUP BY 1, 2),
     n AS (SELECT doc_id, count(*) AS n FROM line GROUP BY 1)
-    SELECT doc_id, (island - 1)::INT AS block, n_lines::INT AS n_lines, (first - coalesce(lag(last) OVER w + 1, 0))::INT AS blank_before,
-      (coalesce(lead(first) OVER w, n) - last - 1)::INT AS blank_after, median_len, round(stdev_len, 6) AS stdev_len
+    SELECT doc_id, (island - 1)::INT AS block, len(ls)::INT AS n_lines, (first - coalesce(lag(last) OVER w + 1, 0))::INT AS blank_before,
+      (coalesce(lead(first) OVER w, n) - last - 1)::INT AS blank_after, median_len, round(mean_len, 6) AS mean_len, round(stdev_len, 6) AS stdev_len,
+      round(CASE WHEN mean_len > 0 THEN stdev_len / mean_len ELSE 0.0 END, 6) AS cv_len,
+      round(coalesce(list_avg(list_transform(ls[1:len(ls) - 1], lambda x: regexp_matches(x, '{TERMINAL}')::INT)), 0.0), 6) AS terminal_share,
+      round(coalesce(list_avg(list_transform(ls[2:], lambda x: regexp_matches(x, '^["''_(\[]*[a-z]')::INT)), 0.0), 6) AS lower_share,
+      round(1 / (1 + indent), 6) AS indent_stability, round(marker, 6) AS marker_share, round(CASE WHEN total > 0 THEN marks / total ELSE 0.0 END, 6) AS punctuation_density,
+      round(tableish, 6) AS tableish_share, len(list_filter(regexp_extract_all(array_to_string(ls, ' '), '[\p{{L}}\p{{N}}_]+'), lambda x: regexp_matches(x, '\p{{L}}')))::INT AS alpha_words, total::BIGINT AS chars
     FROM g JOIN n USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY island)"""
 )
 def text_blocks(spark, sf):
     found = segments.block_features(segments.blocks(table(spark, sf, "documents")))
-    return found.select("doc_id", "block", "n_lines", "blank_before", "blank_after", F.col("f.median_len").alias("median_len"), F.round("f.stdev_len", 6).alias("stdev_len"))
+    shares = ("mean_len", "stdev_len", "cv_len", "terminal_share", "lower_share", "indent_stability", "marker_share", "punctuation_density", "tableish_share")
+    return found.select("doc_id", "block", "n_lines", "blank_before", "blank_after", "f.median_len", *[F.round(f"f.{c}", 6).alias(c) for c in shares], "f.alpha_words", "f.chars")
 
 
 @query()
@@ -255,26 +264,65 @@ def length_ratio_gate(spark, sf):
 
 
 MARK_FAIL = "mark_fail AS (SELECT DISTINCT segment_id FROM pairs, (VALUES ('('), (')'), ('['), (']'), ('{'), ('}'), ('?'), ('!')) m(mark) WHERE " + f"{count_sql('source', 'mark')} <> {count_sql('target', 'mark')})"
-TWO_GATES = {"punctuation": gates.punctuation_gate, "length": gates.length_gate}
+
+
+def literals_sql(column: str) -> str:
+    """Normalised literals of a text. RE2 cannot look around, so each sign is doubled first and literals do not share one."""
+    w = r"\p{L}\p{N}\p{M}_"
+    doubled = rf"regexp_replace({column}, '([^{w}])', '\1\1', 'g')"
+    raw = rf"regexp_extract_all({doubled}, '(?:^|[^{w}])((?:\+\+|--)?\p{{Nd}}+(?:(?:\.\.|,,|''''|’’)\p{{Nd}}+)?(?://\p{{Nd}}+)?)(?:[^{w}]|$)', 1)"
+    single = "x"
+    for c in ("+", "-", ".", ",", "''", "’", "/"):
+        single = f"replace({single}, '{c}{c}', '{c}')"
+    dots = f"translate({single}, '’'',', '...')"
+
+    def plain(part: str) -> str:
+        body = f"regexp_replace({part}, '^[+-]', '')"
+        whole, rest = f"ltrim(split_part({body}, '.', 1), '0')", rf"rtrim(regexp_replace({body}, '^[^.]*\.?', ''), '0')"
+        return f"(regexp_extract({part}, '^[+-]') || CASE WHEN {whole} = '' THEN '0' ELSE {whole} END || CASE WHEN {rest} <> '' THEN '.' || {rest} ELSE '' END)"
+
+    fraction = f"{plain(f"split_part({dots}, '/', 1)")} || '/' || {plain(f"split_part({dots}, '/', 2)")}"
+    return f"list_transform({raw}, lambda x: CASE WHEN contains({dots}, '/') THEN {fraction} ELSE {plain(dots)} END)"
+
+
+def _numeric_sql() -> str:
+    names, values = "[" + ", ".join(f"'{w}'" for w in numbers.NUMBER_WORDS) + "]", str(list(numbers.NUMBER_WORDS.values()))
+    differ = {m: f"{count_sql('source', repr(m))} <> {count_sql('target', repr(m))}" for m in gates.SYMBOLS}
+    symbols = ", ".join(f"CASE WHEN {test} THEN '{m}' END" for m, test in differ.items())
+    return rf"""lits AS (SELECT segment_id, {literals_sql("source")} AS a, {literals_sql("target")} AS b,
+      list_transform(regexp_extract_all(lower(source), '[a-z]+'), lambda w: list_extract({values}, list_position({names}, w))) AS v,
+      array_to_string(list_filter([{symbols}], lambda m: m IS NOT NULL), ',') AS symbols FROM pairs),
+    ok AS (SELECT segment_id, list_transform(range(1, len(v) + 1), lambda i: CASE WHEN v[i] >= 20 AND v[i + 1] < 10 THEN v[i] + v[i + 1] ELSE v[i] END) AS ok FROM lits),
+    lit_a AS (SELECT segment_id, unnest(a) AS x FROM lits), lit_b AS (SELECT segment_id, unnest(b) AS x FROM lits),
+    lit_missing AS (SELECT segment_id, string_agg(x, ',' ORDER BY x) AS missing FROM (SELECT * FROM lit_a EXCEPT ALL SELECT * FROM lit_b) GROUP BY 1),
+    lit_extra AS (SELECT segment_id, string_agg(x, ',' ORDER BY x) AS unlicensed FROM (SELECT * FROM lit_b EXCEPT ALL SELECT * FROM lit_a) JOIN ok USING (segment_id)
+      WHERE NOT coalesce(list_contains(list_transform(ok, lambda n: n::VARCHAR), x), false) GROUP BY 1),
+    numeric_fail AS (SELECT segment_id, coalesce(missing, '') AS missing, coalesce(unlicensed, '') AS unlicensed, symbols
+      FROM lits LEFT JOIN lit_missing USING (segment_id) LEFT JOIN lit_extra USING (segment_id) WHERE missing IS NOT NULL OR unlicensed IS NOT NULL OR symbols <> '')"""
+
+
+NUMERIC = _numeric_sql()
+THREE = f"{LENGTH}, {MARK_FAIL}, {NUMERIC}"
 
 
 @query(
-    f"""{LENGTH}, {MARK_FAIL}, n AS (SELECT 'punctuation' AS gate, (SELECT count(*) FROM mark_fail) AS failure_count UNION ALL SELECT 'length', (SELECT count(*) FROM length_fail))
-    SELECT gate, failure_count, failure_count = 0 AS passed FROM n""".replace(", n AS (SELECT segment_id, target", ", nn AS (SELECT segment_id, target").replace("FROM n),\n    length_fail", "FROM nn),\n    length_fail")
+    f"""{THREE}, f AS (SELECT 'numeric' AS gate, segment_id FROM numeric_fail UNION ALL SELECT 'punctuation', segment_id FROM mark_fail UNION ALL SELECT 'length', segment_id FROM length_fail)
+    SELECT gate, count(segment_id) AS failure_count, count(segment_id) = 0 AS passed, sha256(coalesce(string_agg(segment_id::VARCHAR, chr(10) ORDER BY segment_id::VARCHAR), '')) AS issues_sha256
+    FROM (VALUES ('numeric'), ('punctuation'), ('length')) g(gate) LEFT JOIN f USING (gate) GROUP BY gate"""
 )
 def gate_summary(spark, sf):
-    return gates.summary(pairs(spark, sf), TWO_GATES)
+    return gates.summary(pairs(spark, sf), digest=True)
 
 
-@query(f"{LENGTH}, {MARK_FAIL} SELECT segment_id FROM pairs WHERE segment_id NOT IN (SELECT segment_id FROM mark_fail) AND segment_id NOT IN (SELECT segment_id FROM length_fail)")
+@query(f"{THREE} SELECT segment_id FROM pairs WHERE segment_id NOT IN (SELECT segment_id FROM numeric_fail UNION ALL SELECT segment_id FROM mark_fail UNION ALL SELECT segment_id FROM length_fail)")
 def approved_pairs(spark, sf):
-    return gates.approved(pairs(spark, sf), TWO_GATES).select("segment_id")
+    return gates.approved(pairs(spark, sf)).select("segment_id")
 
 
-@query()
+@query(f"WITH {PAIRS}, {NUMERIC} SELECT * FROM numeric_fail")
 def numeric_gate_full(spark, sf):
     out = gates.numeric_gate(pairs(spark, sf))
-    return out.select("segment_id", "missing", "unlicensed", F.map_keys("symbols").alias("symbols"))
+    return out.select("segment_id", F.array_join("missing", ",").alias("missing"), F.array_join("unlicensed", ",").alias("unlicensed"), F.array_join(F.map_keys("symbols"), ",").alias("symbols"))
 
 
 @query()
@@ -352,9 +400,9 @@ QUOTAS = {"numeric_dense": 600, "numeric": 2_400, "general": 1_200}
 
 
 def categorised(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.size(numbers.integers(F.col("source")))
-    u = segments.sentence_units(table(spark, sf, "documents"))
-    return u.withColumn("category", F.when(n >= 4, "numeric_dense").when(n > 0, "numeric").otherwise("general")).withColumn("uid", F.concat_ws(":", "doc_id", "occurrence"))
+    u = held(segments.sentence_units(table(spark, sf, "documents")), n=F.size(numbers.integers(F.col("source"))))
+    n = F.col("n")
+    return u.withColumn("category", F.when(n >= 4, "numeric_dense").when(n > 0, "numeric").otherwise("general")).withColumn("uid", F.concat_ws(":", "doc_id", "occurrence")).drop("n")
 
 
 @query(f"WITH {SENTENCES} SELECT {CATEGORY} AS category, count(*) AS units, sum(words)::BIGINT AS words FROM sentences GROUP BY 1")
@@ -373,14 +421,14 @@ def category_totals(spark, sf):
     SELECT uid, category, words, 'fill' FROM g WHERE before < 5000 - (SELECT coalesce(sum(words), 0) FROM q)"""
 )
 def challenge_selection(spark, sf):
-    return sampling.quota_selection(categorised(spark, sf), QUOTAS, 5_000).select("uid", "category", "words", "reason")
+    return sampling.quota_selection(categorised(spark, sf), QUOTAS, 5_000)
 
 
 PLACED = "placed AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents)"
 
 
 def placed(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.positions(table(spark, sf, "documents").select("doc_id", "lang"), "lang", ["doc_id"])
+    return sampling.range_positions(table(spark, sf, "documents").select("doc_id", "lang"), "lang", ["doc_id"])
 
 
 @query(
@@ -413,11 +461,12 @@ def position_shards(spark, sf):
 
 
 @query(
-    f"""WITH {PLACED}, w AS (SELECT *, unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS f FROM placed WHERE lang = 'en')
+    """WITH placed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents), w AS (SELECT *, unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS f FROM placed)
     SELECT doc_id, f::DOUBLE AS "window" FROM w WHERE i >= greatest(0, floor(n * f) - 12) AND i < least(n, floor(n * f) + 13) ORDER BY f, i LIMIT 120"""
 )
 def window_sample(spark, sf):
-    return sampling.window_sample(placed(spark, sf).filter("lang = 'en'")).select("doc_id", "window")
+    d = table(spark, sf, "documents").select("doc_id", F.lit(0).alias("all"))
+    return sampling.window_sample(sampling.range_positions(d, "all", ["doc_id"])).select("doc_id", "window")
 
 
 @query(f"WITH {SENTENCES} SELECT doc_id, occurrence::INT AS occurrence, words FROM sentences WHERE words >= 24 ORDER BY words DESC, doc_id, occurrence LIMIT 8")
@@ -437,9 +486,9 @@ def anti_selected(spark, sf):
 @query(f"""WITH {RUNS}, {LINES} SELECT l.doc_id, l.seq::INT AS seg, count(*) AS tokens FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.start_char <= r.start AND l.start_char + length(l.text) >= r."end" GROUP BY 1, 2""")
 def token_in_line(spark, sf):
     d = table(spark, sf, "documents")
-    outer = segments.concatenated(segments.lines(d)).select("doc_id", F.col("seq").alias("seg"), F.col("start_char").alias("seg_start"), F.col("end_char").alias("seg_end"))
-    held = joins.contained(segments.word_runs(d), outer)
-    return held.groupBy("doc_id", "seg").agg(F.count("*").alias("tokens"))
+    outer = segments.line_spans(d).select("doc_id", F.col("seq").alias("seg"), F.col("start_char").alias("seg_start"), F.col("end_char").alias("seg_end"))
+    inside = joins.contained(segments.word_runs(d).drop("word"), outer)
+    return inside.groupBy("doc_id", "seg").agg(F.count("*").alias("tokens"))
 
 
 @query(
@@ -499,8 +548,8 @@ WORDS = rf"""{TURNS}, w AS (SELECT conv_id, turn, target, regexp_extract_all(tex
 
 
 def words_of_turns(spark: SparkSession, sf: str) -> DataFrame:
-    t = turns(spark, sf).filter("target is not null")
-    o = t.select("conv_id", "turn", "target", F.posexplode(F.regexp_extract_all("text", F.lit(text.RUN), F.lit(0))).alias("pos_index", "surface"))
+    t = held(turns(spark, sf).filter("target is not null"), target_key=text.fold(F.col("target")))
+    o = t.select("conv_id", "turn", "target_key", F.posexplode(F.regexp_extract_all("text", F.lit(text.RUN), F.lit(0))).alias("pos_index", "surface"))
     return o.filter(F.col("surface").rlike(r"\p{L}")).withColumn("lemma", F.lower("surface"))
 
 
@@ -557,14 +606,36 @@ def token_f1(spark, sf):
     return similarity.token_f1(turn_pairs(spark, sf), "key").select("key", F.round("token_f1", 9).alias("token_f1"))
 
 
-@query()
+def _chrf_sql() -> str:
+    def split(c: str) -> str:
+        flat = rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
+        spaced = rf"regexp_replace(regexp_replace({flat}, '(\S)([[:punct:]])(\s|$)', '\1 \2\3', 'g'), '(^|\s)([[:punct:]])(\S)', '\1\2 \3', 'g')"
+        return f"list_filter(string_split({spaced}, ' '), lambda w: w <> '')"
+
+    rows = []
+    for kind, most in (("c", 6), ("w", 2)):
+        for n in range(1, most + 1):
+            for side in "ab":
+                c = kind + side
+                cut = f"substr({c}, i, {n})" if kind == "c" else f"array_to_string({c}[i:i + {n - 1}], ' ')"
+                size = f"length({c})" if kind == "c" else f"len({c})"
+                grams = f"list_transform(range(1, greatest({size} - {n - 1}, 0) + 1), lambda i: {cut})"
+                rows.append(f"SELECT key, '{kind}{n}' AS o, unnest({grams}) AS v, {int(side == 'a')} AS na, {int(side == 'b')} AS nb FROM x")
+    return rf"""x AS (SELECT key, regexp_replace(text, '\s+', '', 'g') AS ca, regexp_replace(target, '\s+', '', 'g') AS cb, {split("text")} AS wa, {split("target")} AS wb FROM turns WHERE target IS NOT NULL),
+    bag AS (SELECT key, o, v, sum(na) AS na, sum(nb) AS nb FROM ({" UNION ALL ".join(rows)}) GROUP BY 1, 2, 3),
+    per AS (SELECT key, o, sum(least(na, nb)) AS m, sum(na) AS na, sum(nb) AS nb FROM bag GROUP BY 1, 2),
+    pr AS (SELECT key, avg(m / nb) AS p, avg(m / na) AS r FROM per WHERE na > 0 AND nb > 0 GROUP BY 1),
+    chrf AS (SELECT key, CASE WHEN 4 * p + r > 0 THEN 100 * 5 * p * r / (4 * p + r) ELSE 0.0 END AS chrf FROM pr)"""
+
+
+@query(f"WITH {TURNS}, {_chrf_sql()} SELECT key, round(coalesce(chrf, 0.0), 6) AS chrf FROM x LEFT JOIN chrf USING (key)")
 def similarity_composite(spark, sf):
-    return similarity.composite(turn_pairs(spark, sf), "key")
+    return similarity.composite(turn_pairs(spark, sf), "key").select("key", F.round("chrf", 6).alias("chrf"))
 
 
 @query()
 def mixed_case_stems(spark, sf):
-    return similarity.mixed_case_stems(table(spark, sf, "documents").filter("lang = 'en'"), "doc_id")
+    return similarity.mixed_case_stems(table(spark, sf, "documents"), "doc_id")
 
 
 @query(
@@ -579,14 +650,25 @@ def delta_summary(spark, sf):
 # Ledger, events, search.
 
 
+JOURNAL = """raw AS (SELECT event_id AS pos, event_type || ' ' || user_id AS body FROM events),
+    first AS (SELECT pos, body, sha256(chr(10) || body) AS own FROM raw),
+    j AS (SELECT a.pos, CASE WHEN a.pos % 10 = 3 THEN 'changed' ELSE a.body END AS body, CASE WHEN a.pos % 2 = 0 THEN '' ELSE coalesce(b.own, '') END AS previous,
+      sha256(CASE WHEN a.pos % 2 = 0 THEN '' ELSE coalesce(b.own, '') END || chr(10) || a.body) AS sha FROM first a LEFT JOIN first b ON b.pos = a.pos - 1)"""
+
+
 @query(
-    """WITH c AS (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events)
-    SELECT user_id, count(*) AS records, count_if(before > ts)::BIGINT AS breaks FROM c GROUP BY 1"""
+    f"""WITH {JOURNAL}, c AS (SELECT x.pos, CASE WHEN sha256(x.previous || chr(10) || x.body) <> x.sha THEN 'hash' WHEN coalesce(y.sha, '') <> x.previous THEN 'chain' END AS problem FROM j x LEFT JOIN j y ON y.pos = x.pos - 1)
+    SELECT pos, problem FROM c WHERE problem IS NOT NULL"""
 )
 def ledger_chain(spark, sf):
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    c = table(spark, sf, "events").select("user_id", "ts", F.lag("ts").over(w).alias("before"))
-    return c.groupBy("user_id").agg(F.count("*").alias("records"), F.count_if(F.col("before") > F.col("ts")).alias("breaks"))
+    """A journal of the events: pairs of records are chained, every tenth body is changed afterwards."""
+    body = F.concat_ws(" ", "event_type", F.col("user_id").cast("string"))
+    first = table(spark, sf, "events").select(F.col("event_id").alias("pos"), body.alias("body"))
+    before = first.select((F.col("pos") + 1).alias("pos"), F.sha2(F.concat(F.lit("\n"), "body").cast("binary"), 256).alias("own"))
+    previous = F.when(F.col("pos") % 2 == 0, "").otherwise(F.coalesce("own", F.lit("")))
+    j = first.join(before, "pos", "left").withColumn("previous", previous)
+    j = j.withColumn("sha", F.sha2(F.concat("previous", F.lit("\n"), "body").cast("binary"), 256)).withColumn("body", F.when(F.col("pos") % 10 == 3, "changed").otherwise(F.col("body")))
+    return ledger.chain_breaks(j.select("pos", "body", "previous", "sha"))
 
 
 @query(
@@ -598,9 +680,19 @@ def cache_probe(spark, sf):
     return ledger.cache_probe(o.drop("status"), o).agg(F.count("*").alias("requests"), F.count_if("cache_hit").alias("hits"))
 
 
-@query("SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, count_if(value > 50)::BIGINT AS high FROM events GROUP BY 1")
+@query(
+    """WITH t AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status, o_orderkey % 3 AS pareto_rank, o_totalprice AS price, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey::DOUBLE END AS customer FROM orders),
+    c AS (SELECT count(*) AS trials, count_if(status = 'completed')::BIGINT AS completed, count_if(status = 'failed')::BIGINT AS failed, count_if(status = 'completed' AND pareto_rank = 1)::BIGINT AS rank1 FROM t),
+    m AS (SELECT 'price' AS metric, avg(price) AS mean FROM t WHERE status = 'completed' UNION ALL SELECT 'customer', avg(customer) FROM t WHERE status = 'completed' UNION ALL SELECT 'never', NULL)
+    SELECT trials, completed, failed, rank1, metric, round(mean, 4) AS mean FROM c, m"""
+)
 def metric_means(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.count_if(F.col("value") > 50).alias("high"))
+    o = table(spark, sf, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "running").otherwise("failed")
+    values = F.map_filter(F.create_map(F.lit("price"), "o_totalprice", F.lit("customer"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey").cast("double"))), lambda _, v: v.isNotNull())
+    trials = o.select(status.alias("status"), (F.col("o_orderkey") % 3).alias("pareto_rank"), values.alias("objectives"))
+    found = planning.trial_summary(trials, declared=("price", "never"))
+    return found.select("trials", "completed", "failed", "rank1", F.explode("means").alias("metric", "mean")).withColumn("mean", F.round("mean", 4))
 
 
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -631,7 +723,7 @@ def configuration_grid(spark, sf):
 
 
 @query(
-    f"""WITH {SENTENCES}, n AS (SELECT doc_id, len(regexp_extract_all(source, '[.!?…]')) AS stops, words FROM units)
+    rf"""WITH {SENTENCES}, n AS (SELECT doc_id, len(regexp_extract_all(source, '[.!?…]')) AS stops, len(regexp_extract_all(source, '[\p{{L}}\p{{N}}_]+')) AS words FROM units)
     SELECT doc_id, count_if(words >= 80 AND stops <= 1)::BIGINT AS suspicious, count(*) AS parts FROM n GROUP BY 1"""
 )
 def suspicious_long(spark, sf):

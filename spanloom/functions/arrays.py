@@ -24,26 +24,14 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*rest, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
 
 
-def times(values: Column, value: Column) -> Column:
-    return F.size(F.filter(values, lambda x: x == value))
+def _numbered(values: Column) -> Column:
+    """Each string with its number among its equals, so that a multiset becomes a set."""
+    return let(lambda s: F.transform(s, lambda v, i: F.concat_ws("\0", v, (i - F.array_position(s, v)).cast("string"))), F.array_sort(values))
 
 
 def multiset_minus(a: Column, b: Column) -> Column:
-    """Values of ``a`` beyond their count in ``b``, in order of first appearance."""
-
-    def left(a: Column, b: Column) -> Column:
-        return F.flatten(F.transform(F.array_distinct(a), lambda v: F.array_repeat(v, F.greatest(F.lit(0), times(a, v) - times(b, v)))))
-
-    return let(left, a, b)
-
-
-def multiset_common(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection."""
-
-    def common(a: Column, b: Column) -> Column:
-        return F.aggregate(F.transform(F.array_distinct(a), lambda v: F.least(times(a, v), times(b, v))), F.lit(0), lambda x, y: x + y)
-
-    return let(common, a, b)
+    """Strings of ``a`` beyond their count in ``b``, sorted."""
+    return F.transform(F.array_except(_numbered(a), _numbered(b)), lambda v: F.substring_index(v, "\0", 1))
 
 
 def in_order(required: Column, observed: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .arrays import let
 
+#: The three grammars of numerals.
 #: A literal that touches no word character: sign, digits, one separator with digits, a denominator.
 LITERAL = r"(?U)(?<!\w)([+-]?\d+(?:[.,'’]\d+)?(?:/\d+)?)(?!\w)"
 #: Fractions, mixed fractions, grouped thousands and integers, with an English ordinal ending.
@@ -14,6 +15,8 @@ EXPLICIT = (
     r"(?iU)(?<!\d)(\d+\s*-\s*\d+\s*/\s*\d+(?:st|nd|rd|th)?|\d+\s*/\s*\d+(?:st|nd|rd|th)?"
     r"|\d{1,3}(?:(?:,\d{3})|(?:[\s  ]\d{3}))+(?:st|nd|rd|th)?|\d+(?:st|nd|rd|th)?)(?!\d)"
 )
+#: Integers, fractions, mixed fractions and groups parted by spaces.
+WHOLE = r"(?U)(?<!\w)(?:\d+-\d+/\d+|\d+/\d+|\d{1,3}(?:[\s\u00a0\u202f]\d{3})+|\d+)(?!\w)"
 #: The English number words.
 NUMBER_WORDS = {
     "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
@@ -70,7 +73,13 @@ def licensed(text: Column) -> Column:
     return let(lambda names: let(values, F.transform(names, lambda w: _value(w))), words)
 
 
-def spelled(text: Column) -> Column:
-    """Every number word's own value, once for each occurrence as a whole word."""
+def spelled(text: Column, most: int = 90) -> Column:
+    """The value of every number word up to ``most``, once for each occurrence as a whole word."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    return F.transform(F.filter(words, lambda w: w.isin(*NUMBER_WORDS)), lambda w: _value(w).cast("string"))
+    known = [w for w, v in NUMBER_WORDS.items() if v <= most]
+    return F.transform(F.filter(words, lambda w: w.isin(*known)), lambda w: _value(w).cast("string"))
+
+
+def whole(text: Column) -> Column:
+    """Integers, fractions and groups of three digits that touch no word character, without spaces."""
+    return F.transform(F.regexp_extract_all(text, F.lit(WHOLE), F.lit(0)), lambda x: F.regexp_replace(x, "[\\s\u00a0\u202f]", ""))

@@ -7,19 +7,32 @@ with the evidence; ``summary`` tells whether it passed. Guards are columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import numbers
 from spanloom.functions.arrays import held, in_order, let, multiset_minus, reasons
-from spanloom.functions.text import CYRILLIC, TERMINAL, count_of, letter_count, protected_stripped, script_share, strip, word_count
+from spanloom.functions.text import CYRILLIC, TERMINAL, count_of, letter_count, protected_stripped, run_count, script_share, strip, word_count
 
 SYMBOLS = ("%", "°", "±", "=", "<", ">")
 BRACKETS = (("(", ")"), ("[", "]"), ("{", "}"))
 TERMINALS = ("?", "!")
 
-Gate = Callable[[DataFrame], DataFrame]
+
+@dataclass(frozen=True)
+class Gate:
+    """A test of pairs: ``evidence`` adds columns to each pair, ``fails`` says by them whether it fails.
+
+    Called with pairs, a gate gives those that fail, with the evidence.
+    """
+
+    evidence: Callable[[DataFrame], DataFrame]
+    fails: Callable[[], Column]
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        return self.evidence(pairs).filter(self.fails())
 
 
 def mismatches(marks: tuple[str, ...], source: str = "source", target: str = "target") -> Column:
@@ -30,8 +43,14 @@ def mismatches(marks: tuple[str, ...], source: str = "source", target: str = "ta
     return F.map_filter(counts, lambda _, v: v["source"] != v["target"])
 
 
-def numeric_gate(pairs: DataFrame) -> DataFrame:
-    """Literals missing from the target, additions that no number word licenses, symbols whose counts differ."""
+def _any(*maps_and_arrays: str) -> Column:
+    out = F.lit(False)
+    for c in maps_and_arrays:
+        out = out | (F.size(c) > 0)
+    return out
+
+
+def _numerals(pairs: DataFrame) -> DataFrame:
     values = held(pairs, _a=numbers.literals(F.col("source")), _b=numbers.literals(F.col("target")), _ok=numbers.licensed(F.col("source")))
     judged = held(
         values,
@@ -39,44 +58,63 @@ def numeric_gate(pairs: DataFrame) -> DataFrame:
         unlicensed=F.filter(multiset_minus(F.col("_b"), F.col("_a")), lambda v: ~F.array_contains(F.col("_ok"), v)),
         symbols=mismatches(SYMBOLS),
     )
-    return judged.filter((F.size("missing") > 0) | (F.size("unlicensed") > 0) | (F.size(F.map_keys("symbols")) > 0)).drop("_a", "_b", "_ok")
+    return judged.drop("_a", "_b", "_ok")
 
 
-def punctuation_gate(pairs: DataFrame) -> DataFrame:
-    """Brackets and question or exclamation marks whose counts differ."""
-    marks = tuple(m for pair in BRACKETS for m in pair) + TERMINALS
-    return held(pairs, marks=mismatches(marks)).filter(F.size(F.map_keys("marks")) > 0)
+#: Literals missing from the target, additions that no number word licenses, symbols whose counts differ.
+numeric_gate = Gate(_numerals, lambda: _any("missing", "unlicensed", "symbols"))
+#: Brackets and question or exclamation marks whose counts differ.
+punctuation_gate = Gate(lambda pairs: held(pairs, marks=mismatches(tuple(m for pair in BRACKETS for m in pair) + TERMINALS)), lambda: _any("marks"))
 
 
-def length_gate(pairs: DataFrame, low: float = 0.15, high: float = 6.0) -> DataFrame:
+def length(low: float = 0.15, high: float = 6.0) -> Gate:
     """Blank targets, and letter ratios outside [low, high]; no source letters: 1, or infinite if the target has some."""
     if low <= 0 or high <= low:
         raise ValueError("length ratios must satisfy 0 < low < high")
-    a, b = letter_count(F.col("source")), letter_count(F.col("target"))
-    ratio = F.when(F.col("source_letters") > 0, F.col("target_letters") / F.col("source_letters")).when(F.col("target_letters") == 0, 1.0).otherwise(F.lit(float("inf")))
-    rated = held(pairs, source_letters=a, target_letters=b).withColumn("ratio", ratio)
-    return rated.filter((strip(F.col("target")) == "") | (F.col("ratio") < low) | (F.col("ratio") > high))
 
+    def evidence(pairs: DataFrame) -> DataFrame:
+        rated = held(pairs, source_letters=letter_count(F.col("source")), target_letters=letter_count(F.col("target")), blank=strip(F.col("target")) == "")
+        a, b = F.col("source_letters"), F.col("target_letters")
+        return held(rated, ratio=F.when(a > 0, b / a).when(b == 0, 1.0).otherwise(F.lit(float("inf"))))
+
+    return Gate(evidence, lambda: F.col("blank") | (F.col("ratio") < low) | (F.col("ratio") > high))
+
+
+def length_gate(pairs: DataFrame, low: float = 0.15, high: float = 6.0) -> DataFrame:
+    return length(low, high)(pairs).drop("blank")
 
-GATES: dict[str, Gate] = {"numeric": numeric_gate, "punctuation": punctuation_gate, "length": length_gate}
 
+GATES: dict[str, Gate] = {"numeric": numeric_gate, "punctuation": punctuation_gate, "length": length()}
 
-def summary(pairs: DataFrame, gates: dict[str, Gate] = GATES, key: str = "segment_id") -> DataFrame:
-    """(gate, failure_count, passed): one row for each gate, those without failures too."""
-    failed = None
-    for name, gate in gates.items():
-        part = gate(pairs).select(F.lit(name).alias("gate"), F.col(key))
-        failed = part if failed is None else failed.unionByName(part)
+
+def verdicts(pairs: DataFrame, gates: dict[str, Gate] = GATES, name: str = "failed") -> DataFrame:
+    """``pairs`` with an array column ``name``: the gates that fail, all judged in one pass over the pairs."""
+    out, columns = pairs, pairs.columns
+    for gate in gates.values():
+        out = gate.evidence(out)
+    return held(out, **{name: reasons(*[(n, g.fails()) for n, g in gates.items()])}).select(*columns, name)
+
+
+def summary(pairs: DataFrame, gates: dict[str, Gate] = GATES, key: str = "segment_id", digest: bool = False) -> DataFrame:
+    """(gate, failure_count, passed): one row for each gate, those without failures too.
+
+    With ``digest`` also ``issues_sha256``, a hash of the sorted keys of the
+    failing pairs (of nothing: of the empty string). A gate's failures are meant
+    to be few; their keys are brought together for it.
+    """
+    failed = verdicts(pairs, gates).select(F.col(key).cast("string").alias("k"), F.explode("failed").alias("gate"))
+    aggregates = [F.count("*").alias("n")]
+    if digest:
+        aggregates.append(F.sha2(F.array_join(F.array_sort(F.collect_list("k")), "\n").cast("binary"), 256).alias("issues"))
     all_gates = pairs.sparkSession.createDataFrame([(n,) for n in gates], "gate string")
-    counts = failed.groupBy("gate").agg(F.count("*").alias("n"))
-    return all_gates.join(F.broadcast(counts), "gate", "left").select("gate", F.coalesce("n", F.lit(0)).alias("failure_count"), F.col("n").isNull().alias("passed"))
+    out = all_gates.join(F.broadcast(failed.groupBy("gate").agg(*aggregates)), "gate", "left")  # a row for each gate
+    columns = ["gate", F.coalesce("n", F.lit(0)).alias("failure_count"), F.col("n").isNull().alias("passed")]
+    return out.select(*columns, *([F.coalesce("issues", F.sha2(F.lit("").cast("binary"), 256)).alias("issues_sha256")] if digest else []))
 
 
 def approved(pairs: DataFrame, gates: dict[str, Gate] = GATES, key: str = "segment_id") -> DataFrame:
     """Pairs that pass every gate."""
-    for gate in gates.values():
-        pairs = pairs.join(gate(pairs).select(key), key, "left_anti")
-    return pairs
+    return verdicts(pairs, gates, "_failed").filter(F.size("_failed") == 0).drop("_failed")
 
 
 def latest_gate_states(required: DataFrame, runs: DataFrame) -> DataFrame:
@@ -120,6 +158,22 @@ def numeric_order(source: Column, target: Column) -> Column:
     return in_order(numbers.explicit(source), numbers.explicit(target))
 
 
+def local_numeric_guard(source: Column, target: Column) -> Column:
+    """struct(missing, over, passed) over whole-word integers, fractions and spaced groups.
+
+    Number words of the source up to sixteen license as many more of their value.
+    """
+
+    def judge(required: Column, observed: Column, allowed: Column) -> Column:
+        return let(
+            lambda missing, over: F.struct(missing.alias("missing"), over.alias("over"), ((F.size(missing) == 0) & (F.size(over) == 0)).alias("passed")),
+            multiset_minus(required, observed),
+            multiset_minus(observed, F.concat(required, allowed)),
+        )
+
+    return let(judge, numbers.whole(source), numbers.whole(target), numbers.spelled(source, most=16))
+
+
 def integer_multiset_equal(source: Column, target: Column) -> Column:
     return F.array_sort(numbers.integers(source)) == F.array_sort(numbers.integers(target))
 
@@ -214,10 +268,14 @@ def strong_reasons(source: Column, baseline_text: Column, candidate_text: Column
     )
 
 
+#: Fixed value: what counts as a word left in Latin letters.
+LATIN_WORD = r"[A-Za-z]{4,}"
+
+
 def latin_residue(source: Column, target: Column) -> Column:
     """Latin words of four or more letters outside protected spans that the target took over from the source."""
-    words = F.regexp_extract_all(protected_stripped(target), F.lit(r"[A-Za-z]{4,}"), F.lit(0))
-    own = F.array_distinct(F.transform(F.regexp_extract_all(source, F.lit(r"[A-Za-z]{4,}"), F.lit(0)), F.lower))
+    words = F.regexp_extract_all(protected_stripped(target), F.lit(LATIN_WORD), F.lit(0))
+    own = F.array_distinct(F.transform(F.regexp_extract_all(source, F.lit(LATIN_WORD), F.lit(0)), F.lower))
     common = let(lambda own, seen: F.array_intersect(own, seen), own, F.array_distinct(F.transform(words, F.lower)))
     return let(lambda words, common: F.filter(words, lambda w: F.array_contains(common, F.lower(w))), words, common)
 
@@ -243,20 +301,61 @@ def absolute_reasons(source: Column, target: Column, least_share: float = 0.60,
     return F.concat(first, rest)
 
 
+def row_objective(source: Column, baseline: Column, candidate: Column, changed: Column, least_share: float = 0.60, **scripts: str) -> Column:
+    """Why a row fails: its candidate's own faults, and for changed rows the strong gate and new unprotected Latin words."""
+    own = let(
+        lambda q: reasons(
+            ("empty", q["empty"]), ("numeric", ~q["numeric_passed"]), ("numeric_order", ~numeric_order(source, candidate)), ("delimiters", ~delimiters(source, candidate)),
+            ("critical_tokens", F.size(critical_tokens(source, candidate)) > 0), ("figure", ~q["figures_passed"]), ("length", q["length_anomaly"]), ("identity", q["identity"]),
+        ),
+        quality(source, candidate, **scripts),
+    )
+    rest = reasons(
+        ("strong_intervention_gate", changed & (F.size(strong_reasons(source, baseline, candidate, **scripts)) > 0)),
+        ("new_unprotected_latin", changed & (latin_words(candidate) > latin_words(baseline))),
+    )
+    return F.concat(own, rest)
+
+
+def latin_words(text: Column) -> Column:
+    """Latin words of four letters or more outside protected spans."""
+    return F.regexp_count(protected_stripped(text), F.lit(LATIN_WORD))
+
+
+def global_pass(rows: DataFrame, failures: str = "failures", baseline_share: str = "baseline_share", share: str = "share", loss: float = 0.01) -> DataFrame:
+    """One row: units, failed units, the mean script shares of baseline and candidate, and whether all passed.
+
+    ``rows`` has the array of ``row_objective`` and two shares (null for empty
+    texts); the mean share may not fall by more than ``loss``.
+    """
+    out = rows.agg(
+        F.count("*").alias("units"),
+        F.count_if(F.size(failures) > 0).alias("failed_units"),
+        F.avg(baseline_share).alias("baseline_mean"),
+        F.avg(share).alias("candidate_mean"),
+    )
+    kept = F.coalesce(F.col("candidate_mean") >= F.col("baseline_mean") - loss, F.lit(True))
+    return out.withColumn("passed", (F.col("failed_units") == 0) & kept)
+
+
+#: Faults of punctuation (a space before a mark, a mark between letters, doubled marks), and stops.
+PUNCTUATION_FAULTS = (r"\s+[,.;:!?]", r"(?<=[A-Za-z])[,;:!?](?=[A-Za-z])", r",{2,}|;{2,}")
+STOPS = "[.!?…]"
+
+
 def punctuation_proxy(text: Column) -> Column:
     """Count of suspicious punctuation: space before a mark, a mark between letters, doubled marks, long or open ends."""
-    words = word_count(text)
+    words = run_count(text)
     return (
-        F.regexp_count(text, F.lit(r"\s+[,.;:!?]"))
-        + F.regexp_count(text, F.lit(r"(?<=[A-Za-z])[,;:!?](?=[A-Za-z])"))
-        + F.regexp_count(text, F.lit(r",{2,}|;{2,}"))
-        + F.when((words >= 80) & (F.regexp_count(text, F.lit("[.!?…]")) <= 1), 1).otherwise(0)
+        sum((F.regexp_count(text, F.lit(p)) for p in PUNCTUATION_FAULTS), F.lit(0))
+        + F.when(suspicious_long(text), 1).otherwise(0)
         + F.when((strip(text) != "") & ~text.rlike(TERMINAL) & (words > 3), 1).otherwise(0)
     ).cast("long")
 
 
 def suspicious_long(text: Column) -> Column:
-    return (word_count(text) >= 80) & (F.regexp_count(text, F.lit("[.!?…]")) <= 1)
+    """Eighty bare word runs or more with one stop at most."""
+    return (run_count(text) >= 80) & (F.regexp_count(text, F.lit(STOPS)) <= 1)
 
 
 def quality_totals(rows: DataFrame, q: str = "quality") -> DataFrame:

@@ -109,13 +109,47 @@ def get_or_create(rows: DataFrame, existing: DataFrame, keys: list[str], surface
     return existing.select(id_name, *keys, "display").unionByName(numbered.select(id_name, *keys, "display"))
 
 
-def lineage(runs: DataFrame, start: int, run: str = "run_id", parent: str = "parent_id") -> list[int]:
-    """Run ids from ``start`` up to its first ancestor; each step is one point lookup."""
-    out, at = [], start
-    while at is not None:
-        row = runs.filter(F.col(run) == at).select(parent).first()
-        if row is None or at in out:
-            raise ValueError(f"broken lineage at {at}")
-        out.append(at)
-        at = row[0]
-    return out
+def lineage(runs: DataFrame, start: int, run: str = "run_id", parent: str = "parent_id", most: int = 90) -> list[int]:
+    """Run ids from ``start`` up to its first ancestor, by one recursive query; a lost parent, a cycle or more than ``most`` steps raise an error."""
+    query = f"""
+        WITH RECURSIVE edges AS (SELECT `{run}` AS run, `{parent}` AS parent FROM {{runs}}), up AS (
+          SELECT run, parent, 0 AS step FROM edges WHERE run = {int(start)}
+          UNION ALL
+          SELECT e.run, e.parent, up.step + 1 FROM edges e JOIN up ON e.run = up.parent WHERE up.step < {int(most)}
+        ) SELECT run, parent, step FROM up ORDER BY step"""
+    rows = runs.sparkSession.sql(query, runs=runs).collect()
+    ids = [r["run"] for r in rows]
+    if not rows or rows[-1]["parent"] is not None or len(set(ids)) < len(ids):
+        raise ValueError(f"broken lineage at {rows[-1]['parent'] if rows else start}")
+    return ids
+
+
+def version_key(version: Column) -> Column:
+    """Major, minor and patch of a version as a struct that sorts; anything else sorts before all versions."""
+    found = F.regexp_extract_all(version, F.lit(r"^\s*v?(\d+)\.(\d+)\.(\d+)"), F.lit(0))
+    parts = F.split(F.regexp_replace(F.element_at(found, 1), r"^\s*v?", ""), r"\.")
+    known = F.size(found) > 0
+    return F.struct(*[F.when(known, F.get(parts, F.lit(i)).cast("int")).otherwise(-1).alias(n) for i, n in enumerate(("major", "minor", "patch"))])
+
+
+#: How far a candidate's report got, the best last.
+REPORT_STATES = ("incomplete_candidate", "base_candidate_requires_compatibility_proof", "exact_version_structural_candidate")
+
+
+def by_priority(candidates: DataFrame) -> DataFrame:
+    """Archive candidates with ``place`` from 1: identity, report state, catalogue name, structure, runtime, targets, version, path, each falling.
+
+    Candidates have identity_match, catalog_match, structural_complete,
+    runtime_ok (booleans), status, targets (int), version and path. A selection
+    list: it is ranked in one task.
+    """
+    state = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in REPORT_STATES]), F.col("status")), F.lit(0))
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)).cast("int")
+    order = [flag("identity_match"), state, flag("catalog_match"), flag("structural_complete"), flag("runtime_ok"), F.coalesce("targets", F.lit(0)), version_key(F.col("version")), F.lower("path")]
+    return candidates.withColumn("place", F.row_number().over(Window.orderBy(*[c.desc() for c in order])))
+
+
+def fragment_occurrences(occurrences: DataFrame, fragments: DataFrame, kinds: tuple[str, ...], results: tuple[str, ...] = ("completed",)) -> DataFrame:
+    """Occurrences (fragment_id, occurrence_id, ..) with their fragment's text, of the kinds and stage results asked for, in order."""
+    own = fragments.filter(F.col("kind").isin(*kinds) & F.col("result").isin(*results))
+    return occurrences.join(own, "fragment_id").orderBy("occurrence_id")

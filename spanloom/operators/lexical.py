@@ -98,10 +98,11 @@ def senses(held: DataFrame, entry: list[str], target: str = "target", order: lis
 
     Blank target evidence is a class of its own. The hash is over the entry,
     the folded target and the ordered places, so it does not depend on ids
-    that a run hands out.
+    that a run hands out. A column ``target_key`` that is there already is taken
+    as the folded target, so that a target is folded once and not for each word.
     """
     order = order or ["doc_id", "pos_index"]
-    rows = held.withColumn("target_key", fold(F.coalesce(target, F.lit(""))))
+    rows = held if "target_key" in held.columns else held.withColumn("target_key", fold(F.coalesce(target, F.lit(""))))
     groups = rows.groupBy(*entry, "target_key").agg(
         F.count("*").alias("occurrence_count"), F.array_sort(F.collect_list(F.struct(*order, *(evidence or [])))).alias("evidence")
     )

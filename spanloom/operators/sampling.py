@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.scratch import kept
+
 
 def stable_rank(salt: Column | str, occurrence: Column, text: Column) -> Column:
     """sha256 of salt, occurrence and text with NUL between: an order that no row's neighbours change."""
@@ -36,23 +38,41 @@ def quota_column(quotas: Mapping[str, int], group: str = "category") -> Column:
 def quota_selection(units: DataFrame, quotas: Mapping[str, int], target: int, salt: str = "selection") -> DataFrame:
     """Units (key columns, category, source, words) by category quota in hash order, then filled up to ``target`` words.
 
-    ``units`` has ``uid``, a unique text for the hash. Adds ``reason`` (quota or fill).
+    ``units`` has ``uid``, a unique text for the hash. Returns (uid, category,
+    words, reason), the reason quota or fill. Units are read once: the texts end
+    in two hashes, and budgets are taken from the narrow table of these.
     """
-    ranked = units.withColumn("_rank", stable_rank(F.concat(F.lit(f"{salt}-"), F.col("category")), F.col("uid"), F.col("source")))
-    chosen = budget_take(ranked, "category", ["_rank"], "words", quota_column(quotas)).drop("_rank")
-    held = chosen.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("_held"))  # one row
-    rest = units.join(chosen.select("uid"), "uid", "left_anti").crossJoin(F.broadcast(held)).withColumn("_all", F.lit(0))
-    rest = rest.withColumn("_rank", stable_rank(f"{salt}-fill", F.col("uid"), F.col("source")))
-    fill = budget_take(rest, "_all", ["_rank"], "words", F.lit(target) - F.col("_held")).drop("_rank", "_held", "_all")
+    by_category = stable_rank(F.concat(F.lit(f"{salt}-"), F.col("category")), F.col("uid"), F.col("source"))
+    ranks = kept(units.select("uid", "category", "words", by_category.alias("_rank"), stable_rank(f"{salt}-fill", F.col("uid"), F.col("source")).alias("_fill")), "ranks")
+    chosen = kept(budget_take(ranks, "category", ["_rank"], "words", quota_column(quotas)).select("uid", "category", "words"), "chosen")
+    held = chosen.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    # Each chosen unit has a word at least, so there are no more than the quotas' words.
+    rest = ranks.join(F.broadcast(chosen.select("uid")), "uid", "left_anti").withColumn("_all", F.lit(0))
+    fill = budget_take(rest, "_all", ["_fill"], "words", F.lit(target - held)).select("uid", "category", "words")
     return chosen.withColumn("reason", F.lit("quota")).unionByName(fill.withColumn("reason", F.lit("fill")))
 
 
 def positions(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``rows`` with ``i`` (from 0) and ``n`` in their group."""
+    """``rows`` with ``i`` (from 0) and ``n`` in their group; a task sorts a group, so groups are such as fit in one."""
     w = Window.partitionBy(group).orderBy(*order)
     return rows.withColumn("i", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(Window.partitionBy(group)))
 
 
+def range_positions(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``positions`` for groups of any size: rows are dealt and numbered by ranges of (group, order), and written once.
+
+    The counts by range, a row for each range and group in it, give every range its first number.
+    """
+    ranged = kept(rows.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(group)
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(group, "_part", before.alias("_start"), F.sum("_n").over(w).alias("n"))
+    place = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order)) - 1
+    out = ranged.withColumn("i", place).join(starts, [group, "_part"])
+    return out.select(*rows.columns, (F.col("i") + F.col("_start")).alias("i"), "n")
+
+
 def bucket_centres(placed: DataFrame, buckets: int = 8) -> DataFrame:
     """Rows in the middle of each of min(buckets, n) equal stretches, with ``bucket``."""
     k = F.least(F.lit(buckets), F.col("n"))
@@ -113,9 +133,14 @@ def window_sample(placed: DataFrame, fractions: tuple[float, ...] = (0.1, 0.3, 0
 
 
 def shards(rows: DataFrame, order: list[str], n: int, group: str | None = None) -> DataFrame:
-    """``rows`` with ``shard``: position modulo n, in their group (without one: over all, for small selections)."""
-    w = Window.partitionBy(group).orderBy(*order) if group else Window.orderBy(*order)
-    return rows.withColumn("shard", F.pmod(F.row_number().over(w) - 1, F.lit(n)))
+    """``rows`` with ``shard``: position modulo n, in their group (without one: over all)."""
+    placed = range_positions(rows if group else rows.withColumn("_all", F.lit(0)), group or "_all", order)
+    return placed.withColumn("shard", F.pmod("i", F.lit(n))).drop("i", "n", "_all")
+
+
+def top_disjoint(scores: DataFrame, n: int, blocked: DataFrame, key: str = "i", score: str = "score") -> DataFrame:
+    """The ``n`` rows of highest score (ties: least key) among those whose key is not in ``blocked``."""
+    return scores.join(blocked.select(key).distinct(), key, "left_anti").orderBy(F.desc(score), key).limit(n)
 
 
 def combined_shards(parts: list[DataFrame], expected: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,14 +37,75 @@ def lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.select(key, F.posexplode(F.split(T.newlines(F.col("text")), "\n")).alias("seq", "text"))
 
 
+#: Texts that are taken from an Arrow batch at once.
+TEXTS = 200
+
+
+def _by_text(docs: DataFrame, key: str, spans: Callable[[str], dict[str, np.ndarray | list]], columns: str) -> DataFrame:
+    """(key, columns): the rows that ``spans`` gives for each text. A document's rows are made where its text is, without a shuffle."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
+                for k, text in enumerate(part.column(1).to_pylist()):
+                    if text is not None and len((found := spans(text))[names[0]]):
+                        n = len(found[names[0]])
+                        keys = pa.repeat(part.column(0)[k], n)
+                        yield pa.RecordBatch.from_arrays([keys, *(pa.array(found[c]) for c in names)], names=[key, *names])
+
+    kind = dict(docs.dtypes)[key]
+    return docs.select(F.col(key), F.col("text")).mapInArrow(run, f"`{key}` {kind}, {columns}")
+
+
+@lru_cache(1)
+def _wordlike() -> np.ndarray:
+    """Whether each code point is a letter, a number or an underscore."""
+    return np.array([chr(i).isalnum() or i == 95 for i in range(sys.maxunicode + 1)])
+
+
+def _runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the word runs of a text, in code points."""
+    inside = _wordlike()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
 def word_runs(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, pos, word, start, end): word runs with code point offsets, by a running sum over each document's pieces."""
-    parts = docs.select(key, F.posexplode(F.regexp_extract_all(F.col("text"), F.lit(T.PIECE), F.lit(0))).alias("k", "piece"))
-    before = Window.partitionBy(key).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.withColumn("start", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)))
-    words = placed.filter(F.col("piece").rlike(r"^[\p{L}\p{N}_]"))
-    # Words and gaps alternate, so a word's place among words is half its place among pieces.
-    return words.select(key, F.expr("k div 2").cast("int").alias("pos"), F.col("piece").alias("word"), F.col("start").cast("long").alias("start"), (F.col("start") + F.length("piece")).cast("long").alias("end"))
+    """(key, pos, word, start, end): word runs with code point offsets."""
+
+    def spans(text: str) -> dict:
+        starts, ends = _runs(text)
+        return {"pos": np.arange(len(starts), dtype=np.int32), "word": [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())], "start": starts, "end": ends}
+
+    return _by_text(docs, key, spans, "pos int, word string, start long, end long")
+
+
+def word_chunks(docs: DataFrame, size: int, key: str = "doc_id") -> DataFrame:
+    """(key, chunk, start, end, n_tokens): chunks of ``size`` word runs; a chunk ends as the next begins, the last with its last run."""
+
+    def spans(text: str) -> dict:
+        starts, ends = _runs(text)
+        first = starts[::size]
+        n = len(first)
+        return {
+            "chunk": np.arange(n, dtype=np.int64), "start": first, "end": np.append(first[1:], ends[-1:]),
+            "n_tokens": np.minimum(len(starts) - size * np.arange(n), size),
+        }
+
+    return _by_text(docs, key, spans, "chunk long, start long, end long, n_tokens long")
+
+
+def line_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, seq, text, start_char, end_char) of all lines, with offsets in the text whose line ends are line feeds."""
+
+    def spans(text: str) -> dict:
+        rows = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        ends = np.cumsum([len(r) + 1 for r in rows], dtype=np.int64) - 1
+        return {"seq": np.arange(len(rows), dtype=np.int32), "text": rows, "start_char": np.append(0, ends[:-1] + 1), "end_char": ends}
+
+    return _by_text(docs, key, spans, "seq int, text string, start_char long, end_char long")
 
 
 def token_chunks(tokens: DataFrame, size: int, key: str = "doc_id") -> DataFrame:
@@ -153,7 +221,7 @@ def block_features(found: DataFrame) -> DataFrame:
         _head=F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0))),
         _tail=F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))),
         _marks=F.aggregate(x, F.lit(0), lambda a, s: a + F.regexp_count(s, F.lit(r"[^\p{L}\p{N}\s]"))),
-        _words=F.regexp_extract_all(F.array_join(x, " "), F.lit(T.WORD), F.lit(0)),
+        _words=F.regexp_extract_all(F.array_join(x, " "), F.lit(T.RUN), F.lit(0)),
     )
     lengths = F.col("_lengths")
     rows = held(rows, _mean=_mean(lengths), _stdev=_stdev(lengths), _total=F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v))
@@ -179,7 +247,7 @@ def _unit(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 
 
-#: Weights of hard-wrap families over (width, regularity, open ends, lower-case starts, indent, few marks).
+#: Weights of hard-wrap families over (width, regularity, open ends, lower-case starts, indent, few marks).
 HARDWRAP = {
     "balanced": (0.27, 0.14, 0.20, 0.20, 0.09, 0.10),
     "continuation": (0.20, 0.10, 0.18, 0.32, 0.08, 0.12),
@@ -214,7 +282,7 @@ def block_scores(featured: DataFrame, family: str = "balanced") -> DataFrame:
     # Only single lines can be headings, so no long text is looked at again.
     featured = held(featured, _txt=F.when(f["line_count"] == 1, joined).otherwise(""))
     txt, words = F.col("_txt"), F.col("_heads")
-    featured = held(featured, _heads=F.filter(F.regexp_extract_all(txt, F.lit(T.WORD), F.lit(0)), lambda w: w.rlike(r"\p{L}")))
+    featured = held(featured, _heads=F.filter(F.regexp_extract_all(txt, F.lit(T.RUN), F.lit(0)), lambda w: w.rlike(r"\p{L}")))
     letters = T.letter_count(txt)
     heading = _unit(
         F.when(txt.rlike(HEADING_WORD), 0.42).otherwise(0.0)
@@ -265,26 +333,40 @@ def packed_units(parts: Column, preferred: int, ratio: float = 0.6, mode: str =
 
     A unit also closes at a paragraph's end: always (``strict``), once it is
     filled to ``ratio`` (``ratio``), or also if the next part would overfill it
-    (``ratio_next``). Returns array<struct<text, tokens, first, last>>.
+    (``ratio_next``). Returns array<struct<text, tokens, first, last>>. Where
+    units begin is one pass over two arrays of numbers; the texts stay where
+    they are.
     """
-    kind = "array<struct<text:string,tokens:bigint,first:bigint,last:bigint>>"
-
-    def add(out: Column, p: Column) -> Column:
-        cur = F.element_at(out, -1)
-        edge = cur["last"] != p["paragraph"]
-        full = cur["tokens"] >= preferred * ratio
-        closes = {"strict": edge, "ratio": edge & full, "ratio_next": edge & (full | (cur["tokens"] + p["tokens"] > preferred))}[mode]
-        over = (cur["tokens"] + p["tokens"] > preferred) | (cur["tokens"] + p["tokens"] > hard)
-        own = F.struct(p["text"].alias("text"), p["tokens"].cast("long").alias("tokens"), p["paragraph"].cast("long").alias("first"), p["paragraph"].cast("long").alias("last"))
-        grown = F.struct(
-            F.concat(cur["text"], F.lit(" "), p["text"]).alias("text"),
-            (cur["tokens"] + p["tokens"]).cast("long").alias("tokens"),
-            cur["first"].alias("first"),
-            p["paragraph"].cast("long").alias("last"),
+    limit = min(preferred, hard)
+
+    def begins(tokens: pd.Series, paragraphs: pd.Series) -> pd.Series:
+        out = []
+        for counts, places in zip(tokens, paragraphs):
+            cuts, held, last = [], 0, None
+            for i, (n, at) in enumerate(zip(counts, places)):
+                full = held >= preferred * ratio
+                closes = at != last and {"strict": True, "ratio": full, "ratio_next": full or held + n > preferred}[mode]
+                if i == 0 or held + n > limit or closes:
+                    cuts.append(i)
+                    held = 0
+                held, last = held + int(n), at
+            out.append(cuts)
+        return pd.Series(out)
+
+    starts = F.pandas_udf(begins, "array<int>")(F.transform(parts, lambda p: p["tokens"].cast("long")), F.transform(parts, lambda p: p["paragraph"].cast("long")))
+
+    def unit(own: Column) -> Column:
+        return F.struct(
+            F.array_join(F.transform(own, lambda p: p["text"]), " ").alias("text"),
+            F.aggregate(own, F.lit(0).cast("long"), lambda n, p: n + p["tokens"]).alias("tokens"),
+            F.element_at(own, 1)["paragraph"].cast("long").alias("first"),
+            F.element_at(own, -1)["paragraph"].cast("long").alias("last"),
         )
-        return F.when((F.size(out) == 0) | over | closes, F.concat(out, F.array(own))).otherwise(F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(grown)))
 
-    return F.aggregate(parts, F.array().cast(kind), add)
+    def units(parts: Column, at: Column) -> Column:
+        return F.transform(at, lambda a, i: let(unit, F.slice(parts, a + 1, F.coalesce(F.get(at, i + 1), F.size(parts)) - a)))
+
+    return let(units, parts, starts)
 
 
 def numeric_islands(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -2,51 +2,100 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.arrays import let
 from spanloom.functions.porter import stems
-from spanloom.functions.text import RUN, collapse, ngrams, protected_stripped
+from spanloom.functions.text import RUN, collapse, protected_stripped
+
+from .sampling import range_positions
 
-MARKUP = r"(?i)\[(?:Greek|Illustration|греч\.?|Иллюстрация)\s*:\s*([^\]]*)\]"
+#: Labels in brackets whose content stays, in English and Russian.
+GREEK_LABEL = r"(?iu)\[(?:Greek|греч\.?|греческ[^:\]]*)\s*:\s*([^\]]*)\]"
+PICTURE_LABEL = r"(?iu)\[(?:Illustration|Иллюстрация)\s*:\s*([^\]]*)\]"
 
 
 def plain(text: Column) -> Column:
     """Text without underscores, bracketed labels and brackets, white space collapsed."""
-    x = F.regexp_replace(F.replace(text, F.lit("_"), F.lit(" ")), MARKUP, " $1 ")
+    x = F.replace(text, F.lit("_"), F.lit(" "))
+    for label in (GREEK_LABEL, PICTURE_LABEL):
+        x = F.regexp_replace(x, label, " $1 ")
     return collapse(F.regexp_replace(x, r"[\[\](){}]", " "))
 
 
-def _bag(pairs: DataFrame, key: str, values: Column, side: str) -> DataFrame:
-    return pairs.select(key, F.explode(values).alias("v")).groupBy(key, "v").agg(F.count("*").alias(side))
+def _grams(value: Sequence | None, n: int) -> Counter:
+    """Counts of the n-grams of a text (strings) or of a list of words (tuples)."""
+    if value is None:
+        return Counter()
+    if not isinstance(value, str):
+        value = tuple(value)
+    return Counter(value[i : i + n] for i in range(len(value) - n + 1))
+
+
+def _overlap(bag: Callable[[Sequence | None], Counter]):
+    """A column function of two columns: struct(n_a, n_b, common) of their bags. Pairs stay rows: nothing is exploded or shuffled."""
+
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = [(x.total(), y.total(), (x & y).total()) for x, y in zip(map(bag, a), map(bag, b))]
+        return pd.DataFrame(rows, columns=["n_a", "n_b", "common"])
+
+    return F.pandas_udf(run, "n_a long, n_b long, common long")
 
 
 def multiset_overlap(pairs: DataFrame, key: str, a: Column, b: Column) -> DataFrame:
-    """(key, n_a, n_b, common): multiset sizes and intersection of two array columns, by counts of values, linear in their length."""
-    counts = _bag(pairs, key, a, "ca").withColumn("cb", F.lit(0).cast("long")).unionByName(_bag(pairs, key, b, "cb").withColumn("ca", F.lit(0).cast("long")))
-    both = counts.groupBy(key, "v").agg(F.sum("ca").alias("ca"), F.sum("cb").alias("cb"))
-    sums = both.groupBy(key).agg(F.sum("ca").alias("n_a"), F.sum("cb").alias("n_b"), F.sum(F.least("ca", "cb")).alias("common"))
-    return pairs.select(key).join(sums, key, "left").fillna(0, ["n_a", "n_b", "common"])
+    """(key, n_a, n_b, common): multiset sizes and intersection of two array columns, linear in their length."""
+    return pairs.select(key, _overlap(lambda v: _grams(v, 1))(a, b).alias("o")).select(key, "o.*")
+
+
+def _harmonic(o: Column) -> Column:
+    """2 common / (n_a + n_b), the harmonic mean of precision and recall; two empty bags are equal."""
+    return F.when(o["n_a"] + o["n_b"] == 0, 1.0).otherwise(2 * o["common"] / (o["n_a"] + o["n_b"]))
+
+
+def _dice(source: Column, target: Column, n: int = 3) -> Column:
+    bag = _overlap(lambda v: Counter([v]) if v and len(v) < n else _grams(v, n))
+    return _harmonic(bag(F.lower(plain(source)), F.lower(plain(target))))
+
+
+def _token_f1(source: Column, target: Column) -> Column:
+    words = (F.regexp_extract_all(F.lower(plain(c)), F.lit(RUN), F.lit(0)) for c in (source, target))
+    return _harmonic(_overlap(lambda v: _grams(v, 1))(*words))
+
+
+def _chrf(source: Column, target: Column, chars: int = 6, words: int = 2, beta: float = 2.0) -> Column:
+    def orders(letters: str, parts: Sequence[str]) -> list[Counter]:
+        return [_grams(letters, n) for n in range(1, chars + 1)] + [_grams(parts, n) for n in range(1, words + 1)]
+
+    def run(a: pd.Series, b: pd.Series, wa: pd.Series, wb: pd.Series) -> pd.Series:
+        out = []
+        for ref, hyp in zip(map(orders, a, wa), map(orders, b, wb)):
+            both = [((x & y).total(), x.total(), y.total()) for x, y in zip(ref, hyp) if x and y]
+            precision = sum(m / h for m, _, h in both) / len(both) if both else 0.0
+            recall = sum(m / r for m, r, _ in both) / len(both) if both else 0.0
+            bottom = beta * beta * precision + recall
+            out.append(100 * (1 + beta * beta) * precision * recall / bottom if bottom else 0.0)
+        return pd.Series(out, dtype=float)
+
+    def split(c: Column) -> Column:
+        spaced = F.regexp_replace(F.regexp_replace(collapse(c), r"(\S)([\p{Punct}])(?=\s|$)", "$1 $2"), r"(^|\s)([\p{Punct}])(\S)", "$1$2 $3")
+        return F.filter(F.split(spaced, " "), lambda w: w != "")
+
+    bare = (F.regexp_replace(c, r"\s+", "") for c in (source, target))
+    return F.pandas_udf(run, "double")(*bare, split(source), split(target))
 
 
 def dice(pairs: DataFrame, key: str, n: int = 3, source: str = "source", target: str = "target") -> DataFrame:
-    """(key, char3_dice): Dice coefficient of the character n-gram multisets; two empty texts are equal."""
-    o = multiset_overlap(pairs, key, ngrams(F.lower(plain(F.col(source))), n), ngrams(F.lower(plain(F.col(target))), n))
-    total = F.col("n_a") + F.col("n_b")
-    return o.select(key, F.when(total == 0, 1.0).otherwise(2 * F.col("common") / total).alias("char3_dice"))
+    """(key, char3_dice): Dice coefficient of the character n-gram multisets, a shorter text being its own only gram; two empty texts are equal."""
+    return pairs.select(key, _dice(F.col(source), F.col(target), n).alias("char3_dice"))
 
 
 def token_f1(pairs: DataFrame, key: str, source: str = "source", target: str = "target") -> DataFrame:
     """(key, token_f1): harmonic mean of precision and recall over word multisets."""
-
-    def words(c: str) -> Column:
-        return F.regexp_extract_all(F.lower(plain(F.col(c))), F.lit(RUN), F.lit(0))
-
-    o = multiset_overlap(pairs, key, words(source), words(target))
-    total = F.col("n_a") + F.col("n_b")
-    # 2PR / (P + R) with P = common / n_b and R = common / n_a.
-    return o.select(key, F.when(total == 0, 1.0).otherwise(2 * F.col("common") / total).alias("token_f1"))
+    return pairs.select(key, _token_f1(F.col(source), F.col(target)).alias("token_f1"))
 
 
 def chrf(pairs: DataFrame, key: str, source: str = "source", target: str = "target", chars: int = 6, words: int = 2, beta: float = 2.0) -> DataFrame:
@@ -56,36 +105,22 @@ def chrf(pairs: DataFrame, key: str, source: str = "source", target: str = "targ
     sides have: character n-grams up to ``chars`` without white space, word
     n-grams up to ``words`` with edge punctuation split off.
     """
-
-    def grams(c: str, n: int, kind: str) -> Column:
-        if kind == "char":
-            return let(lambda x: F.when(F.length(x) >= n, ngrams(x, n)).otherwise(F.array().cast("array<string>")), F.regexp_replace(F.col(c), r"\s+", ""))
-        spaced = F.regexp_replace(F.regexp_replace(collapse(F.col(c)), r"(\S)([\p{Punct}])(?=\s|$)", "$1 $2"), r"(^|\s)([\p{Punct}])(\S)", "$1$2 $3")
-
-        def cut(parts: Column) -> Column:
-            starts = F.sequence(F.lit(1), F.greatest(F.size(parts) - n + 1, F.lit(1)))
-            return F.when(F.size(parts) >= n, F.transform(starts, lambda i: F.array_join(F.slice(parts, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-
-        return let(cut, F.filter(F.split(spaced, " "), lambda w: w != ""))
-
-    scores = None
-    for kind, most in (("char", chars), ("word", words)):
-        for n in range(1, most + 1):
-            o = multiset_overlap(pairs, key, grams(source, n, kind), grams(target, n, kind))
-            o = o.select(key, F.when((F.col("n_a") > 0) & (F.col("n_b") > 0), F.col("common") / F.col("n_b")).alias("p"), F.when((F.col("n_a") > 0) & (F.col("n_b") > 0), F.col("common") / F.col("n_a")).alias("r"))
-            scores = o if scores is None else scores.unionByName(o)
-    means = scores.groupBy(key).agg(F.avg("p").alias("p"), F.avg("r").alias("r"))
-    b2 = beta * beta
-    bottom = b2 * F.col("p") + F.col("r")
-    return means.select(key, F.when(bottom > 0, 100 * (1 + b2) * F.col("p") * F.col("r") / bottom).otherwise(0.0).alias("chrf"))
+    return pairs.select(key, _chrf(F.col(source), F.col(target), chars, words, beta).alias("chrf"))
 
 
 def composite(pairs: DataFrame, key: str) -> DataFrame:
-    """(key, chrf, token_f1, char3_dice, composite): half chrF++ and a quarter of each of the others."""
-    out = chrf(pairs, key).join(token_f1(pairs, key), key).join(dice(pairs, key), key)
+    """(key, chrf, token_f1, char3_dice, composite): half chrF++ and a quarter of each of the others, in one pass."""
+    s, t = F.col("source"), F.col("target")
+    out = pairs.select(key, _chrf(s, t).alias("chrf"), _token_f1(s, t).alias("token_f1"), _dice(s, t).alias("char3_dice"))
     return out.withColumn("composite", 0.5 * F.col("chrf") / 100 + 0.25 * F.col("token_f1") + 0.25 * F.col("char3_dice"))
 
 
+def worst_first(rows: DataFrame, delta: str, key: str) -> DataFrame:
+    """``rows`` with ``place`` from 1, the lowest delta first (ties by key); numbered by ranges, whatever their number."""
+    placed = range_positions(rows.withColumn("_all", F.lit(0)), "_all", [delta, key])
+    return placed.withColumn("place", F.col("i") + 1).drop("i", "n", "_all")
+
+
 def delta_summary(rows: DataFrame, delta: str = "delta") -> DataFrame:
     """Mean, least and largest delta, and how many are better, worse and tied."""
     d = F.col(delta)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import Any
@@ -12,6 +15,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.operators.sampling import range_positions
+
 SCHEMA = "run_id long, stage int, impl string, input_sha string, params_sha string, status string, output_sha string, output string, error string, at timestamp, event long"
 
 
@@ -42,14 +47,31 @@ class Run:
 
 
 class Ledger:
-    """Runs keyed by (stage, implementation, input hash, parameter hash); one writer.
+    """Runs keyed by (stage, implementation, input hash, parameter hash).
 
     A completed run is a cache hit, a running one an error that someone must
-    reconcile, a failed one may run again under a new id.
+    reconcile, a failed one may run again under a new id. Ids and events are
+    handed out under a lock file beside the table, so of several writers one
+    writes at a time; a lock that stays longer than ``patience`` seconds is an
+    error, and its owner must be looked for.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, patience: float = 60):
+        self.spark, self.path, self.patience = spark, path, patience
+
+    @contextmanager
+    def _locked(self) -> Iterator[None]:
+        lock = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.lock")
+        files, until = lock.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), time.monotonic() + self.patience
+        files.mkdirs(lock.getParent())
+        while not files.createNewFile(lock):
+            if time.monotonic() > until:
+                raise RuntimeError(f"{lock} is held by another writer")
+            time.sleep(0.1)
+        try:
+            yield
+        finally:
+            files.delete(lock, False)
 
     def events(self) -> DataFrame:
         try:
@@ -71,21 +93,33 @@ class Ledger:
 
     def begin(self, stage: int, impl: str, inputs: Any, params: Any) -> Run:
         key = {"stage": stage, "impl": impl, "input_sha": sha(inputs), "params_sha": sha(params)}
-        same = self.runs().filter(" and ".join(f"{k} = {v!r}" for k, v in key.items()))
-        for r in same.collect():
-            if r["status"] == "completed":
-                return Run(r["run_id"], True, json.loads(r["output"]))
-            if r["status"] == "running":
-                raise RuntimeError(f"run {r['run_id']} is still marked as running: reconcile it first")
-        run_id = self.events().agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0] + 1
-        self._append(run_id=run_id, status="running", **key)
+        with self._locked():
+            same = self.runs().filter(" and ".join(f"{k} = {v!r}" for k, v in key.items()))
+            for r in same.collect():
+                if r["status"] == "completed":
+                    return Run(r["run_id"], True, json.loads(r["output"]))
+                if r["status"] == "running":
+                    raise RuntimeError(f"run {r['run_id']} is still marked as running: reconcile it first")
+            run_id = self.events().agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0] + 1
+            self._append(run_id=run_id, status="running", **key)
         return Run(run_id, False)
 
     def _end(self, run_id: int, **change: Any) -> None:
+        with self._locked():
+            row = self.runs().filter(F.col("run_id") == run_id).first()
+            if row is None or row["status"] != "running":
+                raise RuntimeError(f"run {run_id} is not running")
+            self._append(**{k: row[k] for k in ("run_id", "stage", "impl", "input_sha", "params_sha")}, **change)
+
+    def required(self, run_id: int, stage: int, **flags: Any) -> dict:
+        """The output of a completed run of ``stage`` that has these values; anything else raises an error."""
         row = self.runs().filter(F.col("run_id") == run_id).first()
-        if row is None or row["status"] != "running":
-            raise RuntimeError(f"run {run_id} is not running")
-        self._append(**{k: row[k] for k in ("run_id", "stage", "impl", "input_sha", "params_sha")}, **change)
+        if row is None or row["stage"] != stage or row["status"] != "completed":
+            raise RuntimeError(f"run {run_id} is not a completed run of stage {stage}")
+        output = json.loads(row["output"])
+        if wrong := {k: output.get(k) for k, v in flags.items() if output.get(k) != v}:
+            raise RuntimeError(f"run {run_id} of stage {stage} has {wrong}")
+        return output
 
     def finish(self, run_id: int, output: dict) -> None:
         self._end(run_id, status="completed", output=canonical(output), output_sha=sha(output))
@@ -154,9 +188,12 @@ def chain_breaks(journal: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def read_journal(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, body, previous, sha) of a JSONL journal; a torn last line is left out, any other broken line raises an error."""
-    raw = spark.read.text(path, wholetext=True)
-    rows = raw.select(F.posexplode(F.split("value", "\n")).alias("pos", "line"), F.size(F.split("value", "\n")).alias("n"))
+    """(pos, body, previous, sha) of a JSONL journal; a torn last line is left out, any other broken line raises an error.
+
+    Lines are read in splits and numbered by the split's place in the file.
+    """
+    raw = spark.read.text(path, lineSep="\n").select(F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    rows = range_positions(raw.withColumn("_all", F.lit(0)), "_all", ["block", "id"]).withColumnRenamed("i", "pos")
     record = F.from_json("line", "body string, previous string, sha string")
     parsed = rows.withColumn("r", record).filter((F.col("line") != "") & ~((F.col("pos") == F.col("n") - 1) & F.col("r.sha").isNull()))
     bad = F.when(F.col("r.sha").isNull(), F.raise_error(F.concat(F.lit("broken journal line "), F.col("pos").cast("string")))).otherwise(F.col("r.sha"))

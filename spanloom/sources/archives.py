@@ -7,12 +7,14 @@ import csv
 import hashlib
 import io
 import posixpath
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEMBERS = "archive string, path string, bytes long, sha256 string, content binary"
@@ -82,19 +84,30 @@ def record_rows(found: DataFrame) -> DataFrame:
 
 
 def keyword_hits(texts: DataFrame, terms: list[str], key: str = "path", text: str = "text", before: int = 240, after: int = 480, most: int | None = 200) -> DataFrame:
-    """(key, term, offset, context) of every occurrence of the terms, the first ``most`` of each key (None: all).
+    """(key, term, offset, context, truncated) of every occurrence of the terms, the first ``most`` of each key (None: all).
 
-    Occurrences are found by splitting on the term, so each is seen once and
-    none overlaps.
+    Occurrences of a term do not overlap. ``truncated`` says that the key has
+    more hits than are given. Hits are found where the text is: no text is
+    shuffled.
     """
-    rows = texts.select(key, text, F.explode(F.array(*[F.lit(t) for t in terms])).alias("term")).filter(F.contains(text, F.col("term")))
-    parts = rows.select(key, text, "term", F.posexplode(F.split(F.col(text), F.concat(F.lit("\\Q"), F.col("term"), F.lit("\\E")), -1)).alias("i", "part"))
-    w = Window.partitionBy(key, "term").orderBy("i")
-    end = F.sum(F.length("part")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("i") * F.length("term")
-    last = F.lead("i").over(w).isNull()
-    hits = parts.withColumn("offset", end).withColumn("_last", last).filter(~F.col("_last"))
-    context = F.substring(F.col(text), F.greatest(F.col("offset") - before, F.lit(0)).cast("int") + 1, (F.least(F.col("offset"), F.lit(before)) + after).cast("int"))
-    ranked = hits.select(key, "term", F.col("offset").cast("long").alias("offset"), context.alias("context"))
-    if most is None:
-        return ranked
-    return ranked.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("offset", "term"))).filter(F.col("_r") <= most).drop("_r")
+    if not all(terms):
+        raise ValueError("an empty term has no occurrences")
+    kind = dict(texts.dtypes)[key]
+
+    def hits(body: str) -> list[tuple[int, str]]:
+        return sorted((m.start(), t) for t in terms for m in re.finditer(re.escape(t), body))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owner, body in zip(batch.column(0), batch.column(1)):
+                found = hits(body.as_py() or "")
+                kept = found if most is None else found[:most]
+                for i in range(0, len(kept), 1_000):
+                    part, whole = kept[i : i + 1_000], body.as_py()
+                    columns = [pa.array([t for _, t in part]), pa.array([at for at, _ in part], pa.int64())]
+                    columns.append(pa.array([whole[max(0, at - before) : at + after] for at, _ in part]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(owner, len(part)), *columns, pa.array([len(kept) < len(found)] * len(part))], names=[key, "term", "offset", "context", "truncated"]
+                    )
+
+    return texts.select(key, F.col(text).cast("string").alias(text)).mapInArrow(run, f"`{key}` {kind}, term string, offset long, context string, truncated boolean")

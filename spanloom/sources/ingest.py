@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +35,34 @@ def new_imports(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def tree_identity(files: DataFrame, root: str = "root") -> DataFrame:
-    """(root, files, bytes, tree_sha256): a hash over the sorted (path, size, hash) lines of each root."""
+    """(root, files, bytes, tree_sha256): a hash over the sorted (path, size, hash) lines of each root.
+
+    The hash runs over the lines in order, so a root is one task's stream; the
+    lines are sorted by Spark, which spills, and pass through one by one.
+    """
+    kind = dict(files.dtypes)[root]
     line = F.concat_ws("\t", "path", F.col("byte_size").cast("string"), "sha256")
-    return files.groupBy(root).agg(
-        F.count("*").alias("files"),
-        F.sum("byte_size").alias("bytes"),
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x["line"]), "\n").cast("binary"), 256).alias("tree_sha256"),
-    )
+    ordered = files.select(root, "path", "byte_size", line.alias("line")).repartition(root).sortWithinPartitions(root, "path", "line")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, digest, n, size = None, None, 0, 0
+
+        def row():
+            columns = (pa.repeat(own, 1), pa.array([n], pa.int64()), pa.array([size], pa.int64()), pa.array([digest.hexdigest()]))
+            return pa.RecordBatch.from_arrays(list(columns), names=[root, "files", "bytes", "tree_sha256"])
+
+        for batch in batches:
+            for owner, count, text in zip(batch.column(0), batch.column(1), batch.column(2)):
+                if digest is None or owner.as_py() != own.as_py():
+                    if digest is not None:
+                        yield row()
+                    own, digest, n, size = owner, hashlib.sha256(), 0, 0
+                digest.update((b"\n" if n else b"") + text.as_py().encode())
+                n, size = n + 1, size + count.as_py()
+        if digest is not None:
+            yield row()
+
+    return ordered.select(root, "byte_size", "line").mapInArrow(run, f"`{root}` {kind}, files long, bytes long, tree_sha256 string")
 
 
 def decoded(content: Column, declared: Column | None = None) -> Column:

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from spanloom import catalogue
+from spanloom import catalogue, catalogue_cases  # noqa: F401
 
 FEW_SECONDS = {"similarity_composite", "intervention_gate"}
 

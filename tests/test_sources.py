@@ -170,7 +170,7 @@ def test_stage_chain(spark):
     with pytest.raises(Exception, match="not all answered"):
         providers.translate(docs.select(F.col("doc_id").cast("string").alias("key"), "text"), Broken).collect()
     with pytest.raises(stages.StageError):
-        stages.run(docs, WordTagger, Echo, quality={"bad": lambda p: p.select("segment_id")})
+        stages.run(docs, WordTagger, Echo, quality={"bad": gates.Gate(lambda p: p, lambda: F.lit(True))})
     assert providers.Capabilities(features=frozenset({"pos"})).lacks("en", frozenset({"pos", "ner"})) == ["feature ner"]
 
 
