@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import re
-import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,42 +15,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.scratch import app_dir
+
 #: A missing id is carried as this value through operators that pack ids, and given back as null.
 NULL_ID = -(2**63)
 
-#: Folders of scratch tables by application and owner.
+#: Folders of scratch tables by application and owner, and each thread's present owner.
 _made: dict[tuple[str, str], list[str]] = {}
-_owner = [""]
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where it is unset and the master is a single JVM (tests) a temporary
-    folder is used instead.
-    """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    key = ("", "local")
-    if key not in _made:
-        folder = tempfile.TemporaryDirectory(prefix="spanloom-")
-        atexit.register(folder.cleanup)
-        _made[key] = [f"file://{folder.name}"]
-    return _made[key][0]
+_lock, _mine = threading.Lock(), threading.local()
 
 
 class Scratch:
-    """Tables written to the shared folder to cut lineage; ``owned`` tells how long they live."""
+    """Tables written to the shared folder to cut lineage; they live as long as the application, or as ``owned`` tells."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         bounded_batches(spark)
-        self.path = f"{shared_dir(spark)}/spanloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-        _made.setdefault((spark.sparkContext.applicationId, _owner[-1]), []).append(self.path)
+        self.path = f"{app_dir(spark)}/{uuid.uuid4().hex}"
+        with _lock:
+            _made.setdefault((spark.sparkContext.applicationId, getattr(_mine, "owner", "")), []).append(self.path)
 
     def table(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write once, read back: later jobs start from the files, whichever executors are left."""
@@ -75,16 +57,18 @@ def _delete(spark: SparkSession, path: str) -> None:
 @contextmanager
 def owned(spark: SparkSession, owner: str, docs: DataFrame | None = None) -> Iterator[None]:
     """Scratch tables made inside belong to ``owner``; its earlier ones go first, but for those that ``docs`` reads."""
-    paths = _made.setdefault((spark.sparkContext.applicationId, owner), [])
+    with _lock:
+        paths = list(_made.get((spark.sparkContext.applicationId, owner), []))
     files = docs.inputFiles() if docs is not None and paths else []
     for path in [p for p in paths if not any(p in f for f in files)]:
         _delete(spark, path)
-        paths.remove(path)
-    _owner.append(owner)
+        with _lock:
+            _made[spark.sparkContext.applicationId, owner].remove(path)
+    before, _mine.owner = getattr(_mine, "owner", ""), owner
     try:
         yield
     finally:
-        _owner.pop()
+        _mine.owner = before
 
 
 def crc_mod(doc_id: str | Column, n: int) -> Column:

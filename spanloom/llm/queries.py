@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
@@ -109,9 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
-    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op6_url_filter": OP6_SQL, "op10_exact_dedup": OP10_SQL}
-if corpus_pipeline.ORACLE_SQL:
-    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
