@@ -12,9 +12,10 @@ from spanloom.session import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
     s = session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}
+        "tests", "local[4]", **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
