@@ -155,31 +155,60 @@ def word_chunks_64(spark, sf):
     return segments.word_chunks(table(spark, sf, "documents"), 64)
 
 
-@query(
-    rf"""WITH {LINES}, b AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') = '' AS blank FROM line),
+BLOCKS = rf"""{LINES}, b AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') = '' AS blank FROM line),
     s AS (SELECT *, CASE WHEN NOT blank AND coalesce(lag(blank) OVER (PARTITION BY doc_id ORDER BY seq), true) THEN 1 ELSE 0 END AS f FROM b),
     i AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY seq) AS island FROM s),
     t AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') AS s FROM i WHERE NOT blank),
     g AS (SELECT doc_id, island, min(seq) AS first, max(seq) AS last, list(s ORDER BY seq) AS ls, median(length(s)) AS median_len, avg(length(s)) AS mean_len, stddev_pop(length(s)) AS stdev_len,
       sum(length(s)) AS total, stddev_pop(length(regexp_extract(text, '^[ \t]*'))) AS indent, avg(regexp_matches(s, '{LIST_MARK}')::INT) AS marker, avg(regexp_matches(s, '{segments.TABLEISH}')::INT) AS tableish,
       sum(len(regexp_extract_all(s, '[^\p{{L}}\p{{N}}\s]'))) AS marks FROM t GROUP BY 1, 2),
-    n AS (SELECT doc_id, count(*) AS n FROM line GROUP BY 1)
-    SELECT doc_id, (island - 1)::INT AS block, len(ls)::INT AS n_lines, (first - coalesce(lag(last) OVER w + 1, 0))::INT AS blank_before,
-      (coalesce(lead(first) OVER w, n) - last - 1)::INT AS blank_after, median_len, round(mean_len, 6) AS mean_len, round(stdev_len, 6) AS stdev_len,
-      round(CASE WHEN mean_len > 0 THEN stdev_len / mean_len ELSE 0.0 END, 6) AS cv_len,
-      round(coalesce(list_avg(list_transform(ls[1:len(ls) - 1], lambda x: regexp_matches(x, '{TERMINAL}')::INT)), 0.0), 6) AS terminal_share,
-      round(coalesce(list_avg(list_transform(ls[2:], lambda x: regexp_matches(x, '^["''_(\[]*[a-z]')::INT)), 0.0), 6) AS lower_share,
-      round(1 / (1 + indent), 6) AS indent_stability, round(marker, 6) AS marker_share, round(CASE WHEN total > 0 THEN marks / total ELSE 0.0 END, 6) AS punctuation_density,
-      round(tableish, 6) AS tableish_share, len(list_filter(regexp_extract_all(array_to_string(ls, ' '), '[\p{{L}}\p{{N}}_]+'), lambda x: regexp_matches(x, '\p{{L}}')))::INT AS alpha_words, total::BIGINT AS chars
-    FROM g JOIN n USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY island)"""
-)
+    n AS (SELECT doc_id, count(*) AS n FROM line GROUP BY 1),
+    feat AS (SELECT doc_id, (island - 1)::INT AS block, ls, len(ls)::INT AS n_lines, (first - coalesce(lag(last) OVER w + 1, 0))::INT AS blank_before, (coalesce(lead(first) OVER w, n) - last - 1)::INT AS blank_after,
+      median_len, mean_len, stdev_len, CASE WHEN mean_len > 0 THEN stdev_len / mean_len ELSE 0.0 END AS cv_len,
+      coalesce(list_avg(list_transform(ls[1:len(ls) - 1], lambda x: regexp_matches(x, '{TERMINAL}')::INT)), 0.0) AS terminal_share,
+      coalesce(list_avg(list_transform(ls[2:], lambda x: regexp_matches(x, '^["''_(\[]*[a-z]')::INT)), 0.0) AS lower_share,
+      1 / (1 + indent) AS indent_stability, marker AS marker_share, CASE WHEN total > 0 THEN marks / total ELSE 0.0 END AS punctuation_density, tableish AS tableish_share,
+      len(list_filter(regexp_extract_all(array_to_string(ls, ' '), '[\p{{L}}\p{{N}}_]+'), lambda x: regexp_matches(x, '\p{{L}}')))::INT AS alpha_words, total::BIGINT AS chars
+    FROM g JOIN n USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY island))"""
+SHARES = ("mean_len", "stdev_len", "cv_len", "terminal_share", "lower_share", "indent_stability", "marker_share", "punctuation_density", "tableish_share")
+
+
+@query(f"WITH {BLOCKS} SELECT doc_id, block, n_lines, blank_before, blank_after, median_len, {', '.join(f'round({c}, 6) AS {c}' for c in SHARES)}, alpha_words, chars FROM feat")
 def text_blocks(spark, sf):
     found = segments.block_features(segments.blocks(table(spark, sf, "documents")))
-    shares = ("mean_len", "stdev_len", "cv_len", "terminal_share", "lower_share", "indent_stability", "marker_share", "punctuation_density", "tableish_share")
-    return found.select("doc_id", "block", "n_lines", "blank_before", "blank_after", "f.median_len", *[F.round(f"f.{c}", 6).alias(c) for c in shares], "f.alpha_words", "f.chars")
+    return found.select("doc_id", "block", "n_lines", "blank_before", "blank_after", "f.median_len", *[F.round(f"f.{c}", 6).alias(c) for c in SHARES], "f.alpha_words", "f.chars")
 
 
-@query()
+def _unit_sql(x: str) -> str:
+    return f"greatest(0.0, least(1.0, {x}))"
+
+
+def _scores_sql() -> str:
+    signals = (
+        _unit_sql("(median_len - 28.0) / 48.0"), _unit_sql("1.0 - least(1.0, cv_len / 0.65)"), "1.0 - terminal_share", "lower_share", "indent_stability", _unit_sql("1.0 - least(1.0, punctuation_density / 0.18)"),
+    )
+    wrap = " + ".join(f"{w} * ({x})" for w, x in zip(segments.HARDWRAP["balanced"], signals))
+    listing = _unit_sql("0.70 * marker_share + 0.10 * least(1.0, n_lines / 4.0) + CASE WHEN median_len <= 90 THEN 0.10 ELSE 0.0 END + 0.10 * (1.0 - least(1.0, tableish_share * 2.0))")
+    stanza = _unit_sql(
+        f"0.38 * {_unit_sql('(78.0 - median_len) / 45.0')} + 0.22 * {_unit_sql('1.0 - least(1.0, cv_len / 0.55)')} + 0.20 * least(1.0, n_lines / 5.0) + 0.12 * terminal_share + 0.08 * (1.0 - lower_share)"
+    )
+    heading = _unit_sql(
+        rf"""CASE WHEN regexp_matches(txt, '{segments.HEADING_WORD}') THEN 0.42 ELSE 0.0 END + CASE WHEN regexp_matches(txt, '{segments.HEADING_NUMBER}') THEN 0.28 ELSE 0.0 END
+        + CASE WHEN length(txt) <= 120 AND len(ws) <= 12 THEN 0.10 ELSE 0.0 END + CASE WHEN blank_before > 0 THEN 0.06 ELSE 0.0 END + CASE WHEN blank_after > 0 THEN 0.06 ELSE 0.0 END
+        + 0.12 * CASE WHEN len(regexp_extract_all(txt, '\p{{L}}')) > 0 THEN len(regexp_extract_all(txt, '\p{{Lu}}')) / len(regexp_extract_all(txt, '\p{{L}}')) ELSE 0.0 END
+        + 0.08 * coalesce(list_avg(list_transform(ws, lambda w: regexp_matches(w, '^\p{{Lu}}')::INT)), 0.0)
+        + CASE WHEN regexp_matches(txt, '{TERMINAL}') THEN -0.12 ELSE 0.08 END - CASE WHEN len(ws) > 16 OR length(txt) > 180 THEN 0.35 ELSE 0.0 END"""
+    )
+    joined = "list_reduce(list_filter(ls, lambda x: x <> ''), lambda out, x: CASE WHEN ends_with(out, chr(173)) THEN substr(out, 1, length(out) - 1) || x WHEN ends_with(out, '-') AND regexp_matches(x, '^[a-z]') THEN out || x ELSE out || ' ' || x END)"
+    return rf"""txts AS (SELECT *, CASE WHEN n_lines = 1 THEN regexp_replace(ls[1], '^\s+|\s+$', '', 'g') ELSE '' END AS txt FROM feat),
+    heads AS (SELECT *, list_filter(regexp_extract_all(txt, '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_matches(w, '\p{{L}}')) AS ws FROM txts),
+    scored AS (SELECT *, CASE WHEN n_lines >= 2 THEN {listing} ELSE 0.0 END AS list_score, CASE WHEN n_lines >= 2 AND marker_share < 0.4 AND tableish_share < 0.25 THEN {stanza} ELSE 0.0 END AS stanza_score,
+      CASE WHEN n_lines = 1 AND txt <> '' THEN {heading} ELSE 0.0 END AS heading_score, CASE WHEN n_lines >= 2 AND marker_share < 0.4 AND tableish_share < 0.35 THEN {wrap} ELSE 0.0 END AS hardwrap_score FROM heads),
+    kinds AS (SELECT *, CASE WHEN heading_score >= 0.5 THEN 'heading' WHEN list_score >= 0.6 THEN 'list' WHEN stanza_score >= 0.6 THEN 'stanza' WHEN hardwrap_score >= 0.55 THEN 'hardwrap' ELSE 'ambiguous' END AS kind FROM scored),
+    prepared AS (SELECT *, CASE WHEN kind IN ('hardwrap', 'heading') THEN {joined} ELSE array_to_string(ls, chr(10)) END AS text FROM kinds)"""
+
+
+@query(f"WITH {BLOCKS}, {_scores_sql()} SELECT doc_id, block, kind, length(text)::INT AS chars, {', '.join(f'round({k}_score, 6) AS {k}_score' for k in ('heading', 'list', 'stanza', 'hardwrap'))} FROM prepared")
 def prepared_units(spark, sf):
     scored = segments.block_scores(segments.block_features(segments.blocks(table(spark, sf, "documents"))))
     return segments.prepared_units(scored).select("doc_id", "block", "kind", F.length("text").alias("chars"), *[F.round(f"{k}_score", 6).alias(f"{k}_score") for k in ("heading", "list", "stanza", "hardwrap")])
@@ -325,10 +354,30 @@ def numeric_gate_full(spark, sf):
     return out.select("segment_id", F.array_join("missing", ",").alias("missing"), F.array_join("unlicensed", ",").alias("unlicensed"), F.array_join(F.map_keys("symbols"), ",").alias("symbols"))
 
 
-@query()
+def explicit_sql(column: str) -> str:
+    """Values of the explicit grammar. Each match takes the character after it along, which no other needs; so RE2 need not look ahead."""
+    body = numbers.EXPLICIT.replace("(?iU)", "(?i)").replace(r"(?<!\d)", "").replace(r"(?!\d)", r"(?:\D|$)")
+    return rf"list_transform(regexp_extract_all({column}, '{body}', 1), lambda x: regexp_replace(regexp_replace(lower(x), '(?:st|nd|rd|th)$', ''), '[\s,  ]', '', 'g'))"
+
+
+SPELLED = "list_filter(list_transform(regexp_extract_all(lower(source), '[\\p{{L}}\\p{{N}}_]+'), lambda w: list_extract({values}, list_position({names}, w))::VARCHAR), lambda v: v IS NOT NULL)".format(
+    values=str(list(numbers.NUMBER_WORDS.values())), names=str(list(numbers.NUMBER_WORDS))
+)
+EXPLICIT = f"""x AS (SELECT segment_id, {explicit_sql("source")} AS req, {explicit_sql("target")} AS obs, {SPELLED} AS spelled FROM pairs),
+    x_req AS (SELECT segment_id, unnest(req) AS v FROM x), x_obs AS (SELECT segment_id, unnest(obs) AS v FROM x), x_all AS (SELECT segment_id, unnest(list_concat(req, spelled)) AS v FROM x),
+    x_missing AS (SELECT segment_id, string_agg(v, ',' ORDER BY v) AS missing FROM (SELECT * FROM x_req EXCEPT ALL SELECT * FROM x_obs) GROUP BY 1),
+    x_over AS (SELECT o.segment_id, string_agg(v, ',' ORDER BY v) FILTER (list_contains(req, v)) AS twice, string_agg(v, ',' ORDER BY v) FILTER (NOT list_contains(req, v)) AS extra
+      FROM (SELECT * FROM x_obs EXCEPT ALL SELECT * FROM x_all) o JOIN x ON x.segment_id = o.segment_id GROUP BY 1),
+    guard AS (SELECT segment_id, coalesce(missing, '') AS missing, coalesce(twice, '') AS duplicate_required, coalesce(extra, '') AS unlicensed, missing IS NULL AND twice IS NULL AS numeric_passed,
+      list_reduce(list_prepend('0', obs), lambda j, v: CASE WHEN v = req[j::INT + 1] THEN (j::INT + 1)::VARCHAR ELSE j END)::INT = len(req) AS in_order
+      FROM x LEFT JOIN x_missing USING (segment_id) LEFT JOIN x_over USING (segment_id))"""
+
+
+@query(f"WITH {PAIRS}, {EXPLICIT} SELECT segment_id, missing, duplicate_required, unlicensed, numeric_passed AND unlicensed = '' AS passed, in_order FROM guard")
 def explicit_numeric_guard(spark, sf):
-    p = pairs(spark, sf)
-    return p.select("segment_id", gates.strict_numeric_guard(F.col("source"), F.col("target")).alias("g"), gates.numeric_order(F.col("source"), F.col("target")).alias("in_order")).select("segment_id", "g.*", "in_order")
+    s, t = F.col("source"), F.col("target")
+    g = held(pairs(spark, sf), g=gates.strict_numeric_guard(s, t), in_order=gates.numeric_order(s, t))
+    return g.select("segment_id", *[F.array_join(f"g.{c}", ",").alias(c) for c in ("missing", "duplicate_required", "unlicensed")], "g.passed", "in_order")
 
 
 def _delimiter_sql() -> str:
@@ -363,8 +412,9 @@ def protected_share(spark, sf):
 )
 def reason_arrays(spark, sf):
     s, t = F.col("source"), F.col("target")
-    q = gates.quality(s, t, "[A-Za-z]", r"\p{L}")
-    named = pairs(spark, sf).select(
+    judged = held(pairs(spark, sf), _q=gates.quality(s, t, "[A-Za-z]", r"\p{L}"))
+    q = F.col("_q")
+    named = judged.select(
         "segment_id",
         reasons(
             ("empty", q["empty"]), ("length_anomaly", q["length_anomaly"]), ("identity", q["identity"]),
@@ -374,23 +424,64 @@ def reason_arrays(spark, sf):
     return named.filter(F.size("r") > 0).select("segment_id", F.array_join("r", ",").alias("reasons"))
 
 
-@query()
+def payload_sql(column: str, pattern: str, group: int = 1) -> str:
+    return rf"list_transform(regexp_extract_all({column}, '{pattern.replace('(?iu)', '(?i)')}', {group}), lambda x: trim(x))"
+
+
+def _tokens_sql() -> str:
+    atom = r"(?:\d+[A-Za-z]|[A-Za-z]\d+)"
+    emphasis = rf"list_filter({payload_sql('{0}', gates.EMPHASIS).replace('{1,80}', '{{1,80}}')}, lambda x: regexp_matches(x, '^[A-Za-z]{{{{1,3}}}}$') OR regexp_matches(x, '^{atom}(?:\s+{atom})*$'))"
+    pairs_of = [(gates.GREEK, gates.GREEK_TARGET, 1), (gates.COMBINED, gates.COMBINED_TARGET, 1), (gates.COMBINED, gates.COMBINED_TARGET, 2), (gates.FOOTNOTE, gates.FOOTNOTE, 1), (gates.ILLUSTRATION, gates.ILLUSTRATION_TARGET, 1)]
+    tests = [f"{payload_sql('source', a, n)} <> {payload_sql('target', b, n)}" for a, b, n in pairs_of]
+    return " OR ".join([*tests, f"{emphasis.format('source')} <> {emphasis.format('target')}"])
+
+
+BARE = r"regexp_replace({0}, '\[[^\[\]]*\]|_[^_]*_', ' ', 'g')"
+
+
+def _quality_sql() -> str:
+    def of(c: str, p: str) -> str:
+        return f"""trim({c}) = '' AS {p}empty, len(regexp_extract_all({c}, '{WORD}')) / greatest(len(regexp_extract_all(source, '{WORD}')), 1) AS {p}ratio, lower(trim(source)) = lower(trim({c})) AS {p}identity,
+      CASE WHEN len(regexp_extract_all({c}, '\\p{{L}}')) > 0 THEN len(regexp_extract_all({c}, '[A-Za-z]')) / len(regexp_extract_all({c}, '\\p{{L}}')) ELSE 0.0 END AS {p}share,
+      len(list_filter(regexp_extract_all(source, '{gates.FIGURE}', 1), lambda n: NOT list_contains(regexp_extract_all({c}, '\\d+'), n))) = 0 AS {p}figures"""
+
+    def residue(c: str) -> str:
+        own = "list_transform(regexp_extract_all(source, '[A-Za-z]{4,}'), lambda w: lower(w))"
+        return f"len(list_filter(regexp_extract_all({BARE.format(c)}, '[A-Za-z]{{4,}}'), lambda w: list_contains({own}, lower(w))))"
+
+    return f"""q AS (SELECT p.segment_id, {of("target", "c_")}, {of("source", "b_")}, numeric_passed, in_order, NOT ({_delimiter_sql()}) AS delimiters, {_tokens_sql()} AS tokens, {residue("target")} > {residue("source")} AS residue
+      FROM pairs p JOIN guard g ON g.segment_id = p.segment_id)"""
+
+
+def odd(ratio: str) -> str:
+    return f"({ratio} < 0.15 OR {ratio} > 3)"
+
+
+REASONS = {
+    "empty": "c_empty", "new_length_anomaly": f"{odd('c_ratio')} AND NOT {odd('b_ratio')}", "new_identity": "c_identity AND NOT b_identity", "numeric_integrity": "NOT numeric_passed", "figure_integrity": "NOT c_figures",
+    "script_share_regression": "c_share < b_share - 0.08", "low_script_share": "c_share < 0.6 AND b_share >= 0.6", "explicit_numeric_order": "NOT in_order", "balanced_delimiter_integrity": "delimiters",
+    "critical_technical_tokens": "tokens", "new_latin_residue": "residue",
+}
+QUALITY = f"WITH {PAIRS}, {EXPLICIT}, {_quality_sql()}"
+
+
+@query(
+    f"""{QUALITY}, r AS (SELECT segment_id, array_to_string(list_filter([{", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in REASONS.items())}], lambda x: x IS NOT NULL), ',') AS reasons FROM q)
+    SELECT * FROM r WHERE reasons <> ''"""
+)
 def intervention_gate(spark, sf):
-    p = pairs(spark, sf)
     s, t = F.col("source"), F.col("target")
-    scripts = {"script": "[A-Za-z]", "alphabet": r"\p{L}"}
-    return p.select("segment_id", gates.strong_reasons(s, s, t, **scripts).alias("reasons")).filter(F.size("reasons") > 0)
+    p = held(pairs(spark, sf), reasons=gates.strong_reasons(s, s, t, script="[A-Za-z]", alphabet=r"\p{L}"))
+    return p.filter(F.size("reasons") > 0).select("segment_id", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query(
-    rf"""WITH {PAIRS}, q AS (SELECT *, len(regexp_extract_all(target, '{WORD}')) / greatest(len(regexp_extract_all(source, '{WORD}')), 1) AS ratio,
-      len(regexp_extract_all(target, '[A-Za-z]')) AS latin, len(regexp_extract_all(target, '\p{{L}}')) AS letters FROM pairs)
-    SELECT count(*) AS units, count_if(trim(target) = '')::BIGINT AS empty, count_if(ratio < 0.15 OR ratio > 3)::BIGINT AS length_anomalies,
-      count_if(lower(trim(source)) = lower(trim(target)))::BIGINT AS identities, round(avg(CASE WHEN trim(target) <> '' THEN CASE WHEN letters > 0 THEN latin / letters ELSE 0 END END), 9) AS mean_script_share FROM q"""
+    f"""{QUALITY} SELECT count(*) AS units, count_if(c_empty)::BIGINT AS empty, count_if({odd("c_ratio")})::BIGINT AS length_anomalies, count_if(c_identity)::BIGINT AS identities, count_if(NOT numeric_passed)::BIGINT AS numeric_failures,
+      count_if(NOT c_figures)::BIGINT AS figure_failures, round(avg(CASE WHEN NOT c_empty THEN c_share END), 9) AS mean_script_share FROM q"""
 )
 def quality_totals(spark, sf):
-    rows = pairs(spark, sf).select(gates.quality(F.col("source"), F.col("target"), "[A-Za-z]", r"\p{L}").alias("quality"))
-    return gates.quality_totals(rows).select("units", "empty", "length_anomalies", "identities", F.round("mean_script_share", 9).alias("mean_script_share"))
+    rows = held(pairs(spark, sf), quality=gates.quality(F.col("source"), F.col("target"), "[A-Za-z]", r"\p{L}"))
+    return gates.quality_totals(rows).withColumn("mean_script_share", F.round("mean_script_share", 9))
 
 
 # Sampling.
