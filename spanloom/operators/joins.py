@@ -75,6 +75,19 @@ def glob_join(names: DataFrame, catalogue: DataFrame, name: str = "name", patter
     return names.join(small, F.rlike(F.col(name), F.col("_re"))).drop("_re")
 
 
+def catalogue_verdicts(files: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Files (name, bytes, sha256) with each catalogue row (pattern, bytes, sha256) whose glob fits, and ``verdict``: exact, size, hash or name_only.
+
+    A catalogue value that is null is not compared; without any the name alone fits.
+    """
+    rules = catalogue.select("pattern", F.col("bytes").alias("_bytes"), F.col("sha256").alias("_sha"))
+    found = glob_join(files, rules)
+    verdict = (
+        F.when(F.col("_bytes") != F.col("bytes"), "size").when(F.col("_sha") != F.col("sha256"), "hash").when(F.col("_bytes").isNull() & F.col("_sha").isNull(), "name_only").otherwise("exact")
+    )
+    return found.withColumn("verdict", verdict).drop("_bytes", "_sha")
+
+
 def ordered_coverage(actual: DataFrame, expected: DataFrame, position: str, value: str) -> DataFrame:
     """Positions at which two sequences differ; empty: exact ordered coverage."""
     a, b = actual.select(position, F.col(value).alias("actual")), expected.select(position, F.col(value).alias("expected"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -32,6 +33,10 @@ class Translator(Protocol):
     def translate(self, texts: Sequence[str], n: int) -> list[list[tuple[str, float | None]]]: ...
 
 
+def _numbers(version: str) -> tuple[int, ...]:
+    return tuple(int(n) for n in re.findall(r"\d+", version))
+
+
 @dataclass(frozen=True)
 class Capabilities:
     """What a provider states about itself, compared with what a stage needs."""
@@ -40,8 +45,11 @@ class Capabilities:
     version: str = ""
     features: frozenset[str] = field(default_factory=frozenset)
 
-    def lacks(self, language: str, features: frozenset[str]) -> list[str]:
+    def lacks(self, language: str, features: frozenset[str], least: str = "") -> list[str]:
+        """What is missing for a language, features and a version from ``least`` on (numbers between points)."""
         out = [] if language == self.language else [f"language {language}"]
+        if least and _numbers(self.version) < _numbers(least):
+            out.append(f"version {least}")
         return out + sorted(f"feature {f}" for f in features - self.features)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,19 +66,53 @@ def content_hash(df: DataFrame) -> str:
     return hashlib.sha256(repr(tuple(str(x) for x in sums)).encode()).hexdigest()
 
 
-def write_artifact(df: DataFrame, path: str) -> dict:
-    """Write Parquet, then a manifest with row count, schema and content hash; the manifest comes last and marks completeness."""
-    df.write.mode("overwrite").parquet(f"{path}/data")
-    back = df.sparkSession.read.parquet(f"{path}/data")
-    manifest = {"rows": back.count(), "schema": back.schema.json(), "sha256": content_hash(back)}
-    df.sparkSession.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+def _replace(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one step: readers see the old one or the new one, never a part."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = target.getFileSystem(conf).create(staged, False)
+    out.write(bytearray(text.encode()))
+    out.hsync()
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    qualified = target.getFileSystem(conf).makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), conf).rename(staged, target, overwrite)
+
+
+def write_artifact(df: DataFrame, path: str, **about: str) -> dict:
+    """Write Parquet into a folder of its own, then replace the manifest, which names it with row count, schema and content hash.
+
+    Until the manifest is replaced readers get the artifact that was there
+    before. ``about`` is kept in the manifest, such as the revision.
+    """
+    name = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    back = df.sparkSession.read.parquet(f"{path}/{name}")
+    manifest = {"data": name, "rows": back.count(), "schema": back.schema.json(), "sha256": content_hash(back), **about}
+    _replace(df.sparkSession, f"{path}/manifest.json", json.dumps(manifest, sort_keys=True))
     return manifest
 
 
+def manifest_of(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/manifest.json", wholetext=True).first()[0])
+
+
 def read_artifact(spark: SparkSession, path: str) -> DataFrame:
     """Read an artifact back; content that differs from its manifest raises an error."""
-    manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
-    df = spark.read.parquet(f"{path}/data")
+    manifest = manifest_of(spark, path)
+    df = spark.read.parquet(f"{path}/{manifest['data']}")
     if df.count() != manifest["rows"] or content_hash(df) != manifest["sha256"]:
         raise ValueError(f"artifact {path} differs from its manifest")
     return df
+
+
+def export_revision(cards: DataFrame, path: str, revision: str, kind: str = "jsonl", column: str = "set_revision") -> dict:
+    """Export the rows of one revision and write its record beside them: revision, format, rows and content hash."""
+    own = cards.filter(F.col(column) == revision)
+    record = {"revision": revision, "format": kind, "rows": own.count(), "sha256": content_hash(own)}
+    if not record["rows"]:
+        raise ValueError(f"no rows of revision {revision!r}")
+    export(own, f"{path}/{kind}", kind)
+    _replace(cards.sparkSession, f"{path}/record.json", json.dumps(record, sort_keys=True))
+    return record

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import porter
 from spanloom.functions.arrays import multiset_minus
 from spanloom.operators import gates, joins, sampling, segments, similarity
-from spanloom.plans import dictionary, ledger, stages, versions
+from spanloom.plans import control, dictionary, ledger, providers, registry, stages, versions
 from spanloom.scratch import clear, kept, shared_dir
 from spanloom.sources import archives
 
@@ -255,3 +255,61 @@ def test_kept_tables(spark):
     assert shared_dir(spark)
     with pytest.raises(Exception):
         df.collect()
+
+
+def test_control(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("some text")
+    book = registry.Registry()
+    book.add("plan", registry.Contract(12, "plan", "plan/1", parameters={"size": 96}, result=("id",)), lambda spark, size: spark.range(size))
+    profile = control.Profile({"units": "plan"}, {"plan": {"size": 5}}, {"short": lambda c: c["units"]["size"] < 10})
+    assert profile.configuration(book) == {"units": {"size": 5}} and profile.warnings(book) == []
+    assert control.Profile({}, {"plan": {"size": 96}}).warnings(book) == ["override of unused operation plan", "plan.size is the default"]
+    for bad in (control.Profile({"x": "no"}), control.Profile({"units": "plan"}, {}, {"short": lambda c: c["units"]["size"] < 10})):
+        with pytest.raises(control.ControlError):
+            bad.configuration(book)
+    frozen = control.preflight(spark, str(tmp_path / "a.txt"), profile, book)
+    state = control.RunState(str(tmp_path / "state.json"), frozen)
+    calls = []
+    assert [state.step("one", lambda: calls.append(1) or {"n": 3}) for _ in range(2)] == [{"n": 3}] * 2 and calls == [1]
+    with pytest.raises(ZeroDivisionError):
+        state.step("two", lambda: 1 / 0)
+    with pytest.raises(control.ControlError, match="blocked by two"):
+        state.step("three", lambda: {})
+    state.release("looked at it")
+    pairs = spark.createDataFrame([(1, "a (b) 5", "a b 5"), (2, "a", "b")], "segment_id long, source string, target string")
+    found = control.gate_set(state, pairs, ("punctuation", "length", "numeric"), terminal=("punctuation",))
+    assert not found["passed"] and [v["verdict"] for v in found["gates"].values()] == ["failed", "not counted", "not counted"]
+    assert found["gates"]["punctuation"]["issues_sha256"] == hashlib.sha256(b"1").hexdigest() and control.gate_set(state, pairs.limit(0), ("length",)) == found
+    with pytest.raises(control.ControlError):
+        control.gate_set(state, pairs, ("nothing",))
+    (tmp_path / "a.txt").write_text("other text")
+    with pytest.raises(control.ControlError, match="other inputs"):
+        control.RunState(str(tmp_path / "state.json"), control.preflight(spark, str(tmp_path / "a.txt"), profile, book))
+    changed = json.loads((tmp_path / "state.json").read_text())
+    changed["steps"]["one"]["result"] = {"n": 4}
+    (tmp_path / "state.json").write_text(json.dumps(changed))
+    with pytest.raises(control.ControlError, match="was changed"):
+        state.read()
+    engine = control.Engine(spark, book, spark.createDataFrame([("completed",)], "status string"))
+    assert engine.call("plan", size=2).count() == 2 and engine.project()["runs"] == {"completed": 1} and engine.project()["operations"]["available"] == 1
+    assert control.sources_of({"a": "one.n"}, {"one": {"n": 3}}) == {"a": 3}
+    with pytest.raises(control.ControlError):
+        control.sources_of({"a": "one.m"}, {"one": {"n": 3}})
+    ok = {"schema": "s/1", "id": 4, "rows": []}
+    assert control.checked(ok, ("id",), "s/1", {"id": 4}) == ok
+    for bad in ({"required": ("x",)}, {"required": (), "schema": "s/2"}, {"required": (), "same": {"id": 5}}, {"required": (), "most_bytes": 5}):
+        with pytest.raises(control.ControlError):
+            control.checked(ok, **bad)
+    names = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "name string, value int")
+    assert control.agreed(names) == {"a": 1, "b": 2}
+    with pytest.raises(control.ControlError):
+        control.agreed(names.union(spark.createDataFrame([("b", 3)], "name string, value int")))
+
+
+def test_capabilities_and_catalogue(spark):
+    have = providers.Capabilities("en", "3.8.16", frozenset({"parser"}))
+    assert have.lacks("en", frozenset({"parser"}), "3.8.2") == [] and have.lacks("ru", frozenset({"ner"}), "3.10") == ["language ru", "version 3.10", "feature ner"]
+    files = spark.createDataFrame([("core-1.zip", 5, "x"), ("core-2.zip", 6, "y"), ("other", 1, "z")], "name string, bytes long, sha256 string")
+    rules = spark.createDataFrame([("core-?.zip", 5, "x"), ("core-2*", None, None), ("core-2.zip", 6, "n")], "pattern string, bytes long, sha256 string")
+    got = {(r.name, r.pattern, r.verdict) for r in joins.catalogue_verdicts(files, rules).collect()}
+    assert got == {("core-1.zip", "core-?.zip", "exact"), ("core-2.zip", "core-?.zip", "size"), ("core-2.zip", "core-2*", "name_only"), ("core-2.zip", "core-2.zip", "hash")}

@@ -91,7 +91,14 @@ def test_exports(spark, tmp_path):
     assert "a\\|b" in export.markdown(df) and "<td>a|b</td>" in export.report("t", {"x": df})
     export.write_artifact(df, str(tmp_path / "art"))
     assert export.read_artifact(spark, str(tmp_path / "art")).count() == 2
-    df.limit(1).write.mode("overwrite").parquet(str(tmp_path / "art/data"))
+    first = export.manifest_of(spark, str(tmp_path / "art"))
+    again = export.write_artifact(df.limit(1), str(tmp_path / "art"), revision="r2")
+    assert again["data"] != first["data"] and export.read_artifact(spark, str(tmp_path / "art")).count() == 1
+    cards = df.withColumn("set_revision", F.concat(F.lit("r"), "i"))
+    assert export.export_revision(cards, str(tmp_path / "out"), "r1")["rows"] == 1 and spark.read.json(str(tmp_path / "out/jsonl")).first().i == 1
+    with pytest.raises(ValueError):
+        export.export_revision(cards, str(tmp_path / "out2"), "r9")
+    df.write.mode("overwrite").parquet(str(tmp_path / "art" / again["data"]))
     with pytest.raises(ValueError):
         export.read_artifact(spark, str(tmp_path / "art"))
 
