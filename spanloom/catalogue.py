@@ -214,7 +214,16 @@ def prepared_units(spark, sf):
     return segments.prepared_units(scored).select("doc_id", "block", "kind", F.length("text").alias("chars"), *[F.round(f"{k}_score", 6).alias(f"{k}_score") for k in ("heading", "list", "stanza", "hardwrap")])
 
 
-@query()
+BREAKS = "a.held + x.n > 64 OR (a.at <> x.at AND (a.held >= 64 * 0.6 OR a.held + x.n > 64))"
+
+
+@query(
+    f"""WITH {SENTENCES}, s AS (SELECT doc_id, list(source ORDER BY occurrence) AS ts, list(words ORDER BY occurrence) AS ns, list(occurrence // 5 ORDER BY occurrence) AS ps FROM units WHERE words >= 1 GROUP BY 1),
+    e AS (SELECT *, list_transform(range(1, len(ns) + 1), lambda i: {{'i': i, 'n': ns[i], 'at': ps[i], 'held': CASE WHEN i = 1 THEN ns[1] ELSE 0 END, 'cuts': CASE WHEN i = 1 THEN [1::BIGINT] ELSE []::BIGINT[] END}}) AS es FROM s),
+    c AS (SELECT *, list_reduce(es, lambda a, x: {{'i': x.i, 'n': x.n, 'at': x.at, 'held': CASE WHEN {BREAKS} THEN x.n ELSE a.held + x.n END, 'cuts': CASE WHEN {BREAKS} THEN list_append(a.cuts, x.i) ELSE a.cuts END}}).cuts AS cuts FROM e),
+    u AS (SELECT *, unnest(cuts) AS a, unnest(range(len(cuts))) AS seq FROM c), z AS (SELECT *, coalesce(cuts[seq + 2], len(ns) + 1) - 1 AS b FROM u)
+    SELECT doc_id, seq::INT AS seq, list_sum(ns[a:b])::BIGINT AS tokens, length(array_to_string(ts[a:b], ' '))::INT AS chars, ps[a]::BIGINT AS first, ps[b]::BIGINT AS last FROM z"""
+)
 def packed_units(spark, sf):
     s = segments.sentence_units(table(spark, sf, "documents"), least=1, most=1 << 30)
     per = s.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("occurrence", F.col("source").alias("text"), F.col("words").alias("tokens")))).alias("p"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.catalogue import LENGTH, PAIRS, SENTENCES, TURNS, count_sql, pairs, query, turns
+from spanloom.catalogue import LENGTH, PAIRS, SENTENCES, TURNS, count_sql, literals_sql, pairs, query, turns
 from spanloom.functions import numbers, text
 from spanloom.operators import gates, joins, lexical, planning, sampling, segments, similarity
 from spanloom.plans import dictionary, versions
@@ -444,3 +444,30 @@ def critical_signs(spark, sf):
 def number_words(spark, sf):
     own = F.filter(numbers.spelled(F.col("text"), most=10), lambda v: v != "0")
     return table(spark, sf, "documents").select("doc_id", F.size(F.array_distinct(own)).cast("long").alias("n"))
+
+def _spread_sql(rows: str, reason: str) -> str:
+    return f"""SELECT doc_id, i, '{reason}' AS reason FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS j, count(*) OVER (PARTITION BY doc_id) AS m FROM {rows})
+      WHERE len(list_filter(range(least(8, m)), lambda k: floor((k + 0.5) * m / least(8, m)) = j)) > 0"""
+
+
+CRITICAL = " OR ".join(f"contains(source, '{c}')" for c in planning.CRITICAL)
+
+
+@query(
+    f"""WITH RECURSIVE {SENTENCES}, p AS (SELECT doc_id, occurrence, source, words, row_number() OVER (PARTITION BY doc_id ORDER BY occurrence) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM sentences),
+    b AS (SELECT *, unnest(range(least(8, n))) AS bucket FROM p), numeric AS (SELECT * FROM p WHERE len({literals_sql("source")}) > 0), critical AS (SELECT * FROM p WHERE {CRITICAL}),
+    picks AS (SELECT doc_id, i, 'position_bucket:' || bucket AS reason FROM b WHERE (bucket + 1) * n // least(8, n) > bucket * n // least(8, n)
+        AND i = bucket * n // least(8, n) + ((bucket + 1) * n // least(8, n) - bucket * n // least(8, n) - 1) // 2
+      UNION ALL {_spread_sql("numeric", "numeric")} UNION ALL {_spread_sql("critical", "critical_symbol")}
+      UNION ALL SELECT doc_id, i, 'long_unit' FROM p WHERE words >= 24 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, occurrence) <= 8),
+    chosen AS (SELECT doc_id, i, array_to_string(list_sort(list_distinct(list(reason))), ',') AS reasons FROM picks GROUP BY 1, 2),
+    h AS (SELECT DISTINCT n, 0::BIGINT AS a, n AS b, 0 AS depth FROM p
+      UNION ALL SELECT n, c.a, c.b, depth + 1 FROM (SELECT n, depth, unnest([{{'a': a, 'b': a + (b - a - 1) // 2}}, {{'a': a + (b - a - 1) // 2 + 1, 'b': b}}]) AS c FROM h) WHERE c.b > c.a),
+    r AS (SELECT p.*, reasons, depth FROM p LEFT JOIN chosen USING (doc_id, i) JOIN h ON h.n = p.n AND p.i = h.a + (h.b - h.a - 1) // 2),
+    f AS (SELECT *, sum(CASE WHEN reasons IS NOT NULL THEN words ELSE 0 END) OVER (PARTITION BY doc_id) AS held,
+      coalesce(sum(CASE WHEN reasons IS NULL THEN words ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY depth, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r)
+    SELECT doc_id, occurrence::INT AS occurrence, coalesce(reasons, 'budget_fill') AS reasons FROM f WHERE reasons IS NOT NULL OR held + before < 400"""
+)
+def coverage_stratified(spark, sf):
+    u = segments.sentence_units(table(spark, sf, "documents")).select("doc_id", "occurrence", F.col("source").alias("text"))
+    return planning.coverage_sample(u, 400, "doc_id", ("occurrence",)).select("doc_id", "occurrence", F.array_join("reasons", ",").alias("reasons"))
