@@ -472,8 +472,8 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs whose two ids are not in one class yet."""
-    ca = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-    cb = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    ca = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")).hint("merge")
+    cb = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")).hint("merge")
     both = pairs.join(ca, "a", "left").join(cb, "b", "left")
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
@@ -484,11 +484,12 @@ def _open_pairs(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: in
     A signature of many sets is salted: each row meets its partners in parts of
     PAIR_ROWS, which are dealt to tasks like keys of their own.
     """
-    at = shared.join(comp.withColumnRenamed("id", "node"), "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+    # Classes grow with the input, so these joins shuffle at every size.
+    at = shared.join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
     per = at.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).filter("low <> high")
     salts = F.ceil(F.col("m") / PAIR_ROWS).cast("int").alias("salts")
     per = scratch.table(per.select("sig", salts), "open-signatures")
-    at = scratch.table(at.join(per, "sig").distinct(), "open")
+    at = scratch.table(at.join(per.hint("merge"), "sig").distinct(), "open")
     x = at.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
     y = at.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     # Rows take their sketches along; those of a set stand side by side after the join, where they compress.
