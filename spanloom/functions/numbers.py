@@ -53,7 +53,7 @@ def literals(text: Column) -> Column:
 
 def explicit(text: Column) -> Column:
     """Values of the explicit grammar, in order, without spaces, commas and ordinal endings."""
-    found = F.regexp_extract_all(text, F.lit(EXPLICIT), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(EXPLICIT.replace("(?iU)", r"(?iU)(?=\d)")), F.lit(1))  # every alternative begins with a digit
     return F.transform(found, lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), "(?:st|nd|rd|th)$", ""), r"[\s,  ]", ""))
 
 

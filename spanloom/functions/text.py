@@ -57,14 +57,15 @@ def letter_count(text: Column) -> Column:
 
 
 def script_share(text: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
-    """Share of a script among the letters of an alphabet; 0 without any."""
-    letters = F.regexp_count(text, F.lit(alphabet))
-    return F.when(letters > 0, F.regexp_count(text, F.lit(script)) / letters).otherwise(F.lit(0.0))
+    """Share of a script among the letters of an alphabet (both character classes); 0 without any."""
+    count = lambda letters: F.length(F.regexp_replace(text, f"[^{letters}]+", ""))  # noqa: E731  (no string for each letter)
+    return let(lambda n: F.when(n > 0, count(script) / n).otherwise(F.lit(0.0)), count(alphabet))
 
 
 def protected_stripped(text: Column) -> Column:
     """Text without ``[...]`` and ``_..._`` spans."""
-    return F.regexp_replace(text, r"\[[^\[\]]*\]|_[^_]*_", " ")
+    bare = ~F.contains(text, F.lit("[")) & ~F.contains(text, F.lit("_"))
+    return F.when(bare, text).otherwise(F.regexp_replace(text, r"\[[^\[\]]*\]|_[^_]*_", " "))
 
 
 def sentences(text: Column) -> Column:

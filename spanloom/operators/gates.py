@@ -144,6 +144,13 @@ def explicit_numeric_guard(source: Column, target: Column) -> Column:
     return let(judge, numbers.explicit(source), numbers.explicit(target), numbers.spelled(source))
 
 
+def _explicit_passed(source: Column, required: Column, observed: Column) -> Column:
+    """``passed`` of ``explicit_numeric_guard`` by the explicit values; number words are looked for only where they decide."""
+    over = multiset_minus(observed, F.concat(required, numbers.spelled(source)))
+    licensed = (F.size(required) == 0) | ~F.exists(over, lambda v: F.array_contains(required, v))
+    return (F.size(multiset_minus(required, observed)) == 0) & licensed
+
+
 def strict_numeric_guard(source: Column, target: Column) -> Column:
     """As ``explicit_numeric_guard``, but additions fail too."""
 
@@ -180,11 +187,16 @@ def integer_multiset_equal(source: Column, target: Column) -> Column:
 
 def delimiters(source: Column, target: Column) -> Column:
     """Square and round brackets: the same counts if the source is balanced, else a balanced target."""
-    passed = F.lit(True)
-    for left, right in BRACKETS[1::-1]:
-        a, b, c, d = count_of(source, left), count_of(source, right), count_of(target, left), count_of(target, right)
-        passed = passed & F.when(a == b, (a == c) & (b == d)).otherwise(c == d)
-    return passed
+
+    def judge(source: Column, target: Column) -> Column:
+        passed = F.lit(True)
+        for left, right in BRACKETS[1::-1]:
+            a, b, c, d = count_of(source, left), count_of(source, right), count_of(target, left), count_of(target, right)
+            passed = passed & F.when(a == b, (a == c) & (b == d)).otherwise(c == d)
+        return passed
+
+    # Counted in what a single pass leaves of a text.
+    return let(judge, *[F.regexp_replace(t, r"[^\[\]()]+", "") for t in (source, target)])
 
 
 #: Marks of figures, footnotes, illustrations, Greek words and emphasis, in sources and in targets.
@@ -199,13 +211,15 @@ EMPHASIS = r"_([^_\n]{1,80})_"
 
 def emphasis(text: Column) -> Column:
     """Symbols set in emphasis: one to three letters, or letter-digit atoms."""
-    inner = F.transform(F.regexp_extract_all(text, F.lit(EMPHASIS), F.lit(1)), strip)
+    inner = _payload(text, EMPHASIS, mark="_")
     atom = r"(?:\d+[A-Za-z]|[A-Za-z]\d+)"
     return F.filter(inner, lambda x: x.rlike("^[A-Za-z]{1,3}$") | x.rlike(rf"^{atom}(?:\s+{atom})*$"))
 
 
-def _payload(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), strip)
+def _payload(text: Column, pattern: str, group: int = 1, mark: str = "[") -> Column:
+    """What a group of each match holds; every match holds ``mark``, so that texts without it are not searched."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), strip)
+    return F.when(~F.contains(text, F.lit(mark)), F.array().cast("array<string>")).otherwise(found)
 
 
 def critical_tokens(source: Column, target: Column) -> Column:
@@ -227,19 +241,43 @@ def missing_figures(source: Column, target: Column) -> Column:
 
 def quality(source: Column, target: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
     """Struct: empty, word_ratio, length_anomaly (outside 0.15 to 3), identity, script_share, numeric_passed, figures_passed."""
-    return let(lambda ratio: _quality(source, target, ratio, script, alphabet), word_count(target) / F.greatest(word_count(source), F.lit(1)))
-
-
-def _quality(source: Column, target: Column, ratio: Column, script: str, alphabet: str) -> Column:
-    return F.struct(
-        (strip(target) == "").alias("empty"),
-        ratio.alias("word_ratio"),
-        ((ratio < 0.15) | (ratio > 3.0)).alias("length_anomaly"),
-        (F.lower(strip(source)) == F.lower(strip(target))).alias("identity"),
-        script_share(target, script, alphabet).alias("script_share"),
-        explicit_numeric_guard(source, target)["passed"].alias("numeric_passed"),
-        (F.size(missing_figures(source, target)) == 0).alias("figures_passed"),
-    )
+
+    def judge(words: Column, folded: Column, required: Column, observed: Column) -> Column:
+        return _quality(source, target, words, folded, required, observed, script, alphabet)
+
+    return let(judge, word_count(source), _folded(source), numbers.explicit(source), numbers.explicit(target))
+
+
+def _folded(text: Column) -> Column:
+    return F.lower(strip(text))
+
+
+def _form(target: Column, words: Column, folded: Column, script: str, alphabet: str) -> Column:
+    """The fields of ``quality`` that need no numbers, by the words and the folded text of the source."""
+
+    def fields(ratio: Column, own: Column) -> Column:
+        return F.struct(
+            (own == "").alias("empty"),
+            ratio.alias("word_ratio"),
+            ((ratio < 0.15) | (ratio > 3.0)).alias("length_anomaly"),
+            (folded == own).alias("identity"),
+            script_share(target, script, alphabet).alias("script_share"),
+        )
+
+    return let(fields, word_count(target) / F.greatest(words, F.lit(1)), _folded(target))
+
+
+def _quality(source: Column, target: Column, words: Column, folded: Column, required: Column, observed: Column, script: str, alphabet: str) -> Column:
+    """``quality`` by what is bound already: words, folded text and explicit values of the source, explicit values of the target."""
+
+    def fields(form: Column) -> Column:
+        return F.struct(
+            *[form[c].alias(c) for c in ("empty", "word_ratio", "length_anomaly", "identity", "script_share")],
+            _explicit_passed(source, required, observed).alias("numeric_passed"),
+            (F.size(missing_figures(source, target)) == 0).alias("figures_passed"),
+        )
+
+    return let(fields, _form(target, words, folded, script, alphabet))
 
 
 def intervention_reasons(baseline: Column, candidate: Column) -> Column:
@@ -255,17 +293,28 @@ def intervention_reasons(baseline: Column, candidate: Column) -> Column:
     )
 
 
-def strong_reasons(source: Column, baseline_text: Column, candidate_text: Column, **scripts: str) -> Column:
-    """Intervention reasons, then order, delimiters, technical marks and new Latin residue."""
-    return F.concat(
-        let(intervention_reasons, quality(source, baseline_text, **scripts), quality(source, candidate_text, **scripts)),
-        reasons(
-            ("explicit_numeric_order", ~numeric_order(source, candidate_text)),
-            ("balanced_delimiter_integrity", ~delimiters(source, candidate_text)),
-            ("critical_technical_tokens", F.size(critical_tokens(source, candidate_text)) > 0),
-            ("new_latin_residue", F.size(latin_residue(source, candidate_text)) > F.size(latin_residue(source, baseline_text))),
-        ),
-    )
+def strong_reasons(source: Column, baseline_text: Column, candidate_text: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
+    """Intervention reasons, then order, delimiters, technical marks and new Latin residue.
+
+    What several tests need of a text is bound once; of the baseline only the
+    fields of ``quality`` that a candidate is held against are computed.
+    """
+
+    def judge(words: Column, folded: Column, required: Column, observed: Column, own: Column) -> Column:
+        baseline = _form(baseline_text, words, folded, script, alphabet)
+        candidate = _quality(source, candidate_text, words, folded, required, observed, script, alphabet)
+        more = let(lambda n: (n > 0) & (n > _residue_size(own, baseline_text)), _residue_size(own, candidate_text))
+        return F.concat(
+            let(intervention_reasons, baseline, candidate),
+            reasons(
+                ("explicit_numeric_order", ~in_order(required, observed)),
+                ("balanced_delimiter_integrity", ~delimiters(source, candidate_text)),
+                ("critical_technical_tokens", F.size(critical_tokens(source, candidate_text)) > 0),
+                ("new_latin_residue", more),
+            ),
+        )
+
+    return let(judge, word_count(source), _folded(source), numbers.explicit(source), numbers.explicit(candidate_text), _latin(source))
 
 
 #: Fixed value: what counts as a word left in Latin letters.
@@ -275,11 +324,32 @@ LATIN_WORD = r"[A-Za-z]{4,}"
 def latin_residue(source: Column, target: Column) -> Column:
     """Latin words of four or more letters outside protected spans that the target took over from the source."""
     words = F.regexp_extract_all(protected_stripped(target), F.lit(LATIN_WORD), F.lit(0))
-    own = F.array_distinct(F.transform(F.regexp_extract_all(source, F.lit(LATIN_WORD), F.lit(0)), F.lower))
-    common = let(lambda own, seen: F.array_intersect(own, seen), own, F.array_distinct(F.transform(words, F.lower)))
+    common = let(lambda own, seen: F.array_intersect(own, seen), _latin(source), F.array_distinct(F.transform(words, F.lower)))
     return let(lambda words, common: F.filter(words, lambda w: F.array_contains(common, F.lower(w))), words, common)
 
 
+def _latin(text: Column) -> Column:
+    """Distinct lower-cased Latin words of four or more letters."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(LATIN_WORD), F.lit(0)), F.lower))
+
+
+def _residue_size(own: Column, target: Column) -> Column:
+    """Size of ``latin_residue`` for a source with the words ``own`` (null if one of them is).
+
+    All words are sorted together, those of the target with a mark that puts
+    them right after their equal in ``own``, so that no word is looked for.
+    """
+    mark = F.lit("\0")
+    words = F.regexp_extract_all(protected_stripped(target), F.lit(LATIN_WORD), F.lit(0))
+
+    def count(z: Column) -> Column:
+        starts = F.array_compact(F.transform(z, lambda v, i: F.when((i > 0) & (v != F.get(z, i - 1)), i)))
+        run = lambda s: F.transform(s, lambda p, k: F.when(F.concat(F.get(z, p - 1), mark) == F.get(z, p), F.coalesce(F.get(s, k + 1), F.size(z)) - p).otherwise(0))
+        return F.aggregate(let(run, starts), F.lit(0), lambda n, m: n + m)
+
+    return let(count, F.sort_array(F.concat(own, F.transform(words, lambda w: F.concat(F.lower(w), mark)))))
+
+
 def protected_share(text: Column, script: str = CYRILLIC, alphabet: str = "[A-Za-zА-Яа-яЁё]") -> Column:
     """Script share outside ``[...]`` and ``_..._``."""
     return script_share(protected_stripped(text), script, alphabet)

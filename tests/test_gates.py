@@ -1,5 +1,6 @@
 """Gates and guards against literal cases and a plain version of the rules."""
 
+import random
 import re
 from collections import Counter
 
@@ -138,3 +139,29 @@ def test_text_functions(spark):
     assert joins.select(text.wrap_join(F.col("l"))).first()[0] == "hy-phen software End"
     parts = spark.createDataFrame([(["word", ", then", "(", "in", ")"],)], "p array<string>")
     assert parts.select(text.smart_join(F.col("p"))).first()[0] == "word, then (in)"
+
+
+def test_strong_gate_binds_each_text_once(spark):
+    """Long texts: explicit values once for each text, Latin words without a look-up of every word in a list."""
+    df = spark.createDataFrame([("", "", "")], "s string, b string, c string")
+    plan = df.select(gates.strong_reasons(*map(F.col, "sbc")).alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\d+\s*/\s*\d+(?:st|nd|rd|th)?|\d{1,3}") == 2
+    residue = gates._residue_size(gates._latin(F.col("s")), F.col("b")).alias("n")
+    assert "array_contains" not in df.select(residue)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counts_of_the_strong_gate(spark):
+    r = random.Random(5)
+    words = ["alpha", "Beta", "BETA", "gamma", "gam", "слово", "[alpha", "beta]", "_delta_", "_", "alphabeta", "1\n", "𝒜bcde", "éalpha"]
+    rows = [tuple(" ".join(r.choices(words, k=r.randint(0, 30))) for _ in range(2)) for _ in range(60)] + [("", ""), ("alpha", ""), ("alpha", None)]
+    s, t = F.col("s"), F.col("t")
+    df = spark.createDataFrame(rows, "s string, t string").select(
+        *[gates._residue_size(gates._latin(s), t).alias("n"), F.size(gates.latin_residue(s, t)).alias("want"), text.script_share(t, text.LATIN, r"\p{L}").alias("share"), "t"]
+    )
+    letters = F.regexp_count("t", F.lit(r"\p{L}"))
+    plain = F.when(letters > 0, F.regexp_count("t", F.lit(text.LATIN)) / letters).otherwise(F.lit(0.0))
+    got = df.select("n", "want", "share", plain.alias("plain")).collect()
+    assert all(x.n == x.want and x.share == x.plain for x in got) and max(x.n or 0 for x in got) > 5
+    spelled = spark.createDataFrame([("sixteen and 3", "16 3", True), ("seven 7", "7 7", True), ("7", "7 7", False), ("seven", "7 7", True), ("7", "", False), (None, "7", None), ("7", None, None)], "s string, t string, ok boolean")
+    whole = gates.explicit_numeric_guard(s, t)["passed"]
+    assert all(x.a == x.b == x.ok for x in spelled.select("ok", gates.quality(s, t)["numeric_passed"].alias("a"), whole.alias("b")).collect())
