@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, pack, pack_ids, parted, rolling, small, spans, spare, unpack, unpack_ids
+from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, parted, rolling, small, spans, spare
 
 WORDS = parted(LOWER)
 #: log2 of the least and most cells of the sketch that finds frequent shingles (16 MB in a task), words for each cell, and slices it is summed by.
@@ -247,6 +247,52 @@ def frequent_cells(survey: DataFrame, bits: int, scratch: Scratch) -> np.ndarray
     return out.reshape(-1)
 
 
+def pack_tight(values: np.ndarray) -> bytes:
+    """Sorted unsigned integers: the first, then differences.
+
+    A difference's bits below the mean's highest one are written byte plane by
+    byte plane and bit plane by bit plane, what is above them in unary. That is
+    three bits a number at most beyond the planes, however uneven the
+    differences are, where whole bytes for the largest one cost up to eight.
+    """
+    if not len(values):
+        return b""
+    values = values.astype(np.uint64)
+    d = np.diff(values)
+    low = max(0, ((int(values[-1]) - int(values[0])) // max(1, len(d))).bit_length() - 1)
+    ends = np.cumsum((d >> np.uint64(low)).astype(np.int64) + 1)
+    unary = np.zeros(ends[-1] if len(d) else 0, np.uint8)
+    unary[ends - 1] = 1
+    bits = [np.packbits((d >> np.uint64(i)).astype(np.uint8) & 1).tobytes() for i in range(low // 8 * 8, low)]
+    head = bytes([low]) + len(d).to_bytes(4, "little") + int(values[0]).to_bytes(8, "little")
+    return b"".join([head, d.view(np.uint8).reshape(-1, 8).T[: low // 8].tobytes(), *bits, np.packbits(unary).tobytes()])
+
+
+def unpack_tight(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.empty(0, np.uint64)
+    low, n, x = blob[0], int.from_bytes(blob[1:5], "little"), np.frombuffer(blob, np.uint8, offset=13)
+    whole, plane = low // 8, (n + 7) // 8
+    d = np.zeros((n + 1, 8), np.uint8)
+    d[1:, :whole] = x[: whole * n].reshape(whole, n).T
+    d[0] = np.frombuffer(blob, np.uint8, 8, 5)
+    d, x = d.reshape(-1).view(np.uint64), x[whole * n :]
+    for i in range(whole * 8, low):
+        d[1:] |= np.unpackbits(x[:plane], count=n).astype(np.uint64) << np.uint64(i)
+        x = x[plane:]
+    d[1:] |= (np.diff(np.flatnonzero(np.unpackbits(x)), prepend=-1) - 1).astype(np.uint64) << np.uint64(low)
+    return np.cumsum(d, dtype=np.uint64)
+
+
+def _pack_names(names: np.ndarray) -> bytes:
+    """Ascending signed names."""
+    return pack_tight(names.view(np.uint64) ^ np.uint64(1 << 63))
+
+
+def _unpack_names(blob: bytes) -> np.ndarray:
+    return (unpack_tight(blob) ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: int):
     """Units of documents as rows (bucket, nodes, keys, heads): each signature once, from the unit's least set.
 
@@ -274,12 +320,12 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: in
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             part = heads[cuts[b] : cuts[b + 1]]
             used, at = np.unique(part & place, return_inverse=True)
-            out.append((b, pack_ids(nodes[used.astype(np.int64)]), pack((part & ~place) | at.astype(np.uint64)), None))
+            out.append((b, _pack_names(nodes[used.astype(np.int64)]), pack_tight((part & ~place) | at.astype(np.uint64)), None))
         rest = np.flatnonzero(again)
         if len(rest):
             first = (keys & place)[head[np.searchsorted(head, rest, "right") - 1]].astype(np.uint16)
             for i in range(0, len(rest), 1 << 14):
-                out.append((buckets + int(abs(int(nodes[0])) + i) % buckets, pack_ids(nodes), pack(keys[rest[i : i + (1 << 14)]]), first[i : i + (1 << 14)].tobytes()))
+                out.append((buckets + int(abs(int(nodes[0])) + i) % buckets, _pack_names(nodes), pack_tight(keys[rest[i : i + (1 << 14)]]), first[i : i + (1 << 14)].tobytes()))
         kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=["bucket", "nodes", "keys", "heads"])
 
@@ -320,7 +366,7 @@ def _meet(buckets: int):
         sig, node, last = [], [], []
         passed = table.column("bucket")[0].as_py() >= buckets
         for row_nodes, row_keys, row_heads in zip(*(table.column(c) for c in ("nodes", "keys", "heads"))):
-            nodes, x = unpack_ids(row_nodes.as_py()), unpack(row_keys.as_py())
+            nodes, x = _unpack_names(row_nodes.as_py()), unpack_tight(row_keys.as_py())
             sig.append(x >> width)
             node.append(nodes[(x & place).astype(np.int64)])
             last.append(nodes[np.frombuffer(row_heads.as_py(), np.uint16)] if passed else (x >> np.uint64(UNIT_BITS)) & np.uint64(1) == 1)

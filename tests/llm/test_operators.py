@@ -827,3 +827,18 @@ def test_results_come_through_the_directory(odd, monkeypatch):
     monkeypatch.setattr(exact_dedup, "directory", lambda slots, capacity: whole(slots, capacity).filter("slot % 2 = 0"))
     out = exact_dedup.exact_dedup(odd).collect()
     assert 0 < len(out) < odd.count() and all(int(x.text_sha256[:4], 16) % 2 == 0 for x in out)
+
+
+def test_join_keys_cost_little_beyond_their_spacing():
+    """Keys and names of the join travel in two bits a number at most (on average) beyond the log of their mean difference."""
+    r = np.random.default_rng(2)
+    top = np.uint64((1 << 64) - 1)
+    for values in (np.empty(0, np.uint64), np.array([7], np.uint64), np.array([0, top], np.uint64), np.full(5, top), np.arange(17, dtype=np.uint64), np.append(np.arange(300, dtype=np.uint64), top)):
+        assert ngram_join.unpack_tight(ngram_join.pack_tight(values)).tolist() == values.tolist()
+    for bits, n in ((46, 4096), (46, 1500), (64, 700), (30, 5000)):
+        values = np.sort(r.integers(0, (1 << bits) - 1, n, dtype=np.uint64))
+        blob = ngram_join.pack_tight(values)
+        assert (ngram_join.unpack_tight(blob) == values).all()
+        assert len(blob) - 13 <= n * (bits - math.log2(n) + 2) / 8 + 8
+    names = np.sort(r.integers(-(1 << 63), (1 << 63) - 1, 50))
+    assert (ngram_join._unpack_names(ngram_join._pack_names(names)) == names).all()
