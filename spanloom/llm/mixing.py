@@ -142,8 +142,9 @@ def mix(
     n_cells = cells.count()
     few = n_cells <= FEW_CELLS
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    for d in DIMS:
-        margin = _target(cells.groupBy(d).agg(F.sum("tokens").alias("m")), d, (targets or {}).get(d), total, smoothing)
+    # Margins of the bare cells: of cells that are joined with margins, each would hold the plans of those before it twice.
+    margins = [_target(cells.groupBy(d).agg(F.sum("tokens").alias("m")), d, (targets or {}).get(d), total, smoothing) for d in DIMS]
+    for d, margin in zip(DIMS, margins):
         cells = cells.join(F.broadcast(margin) if few else margin, d)
     cells = cells.withColumn("weight", F.col("tokens") / F.lit(total or 1.0))
     raked, off = rake(scratch.table(cells, "start"), scratch, few)

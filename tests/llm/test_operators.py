@@ -381,6 +381,20 @@ def test_saturated_scale_against_bisection(spark):
     assert all(min(1, mixing.saturated_scale(df, 1.0) * x) == 1 for _, x in cells if x)
 
 
+def test_mixing_plans_each_margin_once(spark, monkeypatch):
+    """The driver plans three aggregates for a margin, whatever margins were joined before it."""
+    plans, table = {}, mixing.Scratch.table
+
+    def told(self, df, name, *partition_by):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return table(self, df, name, *partition_by)
+
+    monkeypatch.setattr(mixing.Scratch, "table", told)
+    docs = spark.createDataFrame([(i, "a b c", "xyz"[i % 3], "pq"[i % 2]) for i in range(12)], "doc_id long, text string, lang string, source string")
+    assert mixing.mix(docs).count() == 12
+    assert plans["start"].count("Aggregate") <= 3 * len(mixing.DIMS)
+
+
 def test_mixing_odd_rows(odd, nothing, plain_rows):
     out = mixing.mix_digest(odd).collect()
     assert len(out) == len(plain_rows)
