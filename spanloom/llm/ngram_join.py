@@ -31,14 +31,19 @@ LEAST_CELLS, MOST_CELLS, CELL_WORDS, SLICES = 16, 22, 8, 16
 FREQUENT, FREQUENT_LEAST = 8, 64
 #: log2 of the documents of a unit, signatures of a unit, keys that one bucket is meant to hold, and the most bits of a signature that travel.
 UNIT_BITS, UNIT_SIGNATURES, BUCKET_KEYS, SIG_BITS = 12, 1 << 19, 1 << 20, 51
-#: Bits by which signatures (and pairs of set names) that travel are longer than their number needs: chance hits only make more sets compared.
-SPARE_BITS = 13
+#: Bits by which signatures that travel are longer than their number needs (chance hits only make more sets compared), and names of sets
+#: (about one set in 2**NAME_SPARE shares its name with another, and both get a longer one).
+SPARE_BITS, NAME_SPARE = 13, 16
 #: 64-bit words of the parity sketch that bounds from below how far two sets are apart.
 PARITY = 16
+#: Most cells of the sketch by which larger sets are held apart before they travel (128 KB).
+MOST_WIDE = 1 << 20
 #: Bits of the filter of documents whose sets are compared.
 ID_BITS = 1 << 23
 #: Rows of a signature that one task pairs with a row before the signature is salted.
 PAIR_ROWS = 256
+#: Pairs up to which the ids of the sets to compare are sent to all tasks.
+FEW_PAIRS = 100_000
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -301,8 +306,8 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: in
     to share it with the unit's first one (``heads``); their keys skip the
     meeting, in buckets of their own.
     """
-    low = np.uint64(sig_bits - buckets.bit_length() + 1)
-    one, width = np.uint64(1), np.uint64(UNIT_BITS + 1)
+    width = np.uint64(UNIT_BITS + 1)
+    edges = np.array([(b << sig_bits) // buckets for b in range(buckets + 1)], np.uint64)
 
     def unit(nodes: np.ndarray, sig: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(nodes)
@@ -315,7 +320,7 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: in
         multi = np.diff(np.append(head, len(keys))) > 1
         out = []
         heads = keys[head] | (multi.astype(np.uint64) << np.uint64(UNIT_BITS))
-        cuts = np.searchsorted(heads >> width >> low, np.arange(buckets + 1, dtype=np.uint64))
+        cuts = np.searchsorted(heads >> width, edges)
         place = np.uint64((1 << UNIT_BITS) - 1)
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             part = heads[cuts[b] : cuts[b + 1]]
@@ -396,6 +401,29 @@ def parity(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(m, PARITY)
 
 
+def wide_parity(hashes: np.ndarray) -> bytes | None:
+    """The parity sketch of a set in 2 to 4 cells a shingle (MOST_WIDE at most); none if ``parity`` has as many."""
+    cells = min(MOST_WIDE, 1 << max(1, 2 * len(hashes) - 1).bit_length())
+    if cells <= PARITY * 64:
+        return None
+    bits = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _may(a: pd.Series, b: pd.Series, total: pd.Series, percent: pd.Series) -> pd.Series:
+    """Whether the wide sketches let two sets be similar; the halves of the longer one are added up to the length of the other."""
+    out = []
+    for x, y, t, p in zip(a, b, total, percent):
+        if x is None or y is None:
+            out.append(True)
+            continue
+        u, v = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+        while len(v) > len(u):
+            v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+        out.append(int(np.bitwise_count(u ^ v).sum()) <= t - 2 * -(-t * p // (100 + p)))
+    return pd.Series(out, dtype=bool)
+
+
 def _near(percent: int) -> Column:
     """Whether the sizes and sketches of a (na, a0, ..) and b (nb, b0, ..) let the two sets be similar."""
     total = F.col("na") + F.col("nb")
@@ -418,7 +446,7 @@ def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
 
 
 def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, scratch: Scratch) -> DataFrame:
-    """(id, size, members, sketch) of the sets of the rows in ``wanted`` (row).
+    """(id, size, members, wide sketch, sketch) of the sets of the rows in ``wanted`` (row).
 
     Up to FEW_IDS rows are looked for by their hashes; more by a filter of fixed
     size, which lets some others in too.
@@ -443,9 +471,10 @@ def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, sc
                     d = fresh[i : i + 256]
                     own, ends = x[spans(at[d], count[d])], np.concatenate([[0], np.cumsum(count[d])])
                     members = pa.array([own[a:b].tobytes() for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(name[d]), pa.array(count[d]), members, *(pa.array(c) for c in parity(own, ends).T)], names=["id", "size", "members", *names])
+                    wide = pa.array([wide_parity(own[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(name[d]), pa.array(count[d]), members, wide, *(pa.array(c) for c in parity(own, ends).T)], names=["id", "size", "members", "wide", *names])
 
-    sets = scratch.table(near.select("text").mapInArrow(run, "id long, size long, members binary, " + ", ".join(f"{x} long" for x in names)), "sets")
+    sets = scratch.table(near.select("text").mapInArrow(run, "id long, size long, members binary, wide binary, " + ", ".join(f"{x} long" for x in names)), "sets")
     # A task gives a set once; rows that repeat an id and its text, or that a full filter lets in, can give it in two tasks.
     twice = sets.groupBy("id").count().filter("count > 1").limit(1).count()
     return scratch.table(sets.dropDuplicates(["id"]), "sets1") if twice else sets
@@ -462,7 +491,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     words, rows = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     words //= 6
-    name_bits = name_bits or min(64, 2 * rows.bit_length() + SPARE_BITS)
+    name_bits = name_bits or min(64, rows.bit_length() + NAME_SPARE)
     sig_bits = min(SIG_BITS, words.bit_length() + SPARE_BITS)
     bits = min(MOST_CELLS, max(LEAST_CELLS, (words // CELL_WORDS).bit_length()))
     survey = source.mapInArrow(_survey(n, bits, name_bits), "doc_id long, th long, n_shingles long, h1 long, h2 long, slice int, counts binary")
@@ -472,12 +501,12 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     first_row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
     groups = meta.filter("n_shingles > 0").groupBy(*key).agg(F.min(first_row).alias("rep"), F.count("*").alias("n_copies"))
     groups = scratch.table(groups, "groups")
-    clash = [r[0] for r in groups.groupBy("h1").count().filter("count > 1").select("h1").limit(FEW_IDS).collect()]  # about one in 2**64 / rows
+    clash = [r[0] for r in groups.groupBy("h1").count().filter("count > 1").select("h1").limit(FEW_IDS).collect()]  # about one in 2**(NAME_SPARE + 1) rows
     again = spark.createDataFrame([(x,) for x in clash], "h1 long").withColumn("clash", F.lit(True))
     groups = groups.join(F.broadcast(again), "h1", "left").withColumn("node", F.when(F.col("clash"), F.col("h2")).otherwise(F.col("h1"))).drop("clash")
     sent = spark.sparkContext.broadcast((frequent_cells(survey, bits, scratch), np.array(sorted(clash), np.int64)))
     if buckets is None:
-        buckets = 1 << max(4, (words // BUCKET_KEYS).bit_length())
+        buckets = bucket_count(words)
 
     units = source.select("text").mapInArrow(_send(sent, buckets, percent, n, name_bits, sig_bits), "bucket int, nodes binary, keys binary, heads binary")
     shared = scratch.table(units.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, node long, centre long"), "shared")
@@ -485,7 +514,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node").select(_row("rep.doc_id", "rep.th").alias("row"))
     sets = _sets(source, scratch.table(wanted, "wanted"), n, sent, name_bits, scratch)
 
-    similar = F.pandas_udf(_similar, "boolean")
+    similar, may = F.pandas_udf(_similar, "boolean"), F.pandas_udf(_may, "boolean")
     links, comp, checked = None, None, None
     for k in range(3):
         if k == 0:
@@ -500,9 +529,12 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
         if k < 2:
             near = asked.join(_sketch(sets, "a"), "a").join(_sketch(sets, "b"), "b").filter(_near(percent))
             fit = scratch.table(near.select("a", "b"), f"near{k}")
-        # Only sets that are asked for travel.
-        left, right = (sets.join(small(fit.select(F.col(c).alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in ("a", "b"))
-        true = fit.join(left, "a").join(right, "b").filter(similar("ma", "mb", F.lit(percent))).select("a", "b")
+        few = fit.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS
+        # Only sets that are asked for travel: first their wide sketches, then those that these don't tell apart.
+        both = _with(_with(fit, sets, "a", few, "size", "wide"), sets, "b", few, "size", "wide")
+        fit = scratch.table(both.filter(may("widea", "wideb", F.col("sizea") + F.col("sizeb"), F.lit(percent))).select("a", "b"), f"fit{k}")
+        both = _with(_with(fit, sets, "a", few, "members"), sets, "b", few, "members")
+        true = both.filter(similar("membersa", "membersb", F.lit(percent))).select("a", "b")
         true = scratch.table(true.distinct(), f"links{k}")
         links = true if links is None else links.unionByName(true)
         comp = connected(links, scratch, f"comp{k}")
@@ -516,6 +548,18 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     return found.unionByName(alone).select("doc_id", "th", "n_shingles", "n_copies", "best")
 
 
+def bucket_count(words: int) -> int:
+    """Buckets that signatures of a corpus of so many words fall into: in proportion, as a unit's rows in each cost a head and names."""
+    return max(16, -(-words // BUCKET_KEYS))
+
+
+def _with(pairs: DataFrame, sets: DataFrame, c: str, few: bool, *columns: str) -> DataFrame:
+    """``pairs`` with columns of the sets that their column ``c`` names; of the others nothing is shuffled."""
+    ids = pairs.select(F.col(c).alias("id")).distinct()
+    held = sets.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    return pairs.join(held.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}{c}") for x in columns]), c)
+
+
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs whose two ids are not in one class yet."""
     ca = small(comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")))

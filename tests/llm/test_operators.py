@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from spanloom.llm import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
@@ -738,6 +739,41 @@ def test_classes_near_the_threshold(spark, monkeypatch):
     assert_classes(spark, docs, buckets=2)
 
 
+def test_large_sets_travel_only_if_they_may_be_similar(spark, monkeypatch):
+    """Large texts that share passages meet by their sketches; a near copy is found."""
+    held, table = {}, ngram_join.Scratch.table
+
+    def told(self, df, name, *partition_by):
+        held[name] = table(self, df, name, *partition_by)
+        return held[name]
+
+    monkeypatch.setattr(ngram_join.Scratch, "table", told)
+    shared = " ".join(f"s{j}" for j in range(2_000))
+    docs = [(i, shared + " " + " ".join(f"o{i}x{j}" for j in range(1_500))) for i in range(6)]
+    docs.append((9, docs[0][1].replace("o0x700", "changed")))
+    got = ngram_join.similar_classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {**{i: i for i in range(6)}, 9: 0}
+    asked, fit = (sum(held[f"{name}{k}"].count() for k in range(3)) for name in ("pairs", "fit"))
+    assert asked >= 5 and fit <= 2
+
+
+def test_wide_sketches_are_exact():
+    r = np.random.default_rng(10)
+    for n, m in ((600, 600), (700, 800), (5_000, 6_000), (100, 700)):
+        for both in (n, n - n // 12, n - n // 9, n - n // 8, 0):
+            x = r.integers(0, 2**64 - 1, n, dtype=np.uint64)
+            y = np.append(x[:both], r.integers(0, 2**64 - 1, m - both, dtype=np.uint64))
+            may = ngram_join._may(*(pd.Series([v]) for v in (ngram_join.wide_parity(x), ngram_join.wide_parity(y), n + m, 80)))[0]
+            assert may or 100 * both < 80 * (n + m - both)
+            assert not may or both or min(n, m) <= 512
+    assert ngram_join.wide_parity(x[:512]) is None
+
+
+def test_buckets_grow_in_proportion():
+    size = ngram_join.BUCKET_KEYS
+    assert [ngram_join.bucket_count(k * size) for k in (0, 17, 27, 135)] == [16, 17, 27, 135]
+
+
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(9)
     none = np.zeros(1 << 13, np.uint8)
