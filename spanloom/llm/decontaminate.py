@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, id_back, id_or, mix, rolling, without
+from .common import Scratch, Words, id_back, id_or, lean, mix, rolling, without
 
 #: Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 4 << 20
@@ -251,12 +251,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, threshold: flo
         seeds = PairSeeds([(r["item_id"], bytes(r["text"])) for r in own.collect()], n, threshold)
         df = np.zeros(len(seeds.keys), np.int64)
         sent = spark.sparkContext.broadcast(seeds)
-        counts = source.mapInArrow(_frequencies(sent), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+        counts = source.mapInArrow(lean(_frequencies(sent)), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
         counts = counts.toArrow()  # one row for each seed of the block
         df[counts["k"].to_numpy()] = counts["n"].to_numpy()
         seeds.keep_rare(df)
         sent = spark.sparkContext.broadcast(seeds)
-        found = source.mapInArrow(_align(sent, threshold), "doc_id long, item_id long, score double, start_word long, end_word long")
+        found = source.mapInArrow(lean(_align(sent, threshold)), "doc_id long, item_id long, score double, start_word long, end_word long")
         found = found if blocks == 1 else scratch.table(found, f"found{b}")
         out = found if out is None else out.unionByName(found)
     return out.select(id_back("doc_id"), "item_id", "score", "start_word", "end_word")

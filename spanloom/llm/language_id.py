@@ -11,12 +11,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_IDS, Scratch, crc_mod, join_unique
+from .common import FEW_IDS, Scratch, crc_mod, give_back, join_unique, lean
 
 #: log2 of the hashed feature space, lengths of the n-grams, and slices by which counts are summed.
 BITS, LENGTHS, SLICES = 15, (1, 2, 3), 16
@@ -211,11 +210,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(range(m), blobs, [None] * m, [None] * m, [None] * m)
 
 
-def _sum(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.frombuffer(pdf["df"].iloc[0], np.int64).copy()
-    for blob in pdf["df"].iloc[1:]:
-        total += np.frombuffer(blob, np.int64)
-    return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "df": [total.tobytes()]})
+def _sum(rows: pa.Table) -> pa.Table:
+    total = 0
+    for blob in rows.column("df"):
+        total = total + np.frombuffer(blob.as_buffer(), np.int64)
+    return pa.table({"slice": rows.column("slice")[:1], "df": pa.array([total.tobytes()], pa.binary())})
 
 
 def train(docs: DataFrame, label: str = "lang", max_train: int = 4_000, max_bytes: int = 64 << 20) -> Model:
@@ -237,8 +236,8 @@ def train(docs: DataFrame, label: str = "lang", max_train: int = 4_000, max_byte
     rows = source.join(F.broadcast(sizes), "lang") if n_langs <= FEW_IDS else join_unique(source, sizes, ["lang"], "n")
     draw = F.shiftrightunsigned(F.xxhash64("text", "lang"), 11) / F.lit(float(2**53))
     rows = rows.select("text", "lang", (draw * F.col("n") < each).alias("sampled"))
-    found = scratch.table(rows.mapInArrow(_gather, "slice int, df binary, lang string, buckets binary, counts binary"), "features")
-    counted = found.filter("slice is not null").select("slice", "df").groupBy("slice").applyInPandas(_sum, "slice int, df binary").collect()
+    found = scratch.table(rows.mapInArrow(lean(_gather), "slice int, df binary, lang string, buckets binary, counts binary"), "features")
+    counted = found.filter("slice is not null").select("slice", "df").groupBy("slice").applyInArrow(_sum, "slice int, df binary").collect()
     by_slice = {r["slice"]: np.frombuffer(bytes(r["df"]), np.int64) for r in counted}
     if not by_slice:
         return Model([], np.ones(1 << BITS), np.zeros((1 << BITS, 0)), np.zeros(0))
@@ -267,13 +266,16 @@ def identify(docs: DataFrame, train_rule: str | None = None, label: str = "lang"
     """
     rule = F.expr(train_rule) if train_rule else F.coalesce(crc_mod(id_col, 4) != 2, F.lit(True))
     model = docs.sparkSession.sparkContext.broadcast(train(docs.filter(rule), label, **bounds))
+    give_back()  # the samples
 
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = model.value
         for batch in texts:
-            yield pd.DataFrame([own.predict(t) for t in batch], columns=["lang_pred", "score"])
+            found = [own.predict(t.as_py()) for t in batch]
+            yield pa.StructArray.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((pa.string(), pa.float64()))], names=["lang_pred", "score"])
+        give_back()
 
-    udf = F.pandas_udf(predict, "lang_pred string, score double")
+    udf = F.arrow_udf(predict, "lang_pred string, score double")
     return docs.drop(name).withColumn(name, udf(F.col("text").cast("binary")))
 
 

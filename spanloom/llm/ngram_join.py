@@ -11,18 +11,17 @@ share one are compared exactly.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_IDS, LOWER, Scratch, connected, join_unique, mix, parted, rolling, small, spans, spare
+from .common import FEW_IDS, LOWER, Scratch, connected, give_back, join_unique, lean, mix, parted, rolling, small, spans, spare
 
 WORDS = parted(LOWER)
 #: log2 of the least and most cells of the sketch that finds frequent shingles (16 MB in a task), words for each cell, and slices it is summed by.
@@ -225,12 +224,13 @@ def _batch(*columns) -> pa.RecordBatch:
 
 
 def _add(bits: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
         total = np.zeros((1 << bits) // SLICES, np.int64)
-        for blob in pdf["counts"]:
-            low, high = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(2, -1).astype(np.int64)
+        for blob in rows.column("counts"):
+            low, high = np.frombuffer(zlib.decompress(blob.as_buffer()), np.uint8).reshape(2, -1).astype(np.int64)
             total += low + (high << 8)
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "total": [int(total.sum())], "counts": [total.astype(np.uint32).tobytes()]})
+        counts = pa.array([total.astype(np.uint32).tobytes()], pa.binary())
+        return pa.table({"slice": rows.column("slice")[:1], "total": pa.array([int(total.sum())]), "counts": counts})
 
     return run
 
@@ -238,16 +238,17 @@ def _add(bits: int):
 def frequent_cells(survey: DataFrame, bits: int, scratch: Scratch) -> np.ndarray:
     """One bit for each cell; the sketch has a size that is bounded whatever the input."""
     rows = survey.filter("slice is not null").select("slice", "counts")
-    summed = scratch.table(rows.groupBy("slice").applyInPandas(_add(bits), "slice int, total long, counts binary"), "cells")
+    summed = scratch.table(rows.groupBy("slice").applyInArrow(_add(bits), "slice int, total long, counts binary"), "cells")
     mean = (summed.agg(F.sum("total")).first()[0] or 0) >> bits
     least = max(FREQUENT_LEAST, FREQUENT * mean)
 
-    def flags(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = [np.packbits(np.frombuffer(c, np.uint32) >= least, bitorder="little").tobytes() for c in pdf["counts"]]
-        return pd.DataFrame({"slice": pdf["slice"], "flags": bits})
+    def flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.frombuffer(c.as_buffer(), np.uint32) >= least, bitorder="little").tobytes() for c in batch.column("counts")]
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(bits, pa.binary())], names=["slice", "flags"])
 
     out = np.zeros((SLICES, (1 << bits) // SLICES // 8), np.uint8)
-    for r in summed.mapInPandas(lambda it: map(flags, it), "slice int, flags binary").collect():  # a bit for each cell: 512 KB at most
+    for r in summed.mapInArrow(flags, "slice int, flags binary").collect():  # a bit for each cell: 512 KB at most
         out[r["slice"]] = np.frombuffer(bytes(r["flags"]), np.uint8)
     return out.reshape(-1)
 
@@ -339,7 +340,7 @@ def _send(sent, buckets: int, percent: int, n: int, name_bits: int, sig_bits: in
         nodes, sigs, docs, seen, size = [], [], [], set(), 0
 
         def whole():
-            return unit(np.concatenate(nodes), np.concatenate(sigs), np.concatenate(docs))
+            return unit(_joined(nodes), _joined(sigs), _joined(docs))
 
         for batch in batches:
             for _, _, x, at in shingle_sets(batch.column(0), n):
@@ -375,8 +376,19 @@ def _meet(buckets: int):
             sig.append(x >> width)
             node.append(nodes[(x & place).astype(np.int64)])
             last.append(nodes[np.frombuffer(row_heads.as_py(), np.uint16)] if passed else (x >> np.uint64(UNIT_BITS)) & np.uint64(1) == 1)
-        s, d, m = (np.concatenate(c) for c in (sig, node, last))
+        s, d, m = map(_joined, (sig, node, last))
         if not passed:
+            # Most signatures have one row, which only counts if its unit has the signature again; the others go before the rest is done.
+            order = np.argsort(s, kind="stable")
+            s, met = s[order], m[order]
+            same = s[1:] == s[:-1]
+            met[1:] |= same
+            met[:-1] |= same
+            order, s = order[met], s[met]
+            d, m = d[order], m[order]
+        if not passed and not len(s):
+            m = d
+        elif not passed:
             order = np.lexsort((d, s))
             s, d, m = s[order], d[order], m[order]
             starts = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
@@ -384,11 +396,19 @@ def _meet(buckets: int):
             wanted = np.logical_or.reduceat(m, starts) | (d[starts] != d[starts + runs - 1])
             fresh = np.append(True, (s[1:] != s[:-1]) | (d[1:] != d[:-1])) & np.repeat(wanted, runs)
             s, d, m = s[fresh], d[fresh], np.repeat(d[starts], runs)[fresh]
+        give_back()
         return pa.table({"sig": s.astype(np.int64), "node": d, "centre": m})
 
     return run
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """One array of all ``parts``, which are let go."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
+
+
 def parity(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each of 1,024 cells whether an odd number of a set's hashes falls into it, as a row of 16 words for each set.
 
@@ -410,7 +430,18 @@ def wide_parity(hashes: np.ndarray) -> bytes | None:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def _may(a: pd.Series, b: pd.Series, total: pd.Series, percent: pd.Series) -> pd.Series:
+def _arrow(judge):
+    """``judge``, which takes values row by row, as a function of Arrow columns."""
+
+    def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in columns:
+            yield pa.array(judge(*((v.as_py() for v in c) for c in batch)), pa.bool_())
+        give_back()
+
+    return F.arrow_udf(run, "boolean")
+
+
+def _may(a: Iterable[bytes | None], b: Iterable[bytes | None], total: Iterable[int], percent: Iterable[int]) -> list[bool]:
     """Whether the wide sketches let two sets be similar; the halves of the longer one are added up to the length of the other."""
     out = []
     for x, y, t, p in zip(a, b, total, percent):
@@ -421,7 +452,7 @@ def _may(a: pd.Series, b: pd.Series, total: pd.Series, percent: pd.Series) -> pd
         while len(v) > len(u):
             v = v[: len(v) // 2] ^ v[len(v) // 2 :]
         out.append(int(np.bitwise_count(u ^ v).sum()) <= t - 2 * -(-t * p // (100 + p)))
-    return pd.Series(out, dtype=bool)
+    return out
 
 
 def _near(percent: int) -> Column:
@@ -436,13 +467,13 @@ def _sketch(sets: DataFrame, side: str) -> DataFrame:
     return sets.select(F.col("id").alias(side), F.col("size").alias(f"n{side}"), *[F.col(f"p{i}").alias(f"{side}{i}") for i in range(PARITY)])
 
 
-def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
+def _similar(a: Iterable[bytes], b: Iterable[bytes], percent: Iterable[int]) -> list[bool]:
     out = []
     for x, y, p in zip(a, b, percent):
         u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         both = len(np.intersect1d(u, v, assume_unique=True))
         out.append(100 * both >= p * (len(u) + len(v) - both))
-    return pd.Series(out, dtype=bool)
+    return out
 
 
 def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, scratch: Scratch) -> DataFrame:
@@ -474,7 +505,7 @@ def _sets(source: DataFrame, wanted: DataFrame, n: int, sent, name_bits: int, sc
                     wide = pa.array([wide_parity(own[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(name[d]), pa.array(count[d]), members, wide, *(pa.array(c) for c in parity(own, ends).T)], names=["id", "size", "members", "wide", *names])
 
-    sets = scratch.table(near.select("text").mapInArrow(run, "id long, size long, members binary, wide binary, " + ", ".join(f"{x} long" for x in names)), "sets")
+    sets = scratch.table(near.select("text").mapInArrow(lean(run), "id long, size long, members binary, wide binary, " + ", ".join(f"{x} long" for x in names)), "sets")
     # A task gives a set once; rows that repeat an id and its text, or that a full filter lets in, can give it in two tasks.
     twice = sets.groupBy("id").count().filter("count > 1").limit(1).count()
     return scratch.table(sets.dropDuplicates(["id"]), "sets1") if twice else sets
@@ -494,7 +525,7 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     name_bits = name_bits or min(64, rows.bit_length() + NAME_SPARE)
     sig_bits = min(SIG_BITS, words.bit_length() + SPARE_BITS)
     bits = min(MOST_CELLS, max(LEAST_CELLS, (words // CELL_WORDS).bit_length()))
-    survey = source.mapInArrow(_survey(n, bits, name_bits), "doc_id long, th long, n_shingles long, h1 long, h2 long, slice int, counts binary")
+    survey = source.mapInArrow(lean(_survey(n, bits, name_bits)), "doc_id long, th long, n_shingles long, h1 long, h2 long, slice int, counts binary")
     survey = scratch.table(survey, "survey")
     meta = survey.filter("slice is null").drop("slice", "counts")
     key = ["n_shingles", "h1", "h2"]
@@ -508,13 +539,13 @@ def _classes(docs: DataFrame, n: int, percent: int, buckets: int | None, name_bi
     if buckets is None:
         buckets = bucket_count(words)
 
-    units = source.select("text").mapInArrow(_send(sent, buckets, percent, n, name_bits, sig_bits), "bucket int, nodes binary, keys binary, heads binary")
+    units = source.select("text").mapInArrow(lean(_send(sent, buckets, percent, n, name_bits, sig_bits)), "bucket int, nodes binary, keys binary, heads binary")
     shared = scratch.table(units.groupBy("bucket").applyInArrow(_meet(buckets), "sig long, node long, centre long"), "shared")
     stars = scratch.table(shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node").select(_row("rep.doc_id", "rep.th").alias("row"))
     sets = _sets(source, scratch.table(wanted, "wanted"), n, sent, name_bits, scratch)
 
-    similar, may = F.pandas_udf(_similar, "boolean"), F.pandas_udf(_may, "boolean")
+    similar, may = _arrow(_similar), _arrow(_may)
     links, comp, checked = None, None, None
     for k in range(3):
         if k == 0:

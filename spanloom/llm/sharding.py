@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,9 +68,9 @@ def feistel_shards(df: DataFrame, order: list[str], n_shards: int, seed: int = 4
     scratch = Scratch(df.sparkSession)
     numbered, n = number_rows(df, order, scratch)
 
-    @F.pandas_udf("long")
-    def permute(rows: pd.Series) -> pd.Series:
-        return pd.Series(feistel(rows.to_numpy(), n, seed))
+    @F.arrow_udf("long")
+    def permute(rows: pa.Array) -> pa.Array:
+        return pa.array(feistel(rows.to_numpy(zero_copy_only=False), n, seed))
 
     out = numbered.withColumn("permuted", permute("global_row"))
     return out.withColumn("shard", (F.col("permuted") % n_shards).cast("int")).withColumn(

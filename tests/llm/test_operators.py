@@ -2,12 +2,18 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
+import tracemalloc
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from spanloom.llm import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, ngram_join, sharding, substring_dedup, url_filter
@@ -892,3 +898,35 @@ def test_join_keys_cost_little_beyond_their_spacing():
         assert len(blob) - 13 <= n * (bits - math.log2(n) + 2) / 8 + 8
     names = np.sort(r.integers(-(1 << 63), (1 << 63) - 1, 50))
     assert (ngram_join._unpack_names(ngram_join._pack_names(names)) == names).all()
+
+
+def test_workers_of_the_pipeline_load_no_pandas():
+    """Each Python worker holds its modules for itself, two and more an executor."""
+    stages = "language_id, ngram_join, decontaminate, mixing, sharding"
+    code = f"import sys; from spanloom.llm import {stages}; assert 'pandas' not in sys.modules"
+    root = Path(ngram_join.__file__).parents[2]
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": str(root)}).returncode == 0
+
+
+def test_a_bucket_meets_in_bounded_memory():
+    """Signatures of one row go before the others are sorted and paired; those that their unit has again stay."""
+    r, width = np.random.default_rng(3), np.uint64(ngram_join.UNIT_BITS + 1)
+    rows, meets = [], defaultdict(set)
+    for _ in range(32):
+        nodes = np.sort(r.integers(-(2**62), 2**62, 1 << ngram_join.UNIT_BITS))
+        sig = np.unique(r.integers(0, 1 << 24, 1 << 14, dtype=np.uint64))
+        at, again = r.integers(0, len(nodes), len(sig)), r.random(len(sig)) < 0.01
+        rows.append((0, ngram_join._pack_names(nodes), ngram_join.pack_tight((sig << width) | (again.astype(np.uint64) << (width - np.uint64(1))) | at.astype(np.uint64)), None))
+        for s, d, m in zip(sig.tolist(), nodes[at].tolist(), again.tolist()):
+            meets[s] |= {d, None} if m else {d}
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    table = pa.table([pa.array([x[i] for x in rows], t) for i, t in enumerate(kinds)], names=["bucket", "nodes", "keys", "heads"])
+    tracemalloc.start()
+    got = ngram_join._meet(1)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    wanted = [(s, d, min(own - {None})) for s, own in sorted(meets.items()) if len(own) > 1 for d in sorted(own - {None})]
+    assert list(zip(*(got.column(c).to_pylist() for c in ("sig", "node", "centre")))) == wanted
+    assert peak < 52 * 32 * (1 << 14)
+    none = ngram_join._meet(1)(table.slice(0, 1).set_column(2, "keys", pa.array([ngram_join.pack_tight(np.array([1 << 20], np.uint64))])))
+    assert none.num_rows == 0 and none.schema == got.schema
